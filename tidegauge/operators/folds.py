@@ -45,10 +45,11 @@ def _groups(frames: Iterator[pd.DataFrame], by: Sequence[str]) -> Iterator[list[
         for name in by:
             changed[1:] |= columns[name][1:] != columns[name][:-1]
         bounds = [0, *np.flatnonzero(changed)]
-        yield [
-            {name: values[start:end] for name, values in columns.items()}
-            for start, end in zip(bounds[:-1], bounds[1:])
-        ]
+        if len(bounds) > 1:
+            yield [
+                {name: values[start:end] for name, values in columns.items()}
+                for start, end in zip(bounds[:-1], bounds[1:])
+            ]
         held = frame.iloc[bounds[-1]:]
     if held is not None and len(held):
         yield [{name: held[name].to_numpy() for name in held.columns}]
