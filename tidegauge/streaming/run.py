@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from tidegauge.sources.files import bucket_of
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-END_OF_TIME = "2999-01-01 00:00:00"
+END_OF_TIME = "2200-01-01 00:00:00"  # still fits the nanosecond timestamps of pandas
 
 
 def file_stream(
