@@ -377,7 +377,7 @@ class RiseAlarm(EventOrdered):
         if self.pending is None:
             self.timer.clear()
         else:
-            self.timer.update((timer,))
+            self.timer.update((float(timer),))
         return self.result(key, alarm_ms=fired) if fired else None
 
     def wake_at(self):
