@@ -1,20 +1,21 @@
-"""Tokenising expressions; explode the result to get one row per token."""
+"""Tokenising expressions; ``words`` gives one row per token."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _filled(tokens: Column) -> Column:
-    return F.filter(tokens, lambda token: token != "")
-
-
 def space_tokens(line: Column | str) -> Column:
-    """Split on each single whitespace character, without empty tokens."""
-    return _filled(F.split(line, r"\s"))
+    """Split on each single whitespace character; neighbours give empty tokens."""
+    return F.split(line, r"\s")
 
 
 def non_word_tokens(line: Column | str) -> Column:
-    """Lower-case and split on runs of non-word characters, without empty tokens."""
-    return _filled(F.split(F.lower(line), r"\W+"))
+    """Lower-case and split on runs of non-word characters."""
+    return F.split(F.lower(line), r"\W+")
+
+
+def words(df: DataFrame, tokens: Column, *kept: str, name: str = "word") -> DataFrame:
+    """One row per non-empty token. The emptiness test runs on rows, inside generated code."""
+    return df.select(*kept, F.explode(tokens).alias(name)).where(F.col(name) != "")

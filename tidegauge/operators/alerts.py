@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.times import day_end_ms, millis
 from tidegauge.operators.folds import (
-    NONE, hold_replay, hold_resolve, hold_summary, rise_replay, rise_resolve, rise_summary, segmented_fold,
+    NONE, hold_replay, hold_resolve, hold_summary, numbered, rise_replay, rise_resolve, rise_summary, segmented_fold,
 )
 from tidegauge.operators.scans import by_rows, scan
 
@@ -28,29 +28,29 @@ def jump_alert(
 
 def jump_alert_hold(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, threshold: float,
-    segment: Column, start: float = 0.0,
+    segment: Column, start: float = 0.0, rows_per_segment: int = 1 << 16,
 ) -> DataFrame:
     """As ``jump_alert``, but the reference starts at ``start`` and stays put while a row alerts."""
     rows = df.where(F.col(value).isNotNull()).withColumn(value, F.col(value).cast("double"))
     types = dict(rows.select(*order).dtypes)
 
-    def replay(state, arrays):
-        where, held = hold_replay(state, arrays[value].tolist(), threshold)
-        found = {name: arrays[name][where] for name in order}
-        return {**found, "last": held, value: arrays[value][where]}
+    def replay(state, columns, ends):
+        where, held = hold_replay(state, columns[value].tolist(), threshold)
+        return {**{name: columns[name][where].tolist() for name in order}, "last": held, value: columns[value][where].tolist()}
 
-    alerts, _ = segmented_fold(
-        rows, keys, order, [value], segment, float(start),
-        summarise=lambda arrays: hold_summary(arrays[value].tolist(), threshold),
+    return segmented_fold(
+        numbered(rows, keys, order, segment), keys, [*order, value], float(start),
+        summarise=lambda columns: hold_summary(columns[value].tolist(), threshold),
         resolve=partial(hold_resolve, threshold=threshold),
         replay=replay,
         output=", ".join([f"`{name}` {types[name]}" for name in order] + ["last double", f"`{value}` double"]),
+        rows_per_segment=rows_per_segment,
     )
-    return alerts
 
 
 def rise_alarm(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, wait: str, segment: Column
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, wait: str, segment: Column,
+    rows_per_segment: int = 1 << 16,
 ) -> DataFrame:
     """One ``alarm_ms`` whenever a key's value has risen without a drop for ``wait``.
 
@@ -58,24 +58,23 @@ def rise_alarm(
     timer. Timers still running when the input ends fire.
     """
     time, wait_ms = order[0], millis(wait)
-    previous = scan(df, keys, order, segment, previous={"__last": F.col(value)})
-    moves = previous.withColumn("__step", F.signum(F.col(value) - F.col("__last")).cast("int")).where(
-        F.col("__step") != 0
-    )
+    linked = numbered(df, keys, order, segment, previous={"__last": F.col(value)})
+    step = F.coalesce(F.signum(F.col(value) - F.col("__last")), F.lit(0)).cast("int")
 
-    def replay(state, arrays):
-        fired, _ = rise_replay(state, arrays[time].tolist(), arrays["__step"].tolist(), wait_ms)
+    def replay(state, columns, ends):
+        fired, timer = rise_replay(state, columns[time].tolist(), columns["__step"].tolist(), wait_ms)
+        if ends and timer == timer:
+            fired.append(int(timer))
         return {"alarm_ms": fired}
 
-    fired, final = segmented_fold(
-        moves, keys, order, ["__step"], segment, NONE,
-        summarise=lambda arrays: rise_summary(arrays[time], arrays["__step"], wait_ms),
+    return segmented_fold(
+        linked.withColumn("__step", step), keys, [time, "__step"], NONE,
+        summarise=lambda columns: rise_summary(columns[time], columns["__step"], wait_ms),
         resolve=rise_resolve,
         replay=replay,
         output="alarm_ms long",
+        rows_per_segment=rows_per_segment,
     )
-    running = final.where(F.col("state").isNotNull() & ~F.isnan("state")).select(*keys, F.col("state").cast("long").alias("alarm_ms"))
-    return fired.unionByName(running)
 
 
 def daily_cap(df: DataFrame, keys: Sequence[str], ts: str, arrival: str, cap: int) -> tuple[DataFrame, DataFrame]:

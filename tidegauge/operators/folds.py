@@ -1,15 +1,17 @@
 """Sequential folds per key that still run in parallel within a hot key.
 
-Some detectors change their state in a way no built-in aggregate expresses. Per (key, segment) a
-first pass summarises what the segment does to *any* incoming state; a second pass walks those
-small summaries to get the state each segment starts from; a third pass replays each segment from
-its own start state. Spark partitions, sorts and shuffles; Python sees one bounded segment at a time.
+Some detectors change their state in a way no built-in aggregate expresses. Rows are numbered within
+their key first, and each key is cut into segments of a fixed number of rows, so a task sees a
+bounded group however hot its key is; most keys are one segment. Where a key has more, a first pass
+summarises what each segment does to *any* incoming state and a second one walks those small
+summaries to get the state every segment starts from. The last pass replays each segment from its
+own start state. Spark partitions, sorts and shuffles; Python sees one segment at a time.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Any
 
 import numpy as np
@@ -17,9 +19,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.operators.scans import SEGMENT, SLOT
+from pyspark.sql.types import StringType, StructField, StructType
 
-KEY = "__key"
+from tidegauge.operators.scans import SEGMENT, SLOT, scan
+
+KEY, POSITION, LEFT = "__key", "__position", "__left"
 NONE = float("nan")
 
 # what a segment does to a state: (positions, outcomes), in the order they are tried
@@ -55,23 +59,37 @@ def _groups(frames: Iterator[pd.DataFrame], by: Sequence[str]) -> Iterator[list[
         yield [{name: held[name].to_numpy() for name in held.columns}]
 
 
+def numbered(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column, previous: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Add what ``segmented_fold`` needs: the row's position in its key and the rows left after it."""
+    one = F.lit(1).cast("long")
+    return scan(
+        df, keys, order, segment, upto={POSITION: ("sum", one)}, after={LEFT: ("sum", one)}, previous=previous
+    ).fillna(0, [LEFT])
+
+
 def segmented_fold(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str],
     values: Sequence[str],
-    segment: Column,
     initial: float,
     summarise: Callable[[Arrays], Summary],
     resolve: Callable[[Summary, float], float],
-    replay: Callable[[float, Arrays], dict[str, Any]],
+    replay: Callable[[float, Arrays, bool], dict[str, Any]],
     output: str,
-) -> tuple[DataFrame, DataFrame]:
-    """(rows produced by ``replay``, final state per key). The state is one double; NaN means none."""
-    columns = list(dict.fromkeys([*order, *values]))
+    rows_per_segment: int = 1 << 16,
+) -> DataFrame:
+    """Rows produced by ``replay(state, columns, whether the key ends here)`` over ``numbered`` rows.
+
+    The state is one double; NaN means none.
+    """
     rows = df.select(
-        F.to_json(F.struct(*keys)).alias(KEY), segment.alias(SEGMENT), F.lit(1).alias(SLOT), *columns
+        F.to_json(F.struct(*keys)).alias(KEY),
+        F.expr(f"({POSITION} - 1) div {rows_per_segment}").alias(SEGMENT),
+        F.lit(1).alias(SLOT), POSITION, LEFT, *values,
     )
+    goes_on = F.col(SEGMENT) < F.expr(f"({POSITION} + {LEFT} - 1) div {rows_per_segment}")
 
     def summaries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for groups in _groups(frames, [KEY, SEGMENT]):
@@ -89,49 +107,40 @@ def segmented_fold(
             for group in groups:
                 key, state = group[KEY][0], initial
                 for number, at, out in zip(group[SEGMENT].tolist(), group["at"], group["out"]):
-                    found.append((key, number, False, state))
                     state = resolve((at, out), state)
-                found.append((key, -1, True, state))
-            yield pd.DataFrame(found, columns=[KEY, SEGMENT, "last", "state"])
+                    found.append((key, number + 1, state))
+            yield pd.DataFrame(found, columns=[KEY, SEGMENT, "state"])
 
     def produce(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for groups in _groups(frames, [KEY, SEGMENT]):
-            found = []
+            made: list[tuple] = []
             for group in groups:
-                state = initial
+                state, key = initial, group[KEY][0]
                 if group[SLOT][0] == 0:
                     state = float(group["state"][0])
-                    group = {name: values[1:] for name, values in group.items()}
-                rows_out = replay(state, group)
-                if len(next(iter(rows_out.values()))):
-                    found.append(pd.DataFrame({KEY: group[KEY][0], **rows_out}))
-            if found:
-                yield pd.concat(found, ignore_index=True)
+                    group = {name: cells[1:] for name, cells in group.items()}
+                made.extend((key, *row) for row in zip(*replay(state, group, bool(group[LEFT][-1] == 0)).values()))
+            if made:
+                yield pd.DataFrame(made, columns=[KEY, *names])
 
     def arranged(frame: DataFrame, by: Sequence[str], *sort: str) -> DataFrame:
         return frame.repartition(*by).sortWithinPartitions(*by, *sort)
 
-    summary = arranged(rows, [KEY, SEGMENT], *order).mapInPandas(
+    summary = arranged(rows.where(goes_on), [KEY, SEGMENT], POSITION).mapInPandas(
         summaries, f"{KEY} string, {SEGMENT} long, at array<double>, out array<double>"
     )
-    states = arranged(summary, [KEY], SEGMENT).mapInPandas(
-        starts, f"{KEY} string, {SEGMENT} long, last boolean, state double"
+    states = arranged(summary, [KEY], SEGMENT).mapInPandas(starts, f"{KEY} string, {SEGMENT} long, state double")
+    # a state row goes first in its segment; zeros keep its other columns' types in pandas
+    together = rows.unionByName(states.withColumn(SLOT, F.lit(0)), allowMissingColumns=True).fillna(
+        0, [POSITION, LEFT, *values]
+    )
+    schema = StructType.fromDDL(output)
+    names = schema.names
+    found = arranged(together, [KEY, SEGMENT], SLOT, POSITION).mapInPandas(
+        produce, StructType([StructField(KEY, StringType()), *schema.fields])
     )
-    # only a state other than the initial one needs to travel to its segment; Arrow turns NaN to NULL
-    known = F.coalesce("state", F.lit(NONE))
-    changed = states.where(~F.col("last") & (known != F.lit(initial)))
-    inherited = changed.select(KEY, SEGMENT, F.lit(0).alias(SLOT), "state")
-    together = rows.unionByName(inherited, allowMissingColumns=True)
-    # state rows carry no values; zeros keep the columns' types in pandas
-    together = together.fillna(0, subset=columns)
-    found = arranged(together, [KEY, SEGMENT], SLOT, *order).mapInPandas(produce, f"{KEY} string, {output}")
     key_schema = df.select(*keys).schema
-
-    def with_keys(frame: DataFrame) -> DataFrame:
-        unpacked = frame.withColumn(KEY, F.from_json(KEY, key_schema))
-        return unpacked.select(f"{KEY}.*", *[c for c in frame.columns if c != KEY])
-
-    return with_keys(found), with_keys(states.where("last").drop(SEGMENT, "last"))
+    return found.withColumn(KEY, F.from_json(KEY, key_schema)).select(f"{KEY}.*", *names)
 
 
 # --- state: the reference value that moves only when a row does not alert -----------------------
@@ -190,7 +199,7 @@ def rise_replay(timer: float, times: Sequence[int], steps: Sequence[int], wait:
             timer = NONE
         if step < 0:
             timer = NONE
-        elif timer != timer:
+        elif step > 0 and timer != timer:
             timer = time + wait
     return fired, timer
 
@@ -198,11 +207,14 @@ def rise_replay(timer: float, times: Sequence[int], steps: Sequence[int], wait:
 def rise_summary(times: Sequence[int], steps: Sequence[int], wait: int) -> Summary:
     """After a drop the outcome no longer depends on the incoming timer. Without one, the first
     rise at or after that timer starts the next; rises with one outcome are one entry."""
-    drops = np.flatnonzero(np.asarray(steps) < 0)
+    times, steps = np.asarray(times), np.asarray(steps)
+    drops = np.flatnonzero(steps < 0)
     if len(drops):
         _, timer = rise_replay(NONE, times[drops[-1]:], steps[drops[-1]:], wait)
         return [float("inf")], [timer]
-    rises = np.asarray(times, dtype=float)
+    rises = times[steps > 0].astype(float)
+    if not len(rises):
+        return [], []
     following = np.searchsorted(rises, rises + wait, side="left")
     outcome = rises + wait
     for index in range(len(rises) - 1, -1, -1):

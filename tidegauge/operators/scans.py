@@ -82,30 +82,31 @@ def scan(
         ],
     )
     across = Window.partitionBy(*keys).orderBy(SEGMENT)
+    types = dict(summary.dtypes)
 
-    def inherited(parts: set[str], slot: int) -> DataFrame | None:
+    def inherited(parts: set[str], slot: int) -> Column | None:
+        """The extra row at one end of a segment, as a struct; NULL where nothing is inherited."""
+        earlier = slot == 0
         span = (
             across.rowsBetween(Window.unboundedPreceding, -1)
-            if slot == 0
+            if earlier
             else across.rowsBetween(1, Window.unboundedFollowing)
         )
-        step = F.lag if slot == 0 else F.lead
-        columns = [
-            combine(temp).over(span).alias(temp)
-            for temp, (part, _, combine, _) in folds.items()
-            if part in parts
-        ] + [step(temp).over(across).alias(temp) for temp, (part, _, _) in picks.items() if part in parts]
-        if not columns:
+        step = F.lag if earlier else F.lead
+        values = {temp: combine(temp).over(span) for temp, (part, _, combine, _) in folds.items() if part in parts}
+        values |= {temp: step(temp).over(across) for temp, (part, _, _) in picks.items() if part in parts}
+        if not values:
             return None
-        linked = summary.select(
-            *keys, SEGMENT, F.lit(slot).alias(SLOT), step(SEGMENT).over(across).alias("__linked"), *columns
-        )
-        return linked.where(F.col("__linked").isNotNull()).drop("__linked")
+        cells = [values.get(temp, F.lit(None).cast(types[temp])).alias(temp) for temp in inputs]
+        return F.when(step(SEGMENT).over(across).isNotNull(), F.struct(F.lit(slot).alias(SLOT), *cells))
 
-    together = rows
-    for extra in (inherited({"upto", "before", "previous"}, 0), inherited({"after", "following"}, 2)):
-        if extra is not None:
-            together = together.unionByName(extra, allowMissingColumns=True)
+    ends = [inherited({"upto", "before", "previous"}, 0), inherited({"after", "following"}, 2)]
+    ended = summary.select(
+        *keys, SEGMENT, *[end.alias(f"__end{place}") for place, end in enumerate(ends) if end is not None]
+    )
+    found = F.array_compact(F.array(*[name for name in ended.columns if name.startswith("__end")]))
+    extra = ended.select(*keys, SEGMENT, F.explode(found).alias("end")).select(*keys, SEGMENT, "end.*")
+    together = rows.unionByName(extra, allowMissingColumns=True)
 
     local = Window.partitionBy(*keys, SEGMENT).orderBy(SLOT, *order)
     spans = {

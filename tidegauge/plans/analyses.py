@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions.text import non_word_tokens, space_tokens
+from tidegauge.functions.text import non_word_tokens, space_tokens, words
 from tidegauge.operators import alerts, lateness, patterns, reconcile, topn, windows
 from tidegauge.operators.aggregates import count_rows
 from tidegauge.operators.scans import by_time
@@ -102,18 +102,13 @@ def station_calls(
     return lateness.late_changelog(seen, ts_ms, arrival, size, every, late, [station]), too_late
 
 
-def words(df: DataFrame, line: str, by_space: bool, *kept: str) -> DataFrame:
-    """One row per word."""
-    tokens = space_tokens(line) if by_space else non_word_tokens(line)
-    return df.select(*kept, F.explode(tokens).alias("word"))
-
-
 def word_counts(df: DataFrame, line: str, by_space: bool = False) -> DataFrame:
-    return words(df, line, by_space).groupBy("word").agg(count_rows())
+    tokens = space_tokens(line) if by_space else non_word_tokens(line)
+    return words(df, tokens).groupBy("word").agg(count_rows())
 
 
 def windowed_word_counts(df: DataFrame, line: str, ts: str, size: str = "3 seconds") -> DataFrame:
-    return windows.tumble(words(df, line, True, ts), ts, size, count_rows(), keys=["word"])
+    return windows.tumble(words(df, space_tokens(line), ts), ts, size, count_rows(), keys=["word"])
 
 
 def edit_volume(edits: DataFrame, user: str, amount: str, ts: str, size: str = "5 seconds") -> DataFrame:

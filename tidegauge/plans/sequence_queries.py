@@ -211,7 +211,7 @@ ORDERED_SQL = f"""
 def jump_alert_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = events(spark, sf_dir).select("user_id", "ms", "event_id", "value")
     return alerts.jump_alert_hold(
-        rows, ["user_id"], ["ms", "event_id"], "value", 50, by_time("ms", 10 * 60_000)
+        rows, ["user_id"], ["ms", "event_id"], "value", 50, by_time("ms")
     ).select("user_id", "event_id", "last", "value")
 
 
@@ -232,7 +232,7 @@ def jump_alert_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT user_id, timer FROM s WHERE timer IS NOT NULL AND rn = (SELECT max(rn) FROM o WHERE o.user_id = s.user_id)""")
 def rise_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = events(spark, sf_dir).select("user_id", "ms", "event_id", "value")
-    return alerts.rise_alarm(rows, ["user_id"], ["ms", "event_id"], "value", "12 hours", by_time("ms", 10 * 60_000))
+    return alerts.rise_alarm(rows, ["user_id"], ["ms", "event_id"], "value", "12 hours", by_time("ms"))
 
 
 CAPPED_SQL = f"""
