@@ -206,22 +206,22 @@ def rise_replay(timer: float, times: Sequence[int], steps: Sequence[int], wait:
 
 def rise_summary(times: Sequence[int], steps: Sequence[int], wait: int) -> Summary:
     """After a drop the outcome no longer depends on the incoming timer. Without one, the first
-    rise at or after that timer starts the next; rises with one outcome are one entry."""
+    rise at or after that timer starts the next; rises with one outcome are one entry. The last row
+    of any kind sees every timer up to its time fired."""
     times, steps = np.asarray(times), np.asarray(steps)
     drops = np.flatnonzero(steps < 0)
     if len(drops):
         _, timer = rise_replay(NONE, times[drops[-1]:], steps[drops[-1]:], wait)
         return [float("inf")], [timer]
-    rises = times[steps > 0].astype(float)
-    if not len(rises):
-        return [], []
+    rises, end = times[steps > 0].astype(float), float(times[-1])
     following = np.searchsorted(rises, rises + wait, side="left")
     outcome = rises + wait
     for index in range(len(rises) - 1, -1, -1):
         if following[index] < len(rises):
             outcome[index] = outcome[following[index]]
-    last = np.append(outcome[1:] != outcome[:-1], True)
-    return rises[last].tolist(), outcome[last].tolist()
+    outcome[outcome <= end] = NONE
+    last = np.append(outcome[1:] != outcome[:-1], True)[: len(rises)]
+    return [*rises[last].tolist(), end], [*outcome[last].tolist(), NONE]
 
 
 def rise_resolve(summary: Summary, timer: float) -> float:

@@ -13,28 +13,24 @@ BUCKET_FORMAT = "yyyy-MM-dd--HH"
 
 
 def delimited(reader, path: str, schema: StructType, sep: str = ",") -> tuple[DataFrame, DataFrame]:
-    """(records, rejected rows) of delimited text with a fixed schema.
+    """(records, rejected lines) of delimited text with a fixed schema.
 
-    A row that does not fit the schema goes to the second output with its text instead of failing
-    the job. All columns are always parsed, so the same rows are rejected whatever is selected.
+    A line that does not fit the schema goes to the second output instead of failing the job. Every
+    line is parsed whole, so the same lines are rejected whatever columns are selected.
     """
     full = StructType([*schema.fields, StructField(REJECTED, StringType())])
-    rows = (
-        reader.schema(full)
-        .option("sep", sep)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", REJECTED)
-        .option("columnPruning", "false")
-        .option("ignoreLeadingWhiteSpace", "true")
-        .option("ignoreTrailingWhiteSpace", "true")
-        .option("emptyValue", "")
-        .csv(path)
-    )
-    good = rows.where(F.col(REJECTED).isNull()).drop(REJECTED)
+    options = {
+        "sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED,
+        "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
+    }
+    rows = reader.text(path).where(F.trim("value") != "").select(F.from_csv("value", full.toDDL(), options).alias("row"))
     # an empty text field means "missing" and stays an empty string
-    texts = [f.name for f in schema.fields if isinstance(f.dataType, StringType)]
-    good = good.withColumns({name: F.coalesce(name, F.lit("")) for name in texts}) if texts else good
-    return good, rows.where(F.col(REJECTED).isNotNull())
+    fields = [
+        (F.coalesce(cell, F.lit("")) if isinstance(field.dataType, StringType) else cell).alias(field.name)
+        for field, cell in ((field, F.col("row")[field.name]) for field in schema.fields)
+    ]
+    rejected = F.col("row")[REJECTED]
+    return rows.where(rejected.isNull()).select(*fields), rows.where(rejected.isNotNull()).select(rejected.alias(REJECTED))
 
 
 def access_log(lines: DataFrame, line: str = "value") -> DataFrame:
