@@ -23,13 +23,15 @@ from tidegauge.streaming.run import (
 )
 
 HOUR_MS = 3_600_000
+FILES_PER_TRIGGER = 200  # bounds a micro-batch, and with it what a processor holds of one key
 ROW = "ms long, event_id long, value double, kind int"
 
 
 def event_stream(spark: SparkSession, sf_dir: str, folder: str) -> tuple[DataFrame, EndOfInput]:
     """The events table as a stream, followed by its end marker (a row without ``event_id``)."""
     schema = table(spark, sf_dir, "events").schema
-    files = file_stream(spark, sf_dir, schema, options={"pathGlobFilter": "events.parquet"})
+    # given as a pattern, the table may be one file or a folder of files
+    files = file_stream(spark, f"{sf_dir}/{{events.parquet}}", schema, files_per_trigger=FILES_PER_TRIGGER)
     end = EndOfInput(spark, folder, schema)
     return typed_events(end.follow(files)), end
 
