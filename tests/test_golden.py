@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidegauge.operators import alerts, patterns, reconcile, windows
+from tidegauge.operators import alerts, patterns, reconcile, scans, windows
 from tidegauge.operators.aggregates import extreme
 from tidegauge.operators.scans import by_rows, by_time
 from tidegauge.plans import analyses
@@ -12,6 +13,13 @@ from tidegauge.sources import access_log, key_value_lines
 from tidegauge.sources.schemas import FEEDBACK
 
 
+@pytest.fixture(autouse=True, params=[0, 1 << 70])
+def split_or_not(request, monkeypatch):
+    """Once with every key split into segments, once as the plain windows of small inputs."""
+    monkeypatch.setattr(scans, "SMALL_BYTES", request.param)
+    monkeypatch.setattr(scans, "HOT_ROWS", 0)
+
+
 def rows_of(df, *columns):
     return sorted(map(tuple, (df.select(*columns) if columns else df).collect()), key=repr)
 

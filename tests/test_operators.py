@@ -8,13 +8,19 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidegauge.operators import distinct, lateness, routing, windows
+from tidegauge.operators import distinct, lateness, routing, scans, windows
 from tidegauge.operators.aggregates import count_rows
 from tidegauge.sources import delimited, queue_options, write_delimited
 from tidegauge.sources.queue import decode_messages
 from tidegauge.sources.schemas import ORDER
 
 
+@pytest.fixture(autouse=True)
+def every_key_is_hot(monkeypatch):
+    monkeypatch.setattr(scans, "SMALL_BYTES", 0)
+    monkeypatch.setattr(scans, "HOT_ROWS", 0)
+
+
 def rows_of(df, *columns):
     return sorted(map(tuple, (df.select(*columns) if columns else df).collect()), key=repr)
 

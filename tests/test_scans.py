@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidegauge.operators import alerts, folds
+from tidegauge.operators import alerts, folds, scans
 from tidegauge.operators.scans import by_rows, by_time, scan
 
 
@@ -26,6 +26,12 @@ def skewed(rows: int = 600, seed: int = 7) -> pd.DataFrame:
     return pd.DataFrame(data, columns=["id", "key", "ms", "value"])
 
 
+@pytest.fixture(autouse=True)
+def every_key_is_hot(monkeypatch):
+    monkeypatch.setattr(scans, "SMALL_BYTES", 0)
+    monkeypatch.setattr(scans, "HOT_ROWS", 0)
+
+
 @pytest.fixture(scope="module")
 def table(spark):
     pdf = skewed()
@@ -40,8 +46,10 @@ def rows_of(df):
 
 
 @pytest.mark.parametrize("keys", [["key"], []])
+@pytest.mark.parametrize("hot_rows", [0, 150, 10_000])
 @pytest.mark.parametrize("width", [1, 700, 10_000_000])
-def test_scan_equals_plain_windows(table, keys, width):
+def test_scan_equals_plain_windows(table, keys, width, hot_rows, monkeypatch):
+    monkeypatch.setattr(scans, "HOT_ROWS", hot_rows)  # 150: only the key with a third of the rows
     plain = Window.partitionBy(*keys).orderBy("ms", "id")
     upto, before = plain.rowsBetween(Window.unboundedPreceding, 0), plain.rowsBetween(Window.unboundedPreceding, -1)
     after = plain.rowsBetween(1, Window.unboundedFollowing)
@@ -65,6 +73,18 @@ def test_scan_by_row_segments(table):
     assert rows_of(got.select("id", "n")) == rows_of(expected)
 
 
+def test_hot_keys_are_found(table, monkeypatch):
+    monkeypatch.setattr(scans, "HOT_ROWS", 150)
+    hot = table.select(F.xxhash64(F.lit("hot"))).first()[0]
+    assert scans.hot_keys(table, ["key"]) == [hot]
+    # without the hot key among them, or for a small input, the plan is the plain window
+    for limit, small in ((10_000, 0), (150, 1 << 70)):
+        monkeypatch.setattr(scans, "HOT_ROWS", limit)
+        monkeypatch.setattr(scans, "SMALL_BYTES", small)
+        plan = scan(table, ["key"], ["id"], by_rows("id", 16), previous={"p": F.col("value")})
+        assert "Union" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_scan_never_groups_rows_by_key_alone(table):
     """Only the segment summaries meet per key; rows are shuffled by key and segment."""
     got = scan(table, [], ["ms", "id"], by_time("ms", 100), upto={"s": ("sum", F.col("value"))})

@@ -1,16 +1,18 @@
-"""Ordered scans per key that never need all rows of a key in one task.
+"""Ordered scans per key that never need all rows of a hot key in one task.
 
-``Window.partitionBy(key).orderBy(t)`` hands every row of a key to one task, which fails when a
-single key holds a large share of the table. ``scan`` cuts the order axis of each key into
-segments instead:
+``Window.partitionBy(key).orderBy(t)`` hands every row of a key to one task. That is the cheapest
+plan while keys are small, and fails when one key holds a large share of the table. ``scan`` uses it
+for keys that are small and cuts the order axis of the others into segments:
 
 1. rows are windowed per (key, segment), so a hot key spreads over as many tasks as it has segments;
-2. one small row per (key, segment) is aggregated with map-side combine, and a window over those
+2. one small row per hot (key, segment) is aggregated with map-side combine, and a window over those
    small rows gives what each segment inherits from the earlier or later ones;
 3. the inherited row joins its segment by union, as one extra first (or last) row, so step 1's
-   window sees it like any other row. There is no join and the wide rows are shuffled once.
+   window sees it like any other row. There is no join and the rows are shuffled once.
 
-A key that lives in a single segment inherits nothing and gets no extra row.
+Which keys are hot is measured: a frequent-items sketch over a hash of the key, one pass that keeps
+constant memory and shuffles only the sketches. It is skipped where the plan's size estimate shows
+that the whole input fits a few tasks.
 """
 
 from __future__ import annotations
@@ -23,7 +25,12 @@ from pyspark.sql import functions as F
 SEGMENT = "__segment"
 SLOT = "__slot"
 ROWS_PER_SEGMENT = 1 << 20
-MS_PER_SEGMENT = 60_000
+MS_PER_SEGMENT = 1_000
+
+SMALL_BYTES = 64 << 20  # inputs up to this size are never split
+HOT_ROWS = 1 << 24  # a key with more rows than this is split
+MOST_HOT_KEYS = 4096  # with SKETCH_ITEMS bounds the sketch, and with it what comes to the driver
+SKETCH_ITEMS = 1 << 16
 
 _COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
 
@@ -40,6 +47,38 @@ def by_time(ms: str, width_ms: int = MS_PER_SEGMENT) -> Column:
     return F.expr(f"`{ms}` div {width_ms}")
 
 
+def estimated_bytes(df: DataFrame) -> float:
+    """The optimizer's size estimate; unknown counts as large."""
+    try:
+        return float(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except AttributeError:
+        return float("inf")
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[int]:
+    """Hashes of the keys with more than HOT_ROWS rows, at most MOST_HOT_KEYS of them.
+
+    The sketch cannot miss a key that holds more than about 0.01 % of all rows. A hash shared with a
+    hot key only makes another key split as well, which changes no result.
+    """
+    sketch = df.agg(
+        F.expr(f"approx_top_k(xxhash64({', '.join(f'`{key}`' for key in keys)}), {MOST_HOT_KEYS}, {SKETCH_ITEMS})").alias("top")
+    )
+    return [row["item"] for row in sketch.select(F.inline("top")).where(F.col("count") > HOT_ROWS).collect()]
+
+
+def _is_split(df: DataFrame, keys: Sequence[str], split: str) -> Column | None:
+    """Which rows to segment: NULL none, else a condition on the key."""
+    if split == "never":
+        return None
+    if split == "always" or not keys:
+        return F.lit(True)
+    if estimated_bytes(df) <= SMALL_BYTES:
+        return None
+    hot = hot_keys(df, keys)
+    return F.xxhash64(*keys).isin(hot) if hot else None
+
+
 def scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -51,6 +90,7 @@ def scan(
     after: Aggregates | None = None,
     previous: Mapping[str, Column] | None = None,
     following: Mapping[str, Column] | None = None,
+    split: str = "hot",
 ) -> DataFrame:
     """Add ordered per-key columns.
 
@@ -58,7 +98,7 @@ def scan(
     ``upto``/``before``/``after`` map a new column to ``(sum|min|max, input)`` over the rows up to
     and with, strictly before, or strictly after the current one. ``previous``/``following`` map a
     new column to an expression taken from the neighbouring row. Without keys the whole table is
-    one sequence.
+    one sequence and always segmented. ``split`` says which keys are segmented: hot, always, never.
     """
     folds = {
         f"__{part}_{name}": (part, name, _COMBINE[kind], value)
@@ -71,10 +111,27 @@ def scan(
         for name, value in (group or {}).items()
     }
     inputs = {temp: spec[-1] for temp, spec in {**folds, **picks}.items()}
-    rows = df.withColumns({SEGMENT: segment, SLOT: F.lit(1), **inputs})
 
+    def results(local: Window) -> dict[str, Column]:
+        spans = {
+            "upto": local.rowsBetween(Window.unboundedPreceding, Window.currentRow),
+            "before": local.rowsBetween(Window.unboundedPreceding, -1),
+            "after": local.rowsBetween(1, Window.unboundedFollowing),
+        }
+        added = {name: combine(temp).over(spans[part]) for temp, (part, name, combine, _) in folds.items()}
+        return added | {
+            name: (F.lag if part == "previous" else F.lead)(temp).over(local)
+            for temp, (part, name, _) in picks.items()
+        }
+
+    is_split = _is_split(df, keys, split)
+    if is_split is None:
+        whole = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumns(inputs).withColumns(results(whole)).drop(*inputs)
+
+    rows = df.withColumns({SEGMENT: F.when(is_split, segment).otherwise(F.lit(0)), SLOT: F.lit(1), **inputs})
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    summary = rows.groupBy(*keys, SEGMENT).agg(
+    summary = rows.where(is_split).groupBy(*keys, SEGMENT).agg(
         *[combine(temp).alias(temp) for temp, (_, _, combine, _) in folds.items()],
         *[
             (F.max_by if part == "previous" else F.min_by)(F.col(temp), position).alias(temp)
@@ -107,16 +164,5 @@ def scan(
     found = F.array_compact(F.array(*[name for name in ended.columns if name.startswith("__end")]))
     extra = ended.select(*keys, SEGMENT, F.explode(found).alias("end")).select(*keys, SEGMENT, "end.*")
     together = rows.unionByName(extra, allowMissingColumns=True)
-
     local = Window.partitionBy(*keys, SEGMENT).orderBy(SLOT, *order)
-    spans = {
-        "upto": local.rowsBetween(Window.unboundedPreceding, Window.currentRow),
-        "before": local.rowsBetween(Window.unboundedPreceding, -1),
-        "after": local.rowsBetween(1, Window.unboundedFollowing),
-    }
-    results = {name: combine(temp).over(spans[part]) for temp, (part, name, combine, _) in folds.items()}
-    results |= {
-        name: (F.lag if part == "previous" else F.lead)(temp).over(local)
-        for temp, (part, name, _) in picks.items()
-    }
-    return together.withColumns(results).where(F.col(SLOT) == 1).drop(SEGMENT, SLOT, *inputs)
+    return together.withColumns(results(local)).where(F.col(SLOT) == 1).drop(SEGMENT, SLOT, *inputs)

@@ -26,6 +26,11 @@ def slide(df: DataFrame, ts: str, size: str, every: str, *aggs: Column, keys: Se
     return window_ms(df.groupBy(*keys, F.window(ts, size, every)).agg(*aggs))
 
 
+def _ms(df: DataFrame, ts: str) -> Column:
+    """The time column in ms, whether it is a timestamp or in ms already."""
+    return F.col(ts) if df.schema[ts].dataType.typeName() == "long" else epoch_ms(ts)
+
+
 def _checked(size: str, every: str) -> tuple[int, int]:
     size_ms, every_ms = millis(size), millis(every)
     if size_ms % every_ms:
@@ -40,7 +45,7 @@ def slide_panes(
     """Sliding ``sum``/``min``/``max`` by panes: rows are aggregated into slide-sized panes first,
     and only pane rows are copied into their size/every windows."""
     size_ms, every_ms = _checked(size, every)
-    panes = df.groupBy(*keys, floor_to(epoch_ms(ts), every_ms).alias("pane_ms")).agg(
+    panes = df.groupBy(*keys, floor_to(_ms(df, ts), every_ms).alias("pane_ms")).agg(
         *[_MERGE[kind](value).alias(name) for name, (kind, value) in parts.items()]
     )
     starts = F.sequence(
@@ -71,7 +76,7 @@ def slide_counts(
         if df.select(value.alias(label)).schema[label].dataType.typeName() in ("float", "double"):
             raise ValueError(f"{label}: sums over sliding steps need an integer or decimal type")
     measures = [name, *sums]
-    panes = df.groupBy(*keys, floor_to(epoch_ms(ts), every_ms).alias("pane_ms")).agg(
+    panes = df.groupBy(*keys, floor_to(_ms(df, ts), every_ms).alias("pane_ms")).agg(
         F.count(F.lit(1)).alias(name), *[F.sum(value).alias(label) for label, value in sums.items()]
     )
 
@@ -91,6 +96,8 @@ def slide_counts(
         steps, keys, ["tick_ms"], F.expr(f"tick_ms div {every_ms * segment_ticks}"),
         upto={m: ("sum", F.col(f"step_{m}")) for m in measures},
         following={"next_ms": F.col("tick_ms")},
+        # a key has at most two steps per slide of the time span, however many rows it has
+        split="never" if keys else "always",
     )
     windows = F.sequence(
         F.col("tick_ms"), F.col("next_ms") - F.lit(every_ms), F.lit(every_ms).cast("long")
