@@ -37,8 +37,10 @@ def log(spark):
     return df.withColumn("ts", F.timestamp_millis("ms")).repartition(6).cache()
 
 
+@pytest.mark.parametrize("few", [0, 16])
 @pytest.mark.parametrize("keys", [[], ["key"]])
-def test_three_sliding_forms_agree(log, keys):
+def test_three_sliding_forms_agree(log, keys, few, monkeypatch):
+    monkeypatch.setattr(windows, "FEW_WINDOWS", few)
     columns = [*keys, "window_start_ms", "window_end_ms", "n", "total"]
     direct = windows.slide(log, "ts", "1 hour", "5 minutes", count_rows(), F.sum("v").alias("total"), keys=keys)
     panes = windows.slide_panes(
@@ -82,8 +84,10 @@ def replayed(rows, size, every, disorder, late):
     return kept, dropped, counts, changes
 
 
-@pytest.mark.parametrize("per_segment", [13, 1 << 20])
-def test_late_rows_like_one_machine(log, per_segment):
+@pytest.mark.parametrize("per_segment, few", [(13, 0), (1 << 20, 16)])
+def test_late_rows_like_one_machine(log, per_segment, few, monkeypatch):
+    monkeypatch.setattr(lateness, "FEW_WINDOWS", few)
+    monkeypatch.setattr(windows, "FEW_WINDOWS", few)
     size, every, disorder, late = 120_000, 60_000, 20_000, 60_000
     rows = [tuple(r) for r in log.orderBy("seq").select("seq", "key", "ms").collect()]
     kept, dropped, counts, changes = replayed(rows, size, every, disorder, late)

@@ -9,11 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.times import floor_to, millis
 from tidegauge.operators.scans import ROWS_PER_SEGMENT, by_rows, scan
+from tidegauge.operators.windows import slide_counts
+
+FEW_WINDOWS = 4
 
 
 def arrival_watermark(
@@ -51,12 +54,34 @@ def open_windows(df: DataFrame, ts_ms: str, size: str, every: str, lateness: str
     return in_windows.where(~F.coalesce(closed, F.lit(False)))
 
 
+def _open_pairs(
+    df: DataFrame, ts_ms: str, size: str, every: str, lateness: str, keys: Sequence[str], name: str, margin: int
+) -> tuple[DataFrame, DataFrame]:
+    """(counts per key and window, single row-window pairs), together all open pairs once.
+
+    A row whose watermark is still more than ``-margin`` ms before its first window's end has all
+    its pairs in the counts. Those, usually nearly all rows, are counted by panes without being
+    copied into their windows. Only the other rows become single pairs.
+    """
+    every_ms = millis(every)
+    first_end = floor_to(F.col(ts_ms), every_ms) + F.lit(every_ms)
+    in_all = F.coalesce(F.col("wm_before") < first_end - 1 + F.lit(margin), F.lit(True))
+    if millis(size) <= FEW_WINDOWS * every_ms:
+        in_all = F.lit(False)  # copying a row a few times is cheaper than the extra shuffles
+    return (
+        slide_counts(df.where(in_all), ts_ms, size, every, keys, name),
+        open_windows(df.where(~in_all), ts_ms, size, every, lateness),
+    )
+
+
 def late_window_counts(
     df: DataFrame, ts_ms: str, size: str, every: str, lateness: str, keys: Sequence[str], name: str = "n"
 ) -> DataFrame:
     """Final count per (key, window) after all accepted late rows: the last of its firings."""
-    rows = open_windows(df, ts_ms, size, every, lateness)
-    return rows.groupBy(*keys, "window_start_ms", "window_end_ms").agg(F.count(F.lit(1)).alias(name))
+    counts, pairs = _open_pairs(df, ts_ms, size, every, lateness, keys, name, millis(lateness))
+    columns = [*keys, "window_start_ms", "window_end_ms"]
+    together = counts.select(*columns, name).unionByName(pairs.select(*columns, F.lit(1).cast("long").alias(name)))
+    return together.groupBy(*columns).agg(F.sum(name).alias(name))
 
 
 def late_changelog(
@@ -67,37 +92,41 @@ def late_changelog(
 
     A window fires when the watermark reaches its end; its rows so far give one result. Each later
     accepted row gives one more. The first result of a window that never fires before the input
-    ends has a NULL arrival number.
+    ends has a NULL arrival number. Arrival numbers are not negative.
     """
     every_ms = millis(every)
     sequence = arrival[0]
     window = ["window_start_ms", "window_end_ms"]
-    rows = open_windows(df, ts_ms, size, every, lateness).withColumn(
-        "__refire", F.coalesce(F.col("wm_before") >= F.col("window_end_ms") - 1, F.lit(False))
+
+    # one entry at arrival -1 for what came before the firing, one for each row after it
+    counts, pairs = _open_pairs(df, ts_ms, size, every, lateness, keys, name, 0)
+    refires = F.col("wm_before") >= F.col("window_end_ms") - 1
+    before = F.lit(-1).cast("long")
+    entries = (
+        counts.select(*keys, *window, *[before.alias(column) for column in arrival], name)
+        .unionByName(pairs.select(
+            *keys, *window, *[F.when(refires, F.col(column)).otherwise(before).alias(column) for column in arrival],
+            F.lit(1).cast("long").alias(name),
+        ))
+        .groupBy(*keys, *window, *arrival).agg(F.sum(name).alias("__step"))
+    )
+    results = scan(
+        entries, [*keys, *window], arrival, by_rows(sequence, rows_per_segment), upto={name: ("sum", F.col("__step"))}
     )
-    on_time = rows.where(~F.col("__refire")).groupBy(*keys, *window).agg(F.count(F.lit(1)).alias(name))
 
     # a row that lifts the watermark fires the window ends it passes: one row per window end
     first_end = floor_to(F.col("wm_before") + 1, every_ms) + F.lit(every_ms)
     last_end = floor_to(F.col("wm_after") + 1, every_ms)
     fired = (
-        df.where(F.col("wm_after") > F.col("wm_before"))
-        .where(first_end <= last_end)
+        df.where((F.col("wm_after") > F.col("wm_before")) & (first_end <= last_end))
         .select(
-            F.explode(F.sequence(first_end, last_end, F.lit(every_ms).cast("long"))).alias("window_end_ms"),
-            F.col(sequence),
+            F.explode(F.sequence(first_end, last_end, F.lit(every_ms).cast("long"))).alias("__fired_end"),
+            F.col(sequence).alias("__fired_at"),
         )
     )
-    first_results = on_time.join(fired, "window_end_ms", "left")
-
-    # accepted after the firing: continue counting from the on-time count, in arrival order
-    late = rows.where("__refire").select(*keys, *window, *arrival, F.lit(1).cast("long").alias("__step"))
-    base = on_time.withColumnRenamed(name, "__step").withColumns(
-        {column: F.lit(-1).cast("long") for column in arrival}
+    is_first = F.col(sequence) == -1
+    return (
+        results.join(fired, is_first & (F.col("window_end_ms") == F.col("__fired_end")), "left")
+        .withColumn(sequence, F.when(is_first, F.col("__fired_at")).otherwise(F.col(sequence)))
+        .select(*keys, *window, sequence, name)
     )
-    refired = scan(
-        late.unionByName(base), [*keys, *window], arrival, by_rows(sequence, rows_per_segment),
-        upto={name: ("sum", F.col("__step"))},
-    ).where(F.col(sequence) >= 0)
-    columns = [*keys, *window, sequence, name]
-    return first_results.select(*columns).unionByName(refired.select(*columns))

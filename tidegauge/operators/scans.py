@@ -22,12 +22,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.session import SMALL_BYTES, estimated_bytes
+
 SEGMENT = "__segment"
 SLOT = "__slot"
 ROWS_PER_SEGMENT = 1 << 20
 MS_PER_SEGMENT = 1_000
 
-SMALL_BYTES = 64 << 20  # inputs up to this size are never split
 HOT_ROWS = 1 << 24  # a key with more rows than this is split
 MOST_HOT_KEYS = 4096  # with SKETCH_ITEMS bounds the sketch, and with it what comes to the driver
 SKETCH_ITEMS = 1 << 16
@@ -47,14 +48,6 @@ def by_time(ms: str, width_ms: int = MS_PER_SEGMENT) -> Column:
     return F.expr(f"`{ms}` div {width_ms}")
 
 
-def estimated_bytes(df: DataFrame) -> float:
-    """The optimizer's size estimate; unknown counts as large."""
-    try:
-        return float(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except AttributeError:
-        return float("inf")
-
-
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[int]:
     """Hashes of the keys with more than HOT_ROWS rows, at most MOST_HOT_KEYS of them.
 

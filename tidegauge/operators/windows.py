@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tidegauge.functions.times import epoch_ms, floor_to, millis, window_ms
 from tidegauge.operators.scans import ROWS_PER_SEGMENT, by_rows, scan
 
+# Up to this many windows per row, copying panes is cheaper than one more shuffle.
+FEW_WINDOWS = 16
+
 _MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
@@ -65,6 +68,8 @@ def slide_counts(
 ) -> DataFrame:
     """Sliding row counts (and sums of exact types) whose cost does not grow with size/every.
 
+    Up to FEW_WINDOWS windows per row it is ``slide_panes``. Beyond:
+
     A pane adds its count at the first window that covers it and takes it away again behind the
     last one. A running sum over those two steps per pane is the count of every window, and the
     windows between two steps share it. So the work is panes plus output rows, where copying panes
@@ -75,6 +80,9 @@ def slide_counts(
     for label, value in sums.items():
         if df.select(value.alias(label)).schema[label].dataType.typeName() in ("float", "double"):
             raise ValueError(f"{label}: sums over sliding steps need an integer or decimal type")
+    if size_ms <= FEW_WINDOWS * every_ms:
+        parts = {name: ("sum", F.lit(1).cast("long")), **{label: ("sum", value) for label, value in sums.items()}}
+        return slide_panes(df, ts, size, every, parts, keys)
     measures = [name, *sums]
     panes = df.groupBy(*keys, floor_to(_ms(df, ts), every_ms).alias("pane_ms")).agg(
         F.count(F.lit(1)).alias(name), *[F.sum(value).alias(label) for label, value in sums.items()]

@@ -11,6 +11,7 @@ from tidegauge.functions.text import non_word_tokens, space_tokens, words
 from tidegauge.operators import alerts, lateness, patterns, reconcile, topn, windows
 from tidegauge.operators.aggregates import count_rows
 from tidegauge.operators.scans import by_time
+from tidegauge.session import reused
 
 
 def page_views(df: DataFrame, viewed: Column, ts: str = "ts", size: str = "1 hour") -> DataFrame:
@@ -39,7 +40,7 @@ def hot_pages(
     disorder: str = "1 second", late: str = "60 seconds", n: int = 5,
 ) -> DataFrame:
     """The ``n`` most requested pages per sliding window, after the accepted late rows."""
-    seen = lateness.arrival_watermark(log, ts_ms, arrival, disorder)
+    seen = reused(lateness.arrival_watermark(log, ts_ms, arrival, disorder))
     counts = lateness.late_window_counts(seen, ts_ms, size, every, late, [url])
     return topn.top_n(counts, ["window_end_ms"], "n", [url], n)
 
@@ -97,7 +98,7 @@ def station_calls(
     disorder: str = "2 seconds", late: str = "4 seconds",
 ) -> tuple[DataFrame, DataFrame]:
     """(every result per station and window, rows too late for all their windows)."""
-    seen = lateness.arrival_watermark(log, ts_ms, arrival, disorder)
+    seen = reused(lateness.arrival_watermark(log, ts_ms, arrival, disorder))
     _, too_late = lateness.late_split(seen, ts_ms, size, every, late)
     return lateness.late_changelog(seen, ts_ms, arrival, size, every, late, [station]), too_late
 

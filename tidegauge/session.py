@@ -4,7 +4,17 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+SMALL_BYTES = 64 << 20  # an input up to this size fits a few tasks, whatever its keys
+
+
+def estimated_bytes(df: DataFrame) -> float:
+    """The size estimate of the plan, before pruning; unknown counts as large."""
+    try:
+        return float(df._jdf.queryExecution().analyzed().stats().sizeInBytes())
+    except AttributeError:
+        return float("inf")
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -31,14 +41,28 @@ def shared_folder(spark: SparkSession) -> str:
     Only a session on one machine without that setting gets a temporary folder; on a cluster a
     machine-local folder would lose data, so there the setting is required.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder and context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    if folder or context.getCheckpointDir():
+        return folder or context.getCheckpointDir()
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tidegauge-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir()
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidegauge-"))
+    return context.getCheckpointDir()
+
+
+def reused(df: DataFrame) -> DataFrame:
+    """A DataFrame that several branches of a plan read.
+
+    A large one is checkpointed to the shared folder, so that its scans and shuffles run once and a
+    lost executor does not repeat them. A small one is cheaper to compute again.
+    """
+    if estimated_bytes(df) <= SMALL_BYTES:
+        return df
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
 
 
 def pin_utc(spark: SparkSession) -> None:
