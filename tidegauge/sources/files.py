@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tidegauge.session import SMALL_BYTES, estimated_bytes
+
 REJECTED = "rejected_line"
 BUCKET_FORMAT = "yyyy-MM-dd--HH"
 
@@ -84,9 +86,13 @@ def write_bucketed_parquet(df: DataFrame, path: str, ts: str, max_records_per_fi
     execution splits a bucket that is too large for one task.
     """
     bucketed = df.withColumn("bucket", bucket_of(ts))
+    if estimated_bytes(df) <= SMALL_BYTES:
+        # rebalancing would leave a small input to one task, which writes bucket after bucket
+        spread = bucketed.repartition(df.sparkSession.sparkContext.defaultParallelism, "bucket")
+    else:
+        spread = bucketed.hint("rebalance", F.col("bucket"))
     (
-        bucketed.hint("rebalance", F.col("bucket"))
-        .write.mode("overwrite")
+        spread.write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("bucket")
         .parquet(path)
