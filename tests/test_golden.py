@@ -94,6 +94,13 @@ def test_reconcile(spark):
     assert [free.matched.count(), rows_of(free.only_left), rows_of(free.only_right)] == [3, [("d", 3000)], [("e", 9000)]]
 
 
+def test_reconcile_rows_without_a_key(spark):
+    pays = spark.createDataFrame([(None, 0), ("a", 1)], "tx string, pay_ms long")
+    receipts = spark.createDataFrame([("a", 1), (None, 2)], "tx string, receipt_ms long")
+    sides = analyses.payment_receipts(pays, receipts, "tx", "pay_ms", "receipt_ms")
+    assert [rows_of(part) for part in sides] == [[("a", 1, 1)], [(None, 0)], [(None, 2)]]
+
+
 def test_earliest_per_key(spark):
     df = spark.createDataFrame([("a", 5, 1), ("a", 3, 2), ("a", 3, 1), ("b", 1, 9)], "tx string, ms long, id long")
     unique, surplus = reconcile.earliest_per_key(df, "tx", "ms", "id")
@@ -156,3 +163,32 @@ def test_access_log_and_lines(spark):
     assert rows_of(parsed, "ip", "user_id", "method", "url", "ms") == [("1.2.3.4", "u", "GET", "/a", 1431849903000)]
     rows = spark.createDataFrame([("id1 10 3",), ("",), ("id2 x 3",), ("id3 4",)], "value string")
     assert rows_of(key_value_lines(rows, FEEDBACK)) == [("id1", 10, 3)]
+
+
+# seconds after 10:05, page, in order of arrival
+REQUESTS = [(14, "a"), (4, "a"), (45, "a"), (14, "a"), (17, "a"), (21, "a"), (40, "a"), (10, "a"), (37, "b"), (35, "c"),
+            (3, "d"), (6, "e"), (3, "f"), (41, "g"), (32, "h"), (46, "i")]
+
+
+def test_hot_pages(spark):
+    from tidegauge.operators import lateness
+
+    lines = spark.createDataFrame(
+        [(i, f"1.2.3.4 - - 17/05/2015:10:05:{s:02d} +0000 GET /{page}") for i, (s, page) in enumerate(REQUESTS)],
+        "seq long, value string",
+    )
+    log = access_log(lines).withColumn("ms", F.unix_millis("ts"))
+    seen = lateness.arrival_watermark(log, "ms", ["seq"], "1 second")
+    counts = lateness.late_window_counts(seen, "ms", "10 minutes", "5 seconds", "60 seconds", ["url"])
+    summary = counts.agg(F.count(F.lit(1)), F.count_distinct("window_end_ms"), F.max("n"), F.sum("n"))
+    assert tuple(summary.first()) == (1089, 129, 8, 16 * 120)
+    top = analyses.hot_pages(log, "url", "ms", ["seq"])
+    assert top.groupBy("window_end_ms").count().agg(F.max("count")).first()[0] == 5
+    assert top.where("rank = 1").agg(F.max("n")).first()[0] == 8
+
+
+def test_clock_windows_count_every_row(spark):
+    from tidegauge.operators.aggregates import count_rows
+
+    stamped = windows.stamp_arrival(spark.range(100))
+    assert windows.tumble(stamped, "arrived_at", "5 seconds", count_rows()).agg(F.sum("n")).first()[0] == 100

@@ -56,11 +56,13 @@ def test_scan_equals_plain_windows(table, keys, width, hot_rows, monkeypatch):
     expected = table.select(
         "id", "key", "ms", "value",
         F.sum("value").over(upto).alias("s"), F.min("value").over(before).alias("m"), F.max("value").over(after).alias("x"),
+        F.sum("value").over(Window.partitionBy(*keys)).alias("w"),
         F.lag("value").over(plain).alias("p"), F.lead("id").over(plain).alias("f"),
     )
     got = scan(
         table, keys, ["ms", "id"], by_time("ms", width),
         upto={"s": ("sum", F.col("value"))}, before={"m": ("min", F.col("value"))}, after={"x": ("max", F.col("value"))},
+        whole={"w": ("sum", F.col("value"))},
         previous={"p": F.col("value")}, following={"f": F.col("id")},
     )
     assert rows_of(got.select(expected.columns)) == rows_of(expected)

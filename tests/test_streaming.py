@@ -22,6 +22,7 @@ EVENTS_FILE = SF_DIR + "/{events.parquet}"
 # one micro-batch per file, files in time order, as a feed would deliver them
 IN_ORDER = [
     "streaming_pageviews", "streaming_hot_items_top5", "streaming_uv_running", "streaming_updates",
+    "streaming_window_updates",
     "streaming_reconcile", "streaming_jump_alert", "streaming_jump_alert_hold", "streaming_rise_alarm",
     "streaming_login_fail_strict_next", "streaming_order_payments", "streaming_route_running_sum",
     "streaming_count_tumbling", "streaming_count_sliding", "streaming_click_cap",

@@ -64,9 +64,8 @@ def numbered(
 ) -> DataFrame:
     """Add what ``segmented_fold`` needs: the row's position in its key and the rows left after it."""
     one = F.lit(1).cast("long")
-    return scan(
-        df, keys, order, segment, upto={POSITION: ("sum", one)}, after={LEFT: ("sum", one)}, previous=previous
-    ).fillna(0, [LEFT])
+    counted = scan(df, keys, order, segment, upto={POSITION: ("sum", one)}, whole={LEFT: ("sum", one)}, previous=previous)
+    return counted.withColumn(LEFT, F.col(LEFT) - F.col(POSITION))
 
 
 def segmented_fold(

@@ -44,14 +44,17 @@ def reconcile(
     ``left`` and ``right`` share only the key column. With ``max_gap`` two rows match only when
     their times are at most that far apart. All three outputs come from this one join.
     """
-    r = right.withColumnRenamed(key, "__right_key")
-    joined = left.join(
+    l = left.withColumn("__left", F.lit(True))
+    r = right.withColumnRenamed(key, "__right_key").withColumn("__right", F.lit(True))
+    joined = l.join(
         r, (F.col(key) == F.col("__right_key")) & _matches(left_ts, right_ts, max_gap), "full_outer"
     )
-    side = (
-        F.when(F.col("__right_key").isNull(), "left").when(F.col(key).isNull(), "right").otherwise("both")
+    # not decided by the keys: rows without a key exist too, and never match
+    side = F.when(F.col("__right").isNull(), "left").when(F.col("__left").isNull(), "right").otherwise("both")
+    return (
+        joined.withColumn("side", side).withColumn(key, F.coalesce(key, "__right_key"))
+        .drop("__right_key", "__left", "__right")
     )
-    return joined.withColumn("side", side).withColumn(key, F.coalesce(key, "__right_key")).drop("__right_key")
 
 
 def reconcile_outputs(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, max_gap: str | None = None) -> Reconciled:

@@ -81,6 +81,7 @@ def scan(
     upto: Aggregates | None = None,
     before: Aggregates | None = None,
     after: Aggregates | None = None,
+    whole: Aggregates | None = None,
     previous: Mapping[str, Column] | None = None,
     following: Mapping[str, Column] | None = None,
     split: str = "hot",
@@ -89,13 +90,13 @@ def scan(
 
     ``order`` must be a total order within a key and ``segment`` must not decrease along it.
     ``upto``/``before``/``after`` map a new column to ``(sum|min|max, input)`` over the rows up to
-    and with, strictly before, or strictly after the current one. ``previous``/``following`` map a
-    new column to an expression taken from the neighbouring row. Without keys the whole table is
+    and with, strictly before, or strictly after the current one, ``whole`` over all rows of the
+    key. ``previous``/``following`` map a new column to an expression taken from the neighbouring row. Without keys the whole table is
     one sequence and always segmented. ``split`` says which keys are segmented: hot, always, never.
     """
     folds = {
         f"__{part}_{name}": (part, name, _COMBINE[kind], value)
-        for part, group in (("upto", upto), ("before", before), ("after", after))
+        for part, group in (("upto", upto), ("before", before), ("after", after), ("whole", whole))
         for name, (kind, value) in (group or {}).items()
     }
     picks = {
@@ -105,11 +106,16 @@ def scan(
     }
     inputs = {temp: spec[-1] for temp, spec in {**folds, **picks}.items()}
 
-    def results(local: Window) -> dict[str, Column]:
+    def results(groups: list[str], by: list[str]) -> dict[str, Column]:
+        local = Window.partitionBy(*groups).orderBy(*by)
+        # Spark recomputes a frame with a moving start for every row, but adds to one with a fixed
+        # start; so later rows are folded from the far end
+        backwards = Window.partitionBy(*groups).orderBy(*[F.desc(column) for column in by])
         spans = {
             "upto": local.rowsBetween(Window.unboundedPreceding, Window.currentRow),
             "before": local.rowsBetween(Window.unboundedPreceding, -1),
-            "after": local.rowsBetween(1, Window.unboundedFollowing),
+            "after": backwards.rowsBetween(Window.unboundedPreceding, -1),
+            "whole": local.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing),
         }
         added = {name: combine(temp).over(spans[part]) for temp, (part, name, combine, _) in folds.items()}
         return added | {
@@ -119,8 +125,7 @@ def scan(
 
     is_split = _is_split(df, keys, split)
     if is_split is None:
-        whole = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns(inputs).withColumns(results(whole)).drop(*inputs)
+        return df.withColumns(inputs).withColumns(results([*keys], [*order])).drop(*inputs)
 
     rows = df.withColumns({SEGMENT: F.when(is_split, segment).otherwise(F.lit(0)), SLOT: F.lit(1), **inputs})
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
@@ -132,16 +137,13 @@ def scan(
         ],
     )
     across = Window.partitionBy(*keys).orderBy(SEGMENT)
+    backwards = Window.partitionBy(*keys).orderBy(F.desc(SEGMENT))
     types = dict(summary.dtypes)
 
     def inherited(parts: set[str], slot: int) -> Column | None:
         """The extra row at one end of a segment, as a struct; NULL where nothing is inherited."""
         earlier = slot == 0
-        span = (
-            across.rowsBetween(Window.unboundedPreceding, -1)
-            if earlier
-            else across.rowsBetween(1, Window.unboundedFollowing)
-        )
+        span = (across if earlier else backwards).rowsBetween(Window.unboundedPreceding, -1)
         step = F.lag if earlier else F.lead
         values = {temp: combine(temp).over(span) for temp, (part, _, combine, _) in folds.items() if part in parts}
         values |= {temp: step(temp).over(across) for temp, (part, _, _) in picks.items() if part in parts}
@@ -150,12 +152,11 @@ def scan(
         cells = [values.get(temp, F.lit(None).cast(types[temp])).alias(temp) for temp in inputs]
         return F.when(step(SEGMENT).over(across).isNotNull(), F.struct(F.lit(slot).alias(SLOT), *cells))
 
-    ends = [inherited({"upto", "before", "previous"}, 0), inherited({"after", "following"}, 2)]
+    ends = [inherited({"upto", "before", "whole", "previous"}, 0), inherited({"after", "whole", "following"}, 2)]
     ended = summary.select(
         *keys, SEGMENT, *[end.alias(f"__end{place}") for place, end in enumerate(ends) if end is not None]
     )
     found = F.array_compact(F.array(*[name for name in ended.columns if name.startswith("__end")]))
     extra = ended.select(*keys, SEGMENT, F.explode(found).alias("end")).select(*keys, SEGMENT, "end.*")
     together = rows.unionByName(extra, allowMissingColumns=True)
-    local = Window.partitionBy(*keys, SEGMENT).orderBy(SLOT, *order)
-    return together.withColumns(results(local)).where(F.col(SLOT) == 1).drop(SEGMENT, SLOT, *inputs)
+    return together.withColumns(results([*keys, SEGMENT], [SLOT, *order])).where(F.col(SLOT) == 1).drop(SEGMENT, SLOT, *inputs)

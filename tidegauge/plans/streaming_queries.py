@@ -151,6 +151,18 @@ def streaming_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest(spark.read.parquet(f"{folder}/out"), "event_type")
 
 
+@query("streaming_window_updates", ORACLES["uv_exact_hourly"].replace("count(DISTINCT user_id) AS uv", "count(*) AS n"))
+def streaming_window_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that stay open for late rows: each batch writes the windows it changed, until the
+    watermark, here the disorder plus the allowed lateness behind, has passed them."""
+    folder = fresh_folder(spark, "window-updates")
+    rows, _ = event_stream(spark, sf_dir, folder)
+    counts = windows.windowed_counts(rows.where(F.col("event_type") == "view"), "ts", "61 seconds", "1 hour")
+    with state_settings(spark):
+        drain(updates(counts.select("window_end_ms", "n"), folder))
+    return latest(spark.read.parquet(f"{folder}/out"), "window_end_ms")
+
+
 # --- join ---------------------------------------------------------------------------------------
 
 

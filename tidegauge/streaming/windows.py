@@ -54,10 +54,13 @@ def reconcile(
 
     The two inputs share only the key column. The time range lets Spark drop old join state.
     """
-    a = left.withWatermark(left_ts, delay)
-    b = right.withColumnRenamed(key, "__right_key").withWatermark(right_ts, delay)
+    a = left.withColumn("__left", F.lit(True)).withWatermark(left_ts, delay)
+    b = right.withColumnRenamed(key, "__right_key").withColumn("__right", F.lit(True)).withWatermark(right_ts, delay)
     gap = F.expr(f"INTERVAL {max_gap}")
     near = (F.col(right_ts) >= F.col(left_ts) - gap) & (F.col(right_ts) <= F.col(left_ts) + gap)
     joined = a.join(b, (F.col(key) == F.col("__right_key")) & near, "full_outer")
-    side = F.when(F.col("__right_key").isNull(), "left").when(F.col(key).isNull(), "right").otherwise("both")
-    return joined.withColumn("side", side).withColumn(key, F.coalesce(key, "__right_key")).drop("__right_key")
+    side = F.when(F.col("__right").isNull(), "left").when(F.col("__left").isNull(), "right").otherwise("both")
+    return (
+        joined.withColumn("side", side).withColumn(key, F.coalesce(key, "__right_key"))
+        .drop("__right_key", "__left", "__right")
+    )
