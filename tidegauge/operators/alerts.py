@@ -36,7 +36,7 @@ def jump_alert_hold(
 
     def replay(state, columns, ends):
         where, held = hold_replay(state, columns[value].tolist(), threshold)
-        return {**{name: columns[name][where].tolist() for name in order}, "last": held, value: columns[value][where].tolist()}
+        return {**{name: columns[name][where] for name in order}, "last": held, value: columns[value][where]}
 
     return segmented_fold(
         numbered(rows, keys, order, segment), keys, [*order, value], float(start),

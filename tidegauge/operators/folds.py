@@ -112,15 +112,25 @@ def segmented_fold(
 
     def produce(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for groups in _groups(frames, [KEY, SEGMENT]):
-            made: list[tuple] = []
+            owners, sizes = [], []
+            parts: dict[str, list] = {name: [] for name in names}
             for group in groups:
                 state, key = initial, group[KEY][0]
                 if group[SLOT][0] == 0:
                     state = float(group["state"][0])
                     group = {name: cells[1:] for name, cells in group.items()}
-                made.extend((key, *row) for row in zip(*replay(state, group, bool(group[LEFT][-1] == 0)).values()))
-            if made:
-                yield pd.DataFrame(made, columns=[KEY, *names])
+                found = replay(state, group, bool(group[LEFT][-1] == 0))
+                size = len(found[names[0]])
+                if size:
+                    owners.append(key)
+                    sizes.append(size)
+                    for name in names:
+                        parts[name].append(found[name])
+            if owners:
+                yield pd.DataFrame({
+                    KEY: np.repeat(np.asarray(owners, dtype=object), sizes),
+                    **{name: np.concatenate(cells) for name, cells in parts.items()},
+                })
 
     def arranged(frame: DataFrame, by: Sequence[str], *sort: str) -> DataFrame:
         return frame.repartition(*by).sortWithinPartitions(*by, *sort)
