@@ -51,8 +51,9 @@ def by_time(ms: str, width_ms: int = MS_PER_SEGMENT) -> Column:
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[int]:
     """Hashes of the keys with more than HOT_ROWS rows, at most MOST_HOT_KEYS of them.
 
-    The sketch cannot miss a key that holds more than about 0.01 % of all rows. A hash shared with a
-    hot key only makes another key split as well, which changes no result.
+    A key with more than 1/MOST_HOT_KEYS of all rows is always among them: fewer than MOST_HOT_KEYS
+    others can hold as many, and the sketch's own error is smaller than that share. A hash shared
+    with a hot key only makes another key split as well, which changes no result.
     """
     sketch = df.agg(
         F.expr(f"approx_top_k(xxhash64({', '.join(f'`{key}`' for key in keys)}), {MOST_HOT_KEYS}, {SKETCH_ITEMS})").alias("top")

@@ -14,7 +14,8 @@ def top_n(df: DataFrame, groups: Sequence[str], measure: str, ties: Sequence[str
     The bound on row_number lets Catalyst cut each task's rows to ``n`` per group before the shuffle.
     """
     order = Window.partitionBy(*groups).orderBy(F.col(measure).desc(), *ties)
-    return df.withColumn(rank, F.row_number().over(order)).where(F.col(rank) <= n)
+    ranked = df.withColumn(rank, F.row_number().over(order)).where(F.col(rank) <= n)
+    return ranked.withColumn(rank, F.col(rank).cast("long"))
 
 
 def report(df: DataFrame, groups: Sequence[str], header: Column, line: Column, rank: str = "rank", name: str = "report") -> DataFrame:
