@@ -7,6 +7,8 @@ import pytest
 import __spark_entry__ as entry
 from tests.oracle import compare, connect
 from tests.test_streaming import IN_ORDER
+from tidegauge import session
+from tidegauge.operators import scans
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -23,6 +25,21 @@ def test_query_equals_sql(spark, con, name):
     assert problem in ("", "both empty")
 
 
+LARGE = [
+    "rolling_sum", "count_tumbling_min", "login_fail_lag", "login_fail_strict_next", "order_paid", "order_timeout",
+    "jump_alert", "jump_alert_hold", "rise_alarm", "uv_running", "late_changelog", "hot_pages_late_top5", "market_total",
+]
+
+
+@pytest.mark.parametrize("name", LARGE)
+def test_query_equals_sql_as_if_large(spark, con, name, monkeypatch):
+    """Hot keys are looked for and split, and reused inputs are checkpointed."""
+    monkeypatch.setattr(session, "SMALL_BYTES", 0)
+    monkeypatch.setattr(scans, "SMALL_BYTES", 0)
+    monkeypatch.setattr(scans, "HOT_ROWS", 20)
+    assert compare(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name]) in ("", "both empty")
+
+
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
