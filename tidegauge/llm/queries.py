@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import simhash
+from tidegauge.llm import mixing, sharding, simhash
 from tidegauge.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,3 +25,50 @@ def query(function: Query) -> Query:
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, bits=2)
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mix(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op6_mixing"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+), keyed AS (
+  SELECT *, -ln((CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5)
+                / 4503599627370496.0) / least(1.5, 0.5 + size / 400.0) AS k FROM sized
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, [5.0, 2.0, 1.0][i % 3 + 1]::DOUBLE AS w, 3 * source_size AS cap FROM sources
+), levels AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed WINDOW o AS (ORDER BY cap / w, i)
+), share AS (
+  SELECT level AS s FROM levels WHERE level <= cap / w ORDER BY cap / w, i LIMIT 1
+), planned AS (
+  SELECT source, source_size, least(s * w, CAST(cap AS DOUBLE)) AS target FROM levels, share
+), ordered AS (
+  SELECT k.doc_id, k.size, p.source_size, p.target,
+         CASE WHEN p.source_size > 0 THEN CAST(floor(p.target / p.source_size) AS BIGINT) ELSE 0 END AS epochs,
+         coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.k, k.doc_id, k.size
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM keyed k JOIN planned p ON k.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(epochs * size + greatest(0, least(size, round(target - epochs * source_size) - before)) AS BIGINT) AS taken
+FROM ordered
+"""
+
+
+@query
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.assign(table(spark, sf_dir, "documents"), shards=8)
+    return rows.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
