@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import mixing, sharding, simhash
+from tidegauge.llm import licenses, mixing, pii, sharding, simhash
 from tidegauge.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +72,29 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.col("found")
+    base = pii.of_kind(found, *pii.BASE)
+    counts = [F.size(pii.of_kind(found, k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    return pii.find(table(spark, sf_dir, "documents")).select(
+        "doc_id", *counts, F.sha2(pii.as_text(base), 256).alias("base_sha256"), pii.as_text(found).alias("spans")
+    )
+
+
+@query
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, found = F.col("base"), F.col("detections")
+    base_labels, labels = F.array_distinct(F.expr("base.label")), F.array_distinct(F.expr("detections.label"))
+    at = F.expr("base.start")
+    best = F.coalesce(F.array_max(F.expr("detections.confidence")), F.lit(0.0))
+    return licenses.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(at).alias("first_word"), F.array_max(at).alias("last_word"),
+        F.array_join(F.array_sort(base_labels), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base_labels, labels)), ",").alias("labels"),
+        F.greatest(best, F.when(F.size(base) > 0, licenses.BASE_CONFIDENCE).otherwise(0.0)).alias("score"),
+        F.size(found).cast("long").alias("n_detections"),
+    )
