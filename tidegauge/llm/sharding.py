@@ -43,9 +43,10 @@ def partition_units(units: DataFrame, shards: int) -> DataFrame:
              ELSE named_struct('lo', (s.lo + s.hi) div 2 + 1, 'hi', s.hi) END).hi"""
     last = step.format(base="element_at(c, -1)", capacity="capacity")
     walk = f"aggregate(sequence(1, {shards - 1}), array(0L), (c, k) -> concat(c, array({last})))" if shards > 1 else "array(0L)"
+    # the cuts come before the explode: behind it, they would be worked out again for every unit
     cut = one.select("units", "ends", F.expr(search).alias("capacity")).select(
-        F.explode("units").alias("u"), "capacity", F.expr(walk).alias("cuts")
-    )
+        "units", "capacity", F.expr(walk).alias("cuts")
+    ).select(F.explode("units").alias("u"), "capacity", "cuts")
     shard = F.size(F.filter("cuts", lambda c: c <= F.col("u.upto") - F.col("u.size"))) - 1
     return cut.select("u.unit", "u.n", "u.size", F.least(shard, F.lit(shards - 1)).alias("shard"), "capacity")
 
