@@ -6,7 +6,7 @@ import re
 import uuid
 import zlib
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.session import shared_folder
@@ -85,3 +85,21 @@ def connected_components(links: DataFrame, name: str, most_rounds: int = 100) ->
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     roots = edges.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(roots)
+
+
+def ranked(rows: DataFrame, key: str, order: list[str], name: str, rows_per_run: int = 4096) -> DataFrame:
+    """``rows`` with ``rank``, gapless from 0 within each ``key``, in an order fixed by the columns ``order``.
+
+    A key's rows are numbered in runs of a hash and the runs' sizes are summed up, so no key is
+    sorted in one task. ``rows`` should be a written table, as it is read twice; rows equal in all of
+    ``order`` share a run.
+    """
+    sizes = saved(rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n")), name)
+    placed = rows.join(sizes, key).withColumn(
+        "__run", F.pmod(F.xxhash64(*order), 1 + F.floor(F.col("__n") / rows_per_run))
+    ).drop("__n")
+    runs = placed.groupBy(key, "__run").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(key).orderBy("__run")) - F.col("__n")
+    runs = runs.select(key, "__run", before.alias("__before"))
+    place = F.row_number().over(Window.partitionBy(key, "__run").orderBy(*order)) - 1
+    return placed.join(runs, [key, "__run"]).withColumn("rank", (F.col("__before") + place).cast("long")).drop("__run", "__before")

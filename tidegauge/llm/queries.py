@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import licenses, mixing, pii, sharding, simhash
+from tidegauge.llm import licenses, mixing, packing, pii, sharding, simhash
 from tidegauge.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +99,11 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.greatest(best, F.when(F.size(base) > 0, licenses.BASE_CONFIDENCE).otherwise(0.0)).alias("score"),
         F.size(found).cast("long").alias("n_detections"),
     )
+
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, window=1024)
