@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import licenses, mixing, packing, pii, sharding, simhash
+from tidegauge.llm import licenses, mixing, packing, pii, sharding, simhash, toxicity
 from tidegauge.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,8 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, window=1024)
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
