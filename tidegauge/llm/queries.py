@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import licenses, mixing, packing, pii, sharding, simhash, toxicity
+from tidegauge.llm import licenses, mixing, neighbours, packing, pii, sharding, simhash, toxicity
 from tidegauge.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +112,8 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
