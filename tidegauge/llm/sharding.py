@@ -33,22 +33,22 @@ def partition_units(units: DataFrame, shards: int) -> DataFrame:
     order = Window.orderBy("unit")
     one = units.select("unit", "n", "size", F.sum("size").over(order).alias("upto")).agg(
         F.sort_array(F.collect_list(F.struct("unit", "n", "size", "upto"))).alias("units"),
-        F.max("size").alias("largest"), F.sum("size").alias("total"),
-    ).where("total > 0").withColumn("ends", F.expr("units.upto"))
+        F.sort_array(F.collect_list("upto")).alias("ends"), F.max("size").alias("largest"), F.sum("size").alias("total"),
+    ).where("total > 0")
     step = "coalesce(array_max(filter(ends, e -> e <= {base} + {capacity})), {base})"
     reach = f"aggregate(sequence(1, {shards}), 0L, (b, k) -> {step.format(base='b', capacity='((s.lo + s.hi) div 2)')})"
     search = f"""aggregate(sequence(1, 64), named_struct('lo', greatest(largest, total div {shards}), 'hi', total), (s, i) ->
         CASE WHEN s.lo >= s.hi THEN s
              WHEN {reach} >= total THEN named_struct('lo', s.lo, 'hi', (s.lo + s.hi) div 2)
              ELSE named_struct('lo', (s.lo + s.hi) div 2 + 1, 'hi', s.hi) END).hi"""
-    last = step.format(base="element_at(c, -1)", capacity="capacity")
-    walk = f"aggregate(sequence(1, {shards - 1}), array(0L), (c, k) -> concat(c, array({last})))" if shards > 1 else "array(0L)"
-    # the cuts come before the explode: behind it, they would be worked out again for every unit
-    cut = one.select("units", "ends", F.expr(search).alias("capacity")).select(
-        "units", "capacity", F.expr(walk).alias("cuts")
-    ).select(F.explode("units").alias("u"), "capacity", "cuts")
-    shard = F.size(F.filter("cuts", lambda c: c <= F.col("u.upto") - F.col("u.size"))) - 1
-    return cut.select("u.unit", "u.n", "u.size", F.least(shard, F.lit(shards - 1)).alias("shard"), "capacity")
+    # the capacity travels in the walk's state: as a column of its own it would be put into the lambda and searched for each unit
+    last = step.format(base="element_at(w.cuts, -1)", capacity="w.capacity")
+    walk = f"""aggregate(slice(sequence(1, {shards}), 2, {shards}), named_struct('cuts', array(0L), 'capacity', {search}),
+        (w, k) -> named_struct('cuts', concat(w.cuts, array({last})), 'capacity', w.capacity))"""
+    # the walk comes before the explode: behind it, it would be repeated for every unit
+    cut = one.select("units", F.expr(walk).alias("walk")).select(F.explode("units").alias("u"), "walk")
+    shard = F.size(F.filter("walk.cuts", lambda c: c <= F.col("u.upto") - F.col("u.size"))) - 1
+    return cut.select("u.unit", "u.n", "u.size", F.least(shard, F.lit(shards - 1)).alias("shard"), "walk.capacity")
 
 
 def unit_shards(rows: DataFrame, shards: int) -> DataFrame:
