@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import licenses, mixing, neighbours, packing, pii, sharding, simhash, toxicity
+from tidegauge.llm import forest, licenses, mixing, neighbours, packing, pii, sharding, simhash, toxicity
 from tidegauge.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,3 +117,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
+
+
+@query
+def op2_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
