@@ -26,6 +26,19 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_NULL_ID = -(1 << 63)
+
+
+def whole_id(column: str = "doc_id") -> Column:
+    """The id as a long without nulls, which pandas would turn into floats; null is the smallest long."""
+    return F.coalesce(F.col(column).cast("long"), F.lit(_NULL_ID))
+
+
+def id_again(column: str = "doc_id") -> Column:
+    """The id that ``whole_id`` was made of."""
+    return F.nullif(F.col(column), F.lit(_NULL_ID))
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

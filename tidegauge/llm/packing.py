@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import crc, ranked, saved
+from tidegauge.llm.common import crc, id_again, ranked, saved, whole_id
 
 END_ID = 0
 _SPECIAL = {"<|endoftext|>": 50256}
@@ -76,9 +76,9 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = 1024) -> DataFrame:
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
                 ids = _ids(text, tokenizer)
                 out += [(doc, s, min(window, len(ids) - s), crc(ids[s:s + window].tobytes()), len(ids)) for s in range(0, len(ids), window)]
-            yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = docs.select(whole_id().alias("doc_id"), F.col("text").cast("string"))
     return rows.mapInPandas(run, "doc_id long, start long, length int, ids_crc32 long, doc_tokens long")
 
 
@@ -201,8 +201,7 @@ def _cut(rows: DataFrame, docs: DataFrame, tokenizer: str, plan: Plan) -> DataFr
     id, its length and its piece's checksum, so repeated rows find equal ids.
     """
     ids = rows.select("doc_id").distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    texts = texts.join(ids, texts.doc_id.eqNullSafe(ids.doc_id), "left_semi")
+    texts = docs.select(whole_id().alias("doc_id"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi")
 
     def tails(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -211,10 +210,10 @@ def _cut(rows: DataFrame, docs: DataFrame, tokenizer: str, plan: Plan) -> DataFr
                 found = _ids(text, tokenizer)
                 data = found[(len(found) - 1) // plan.window * plan.window:].tobytes()
                 out.append((doc, len(found), crc(data), data))
-            yield pd.DataFrame(out, columns=["doc", "tokens", "checksum", "ids"]).astype({"doc": "Int64"})
+            yield pd.DataFrame(out, columns=["doc", "tokens", "checksum", "ids"])
 
     known = texts.mapInPandas(tails, "doc long, tokens long, checksum long, ids binary").dropDuplicates(["doc", "tokens", "checksum"])
-    both = rows.join(known, rows.doc_id.eqNullSafe(known.doc) & (rows.doc_tokens == known.tokens) & (rows.ids_crc32 == known.checksum))
+    both = rows.join(known, (rows.doc_id == known.doc) & (rows.doc_tokens == known.tokens) & (rows.ids_crc32 == known.checksum))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -226,7 +225,7 @@ def _cut(rows: DataFrame, docs: DataFrame, tokenizer: str, plan: Plan) -> DataFr
                     end = min(length, begin + room)
                     out.append((doc, start + begin, end - begin, crc(data[4 * begin:4 * end]), tokens, sequence, offset))
                     begin = end
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in _OUT.split(", ")]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in _OUT.split(", ")])
 
     return both.select("doc_id", "start", "length", "doc_tokens", "at", "ids").mapInPandas(cut, _OUT)
 
@@ -255,4 +254,4 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 1024) -> DataFrame:
 
     loose = saved(loose.mapInPandas(locate, _OUT + ", at long, whole boolean"), "pack-loose")
     whole = loose.where("whole").drop("at", "whole")
-    return done.unionByName(whole).unionByName(_cut(loose.where("NOT whole"), docs, tokenizer, plan))
+    return done.unionByName(whole).unionByName(_cut(loose.where("NOT whole"), docs, tokenizer, plan)).withColumn("doc_id", id_again())

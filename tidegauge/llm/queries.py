@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import forest, licenses, mixing, neighbours, packing, pii, sharding, simhash, toxicity
+from tidegauge.llm import forest, licenses, mixing, neighbours, packing, passages, pii, sharding, simhash, toxicity
 from tidegauge.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +122,30 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+@query
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.dedup(table(spark, sf_dir, "documents"), window=20)
+
+
+ORACLES["op9_passages"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(words[i + 1:i + 20], ' ')) AS h
+  FROM (SELECT doc_id, words, unnest(range(len(words) - 19)) AS i FROM w WHERE len(words) >= 20)
+), later AS (
+  SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, i + unnest(range(20)) AS p FROM later
+), kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS kept
+  FROM (SELECT doc_id, unnest(words) AS x, unnest(range(len(words))) AS p FROM w) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+), counts AS (
+  SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
+"""

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import connected_components, saved
+from tidegauge.llm.common import connected_components, id_again, saved, whole_id
 
 BITS = 64
 SEED = 42
@@ -49,8 +49,8 @@ def fingerprints(docs: DataFrame, shingle: int = 5) -> DataFrame:
             fps = np.fromiter((fingerprint(t, shingle) for t in batch["text"]), dtype=np.uint64, count=len(batch))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps.view(np.int64)})
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInPandas(run, "doc_id long, fp long")
+    rows = docs.select(whole_id().alias("doc_id"), F.col("text").cast("string"))
+    return rows.mapInPandas(run, "doc_id long, fp long").withColumn("doc_id", id_again())
 
 
 def _bounds(blocks: int) -> list[tuple[int, int]]:
