@@ -20,25 +20,36 @@ _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _AT_ONCE = 1 << 15  # shingles whose bits are summed at a time
 
 
-def fingerprint(text: str | None, shingle: int) -> int:
-    """Majority bits of the shingles' hashes; 0 without words."""
+def fingerprint(text: str | None, shingle: int, width: int = 1) -> np.ndarray:
+    """Majority bits of the shingles' hashes, ``width`` words of 64 bits; 0 without words.
+
+    The first word is of the hashes themselves, the others of hashes mixed from them.
+    """
     words = _WORD.findall((text or "").encode().lower())  # bytes.lower() changes A-Z alone
     if not words:
-        return 0
+        return np.zeros(width, dtype=np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = [0, *(ends[:-1] + 1).tolist()]
     ends = ends.tolist()
     n, last = max(1, len(words) - shingle + 1), min(shingle, len(words)) - 1
-    digest, ones = xxhash.xxh64_intdigest, np.zeros(BITS, dtype=np.int64)
+    digest, ones = xxhash.xxh64_intdigest, np.zeros((width, BITS), dtype=np.int64)
     for low in range(0, n, _AT_ONCE):
         high = min(n, low + _AT_ONCE)
         hashes = np.fromiter(
             (digest(joined[starts[i]:ends[i + last]], SEED) for i in range(low, high)), dtype=np.uint64, count=high - low
         )
-        bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
+        for k in range(width):
+            bits = np.unpackbits((_mixed(hashes, k) if k else hashes).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+            ones[k] += bits.sum(axis=0, dtype=np.int64)
+    return np.packbits(ones * 2 > n, axis=1).view(">u8").astype(np.uint64).ravel()
+
+
+def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    out = hashes + np.uint64(0x9E3779B97F4A7C15 * k & (1 << 64) - 1)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        out = (out ^ (out >> np.uint64(shift))) * np.uint64(factor)
+    return out ^ (out >> np.uint64(31))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 5) -> DataFrame:
@@ -46,7 +57,7 @@ def fingerprints(docs: DataFrame, shingle: int = 5) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            fps = np.fromiter((fingerprint(t, shingle) for t in batch["text"]), dtype=np.uint64, count=len(batch))
+            fps = np.fromiter((fingerprint(t, shingle)[0] for t in batch["text"]), dtype=np.uint64, count=len(batch))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps.view(np.int64)})
 
     rows = docs.select(whole_id().alias("doc_id"), F.col("text").cast("string"))
@@ -133,18 +144,128 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, bits: int = 2, shared: in
     return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 5, bits: int = 2, shared: int = 3) -> DataFrame:
+WIDE = 4  # 64-bit words of a wide fingerprint
+TABLES, KEY_BLOCKS = 72, 3  # tables, and blocks of 8 bits in a table's key
+MOST_APART = 39  # of 256 bits: what texts of similarity 0.8 differ in on average
+CHUNK = 2048  # rows of a block that are compared with each other at once
+
+
+def tables(count: int = TABLES, blocks: int = KEY_BLOCKS) -> np.ndarray:
+    """For each table, the bytes of a wide fingerprint that make its key; every byte serves about as often."""
+    draw, out = np.random.default_rng(SEED), []
+    while len(out) < count:
+        order = draw.permutation(8 * WIDE)
+        out += [sorted(order[i:i + blocks]) for i in range(0, 8 * WIDE - blocks + 1, blocks)]
+    return np.array(out[:count])
+
+
+def _wide(docs: DataFrame, shingle: int) -> DataFrame:
+    """Rows (doc_id, wide): 256 bits for every text."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "wide": [fingerprint(t, shingle, WIDE).astype(">u8").tobytes() for t in batch["text"]]})
+
+    rows = docs.select(whole_id().alias("doc_id"), F.col("text").cast("string"))
+    return rows.mapInPandas(run, "doc_id long, wide binary")
+
+
+def _keys(classes: DataFrame) -> DataFrame:
+    """Rows (key, first): one per table and class."""
+    chosen = tables()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            bytes_ = np.frombuffer(b"".join(batch["wide"]), dtype=np.uint8).reshape(len(batch), -1).astype(np.int64)
+            for t, columns in enumerate(chosen):
+                key = np.full(len(batch), t, dtype=np.int64)
+                for c in columns:
+                    key = key << 8 | bytes_[:, c]
+                yield pd.DataFrame({"key": key, "first": batch["first"]})
+
+    return classes.select("wide", "first").mapInPandas(run, "key long, first long")
+
+
+def _verify(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
+    """Rows in order of (key, i, j): links of each group as (a, b), one for each class but the smallest of its part."""
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        wide = np.frombuffer(b"".join(rows["wide"]), dtype=np.uint64).reshape(len(rows), WIDE)
+        group = rows["group"].to_numpy()
+        apart = rows["i"].to_numpy() != rows["j"].to_numpy()
+        block, first = rows["block"].to_numpy(), rows["first"].to_numpy()
+        left, right, shift = [], [], 1
+        while shift < len(rows):
+            at = np.flatnonzero(group[shift:] == group[:-shift])
+            if not len(at):
+                break
+            at = at[~apart[at] | (block[at] != block[at + shift])]
+            near = np.bitwise_count(wide[at] ^ wide[at + shift]).sum(axis=1, dtype=np.int64) <= most
+            left.append(at[near])
+            right.append(at[near] + shift)
+            shift += 1
+        a, b = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (left, right))
+        label = np.arange(len(rows))
+        while True:  # rows of a group are in order of first, so the smallest label is the smallest class
+            least = label.copy()
+            np.minimum.at(least, a, label[b])
+            np.minimum.at(least, b, label[a])
+            least = least[least]
+            if (least == label).all():
+                break
+            label = least
+        moved = np.flatnonzero(label != np.arange(len(rows)))
+        return pd.DataFrame({"a": first[label[moved]], "b": first[moved]}).drop_duplicates()
+
+    waiting = None
+    for batch in batches:
+        rows = batch if waiting is None else pd.concat([waiting, batch], ignore_index=True)
+        changed = (rows["key"].diff().ne(0) | rows["i"].diff().ne(0) | rows["j"].diff().ne(0)).to_numpy()
+        rows = rows.assign(group=np.cumsum(changed))
+        last = int(np.flatnonzero(changed)[-1])
+        if last:
+            yield compare(rows.iloc[:last])
+        waiting = rows.iloc[last:].drop(columns="group")
+    if waiting is not None:
+        yield compare(waiting.assign(group=0))
+
+
+def similar(docs: DataFrame, shingle: int = 5, most: int = MOST_APART) -> DataFrame:
+    """One row (doc_id, component_id) per document row, linked by a similarity of about 0.8 or more.
+
+    64 bits can't tell that similarity from less and its pairs differ in too many of them for exact
+    blocks, so here a fingerprint has 256 bits, and pairs are sought by keys of three of its 32
+    blocks in ``TABLES`` tables: texts of similarity 0.9 share a key almost surely, those at 0.8
+    mostly. A pair is linked if ``most`` bits or fewer differ. Blocks of any size are compared whole,
+    in chunks, and name one link per class. Nulls, empties and repeated rows as in ``near_duplicates``.
+    """
+    prints = saved(_wide(docs, shingle), "simhash-wide")
+    classes = saved(prints.groupBy("wide").agg(F.min("doc_id").alias("first")), "simhash-wide-classes")
+    keys = saved(_keys(classes), "simhash-keys")
+    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+    rows = keys.join(sizes, "key").join(classes, "first").withColumn("chunks", chunks)
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("first"), F.col("chunks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "first", "wide")
+    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "first")
+    linked = connected_components(rows.mapInPandas(lambda b: _verify(b, most), "a long, b long"), "simhash-similar")
+    whole = classes.join(linked, classes["first"] == linked.node, "left").select("wide", F.coalesce("component", "first").alias("component_id"))
+    return prints.join(saved(whole, "simhash-wide-whole"), "wide").select(id_again().alias("doc_id"), id_again("component_id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, marked: DataFrame) -> DataFrame:
     """``docs`` without the near-duplicates: the row with the smallest doc_id of each group stays.
 
-    Of several rows with one doc_id in a group, one stays. Rows with a null doc_id can't be told
-    from each other; they all stay.
+    ``marked`` has doc_id and component_id, as ``near_duplicates`` and ``similar`` give them. Of
+    several rows with one doc_id, one stays. Rows with a null doc_id can't be told from each other;
+    they all stay.
     """
-    marked = near_duplicates(docs, shingle, bits, shared)
-    gone = marked.where("doc_id != component_id").select("doc_id").distinct()
-    counts = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    once = kept.join(counts, "doc_id", "left_anti")
-    first = Window.partitionBy("doc_id").orderBy("__fp")
-    again = kept.join(counts, "doc_id", "left_semi").withColumn("__fp", F.xxhash64(F.col("text")))
-    again = again.withColumn("__n", F.row_number().over(first)).where("__n = 1")
-    return once.unionByName(again.select(*docs.columns)).select(*docs.columns)
+    gone = marked.where("doc_id != component_id OR doc_id IS NOT NULL AND component_id IS NULL").select("doc_id").distinct()
+    again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id")
+    kept = row.join(gone, "doc_id", "left_anti")
+    once = kept.join(again, "doc_id", "left_anti").select("row")
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("row.text"))
+    one = kept.join(again, "doc_id", "left_semi").withColumn("n", F.row_number().over(order)).where("n = 1").select("row")
+    return once.unionAll(one).select("row.*")
