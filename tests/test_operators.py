@@ -17,7 +17,6 @@ from tidegauge.sources.schemas import ORDER
 
 @pytest.fixture(autouse=True)
 def every_key_is_hot(monkeypatch):
-    monkeypatch.setattr(scans, "SMALL_BYTES", 0)
     monkeypatch.setattr(scans, "HOT_ROWS", 0)
 
 

@@ -7,7 +7,6 @@ import pytest
 import __spark_entry__ as entry
 from tests.oracle import compare, connect
 from tests.test_streaming import IN_ORDER
-from tidegauge import session
 from tidegauge.operators import scans
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -33,10 +32,9 @@ LARGE = [
 
 @pytest.mark.parametrize("name", LARGE)
 def test_query_equals_sql_as_if_large(spark, con, name, monkeypatch):
-    """Hot keys are looked for and split, and reused inputs are checkpointed."""
-    monkeypatch.setattr(session, "SMALL_BYTES", 0)
-    monkeypatch.setattr(scans, "SMALL_BYTES", 0)
+    """Nearly every key is hot and cut into many segments."""
     monkeypatch.setattr(scans, "HOT_ROWS", 20)
+    monkeypatch.setattr(scans, "ROWS_PER_SEGMENT", 7)
     assert compare(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name]) in ("", "both empty")
 
 

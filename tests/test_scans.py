@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pandas as pd
 import pytest
@@ -28,7 +29,6 @@ def skewed(rows: int = 600, seed: int = 7) -> pd.DataFrame:
 
 @pytest.fixture(autouse=True)
 def every_key_is_hot(monkeypatch):
-    monkeypatch.setattr(scans, "SMALL_BYTES", 0)
     monkeypatch.setattr(scans, "HOT_ROWS", 0)
 
 
@@ -47,8 +47,8 @@ def rows_of(df):
 
 @pytest.mark.parametrize("keys", [["key"], []])
 @pytest.mark.parametrize("hot_rows", [0, 150, 10_000])
-@pytest.mark.parametrize("width", [1, 700, 10_000_000])
-def test_scan_equals_plain_windows(table, keys, width, hot_rows, monkeypatch):
+@pytest.mark.parametrize("per_segment", [1, 40, 10_000_000])
+def test_scan_equals_plain_windows(table, keys, per_segment, hot_rows, monkeypatch):
     monkeypatch.setattr(scans, "HOT_ROWS", hot_rows)  # 150: only the key with a third of the rows
     plain = Window.partitionBy(*keys).orderBy("ms", "id")
     upto, before = plain.rowsBetween(Window.unboundedPreceding, 0), plain.rowsBetween(Window.unboundedPreceding, -1)
@@ -60,7 +60,7 @@ def test_scan_equals_plain_windows(table, keys, width, hot_rows, monkeypatch):
         F.lag("value").over(plain).alias("p"), F.lead("id").over(plain).alias("f"),
     )
     got = scan(
-        table, keys, ["ms", "id"], by_time("ms", width),
+        table, keys, ["ms", "id"], by_time("ms", per_segment),
         upto={"s": ("sum", F.col("value"))}, before={"m": ("min", F.col("value"))}, after={"x": ("max", F.col("value"))},
         whole={"w": ("sum", F.col("value"))},
         previous={"p": F.col("value")}, following={"f": F.col("id")},
@@ -75,25 +75,27 @@ def test_scan_by_row_segments(table):
     assert rows_of(got.select("id", "n")) == rows_of(expected)
 
 
-def test_hot_keys_are_found(table, monkeypatch):
-    monkeypatch.setattr(scans, "HOT_ROWS", 150)
-    hot = table.select(F.xxhash64(F.lit("hot"))).first()[0]
-    assert scans.hot_keys(table, ["key"]) == [hot]
-    # without the hot key among them, or for a small input, the plan is the plain window
-    for limit, small in ((10_000, 0), (150, 1 << 70)):
-        monkeypatch.setattr(scans, "HOT_ROWS", limit)
-        monkeypatch.setattr(scans, "SMALL_BYTES", small)
-        plan = scan(table, ["key"], ["id"], by_rows("id", 16), previous={"p": F.col("value")})
-        assert "Union" not in plan._jdf.queryExecution().optimizedPlan().toString()
+def test_hot_keys_are_counted(table):
+    found = scans.hot_keys(table, ["key"], by_rows("id"), 150).collect()
+    assert [(r["__hot_0"], r["__rows"]) for r in found] == [("hot", table.where("key = 'hot'").count())]
+
+
+def test_every_hot_key_is_split(spark, monkeypatch):
+    """More hot keys than any fixed bound: all of them are segmented, NULL too."""
+    monkeypatch.setattr(scans, "HOT_ROWS", 2)
+    key = F.when(F.col("id") % 5000 != 7, F.col("id") % 5000)
+    rows = spark.range(20_000).select(key.alias("key"), F.col("id").alias("n"))
+    assert scans.hot_keys(rows, ["key"], by_rows("n"), 2).count() == 5000
+    got = scan(rows, ["key"], ["n"], by_rows("n", 1), upto={"place": ("sum", F.lit(1).cast("long"))})
+    assert got.groupBy("place").count().orderBy("place").collect() == [(i, 5000) for i in (1, 2, 3, 4)]
 
 
 def test_scan_never_groups_rows_by_key_alone(table):
     """Only the segment summaries meet per key; rows are shuffled by key and segment."""
-    got = scan(table, [], ["ms", "id"], by_time("ms", 100), upto={"s": ("sum", F.col("value"))})
+    got = scan(table, ["key"], ["ms", "id"], by_time("ms", 100), upto={"s": ("sum", F.col("value"))})
     plan = got._jdf.queryExecution().executedPlan().toString()
-    single = plan.split("Exchange SinglePartition")
-    assert len(single) == 2  # one, above the aggregate of the summaries
-    assert single[1].lstrip(" ,").split("Aggregate")[0].count("Exchange") == 0
+    by_key = [part for part in plan.split("Exchange hashpartitioning(")[1:] if "segment" not in part.split(")")[0]]
+    assert len(by_key) == 1 and "Aggregate" in by_key[0].split("Exchange")[0]
 
 
 # --- folds --------------------------------------------------------------------------------------
@@ -137,7 +139,7 @@ def test_hold_summaries_compose(values, threshold, size, start):
         for value in part:
             if abs(value - plain) <= threshold:
                 plain = value
-        state = folds.hold_resolve(folds.hold_summary(part, threshold), state, threshold)
+        state = folds.hold_resolve(folds.hold_summary(part, threshold), state)
         assert state == plain
 
 
@@ -148,7 +150,7 @@ def test_hold_summary_with_real_numbers(values, threshold, start):
     for value in values:
         if abs(value - plain) <= threshold:
             plain = value
-    assert folds.hold_resolve(folds.hold_summary(values, threshold), start, threshold) == plain
+    assert folds.hold_resolve(folds.hold_summary(values, threshold), start) == plain
 
 
 @given(
@@ -179,7 +181,7 @@ def test_hold_alert_in_segments(spark, per_segment):
         ids = group["id"].tolist()
         expected |= {(key, ids[i], held, value) for i, held, value in hold_by_loop(group["value"].tolist(), 30)}
     got = alerts.jump_alert_hold(
-        spark.createDataFrame(pdf), ["key"], ["ms", "id"], "value", 30, by_time("ms", 500), rows_per_segment=per_segment
+        spark.createDataFrame(pdf), ["key"], ["ms", "id"], "value", 30, by_time("ms", 50), rows_per_segment=per_segment
     )
     assert {(r["key"], r["id"], r["last"], r["value"]) for r in got.collect()} == expected
 
@@ -192,6 +194,28 @@ def test_rise_alarm_in_segments(spark, per_segment):
     for key, group in pdf.sort_values(["ms", "id"]).groupby("key"):
         expected += [(key, t) for t in rise_by_loop(list(zip(group["ms"].tolist(), group["value"])), 150)]
     got = alerts.rise_alarm(
-        spark.createDataFrame(pdf), ["key"], ["ms", "id"], "value", 150, by_time("ms", 500), rows_per_segment=per_segment
+        spark.createDataFrame(pdf), ["key"], ["ms", "id"], "value", 150, by_time("ms", 50), rows_per_segment=per_segment
     )
     assert sorted(map(tuple, got.collect())) == sorted(expected)
+
+
+def test_a_steady_rise_has_a_small_summary():
+    begin = time.perf_counter()
+    bounds, out = folds.hold_summary([i * 0.001 for i in range(1 << 16)], 50)
+    assert len(out) <= 2 and time.perf_counter() - begin < 2
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "decimal(20,6)", "string", "date"])
+def test_keys_of_any_type_stay_apart(spark, kind):
+    """Keys a microsecond apart, and NULL, are keys of their own and come back as they were."""
+    keys = {
+        "timestamp": ["2024-01-01 00:00:00.000001", "2024-01-01 00:00:00.000002", None], "decimal(20,6)": ["1.000001", "1.000002", None],
+        "string": ["", "null", None], "date": ["2024-01-01", "2024-01-02", None],
+    }[kind]
+    rows = [(key, i, value) for k, key in enumerate(keys) for i, value in enumerate((100.0 * k, 100.0 * k + 60, 100.0 * k + 120))]
+    table = spark.createDataFrame(rows, "key string, ms long, value double").withColumn("key", F.col("key").cast(kind))
+    got = alerts.jump_alert_hold(table, ["key"], ["ms"], "value", 50, by_time("ms"), rows_per_segment=2)
+    assert got.schema["key"].dataType.simpleString() == kind
+    expected = [(keys[0], 1), (keys[0], 2), (keys[1], 0), (keys[1], 1), (keys[1], 2), (None, 0), (None, 1), (None, 2)]
+    there = got.select(F.col("key").cast("string"), "ms").collect()
+    assert sorted(map(repr, map(tuple, there))) == sorted(map(repr, expected))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,14 +11,14 @@ from tidegauge.functions.times import day_end_ms, millis
 from tidegauge.operators.folds import (
     NONE, hold_replay, hold_resolve, hold_summary, numbered, rise_replay, rise_resolve, rise_summary, segmented_fold,
 )
-from tidegauge.operators.scans import by_rows, scan
+from tidegauge.operators.scans import Axis, by_rows, scan
 
 # Largest bound that Catalyst turns into a per-task row_number limit.
 GROUP_LIMIT = 1000
 
 
 def jump_alert(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, threshold: float, segment: Column
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, threshold: float, segment: Axis
 ) -> DataFrame:
     """Rows whose value differs from the key's previous one by more than ``threshold``. Adds ``last``."""
     linked = scan(df, keys, order, segment, previous={"last": F.col(value)})
@@ -28,7 +27,7 @@ def jump_alert(
 
 def jump_alert_hold(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, threshold: float,
-    segment: Column, start: float = 0.0, rows_per_segment: int = 1 << 16,
+    segment: Axis, start: float = 0.0, rows_per_segment: int = 1 << 16,
 ) -> DataFrame:
     """As ``jump_alert``, but the reference starts at ``start`` and stays put while a row alerts."""
     rows = df.where(F.col(value).isNotNull()).withColumn(value, F.col(value).cast("double"))
@@ -41,7 +40,7 @@ def jump_alert_hold(
     return segmented_fold(
         numbered(rows, keys, order, segment), keys, [*order, value], float(start),
         summarise=lambda columns: hold_summary(columns[value].tolist(), threshold),
-        resolve=partial(hold_resolve, threshold=threshold),
+        resolve=hold_resolve,
         replay=replay,
         output=", ".join([f"`{name}` {types[name]}" for name in order] + ["last double", f"`{value}` double"]),
         rows_per_segment=rows_per_segment,
@@ -49,7 +48,7 @@ def jump_alert_hold(
 
 
 def rise_alarm(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, wait: str, segment: Column,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, wait: str, segment: Axis,
     rows_per_segment: int = 1 << 16,
 ) -> DataFrame:
     """One ``alarm_ms`` whenever a key's value has risen without a drop for ``wait``.

@@ -30,7 +30,7 @@ def unique_sketch(df: DataFrame, ts: str, size: str, visitor: str, rsd: float =
 
 
 def unique_running(
-    df: DataFrame, ts: str, size: str, visitor: str, sequence: str, name: str = "uv", rows_per_segment: int = 1 << 20
+    df: DataFrame, ts: str, size: str, visitor: str, sequence: str, name: str = "uv", rows_per_segment: int | None = None
 ) -> DataFrame:
     """Each row together with the distinct visitors its window has seen up to and with this row.
 

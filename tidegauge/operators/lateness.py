@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.times import floor_to, millis
-from tidegauge.operators.scans import ROWS_PER_SEGMENT, by_rows, scan
+from tidegauge.operators.scans import by_rows, scan
 from tidegauge.operators.windows import slide_counts
 
 FEW_WINDOWS = 4
 
 
 def arrival_watermark(
-    df: DataFrame, ts_ms: str, arrival: Sequence[str], disorder: str, rows_per_segment: int = ROWS_PER_SEGMENT
+    df: DataFrame, ts_ms: str, arrival: Sequence[str], disorder: str, rows_per_segment: int | None = None
 ) -> DataFrame:
     """Add ``wm_before`` and ``wm_after``, the watermark in ms around the arrival of each row.
 
@@ -86,7 +86,7 @@ def late_window_counts(
 
 def late_changelog(
     df: DataFrame, ts_ms: str, arrival: Sequence[str], size: str, every: str, lateness: str,
-    keys: Sequence[str], name: str = "n", rows_per_segment: int = ROWS_PER_SEGMENT,
+    keys: Sequence[str], name: str = "n", rows_per_segment: int | None = None,
 ) -> DataFrame:
     """Every result a (key, window) emits, with the arrival number that triggered it.
 
@@ -124,9 +124,9 @@ def late_changelog(
             F.col(sequence).alias("__fired_at"),
         )
     )
+    # only a window's first result needs the number of the row that fired it; one row per key and window
     is_first = F.col(sequence) == -1
-    return (
-        results.join(fired, is_first & (F.col("window_end_ms") == F.col("__fired_end")), "left")
-        .withColumn(sequence, F.when(is_first, F.col("__fired_at")).otherwise(F.col(sequence)))
-        .select(*keys, *window, sequence, name)
-    )
+    first = results.where(is_first).join(fired, F.col("window_end_ms") == F.col("__fired_end"), "left")
+    columns = [*keys, *window, sequence, name]
+    first = first.withColumn(sequence, F.col("__fired_at"))
+    return first.select(columns).unionByName(results.where(~is_first).select(columns))

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.times import millis
-from tidegauge.operators.scans import scan
+from tidegauge.operators.scans import Axis, scan
 
 
 def repeated_in_arrival(
-    df: DataFrame, keys: Sequence[str], arrival: Sequence[str], hit: Column, ts_ms: str, bound: str, segment: Column
+    df: DataFrame, keys: Sequence[str], arrival: Sequence[str], hit: Column, ts_ms: str, bound: str, segment: Axis
 ) -> DataFrame:
     """A hit whose previous row of the key, by arrival, also is a hit, less than ``bound`` before it.
 
@@ -28,7 +28,7 @@ def repeated_in_arrival(
 
 def strict_next(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], begin: Column, then: Column,
-    ts_ms: str, bound: str, segment: Column,
+    ts_ms: str, bound: str, segment: Axis,
 ) -> DataFrame:
     """A ``begin`` row directly followed, in event order, by a ``then`` row within less than ``bound``.
 
@@ -44,7 +44,7 @@ def strict_next(
 
 def followed_by(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], begin: Column, then: Column,
-    ts_ms: str, bound: str, segment: Column,
+    ts_ms: str, bound: str, segment: Axis,
 ) -> tuple[DataFrame, DataFrame]:
     """(matched, timed out) for each ``begin`` row: the first later ``then`` row of the key comes
     within less than ``bound``, or it does not. ``then`` rows without a begin are ignored."""

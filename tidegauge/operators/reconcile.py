@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.times import millis
+from tidegauge.operators.aggregates import first_row
 
 
 class Reconciled(NamedTuple):
@@ -17,12 +18,12 @@ class Reconciled(NamedTuple):
 
 
 def earliest_per_key(df: DataFrame, key: str, ts_ms: str, ties: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(one row per key, a count of the surplus rows per repeated key). The earliest row stays.
+    """(one row per key, a count of the surplus rows per repeated key). The earliest row stays; one
+    without a time stays only if its key has no other.
 
     Partial aggregation cuts a key with many copies to one row per task before the shuffle."""
-    order = F.struct(ts_ms, *([ties] if ties else []))
     grouped = df.groupBy(key).agg(
-        F.min_by(F.struct(*[c for c in df.columns if c != key]), order).alias("__row"),
+        first_row([c for c in df.columns if c != key], [ts_ms, *([ties] if ties else [])]).alias("__row"),
         F.count(F.lit(1)).alias("__copies"),
     )
     unique = grouped.select(key, "__row.*").select(*df.columns)

@@ -1,83 +1,75 @@
 """Ordered scans per key that never need all rows of a hot key in one task.
 
 ``Window.partitionBy(key).orderBy(t)`` hands every row of a key to one task. That is the cheapest
-plan while keys are small, and fails when one key holds a large share of the table. ``scan`` uses it
-for keys that are small and cuts the order axis of the others into segments:
+plan while keys are small, and fails when one key holds a large share of the table. ``scan`` cuts
+the order axis of hot keys into segments:
 
-1. rows are windowed per (key, segment), so a hot key spreads over as many tasks as it has segments;
+1. rows are windowed per (key, segment), so a hot key spreads over as many tasks as it has segments
+   and every other key is one segment;
 2. one small row per hot (key, segment) is aggregated with map-side combine, and a window over those
    small rows gives what each segment inherits from the earlier or later ones;
 3. the inherited row joins its segment by union, as one extra first (or last) row, so step 1's
-   window sees it like any other row. There is no join and the rows are shuffled once.
+   window sees it like any other row. The rows are shuffled once.
 
-Which keys are hot is measured: a frequent-items sketch over a hash of the key, one pass that keeps
-constant memory and shuffles only the sketches. It is skipped where the plan's size estimate shows
-that the whole input fits a few tasks.
+Which keys are hot is counted, at every size alike: keys with more than ``HOT_ROWS`` rows are written
+to a small table with their row count and the range of their axis, and that table is joined to the
+rows. It has at most one row per ``HOT_ROWS`` rows of the input; how it is joined is left to
+Catalyst, which knows its size. A key's number of segments follows from its rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.session import SMALL_BYTES, estimated_bytes
+from tidegauge.session import written
 
 SEGMENT = "__segment"
 SLOT = "__slot"
-ROWS_PER_SEGMENT = 1 << 20
-MS_PER_SEGMENT = 1_000
-
+ALL = "__all"
+ROWS_PER_SEGMENT = 1 << 20  # of a hot key, if its rows are spread evenly over the axis
 HOT_ROWS = 1 << 24  # a key with more rows than this is split
-MOST_HOT_KEYS = 4096  # with SKETCH_ITEMS bounds the sketch, and with it what comes to the driver
-SKETCH_ITEMS = 1 << 16
 
 _COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 Aggregates = Mapping[str, tuple[str, Column]]
 
 
-def by_rows(sequence: str, rows: int = ROWS_PER_SEGMENT) -> Column:
-    """Segments of a unique sequence number; none can hold more than ``rows`` rows."""
-    return F.expr(f"`{sequence}` div {rows}")
+class Axis(NamedTuple):
+    """A numeric column that does not fall along the order, and about how many rows a segment of it has."""
 
+    column: str
+    rows: int | None = None
 
-def by_time(ms: str, width_ms: int = MS_PER_SEGMENT) -> Column:
-    """Segments of a millisecond column; choose a width whose rows of one key fit a task."""
-    return F.expr(f"`{ms}` div {width_ms}")
 
+def by_rows(sequence: str, rows: int | None = None) -> Axis:
+    """Segments of a unique sequence number."""
+    return Axis(sequence, rows)
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[int]:
-    """Hashes of the keys with more than HOT_ROWS rows, at most MOST_HOT_KEYS of them.
 
-    A key with more than 1/MOST_HOT_KEYS of all rows is always among them: fewer than MOST_HOT_KEYS
-    others can hold as many, and the sketch's own error is smaller than that share. A hash shared
-    with a hot key only makes another key split as well, which changes no result.
-    """
-    sketch = df.agg(
-        F.expr(f"approx_top_k(xxhash64({', '.join(f'`{key}`' for key in keys)}), {MOST_HOT_KEYS}, {SKETCH_ITEMS})").alias("top")
-    )
-    return [row["item"] for row in sketch.select(F.inline("top")).where(F.col("count") > HOT_ROWS).collect()]
+def by_time(ms: str, rows: int | None = None) -> Axis:
+    """Segments of a millisecond column; rows of one key in one millisecond stay together."""
+    return Axis(ms, rows)
 
 
-def _is_split(df: DataFrame, keys: Sequence[str], split: str) -> Column | None:
-    """Which rows to segment: NULL none, else a condition on the key."""
-    if split == "never":
-        return None
-    if split == "always" or not keys:
-        return F.lit(True)
-    if estimated_bytes(df) <= SMALL_BYTES:
-        return None
-    hot = hot_keys(df, keys)
-    return F.xxhash64(*keys).isin(hot) if hot else None
+def hot_keys(df: DataFrame, keys: Sequence[str], axis: Axis, least: int) -> DataFrame:
+    """The keys with more than ``least`` rows: __hot_0…, their __rows and the axis' range __low, __high."""
+    at = F.col(axis.column).cast("double")
+    counted = df.groupBy(*[F.col(key).alias(f"__hot_{i}") for i, key in enumerate(keys)]).agg(
+        F.count(F.lit(1)).alias("__rows"), F.min(at).alias("__low"), F.max(at).alias("__high")
+    )
+    return written(counted.where(F.col("__rows") > least), "hot-keys")
 
 
 def scan(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    segment: Column,
+    segment: Axis,
     *,
     upto: Aggregates | None = None,
     before: Aggregates | None = None,
@@ -85,15 +77,16 @@ def scan(
     whole: Aggregates | None = None,
     previous: Mapping[str, Column] | None = None,
     following: Mapping[str, Column] | None = None,
-    split: str = "hot",
+    split: bool = True,
 ) -> DataFrame:
     """Add ordered per-key columns.
 
-    ``order`` must be a total order within a key and ``segment`` must not decrease along it.
+    ``order`` must be a total order within a key and ``segment``'s column must not decrease along it.
     ``upto``/``before``/``after`` map a new column to ``(sum|min|max, input)`` over the rows up to
     and with, strictly before, or strictly after the current one, ``whole`` over all rows of the
     key. ``previous``/``following`` map a new column to an expression taken from the neighbouring row. Without keys the whole table is
-    one sequence and always segmented. ``split`` says which keys are segmented: hot, always, never.
+    one sequence and always segmented. Rows with a NULL key are a key of their own. Without ``split``
+    keys are taken to be small.
     """
     folds = {
         f"__{part}_{name}": (part, name, _COMBINE[kind], value)
@@ -124,11 +117,20 @@ def scan(
             for temp, (part, name, _) in picks.items()
         }
 
-    is_split = _is_split(df, keys, split)
-    if is_split is None:
+    if not split and keys:
         return df.withColumns(inputs).withColumns(results([*keys], [*order])).drop(*inputs)
 
-    rows = df.withColumns({SEGMENT: F.when(is_split, segment).otherwise(F.lit(0)), SLOT: F.lit(1), **inputs})
+    whole_table = not keys
+    if whole_table:
+        df, keys = df.withColumn(ALL, F.lit(0)), [ALL]
+    hot = hot_keys(df, keys, segment, 0 if whole_table else HOT_ROWS)
+    is_hot = reduce(Column.__and__, [F.col(key).eqNullSafe(F.col(f"__hot_{i}")) for i, key in enumerate(keys)])
+    joined = df.withColumns(inputs).join(hot, is_hot, "left")
+    segments = F.ceil(F.col("__rows") / (segment.rows or ROWS_PER_SEGMENT))
+    width = (F.col("__high") - F.col("__low") + 1) / segments
+    number = F.floor((F.col(segment.column).cast("double") - F.col("__low")) / width)
+    is_split = F.col("__rows").isNotNull()
+    rows = joined.withColumns({SEGMENT: F.when(is_split, number).otherwise(F.lit(0)), SLOT: F.lit(1)})
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     summary = rows.where(is_split).groupBy(*keys, SEGMENT).agg(
         *[combine(temp).alias(temp) for temp, (_, _, combine, _) in folds.items()],
@@ -160,4 +162,5 @@ def scan(
     found = F.array_compact(F.array(*[name for name in ended.columns if name.startswith("__end")]))
     extra = ended.select(*keys, SEGMENT, F.explode(found).alias("end")).select(*keys, SEGMENT, "end.*")
     together = rows.unionByName(extra, allowMissingColumns=True)
-    return together.withColumns(results([*keys, SEGMENT], [SLOT, *order])).where(F.col(SLOT) == 1).drop(SEGMENT, SLOT, *inputs)
+    found = together.withColumns(results([*keys, SEGMENT], [SLOT, *order])).where(F.col(SLOT) == 1)
+    return found.drop(SEGMENT, SLOT, ALL, "__rows", "__low", "__high", *[f"__hot_{i}" for i in range(len(keys))], *inputs)

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.times import epoch_ms, floor_to, millis, window_ms
-from tidegauge.operators.scans import scan
+from tidegauge.operators.scans import Axis, scan
+from tidegauge.session import written
 
 # Up to this many windows per row, copying panes is cheaper than one more shuffle.
 FEW_WINDOWS = 16
@@ -95,17 +96,19 @@ def slide_counts(
 
     first = F.col("pane_ms") - F.lit(size_ms - every_ms)
     behind = F.col("pane_ms") + F.lit(every_ms)
-    steps = (
+    # few rows beside the input; written, as the scan reads them several times
+    steps = written(
         panes.select(*keys, F.inline(F.array(step(first, 1), step(behind, -1))))
         .groupBy(*keys, "tick_ms")
-        .agg(*[F.sum(m).alias(f"step_{m}") for m in measures])
+        .agg(*[F.sum(m).alias(f"step_{m}") for m in measures]),
+        "window-steps",
     )
     levels = scan(
-        steps, keys, ["tick_ms"], F.expr(f"tick_ms div {every_ms * segment_ticks}"),
+        steps, keys, ["tick_ms"], Axis("tick_ms", segment_ticks),
         upto={m: ("sum", F.col(f"step_{m}")) for m in measures},
         following={"next_ms": F.col("tick_ms")},
         # a key has at most two steps per slide of the time span, however many rows it has
-        split="never" if keys else "always",
+        split=not keys,
     )
     windows = F.sequence(
         F.col("tick_ms"), F.col("next_ms") - F.lit(every_ms), F.lit(every_ms).cast("long")
@@ -122,13 +125,13 @@ def stamp_arrival(df: DataFrame, name: str = "arrived_at") -> DataFrame:
     return df.withColumn(name, F.current_timestamp())
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column, name: str) -> DataFrame:
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Axis, name: str) -> DataFrame:
     """1-based position of each row within its key."""
     return scan(df, keys, order, segment, upto={name: ("sum", F.lit(1).cast("long"))})
 
 
 def count_tumble(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, *aggs: Column, segment: Column
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, *aggs: Column, segment: Axis
 ) -> DataFrame:
     """Per key, one result for every ``rows`` rows in order; an incomplete last window gives none."""
     numbered = number_rows(df, keys, order, segment, "__row")
@@ -143,7 +146,7 @@ def count_tumble(
 
 def count_slide(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, every: int,
-    parts: Mapping[str, tuple[str, Column]], segment: Column,
+    parts: Mapping[str, tuple[str, Column]], segment: Axis,
 ) -> DataFrame:
     """Per key, at every ``every``-th row, the aggregate of the last up to ``rows`` rows.
 

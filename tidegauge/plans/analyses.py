@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tidegauge.functions.text import non_word_tokens, space_tokens, words
 from tidegauge.operators import alerts, lateness, patterns, reconcile, topn, windows
 from tidegauge.operators.aggregates import count_rows
-from tidegauge.operators.scans import by_time
-from tidegauge.session import reused
+from tidegauge.operators.scans import Axis, by_time
+from tidegauge.session import written
 
 
 def page_views(df: DataFrame, viewed: Column, ts: str = "ts", size: str = "1 hour") -> DataFrame:
@@ -40,7 +40,7 @@ def hot_pages(
     disorder: str = "1 second", late: str = "60 seconds", n: int = 5,
 ) -> DataFrame:
     """The ``n`` most requested pages per sliding window, after the accepted late rows."""
-    seen = reused(lateness.arrival_watermark(log, ts_ms, arrival, disorder))
+    seen = written(lateness.arrival_watermark(log, ts_ms, arrival, disorder), "watermarked")
     counts = lateness.late_window_counts(seen, ts_ms, size, every, late, [url])
     return topn.top_n(counts, ["window_end_ms"], "n", [url], n)
 
@@ -77,7 +77,7 @@ def login_alarms(
 
 def order_payments(
     orders: DataFrame, order: str, created: Column, paid: Column, ts_ms: str, ties: str,
-    bound: str = "15 minutes", segment: Column | None = None,
+    bound: str = "15 minutes", segment: Axis | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(orders paid in time, orders timed out), with their result message."""
     done, expired = patterns.followed_by(
@@ -98,7 +98,7 @@ def station_calls(
     disorder: str = "2 seconds", late: str = "4 seconds",
 ) -> tuple[DataFrame, DataFrame]:
     """(every result per station and window, rows too late for all their windows)."""
-    seen = reused(lateness.arrival_watermark(log, ts_ms, arrival, disorder))
+    seen = written(lateness.arrival_watermark(log, ts_ms, arrival, disorder), "watermarked")
     _, too_late = lateness.late_split(seen, ts_ms, size, every, late)
     return lateness.late_changelog(seen, ts_ms, arrival, size, every, late, [station]), too_late
 

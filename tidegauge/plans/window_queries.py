@@ -11,7 +11,7 @@ from tidegauge.operators.aggregates import count_rows, first_row
 from tidegauge.plans import analyses
 from tidegauge.plans.registry import query
 from tidegauge.plans.tables import EVENTS_SQL, STATION_SQL, events, station_log
-from tidegauge.session import reused
+from tidegauge.session import written
 from tidegauge.sources.files import access_log
 
 HOUR, MINUTE, SECOND = 3_600_000, 60_000, 1_000
@@ -157,7 +157,7 @@ OPEN_SQL = f"""
 
 def watermarked(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = station_log(spark, sf_dir).select("event_id", "seq", "ms", "event_type", "k")
-    return reused(lateness.arrival_watermark(log, "ms", ["seq", "event_id"], "30 minutes"))
+    return written(lateness.arrival_watermark(log, "ms", ["seq", "event_id"], "30 minutes"), "watermarked")
 
 
 @query("arrival_watermark", f"SELECT event_id, seq, ms, wm_before, wm_after FROM ({WATERMARKED_SQL})")

@@ -3,19 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SMALL_BYTES = 64 << 20  # an input up to this size fits a few tasks, whatever its keys
-
-
-def estimated_bytes(df: DataFrame) -> float:
-    """The size estimate of the plan, before pruning; unknown counts as large."""
-    try:
-        return float(df._jdf.queryExecution().analyzed().stats().sizeInBytes())
-    except AttributeError:
-        return float("inf")
-
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and benchmarks on one machine."""
@@ -53,16 +44,15 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def reused(df: DataFrame) -> DataFrame:
-    """A DataFrame that several branches of a plan read.
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
 
-    A large one is checkpointed to the shared folder, so that its scans and shuffles run once and a
-    lost executor does not repeat them. A small one is cheaper to compute again.
+    Branches of a plan that read it share one evaluation, a lost executor repeats a read only, and
+    Catalyst knows its real size.
     """
-    if estimated_bytes(df) <= SMALL_BYTES:
-        return df
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def pin_utc(spark: SparkSession) -> None:

@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidegauge.session import SMALL_BYTES, estimated_bytes
-
 REJECTED = "rejected_line"
 BUCKET_FORMAT = "yyyy-MM-dd--HH"
 
@@ -82,17 +80,12 @@ def bucket_of(ts: Column | str) -> Column:
 def write_bucketed_parquet(df: DataFrame, path: str, ts: str, max_records_per_file: int = 5_000_000) -> None:
     """Parquet in one directory per date-hour bucket.
 
-    Rows are brought together by bucket so a task does not open a file in every bucket; adaptive
-    execution splits a bucket that is too large for one task.
+    Rows are dealt out by ranges of time, so a task opens few buckets and a busy hour, which spans
+    several ranges, is written by several tasks.
     """
     bucketed = df.withColumn("bucket", bucket_of(ts))
-    if estimated_bytes(df) <= SMALL_BYTES:
-        # rebalancing would leave a small input to one task, which writes bucket after bucket
-        spread = bucketed.repartition(df.sparkSession.sparkContext.defaultParallelism, "bucket")
-    else:
-        spread = bucketed.hint("rebalance", F.col("bucket"))
     (
-        spread.write.mode("overwrite")
+        bucketed.repartitionByRange("bucket", ts).write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("bucket")
         .parquet(path)
