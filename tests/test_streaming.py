@@ -12,7 +12,8 @@ from tidegauge.plans import catalog, streaming_queries
 from tidegauge.plans.tables import fresh_folder, table, typed_events
 from tidegauge.streaming import processors
 from tidegauge.streaming.run import (
-    EndOfInput, append_files, drain, file_stream, rolling_text, run_with_end, split_outputs, state_settings,
+    EndOfInput, LateRows, append_files, drain, file_stream, rolling_text, run_with_end, split_late, split_outputs,
+    state_settings,
 )
 from tidegauge.streaming.windows import windowed_counts
 
@@ -49,6 +50,50 @@ def test_four_batches_equal_sql(spark, parts_dir, name, monkeypatch):
     assert compare(got, connect(SF_DIR), catalog.oracles()[name]) == ""
 
 
+# what these give must not depend on the order of files; the other queries number rows by arrival
+ANY_ORDER = [
+    "streaming_pageviews", "streaming_sliding_counts", "streaming_hot_items_top5", "streaming_uv_exact", "streaming_updates",
+    "streaming_window_updates", "streaming_late_side_output", "streaming_reconcile", "streaming_jump_alert",
+    "streaming_jump_alert_hold", "streaming_rise_alarm", "streaming_login_fail_strict_next", "streaming_order_payments",
+]
+
+
+@pytest.fixture(scope="module")
+def shuffled_dir(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("shuffled")
+    events = table(spark, SF_DIR, "events")
+    for part in (2, 0, 3, 1):
+        events.where(F.expr(f"event_id div 250 = {part}")).coalesce(1).write.mode("append").parquet(str(folder / "events.parquet"))
+        time.sleep(0.05)
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ANY_ORDER)
+def test_files_out_of_time_order_lose_no_row(spark, shuffled_dir, name, monkeypatch):
+    monkeypatch.setattr(streaming_queries, "FILES_PER_TRIGGER", 1)
+    assert compare(catalog.queries()[name](spark, shuffled_dir), connect(SF_DIR), catalog.oracles()[name]) == ""
+
+
+def test_late_rows_have_their_own_output(spark, shuffled_dir, tmp_path):
+    schema = table(spark, SF_DIR, "events").schema
+    start = split_late(file_stream(spark, f"{shuffled_dir}/{{events.parquet}}", schema, files_per_trigger=1), str(tmp_path), "ts", 60_000)
+    drain(start)
+    kept, late = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("kept", "late"))
+    high, expected = None, 0
+    for part in (2, 0, 3, 1):
+        times = [r[0] for r in table(spark, SF_DIR, "events").where(F.expr(f"event_id div 250 = {part}")).select(F.unix_millis(F.col("ts").cast("timestamp"))).collect()]
+        expected += sum(high is not None and t < high - 60_000 for t in times)
+        high = max(times + ([] if high is None else [high]))
+    assert late.count() == expected > 0 and kept.count() + expected == 1000
+
+
+def test_rows_the_engine_drops_are_an_error(spark, shuffled_dir, tmp_path):
+    schema = table(spark, SF_DIR, "events").schema
+    rows = typed_events(file_stream(spark, f"{shuffled_dir}/{{events.parquet}}", schema, files_per_trigger=1))
+    with state_settings(spark, 2), pytest.raises(LateRows):
+        drain(append_files(windowed_counts(rows, "ts", "0 seconds", "1 hour"), str(tmp_path)))
+
+
 def test_open_windows_wait_for_the_end_marker(spark):
     folder = fresh_folder(spark, "end")
     schema = table(spark, SF_DIR, "events").schema

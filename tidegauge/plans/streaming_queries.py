@@ -18,24 +18,33 @@ from tidegauge.plans.registry import ORACLES, query
 from tidegauge.plans.tables import EVENTS_SQL, fresh_folder, table, typed_events
 from tidegauge.streaming import processors, windows
 from tidegauge.streaming.run import (
-    EndOfInput, append_files, bucketed_parquet, drain, file_stream, latest, run_with_end, split_outputs,
-    state_settings, updates,
+    IS_END, EndOfInput, append_files, bucketed_parquet, drain, feed_disorder_ms, file_stream, latest, run_with_end,
+    split_late, split_outputs, state_settings, updates,
 )
 
 HOUR_MS = 3_600_000
-FILES_PER_TRIGGER = 200  # bounds a micro-batch, and with it what a processor holds of one key
+FILES_PER_TRIGGER = 200  # bounds a micro-batch, and with it what a processor holds of one key; results don't depend on it
 ROW = "ms long, event_id long, value double, kind int"
 
 
+def event_files(sf_dir: str) -> str:
+    """As a pattern, since the table may be one file or a folder of files."""
+    return f"{sf_dir}/{{events.parquet}}"
+
+
 def event_stream(spark: SparkSession, sf_dir: str, folder: str) -> tuple[DataFrame, EndOfInput]:
-    """The events table as a stream, followed by its end marker (a row without ``event_id``)."""
+    """The events table as a stream, followed by its end marker, the row with ``is_end``."""
     schema = table(spark, sf_dir, "events").schema
-    # given as a pattern, the table may be one file or a folder of files
-    files = file_stream(spark, f"{sf_dir}/{{events.parquet}}", schema, files_per_trigger=FILES_PER_TRIGGER)
+    files = file_stream(spark, event_files(sf_dir), schema, files_per_trigger=FILES_PER_TRIGGER)
     end = EndOfInput(spark, folder, schema)
     return typed_events(end.follow(files)), end
 
 
+def event_delay(spark: SparkSession, sf_dir: str, least_ms: int = 0) -> str:
+    """The delay with which no row of the table is late, in whatever order its files come."""
+    return f"{max(least_ms, feed_disorder_ms(table(spark, sf_dir, 'events'), 'ts'))} milliseconds"
+
+
 def finish(spark: SparkSession, folder: str, start: Callable[[], StreamingQuery], *ends: EndOfInput) -> None:
     with state_settings(spark):
         run_with_end(start, *ends)
@@ -53,8 +62,8 @@ def append_and_read(spark: SparkSession, out: DataFrame, folder: str, *ends: End
 def streaming_pageviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "pageviews")
     rows, end = event_stream(spark, sf_dir, folder)
-    seen = rows.where((F.col("event_type") == "view") | F.col("event_id").isNull())
-    counts = windows.windowed_counts(seen, "ts", "0 seconds", "1 hour").select(
+    seen = rows.where((F.col("event_type") == "view") | F.col(IS_END))
+    counts = windows.windowed_counts(seen, "ts", event_delay(spark, sf_dir), "1 hour").select(
         "window_end_ms", F.col("n").alias("pv")
     )
     return append_and_read(spark, counts, folder, end)
@@ -68,7 +77,7 @@ def streaming_pageviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streaming_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "sliding")
     rows, end = event_stream(spark, sf_dir, folder)
-    counts = windows.windowed_counts(rows, "ts", "10 seconds", "2 hours", "10 minutes", ["event_type"])
+    counts = windows.windowed_counts(rows, "ts", event_delay(spark, sf_dir, 10_000), "2 hours", "10 minutes", ["event_type"])
     return append_and_read(spark, counts.drop("window_start_ms"), folder, end)
 
 
@@ -76,8 +85,8 @@ def streaming_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streaming_hot_items_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "hot-items")
     rows, end = event_stream(spark, sf_dir, folder)
-    seen = rows.where((F.col("event_type") == "view") | F.col("event_id").isNull()).withColumnRenamed("k", "item_id")
-    counts = windows.windowed_counts(seen, "ts", "0 seconds", "1 hour", "5 minutes", ["item_id"])
+    seen = rows.where((F.col("event_type") == "view") | F.col(IS_END)).withColumnRenamed("k", "item_id")
+    counts = windows.windowed_counts(seen, "ts", event_delay(spark, sf_dir), "1 hour", "5 minutes", ["item_id"])
     finish(spark, folder, windows.top_n_writer(counts.drop("window_start_ms"), folder, "item_id", 5), end)
     return spark.read.parquet(f"{folder}/out").drop("batch")
 
@@ -86,9 +95,9 @@ def streaming_hot_items_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streaming_uv_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "uv")
     rows, end = event_stream(spark, sf_dir, folder)
-    seen = rows.where((F.col("event_type") == "view") | F.col("event_id").isNull())
+    seen = rows.where((F.col("event_type") == "view") | F.col(IS_END))
     return append_and_read(
-        spark, windows.unique_visitors(seen, "ts", "0 seconds", "1 hour", "user_id").select("window_end_ms", "uv"),
+        spark, windows.unique_visitors(seen, "ts", event_delay(spark, sf_dir), "1 hour", "user_id").select("window_end_ms", "uv"),
         folder, end,
     )
 
@@ -157,12 +166,22 @@ def streaming_window_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     watermark, here the disorder plus the allowed lateness behind, has passed them."""
     folder = fresh_folder(spark, "window-updates")
     rows, _ = event_stream(spark, sf_dir, folder)
-    counts = windows.windowed_counts(rows.where(F.col("event_type") == "view"), "ts", "61 seconds", "1 hour")
+    counts = windows.windowed_counts(rows.where(F.col("event_type") == "view"), "ts", event_delay(spark, sf_dir, 61_000), "1 hour")
     with state_settings(spark):
         drain(updates(counts.select("window_end_ms", "n"), folder))
     return latest(spark.read.parquet(f"{folder}/out"), "window_end_ms")
 
 
+@query("streaming_late_side_output", f"SELECT event_id, cents FROM ({EVENTS_SQL})")
+def streaming_late_side_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows behind the stream's own watermark go to a second output; both together are the input."""
+    folder = fresh_folder(spark, "late")
+    rows, _ = event_stream(spark, sf_dir, folder)
+    drain(split_late(rows.select("event_id", "cents", "ts"), folder, "ts", 60_000))
+    kept, late = (spark.read.schema("event_id long, cents long").parquet(f"{folder}/{name}") for name in ("kept", "late"))
+    return kept.unionByName(late).select("event_id", "cents")
+
+
 # --- join ---------------------------------------------------------------------------------------
 
 
@@ -179,13 +198,15 @@ def streaming_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     b, right_end = event_stream(spark, sf_dir, f"{folder}/right")
 
     def side(rows: DataFrame, odd: int, name: str) -> DataFrame:
-        return rows.where((F.col("event_id") % 2 == odd) | F.col("event_id").isNull()).select(
-            F.expr("event_id div 2 AS pair"), F.timestamp_millis("ms").alias(f"{name}_ts"), F.col("ms").alias(f"{name}_ms")
+        return rows.where((F.col("event_id") % 2 == odd) | F.col(IS_END)).select(
+            F.expr("event_id div 2 AS pair"), F.timestamp_millis("ms").alias(f"{name}_ts"), F.col("ms").alias(f"{name}_ms"),
+            F.col(IS_END).alias(f"{name}_end"),
         )
 
-    joined = windows.reconcile(side(a, 0, "left"), side(b, 1, "right"), "pair", "left_ts", "right_ts", "5 minutes")
-    out = joined.where(F.col("pair").isNotNull()).select("pair", "left_ms", "right_ms", "side")
-    return append_and_read(spark, out, folder, left_end, right_end)
+    joined = windows.reconcile(side(a, 0, "left"), side(b, 1, "right"), "pair", "left_ts", "right_ts", "5 minutes", event_delay(spark, sf_dir))
+    marker = F.coalesce("left_end", F.lit(False)) | F.coalesce("right_end", F.lit(False))
+    out = joined.select("pair", "left_ms", "right_ms", "side", marker.alias(IS_END))
+    return append_and_read(spark, out, folder, left_end, right_end).where(~F.col(IS_END)).drop(IS_END)
 
 
 # --- processors ---------------------------------------------------------------------------------
@@ -196,17 +217,18 @@ def by_user(spark: SparkSession, sf_dir: str, folder: str, kind=None) -> tuple[D
     kind = F.lit(0) if kind is None else kind
     # The end marker passes as a row of its own key. Filtering it out here would not work: Spark
     # moves the filter below the watermark, which then never sees the marker.
-    return rows.withWatermark("ts", "0 seconds").select(
-        "user_id", "ts", "ms", F.coalesce("event_id", F.lit(-1)).alias("event_id"), "value", kind.cast("int").alias("kind")
+    return rows.withWatermark("ts", event_delay(spark, sf_dir)).select(
+        "user_id", IS_END, "ts", "ms", F.coalesce("event_id", F.lit(-1)).alias("event_id"), "value", kind.cast("int").alias("kind")
     ), end
 
 
 def run_events(spark: SparkSession, sf_dir: str, name: str, make, output: str, kind=None) -> DataFrame:
     folder = fresh_folder(spark, name)
     rows, end = by_user(spark, sf_dir, folder, kind)
-    processor = make(["user_id"], ["ms", "event_id"], ["ms", "event_id", "value", "kind"], ROW)
-    found = processors.process(rows, ["user_id"], processor, f"user_id long, {output}", "EventTime")
-    return append_and_read(spark, found, folder, end).where(F.col("user_id").isNotNull())
+    keys = ["user_id", IS_END]
+    processor = make(keys, ["ms", "event_id"], ["ms", "event_id", "value", "kind"], ROW)
+    found = processors.process(rows, keys, processor, f"user_id long, {IS_END} boolean, {output}", "EventTime")
+    return append_and_read(spark, found, folder, end).where(~F.col(IS_END)).drop(IS_END)
 
 
 @query("streaming_jump_alert", ORACLES["jump_alert"])
@@ -307,17 +329,17 @@ def streaming_click_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passed rows and alarms go to separate outputs; an event-time timer resets each day's count."""
     folder = fresh_folder(spark, "click-cap")
     rows, end = event_stream(spark, sf_dir, folder)
-    keys = ["user_id", "event_type", "reset_ms"]
-    clicks = rows.withWatermark("ts", "0 seconds").withColumns(
+    keys = ["user_id", "event_type", IS_END, "reset_ms"]
+    clicks = rows.withWatermark("ts", event_delay(spark, sf_dir)).withColumns(
         {"reset_ms": day_end_ms("ts"), "event_id": F.coalesce("event_id", F.lit(-1))}
     )
     found = processors.process(
         clicks.select(*keys, "ts", "event_id"), keys,
         processors.DailyCap(keys, "event_id", 2),
-        "user_id long, event_type string, reset_ms long, event_id long, output string", "EventTime",
+        f"user_id long, event_type string, {IS_END} boolean, reset_ms long, event_id long, output string", "EventTime",
     )
     outputs = {
-        name: (lambda batch, name=name: batch.where((F.col("output") == name) & (F.col("event_id") >= 0))) for name in ("pass", "alarm")
+        name: (lambda batch, name=name: batch.where((F.col("output") == name) & ~F.col(IS_END))) for name in ("pass", "alarm")
     }
     finish(spark, folder, split_outputs(found, folder, outputs), end)
     passed, alarms = (spark.read.parquet(f"{folder}/{name}").select("event_id", "output") for name in outputs)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from tidegauge.sources.files import bucket_of
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+IS_END = "is_end"
 END_OF_TIME = "2200-01-01 00:00:00"  # still fits the nanosecond timestamps of pandas
 
 
@@ -37,6 +38,7 @@ def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterat
     wanted = {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
+        "spark.sql.streaming.numRecentProgressUpdates": "10000",  # drain looks through them for dropped rows
     }
     before = {name: spark.conf.get(name, None) for name in wanted}
     for name, value in wanted.items():
@@ -48,13 +50,41 @@ def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterat
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def drain(start: Callable[[], StreamingQuery]) -> None:
-    """Run a query over everything that is available now."""
+class LateRows(RuntimeError):
+    """The engine dropped rows behind the watermark that no output holds."""
+
+
+def drain(start: Callable[[], StreamingQuery], late_rows_go: bool = False) -> None:
+    """Run a query over everything that is available now.
+
+    Fails if the engine dropped rows behind the watermark, unless the caller lets them go: a stream
+    whose late rows matter keeps them with ``split_late`` first.
+    """
     query = start()
     try:
         query.awaitTermination()
+        dropped = sum(state.numRowsDroppedByWatermark for progress in query.recentProgress for state in progress.stateOperators)
     finally:
         query.stop()
+    if dropped and not late_rows_go:
+        raise LateRows(f"{dropped} rows came behind the watermark and were dropped")
+
+
+def feed_disorder_ms(files: DataFrame, ts: str) -> int:
+    """How far behind the latest time of earlier files a file's first time lies, at most, in ms.
+
+    ``files`` is a batch read of the folder a stream will read. The file source delivers files by
+    modification time; files of one modification time may come in any order. A stream with this
+    much delay drops none of their rows, however few files a micro-batch holds.
+    """
+    at = F.unix_millis(F.col(ts).cast("timestamp"))
+    per_time = files.groupBy(F.col("_metadata.file_modification_time").alias("moved")).agg(
+        F.min(at).alias("low"), F.max(at).alias("high"), F.count_distinct("_metadata.file_path").alias("files")
+    )
+    earlier = F.max("high").over(Window.orderBy("moved").rowsBetween(Window.unboundedPreceding, -1))
+    latest_before = F.greatest(F.coalesce(earlier, F.col("low")), F.when(F.col("files") > 1, F.col("high")))
+    behind = per_time.select((latest_before - F.col("low")).alias("behind"))
+    return max(0, behind.agg(F.max("behind")).first()[0] or 0)
 
 
 def append_files(out: DataFrame, folder: str, fmt: str = "parquet", **options: str) -> Callable[[], StreamingQuery]:
@@ -107,6 +137,34 @@ def split_outputs(
     )
 
 
+def split_late(rows: DataFrame, folder: str, ts: str, disorder_ms: int) -> Callable[[], StreamingQuery]:
+    """Write every row to one of two outputs: ``kept``, or ``late`` if it is behind the watermark.
+
+    The watermark of a batch is the latest time of all earlier batches, less the allowed disorder.
+    Each batch records its latest time under its own id, so a repeated batch finds the watermark it
+    had. A stream over ``kept`` with the same disorder as delay has no late rows.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, at = batch.sparkSession, F.unix_millis(F.col(ts).cast("timestamp"))
+        spark.createDataFrame([], "high long").write.mode("overwrite").parquet(f"{folder}/seen/batch=-1")
+        seen = spark.read.schema("high long, batch long").parquet(f"{folder}/seen").where(F.col("batch") < batch_id)
+        high = seen.agg(F.max("high")).first()[0]
+        late = F.lit(False) if high is None else F.coalesce(at < high - disorder_ms, F.lit(False))
+        kept = batch.persist()
+        try:
+            for name, chosen in (("kept", ~late), ("late", late)):
+                kept.where(chosen).write.mode("overwrite").parquet(f"{folder}/{name}/batch={batch_id}")
+            kept.agg(F.max(at).alias("high")).write.mode("overwrite").parquet(f"{folder}/seen/batch={batch_id}")
+        finally:
+            kept.unpersist()
+
+    return lambda: (
+        rows.writeStream.foreachBatch(write).outputMode("append")
+        .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    )
+
+
 def updates(out: DataFrame, folder: str) -> Callable[[], StreamingQuery]:
     """Write the changed results of every batch; ``latest`` picks the valid ones."""
     return split_outputs(out, folder, {"out": lambda batch: batch}, mode="update")
@@ -123,7 +181,8 @@ class EndOfInput:
 
     Results wait until event time passes them, which the last rows of a finite input never see.
     The marker source is empty while the input is read. ``close`` writes one row far in the future
-    to it, and running the query again from its checkpoint moves the watermark past everything.
+    to it, and running the query again from its checkpoint moves the watermark past everything. The
+    column ``is_end`` tells the marker from genuine rows.
     """
 
     def __init__(self, spark: SparkSession, folder: str, schema: StructType, ts: str = "ts"):
@@ -132,7 +191,7 @@ class EndOfInput:
 
     def follow(self, rows: DataFrame) -> DataFrame:
         marker = self.spark.readStream.schema(self.schema).parquet(self.folder)
-        return rows.unionByName(marker)
+        return rows.withColumn(IS_END, F.lit(False)).unionByName(marker.withColumn(IS_END, F.lit(True)))
 
     def close(self) -> None:
         cells = [
