@@ -13,11 +13,11 @@ from tidegauge.sources import access_log, key_value_lines
 from tidegauge.sources.schemas import FEEDBACK
 
 
-@pytest.fixture(autouse=True, params=[0, 1 << 70])
+@pytest.fixture(autouse=True, params=[0, 1 << 60])
 def split_or_not(request, monkeypatch):
-    """Once with every key split into segments, once as the plain windows of small inputs."""
-    monkeypatch.setattr(scans, "SMALL_BYTES", request.param)
-    monkeypatch.setattr(scans, "HOT_ROWS", 0)
+    """Once with every key split into segments, once with none hot."""
+    monkeypatch.setattr(scans, "HOT_ROWS", request.param)
+    monkeypatch.setattr(scans, "ROWS_PER_SEGMENT", 2)
 
 
 def rows_of(df, *columns):
@@ -159,10 +159,13 @@ def test_access_log_and_lines(spark):
     lines = spark.createDataFrame(
         [("1.2.3.4 u - 17/05/2015:10:05:03 +0200 GET /a",), ("broken",), ("1.2.3.4 u - nonsense +0000 GET /b",)], "value string"
     )
-    parsed = access_log(lines).withColumn("ms", F.unix_millis("ts"))
+    parsed, bad = access_log(lines)
+    parsed = parsed.withColumn("ms", F.unix_millis("ts"))
+    assert rows_of(bad, "rejected_line") == [("1.2.3.4 u - nonsense +0000 GET /b",), ("broken",)]
     assert rows_of(parsed, "ip", "user_id", "method", "url", "ms") == [("1.2.3.4", "u", "GET", "/a", 1431849903000)]
     rows = spark.createDataFrame([("id1 10 3",), ("",), ("id2 x 3",), ("id3 4",)], "value string")
-    assert rows_of(key_value_lines(rows, FEEDBACK)) == [("id1", 10, 3)]
+    good, bad = key_value_lines(rows, FEEDBACK)
+    assert rows_of(good) == [("id1", 10, 3)] and rows_of(bad) == [("id2 x 3",), ("id3 4",)]
 
 
 # seconds after 10:05, page, in order of arrival
@@ -177,7 +180,7 @@ def test_hot_pages(spark):
         [(i, f"1.2.3.4 - - 17/05/2015:10:05:{s:02d} +0000 GET /{page}") for i, (s, page) in enumerate(REQUESTS)],
         "seq long, value string",
     )
-    log = access_log(lines).withColumn("ms", F.unix_millis("ts"))
+    log = access_log(lines)[0].withColumn("ms", F.unix_millis("ts"))
     seen = lateness.arrival_watermark(log, "ms", ["seq"], "1 second")
     counts = lateness.late_window_counts(seen, "ms", "10 minutes", "5 seconds", "60 seconds", ["url"])
     summary = counts.agg(F.count(F.lit(1)), F.count_distinct("window_end_ms"), F.max("n"), F.sum("n"))
@@ -192,3 +195,28 @@ def test_clock_windows_count_every_row(spark):
 
     stamped = windows.stamp_arrival(spark.range(100))
     assert windows.tumble(stamped, "arrived_at", "5 seconds", count_rows()).agg(F.sum("n")).first()[0] == 100
+
+
+def test_nulls_are_never_the_extreme_or_first_row(spark):
+    from tidegauge.operators.aggregates import extreme, first_row
+
+    df = spark.createDataFrame(
+        [(1, 1, 5), (1, 2, None), (1, 3, 3), (1, 4, 3), (2, 5, None), (2, 6, None), (3, None, 7), (3, 7, 7), (4, 8, -(1 << 63)), (4, 9, -(1 << 63))],
+        "key int, id long, v long",
+    )
+    least = df.groupBy("key").agg(*extreme("v", ["id"], ["id"], "min", True))
+    most = df.groupBy("key").agg(*extreme("v", ["id"], ["id"], "max", True))
+    low = -(1 << 63)
+    assert rows_of(least, "key", "v", "id") == [(1, 3, 3), (2, None, 5), (3, 7, 7), (4, low, 8)]
+    assert rows_of(most, "key", "v", "id") == [(1, 5, 1), (2, None, 5), (3, 7, 7), (4, low, 8)]
+    text = spark.createDataFrame([(1, "a"), (2, "c"), (3, "c"), (4, None)], "id long, v string")
+    assert [tuple(r) for r in text.agg(*extreme("v", ["id"], ["id"], "max", True)).collect()] == [("c", 2)]
+    assert df.groupBy("key").agg(first_row(["v", "id"], ["id"]).alias("r")).where("key = 3").first()["r"]["id"] == 7
+
+
+def test_a_row_without_time_stays_only_alone(spark):
+    from tidegauge.operators import reconcile
+
+    df = spark.createDataFrame([(1, None, 1), (1, 5, 2), (2, None, 3)], "tx int, ms long, id long")
+    unique, surplus = reconcile.earliest_per_key(df, "tx", "ms", "id")
+    assert rows_of(unique, "tx", "ms", "id") == [(1, 5, 2), (2, None, 3)] and rows_of(surplus) == [(1, 1)]

@@ -182,7 +182,19 @@ def key_value_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = events(spark, sf_dir).select("user_id", F.expr("ms div 1000 AS ts"), "k")
     folder = fresh_folder(spark, "lines")
     write_delimited(rows, folder, sep=" ")
-    return key_value_lines(spark.read.text(folder), FEEDBACK)
+    return key_value_lines(spark.read.text(folder), FEEDBACK)[0]
+
+
+@query("key_value_rejects", f"""
+    SELECT CASE WHEN event_id % 5 > 0 THEN user_id::VARCHAR END AS id, CASE WHEN event_id % 5 > 0 THEN ms // 1000 END AS ts,
+           CASE WHEN event_id % 5 > 0 THEN CAST(k AS INTEGER) END AS fre,
+           CASE WHEN event_id % 5 = 0 THEN user_id || ' ' || ms // 1000 || ' x' END AS rejected_line
+    FROM ({EVENTS_SQL})""")
+def key_value_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    last = F.when(F.col("event_id") % 5 == 0, F.lit("x")).otherwise(F.col("k").cast("string"))
+    lines = events(spark, sf_dir).select(F.concat_ws(" ", F.col("user_id").cast("string"), F.expr("ms div 1000").cast("string"), last).alias("value"))
+    records, rejected = key_value_lines(lines, FEEDBACK)
+    return records.unionByName(rejected, allowMissingColumns=True)
 
 
 @query("parquet_bucketed", f"""

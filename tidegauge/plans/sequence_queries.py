@@ -10,7 +10,7 @@ from tidegauge.operators import alerts, patterns, reconcile, rolling, windows
 from tidegauge.operators.aggregates import exact_mean, extreme, whole_mean
 from tidegauge.operators.scans import by_rows, by_time, scan
 from tidegauge.plans import analyses
-from tidegauge.plans.registry import query
+from tidegauge.plans.registry import ORACLES, query
 from tidegauge.plans.tables import EVENTS_SQL, STATION_SQL, events, station_log, table
 
 HOUR = 3_600_000
@@ -235,6 +235,20 @@ def rise_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.rise_alarm(rows, ["user_id"], ["ms", "event_id"], "value", "12 hours", by_time("ms"))
 
 
+# the same on a clock that is supplied with the rows, here a minute for each arrival number
+CLOCKED_SQL = f"""
+    SELECT user_id, event_id, seq * 60000 AS ms, value,
+           row_number() OVER (PARTITION BY user_id ORDER BY seq, event_id) AS rn,
+           lag(value) OVER (PARTITION BY user_id ORDER BY seq, event_id) AS last
+    FROM ({STATION_SQL})"""
+
+
+@query("rise_alarm_clock", ORACLES["rise_alarm"].replace(ORDERED_SQL, CLOCKED_SQL))
+def rise_alarm_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = station_log(spark, sf_dir).select("user_id", (F.col("seq") * 60_000).alias("clock_ms"), "event_id", "value")
+    return alerts.rise_alarm(rows, ["user_id"], ["clock_ms", "event_id"], "value", "12 hours", by_time("clock_ms"))
+
+
 CAPPED_SQL = f"""
     SELECT *, row_number() OVER (PARTITION BY user_id, event_type, ms // 86400000 ORDER BY event_id) AS nth
     FROM ({EVENTS_SQL})"""
@@ -343,3 +357,12 @@ def earliest_receipt(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("orderkey"), epoch_ms("l_shipdate").alias("shipped_ms"), F.col("l_partkey").alias("partkey")
     )
     return reconcile.earliest_per_key(shipments, "orderkey", "shipped_ms", "partkey")[0]
+
+
+@query("earliest_receipt_surplus", """
+    SELECT l_orderkey AS orderkey, count(*) - 1 AS surplus_rows FROM lineitem GROUP BY 1 HAVING count(*) > 1""")
+def earliest_receipt_surplus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shipments = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("orderkey"), epoch_ms("l_shipdate").alias("shipped_ms"), F.col("l_partkey").alias("partkey")
+    )
+    return reconcile.earliest_per_key(shipments, "orderkey", "shipped_ms", "partkey")[1]

@@ -9,7 +9,7 @@ from tidegauge.functions.times import epoch_ms
 from tidegauge.operators import distinct, lateness, topn, windows
 from tidegauge.operators.aggregates import count_rows, first_row
 from tidegauge.plans import analyses
-from tidegauge.plans.registry import query
+from tidegauge.plans.registry import ORACLES, query
 from tidegauge.plans.tables import EVENTS_SQL, STATION_SQL, events, station_log
 from tidegauge.session import written
 from tidegauge.sources.files import access_log
@@ -59,10 +59,16 @@ def uv_bitmap_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct.unique_bitmap(views, "ts", "1 hour", "user_id").select("window_end_ms", "uv")
 
 
-@query("uv_sketch_daily")
+@query("uv_sketch_daily", f"""
+    SELECT ms // 86400000 * 86400000 + 86400000 AS window_end_ms, count(DISTINCT user_id) AS exact, true AS close
+    FROM ({EVENTS_SQL}) WHERE event_type = 'view' GROUP BY 1""")
 def uv_sketch_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    views = events(spark, sf_dir).where(viewed())
-    return distinct.unique_sketch(views, "ts", "1 day", "user_id").select("window_end_ms", "uv")
+    """The sketch beside the exact count: within three of its relative standard deviations."""
+    views, rsd = events(spark, sf_dir).where(viewed()), 0.02
+    sketch = distinct.unique_sketch(views, "ts", "1 day", "user_id", rsd, "sketch")
+    exact = distinct.unique_exact(views, "ts", "1 day", "user_id", "exact")
+    off = F.abs(F.col("sketch") - F.col("exact"))
+    return exact.join(sketch, "window_end_ms").select("window_end_ms", "exact", (off <= 3 * rsd * F.col("exact")).alias("close"))
 
 
 @query("uv_running", f"""
@@ -136,10 +142,27 @@ def log_parse_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("/item/"), F.col("k").cast("string")),
         ).alias("value")
     )
-    counts = windows.slide_counts(access_log(lines), "ts", "10 minutes", "1 minute", ["url"])
+    counts = windows.slide_counts(access_log(lines)[0], "ts", "10 minutes", "1 minute", ["url"])
     return topn.top_n(counts, ["window_end_ms"], "n", ["url"], 5).select("window_end_ms", "url", "n", "rank")
 
 
+@query("access_log_rejects", f"""
+    SELECT event_id, CASE WHEN event_id % 7 > 1 THEN '/item/' || k END AS url,
+           CASE WHEN event_id % 7 = 0 THEN 'broken ' || event_id
+                WHEN event_id % 7 = 1 THEN '10.0.0.1 u - soon +0000 GET /item/' || k END AS rejected_line
+    FROM ({EVENTS_SQL})""")
+def access_log_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good lines and two sorts of bad ones; both outputs together are the input."""
+    url, turn = F.concat(F.lit("/item/"), F.col("k").cast("string")), F.col("event_id") % 7
+    time = F.when(turn == 1, F.lit("soon")).otherwise(F.date_format("ts", "dd/MM/yyyy:HH:mm:ss"))
+    good = F.concat_ws(" ", F.lit("10.0.0.1 u -"), time, F.lit("+0000 GET"), url)
+    lines = events(spark, sf_dir).select(
+        "event_id", F.when(turn == 0, F.concat(F.lit("broken "), F.col("event_id").cast("string"))).otherwise(good).alias("value")
+    )
+    records, rejected = access_log(lines)
+    return records.select("event_id", "url").unionByName(rejected, allowMissingColumns=True)
+
+
 # --- arrival order: disorder 30 min, lateness 1 h, windows 1 h / 30 min --------------------------
 
 WATERMARKED_SQL = f"""
@@ -190,6 +213,15 @@ def late_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("window_start_ms")
 
 
+@query("station_calls", ORACLES["late_changelog"])
+def station_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = station_log(spark, sf_dir).select("event_id", "seq", "ms", "event_type")
+    results, _ = analyses.station_calls(
+        log, "event_type", "ms", ["seq", "event_id"], "1 hour", "30 minutes", "30 minutes", "1 hour"
+    )
+    return results.drop("window_start_ms")
+
+
 @query("late_window_counts", f"SELECT event_type, window_end_ms, count(*) AS n FROM ({OPEN_SQL}) GROUP BY 1, 2")
 def late_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lateness.late_window_counts(

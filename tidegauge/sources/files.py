@@ -16,7 +16,8 @@ def delimited(reader, path: str, schema: StructType, sep: str = ",") -> tuple[Da
     """(records, rejected lines) of delimited text with a fixed schema.
 
     A line that does not fit the schema goes to the second output instead of failing the job. Every
-    line is parsed whole, so the same lines are rejected whatever columns are selected.
+    line is parsed whole, so the same lines are rejected whatever columns are selected. A record is
+    one line: a quoted field with a line break in it comes as two rejected lines.
     """
     full = StructType([*schema.fields, StructField(REJECTED, StringType())])
     options = {
@@ -33,35 +34,47 @@ def delimited(reader, path: str, schema: StructType, sep: str = ",") -> tuple[Da
     return rows.where(rejected.isNull()).select(*fields), rows.where(rejected.isNotNull()).select(rejected.alias(REJECTED))
 
 
-def access_log(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Access-log lines → ip, user_id, ts, method, url; keeps the other columns of ``lines``.
+def _parsed(lines: DataFrame, line: str, row: Column, fits: Column) -> tuple[DataFrame, DataFrame]:
+    """(records, rejected lines), both with the other columns of ``lines``, from one parse.
 
-    The time's zone offset is honoured. Lines that do not parse are dropped here; find them with
-    ``ts IS NULL`` by parsing without this filter.
+    ``row`` goes through a generator: a filter on its fields is not pushed below one, where the
+    parse would run again.
+    """
+    parsed = lines.withColumn("__row", F.explode(F.array(row)))
+    kept = [c for c in lines.columns if c != line]
+    good = F.coalesce(fits, F.lit(False))
+    return parsed.where(good).select(*kept, "__row.*"), parsed.where(~good).select(*kept, F.col(line).alias(REJECTED))
+
+
+def access_log(lines: DataFrame, line: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(records, rejected lines) of an access log; both keep the other columns of ``lines``.
+
+    Records are ip, user_id, ts, method, url; the time's zone offset is honoured. A line without a
+    time or a url, or a NULL one, is rejected.
     """
     part = F.split(line, " ")
     at = F.try_to_timestamp(
         F.concat_ws(" ", F.get(part, F.lit(3)), F.get(part, F.lit(4))), F.lit("dd/MM/yyyy:HH:mm:ss Z")
     )
-    kept = [c for c in lines.columns if c != line]
-    return lines.select(
-        *kept,
+    row = F.struct(
         F.get(part, F.lit(0)).alias("ip"), F.get(part, F.lit(1)).alias("user_id"), at.alias("ts"),
         F.get(part, F.lit(5)).alias("method"), F.get(part, F.lit(6)).alias("url"),
-    ).where(F.col("ts").isNotNull() & F.col("url").isNotNull())
+    )
+    return _parsed(lines, line, row, F.col("__row.ts").isNotNull() & F.col("__row.url").isNotNull())
 
 
-def key_value_lines(lines: DataFrame, schema: StructType, sep: str = " ", line: str = "value") -> DataFrame:
-    """Lines of separated fields → typed columns; blank and unparsable lines are dropped."""
+def key_value_lines(lines: DataFrame, schema: StructType, sep: str = " ", line: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(records, rejected lines) of separated fields; a field of another type, or a wrong number of
+    them, rejects the line. Blank lines are neither."""
     part = F.split(F.trim(line), sep)
-    fields = [
+    row = F.struct(F.size(part).alias("__parts"), *[
         F.get(part, F.lit(at)).try_cast(field.dataType).alias(field.name) for at, field in enumerate(schema.fields)
-    ]
-    complete = F.size(part) == len(schema.fields)
-    typed = lines.where(complete).select(*fields)
+    ])
+    fits = F.col("__row.__parts") == len(schema.fields)
     for field in schema.fields:
-        typed = typed.where(F.col(field.name).isNotNull())
-    return typed
+        fits = fits & F.col("__row")[field.name].isNotNull()
+    records, rejected = _parsed(lines.where(F.trim(line) != ""), line, row, fits)
+    return records.drop("__parts"), rejected
 
 
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
