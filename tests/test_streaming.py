@@ -26,7 +26,8 @@ IN_ORDER = [
     "streaming_window_updates",
     "streaming_reconcile", "streaming_jump_alert", "streaming_jump_alert_hold", "streaming_rise_alarm",
     "streaming_login_fail_strict_next", "streaming_order_payments", "streaming_route_running_sum",
-    "streaming_count_tumbling", "streaming_count_sliding", "streaming_click_cap",
+    "streaming_count_tumbling", "streaming_count_sliding", "streaming_click_cap", "streaming_clicks_by_group",
+    "streaming_hot_pages_late",
 ]
 
 
@@ -53,6 +54,7 @@ def test_four_batches_equal_sql(spark, parts_dir, name, monkeypatch):
 # what these give must not depend on the order of files; the other queries number rows by arrival
 ANY_ORDER = [
     "streaming_pageviews", "streaming_sliding_counts", "streaming_hot_items_top5", "streaming_uv_exact", "streaming_updates",
+    "streaming_hot_pages_late",
     "streaming_window_updates", "streaming_late_side_output", "streaming_reconcile", "streaming_jump_alert",
     "streaming_jump_alert_hold", "streaming_rise_alarm", "streaming_login_fail_strict_next", "streaming_order_payments",
 ]

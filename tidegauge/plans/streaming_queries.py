@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegauge.functions.times import day_end_ms, window_ms
+from tidegauge.functions.times import day_end_ms, epoch_ms, window_ms
 from tidegauge.operators.scans import by_rows, scan
 from tidegauge.plans.registry import ORACLES, query
 from tidegauge.plans.tables import EVENTS_SQL, fresh_folder, table, typed_events
@@ -42,7 +42,7 @@ def event_stream(spark: SparkSession, sf_dir: str, folder: str) -> tuple[DataFra
 
 def event_delay(spark: SparkSession, sf_dir: str, least_ms: int = 0) -> str:
     """The delay with which no row of the table is late, in whatever order its files come."""
-    return f"{max(least_ms, feed_disorder_ms(table(spark, sf_dir, 'events'), 'ts'))} milliseconds"
+    return f"{max(least_ms, feed_disorder_ms(table(spark, sf_dir, 'events'), epoch_ms('ts')))} milliseconds"
 
 
 def finish(spark: SparkSession, folder: str, start: Callable[[], StreamingQuery], *ends: EndOfInput) -> None:
@@ -91,6 +91,18 @@ def streaming_hot_items_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/out").drop("batch")
 
 
+@query("streaming_hot_pages_late", ORACLES["hot_items_top5"])
+def streaming_hot_pages_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rankings are written at once and again when later rows change them; the last ones count."""
+    folder = fresh_folder(spark, "hot-late")
+    rows, _ = event_stream(spark, sf_dir, folder)
+    seen = rows.where(F.col("event_type") == "view").withColumnRenamed("k", "item_id")
+    counts = windows.windowed_counts(seen, "ts", event_delay(spark, sf_dir, 61_000), "1 hour", "5 minutes", ["item_id"])
+    with state_settings(spark):
+        drain(windows.top_n_updates(counts.drop("window_start_ms"), folder, "item_id", 5))
+    return windows.latest_ranking(spark.read.parquet(f"{folder}/out"))
+
+
 @query("streaming_uv_exact", ORACLES["uv_exact_hourly"])
 def streaming_uv_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "uv")
@@ -346,6 +358,31 @@ def streaming_click_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passed.unionByName(alarms)
 
 
+@query("streaming_clicks_by_group", ORACLES["clicks_by_group_after_cap"])
+def streaming_clicks_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cap's passed rows feed the windowed counts of a second stream; alarms have their own output."""
+    folder = fresh_folder(spark, "clicks-by-group")
+    rows, end = event_stream(spark, sf_dir, folder)
+    keys = ["user_id", "event_type", IS_END, "reset_ms"]
+    clicks = rows.withWatermark("ts", event_delay(spark, sf_dir)).withColumns(
+        {"reset_ms": day_end_ms("ts"), "event_id": F.coalesce("event_id", F.lit(-1))}
+    )
+    found = processors.process(
+        clicks.select(*keys, "ts", "event_id", "ms"), keys, processors.DailyCap(keys, "event_id", 2, ["ms"]),
+        f"user_id long, event_type string, {IS_END} boolean, reset_ms long, event_id long, ms long, output string", "EventTime",
+    )
+    outputs = {name: (lambda batch, name=name: batch.where((F.col("output") == name) & ~F.col(IS_END))) for name in ("pass", "alarm")}
+    finish(spark, folder, split_outputs(found, folder, outputs), end)
+
+    schema = spark.createDataFrame([], "event_type string, ms long").schema
+    passed = file_stream(spark, f"{folder}/pass/*", schema).withColumn("ts", F.timestamp_millis("ms"))
+    close = EndOfInput(spark, f"{folder}/second", passed.schema)
+    behind = feed_disorder_ms(spark.read.schema(schema).parquet(f"{folder}/pass/*"), F.col("ms"))
+    counts = windows.windowed_counts(close.follow(passed), "ts", f"{behind} milliseconds", "1 hour", "10 minutes", ["event_type"])
+    out = counts.select("event_type", "window_end_ms", "n")
+    return append_and_read(spark, out, f"{folder}/second", close)
+
+
 # --- sinks --------------------------------------------------------------------------------------
 
 

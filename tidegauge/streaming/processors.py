@@ -111,10 +111,11 @@ class DailyCap(_Keyed):
     """Rows of one (key, day): the first ``cap`` pass, the next one is the alarm, the rest drop.
 
     The key holds the day's end in ms; an event-time timer clears the count when the day is over.
+    ``carried`` columns of the rows come out with them.
     """
 
-    def __init__(self, keys: Sequence[str], order: str, cap: int):
-        self.keys, self.order, self.cap = keys, order, cap
+    def __init__(self, keys: Sequence[str], order: str, cap: int, carried: Sequence[str] = ()):
+        self.keys, self.order, self.cap, self.carried = keys, order, cap, carried
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -127,10 +128,11 @@ class DailyCap(_Keyed):
         if before > self.cap:
             return
         batch = _gather(rows, [self.order])
-        kept = batch[self.order].to_numpy()[: self.cap + 1 - before]
+        kept = batch.iloc[: self.cap + 1 - before]
         self.count.update((before + len(kept),))
         place = before + 1 + np.arange(len(kept))
-        yield self.result(key, **{self.order: kept, "output": np.where(place <= self.cap, "pass", "alarm")})
+        columns = {name: kept[name].to_numpy() for name in (self.order, *self.carried)}
+        yield self.result(key, **columns, output=np.where(place <= self.cap, "pass", "alarm"))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.count.clear()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -70,14 +70,13 @@ def drain(start: Callable[[], StreamingQuery], late_rows_go: bool = False) -> No
         raise LateRows(f"{dropped} rows came behind the watermark and were dropped")
 
 
-def feed_disorder_ms(files: DataFrame, ts: str) -> int:
+def feed_disorder_ms(files: DataFrame, at: Column) -> int:
     """How far behind the latest time of earlier files a file's first time lies, at most, in ms.
 
-    ``files`` is a batch read of the folder a stream will read. The file source delivers files by
+    ``files`` is a batch read of the folder a stream will read and ``at`` the event time in ms. The file source delivers files by
     modification time; files of one modification time may come in any order. A stream with this
     much delay drops none of their rows, however few files a micro-batch holds.
     """
-    at = F.unix_millis(F.col(ts).cast("timestamp"))
     per_time = files.groupBy(F.col("_metadata.file_modification_time").alias("moved")).agg(
         F.min(at).alias("low"), F.max(at).alias("high"), F.count_distinct("_metadata.file_path").alias("files")
     )

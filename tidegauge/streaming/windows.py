@@ -35,6 +35,35 @@ def top_n_writer(counts: DataFrame, folder: str, key: str, n: int) -> Callable[[
     return split_outputs(counts, folder, {"out": ranked})
 
 
+def top_n_updates(counts: DataFrame, folder: str, key: str, n: int) -> Callable[[], StreamingQuery]:
+    """Top ``n`` keys of every window, ranked again whenever a late row changes one of its counts.
+
+    ``counts`` comes in update mode: window_end_ms, the key and n. Each batch keeps its changed
+    counts under its own id and writes the new ranking of the windows it changed, from the latest
+    count of each of their keys; ``latest_ranking`` picks a window's valid one. Repeated batches
+    overwrite their own.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, window = batch.sparkSession, "window_end_ms"
+        batch.select(window, key, "n").write.mode("overwrite").parquet(f"{folder}/counts/batch={batch_id}")
+        seen = spark.read.parquet(f"{folder}/counts").where(F.col("batch") <= batch_id)
+        changed = seen.where(F.col("batch") == batch_id).select(window).distinct()
+        valid = seen.join(changed, window, "left_semi").groupBy(window, key).agg(F.max_by("n", "batch").alias("n"))
+        topn.top_n(valid, [window], "n", [key], n).write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+
+    return lambda: (
+        counts.writeStream.foreachBatch(write).outputMode("update")
+        .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    )
+
+
+def latest_ranking(rankings: DataFrame) -> DataFrame:
+    """The rows of each window's last ranking."""
+    last = rankings.groupBy("window_end_ms").agg(F.max("batch").alias("batch"))
+    return rankings.join(last, ["window_end_ms", "batch"], "left_semi").drop("batch")
+
+
 def unique_visitors(rows: DataFrame, ts: str, delay: str, size: str, visitor: str, exact: bool = True) -> DataFrame:
     """Distinct visitors per window: first one state row per (window, visitor), then their count.
 
