@@ -71,7 +71,7 @@ def test_order_payments(spark):
         )
         # exactly 15 minutes is too late; each open create of order 5 takes the first pay
         assert rows_of(paid, "order", "first_ms", "next_ms") == [(1, 0, 60000), (5, 40000, 100000), (5, 50000, 100000)]
-        assert rows_of(expired, "order", "msg") == [(2, "payed timeout"), (4, "payed timeout")]
+        assert rows_of(expired, "order", "msg") == [(2, "not paid in time"), (4, "not paid in time")]
 
 
 PAYS = [("a", 0), ("b", 1000), ("c", 2000), ("d", 3000)]
@@ -117,7 +117,7 @@ def test_daily_cap(spark):
         passed, alarms = alerts.daily_cap(clicks, ["user", "ad"], "ts", "seq", cap)
         if big:
             assert rows_of(passed, "seq") == [(i,) for i in (0, 1, 2, 5, 6, 7, 8)]
-            assert rows_of(alarms, "seq", "user", "msg") == [(3, 1, "exceed 3 limit")]
+            assert rows_of(alarms, "seq", "user", "msg") == [(3, 1, "more than 3 a day")]
         else:
             assert passed.count() == 9 and alarms.count() == 0
 

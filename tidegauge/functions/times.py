@@ -20,10 +20,6 @@ def epoch_ms(ts: Column | str) -> Column:
     return F.unix_millis(ts.cast("timestamp"))
 
 
-def from_millis(ms: Column | str) -> Column:
-    return F.timestamp_millis(F.col(ms) if isinstance(ms, str) else ms)
-
-
 def floor_to(ms: Column, step: int) -> Column:
     """Start of the epoch-aligned slot of ``step`` milliseconds that holds ``ms``."""
     return ms - F.pmod(ms, F.lit(step))

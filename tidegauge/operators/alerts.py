@@ -92,4 +92,4 @@ def daily_cap(df: DataFrame, keys: Sequence[str], ts: str, arrival: str, cap: in
     passed = numbered.where(F.col("nth") <= cap).drop("nth", "reset_ms")
     # the bound first: it is what reaches the tasks before the shuffle
     alarms = numbered.where(F.col("nth") <= cap + 1).where(F.col("nth") == cap + 1).drop("nth")
-    return passed, alarms.withColumn("msg", F.format_string("exceed %d limit", F.lit(cap)))
+    return passed, alarms.withColumn("msg", F.format_string("more than %d a day", F.lit(cap)))

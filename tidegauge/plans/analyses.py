@@ -84,7 +84,7 @@ def order_payments(
         orders, [order], [ts_ms, ties], created, paid, ts_ms, bound,
         by_time(ts_ms) if segment is None else segment,
     )
-    return done.withColumn("msg", F.lit("payed successfully")), expired.withColumn("msg", F.lit("payed timeout"))
+    return done.withColumn("msg", F.lit("paid in time")), expired.withColumn("msg", F.lit("not paid in time"))
 
 
 def payment_receipts(

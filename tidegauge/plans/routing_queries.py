@@ -149,7 +149,7 @@ LABELS = [("view", "pv"), ("purchase", "buy"), ("click", "cart")]
 def inline_rows_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = inline_rows(spark, LABELS, "event_type string, behavior string")
     # three literal rows, so sending them to every task is safe at any table size
-    return events(spark, sf_dir).join(F.broadcast(labels), "event_type").groupBy("behavior").agg(
+    return events(spark, sf_dir).join(labels, "event_type").groupBy("behavior").agg(
         F.count(F.lit(1)).alias("n")
     )
 

@@ -164,14 +164,14 @@ def payments(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 @query("order_paid", f"""
-    SELECT user_id, event_id, first_ms, next_ms, 'payed successfully' AS msg
+    SELECT user_id, event_id, first_ms, next_ms, 'paid in time' AS msg
     FROM ({PAYMENT_SQL}) WHERE next_ms - first_ms < {12 * HOUR}""")
 def order_paid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payments(spark, sf_dir)[0].select("user_id", "event_id", "first_ms", "next_ms", "msg")
 
 
 @query("order_timeout", f"""
-    SELECT user_id, event_id, first_ms, 'payed timeout' AS msg
+    SELECT user_id, event_id, first_ms, 'not paid in time' AS msg
     FROM ({PAYMENT_SQL}) WHERE NOT coalesce(next_ms - first_ms < {12 * HOUR}, false)""")
 def order_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payments(spark, sf_dir)[1].select("user_id", "event_id", "first_ms", "msg")
@@ -265,7 +265,7 @@ def click_cap_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("click_cap_alarm", f"""
-    SELECT event_id, user_id, event_type, (ms // 86400000 + 1) * 86400000 AS reset_ms, 'exceed 2 limit' AS msg
+    SELECT event_id, user_id, event_type, (ms // 86400000 + 1) * 86400000 AS reset_ms, 'more than 2 a day' AS msg
     FROM ({CAPPED_SQL}) WHERE nth = 3""")
 def click_cap_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capped(spark, sf_dir)[1].select("event_id", "user_id", "event_type", "reset_ms", "msg")
