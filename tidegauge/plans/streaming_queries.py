@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegauge.functions.times import day_end_ms, epoch_ms, window_ms
+from tidegauge.functions.times import day_end_ms, epoch_ms, floor_to
 from tidegauge.operators.scans import by_rows, scan
 from tidegauge.plans.registry import ORACLES, query
 from tidegauge.plans.tables import EVENTS_SQL, fresh_folder, table, typed_events
@@ -119,25 +119,27 @@ def streaming_uv_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First visits are found per (window, visitor); each batch then adds its running count to the
     windows' earlier totals, a table of one row per window."""
     folder = fresh_folder(spark, "uv-running")
-    rows, _ = event_stream(spark, sf_dir, folder)
-    views = window_ms(rows.where(F.col("event_type") == "view").withColumn("window", F.window("ts", "1 hour")))
-    keys = ["window_end_ms", "user_id"]
+    rows, end = event_stream(spark, sf_dir, folder)
+    rows = rows.withWatermark("ts", event_delay(spark, sf_dir))
+    views = rows.where((F.col("event_type") == "view") | F.col(IS_END)).withColumns(
+        {"window_end_ms": floor_to(F.col("ms"), HOUR_MS) + HOUR_MS, "event_id": F.coalesce("event_id", F.lit(-1))}
+    )
+    keys = ["window_end_ms", "user_id", IS_END]
     visits = processors.process(
-        views.select(*keys, "event_id"), keys, processors.FirstVisit(keys, "event_id"),
-        "window_end_ms long, user_id long, event_id long, first long",
+        views.select(*keys, "event_id", "ts"), keys, processors.FirstVisit(keys, "event_id"),
+        f"window_end_ms long, user_id long, {IS_END} boolean, event_id long, first long", "EventTime",
     )
+    spark.createDataFrame([], "window_end_ms long, uv long").write.parquet(f"{folder}/totals/batch=-1")
     totals = "window_end_ms long, uv long, batch long"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
+        kept = batch.where(~F.col(IS_END)).persist()
         try:
-            # totals per batch, so a repeated batch overwrites its own and reads only earlier ones
-            spark_ = batch.sparkSession
-            spark_.createDataFrame([], "window_end_ms long, uv long").write.mode("overwrite").parquet(
-                f"{folder}/totals/batch=-1"
-            )
+            # totals per batch, so a repeated batch overwrites its own and reads only earlier ones; the
+            # join below keeps those of the batch's windows
             earlier = (
-                spark_.read.schema(totals).parquet(f"{folder}/totals").where(F.col("batch") < batch_id)
+                batch.sparkSession.read.schema(totals).parquet(f"{folder}/totals").where(F.col("batch") < batch_id)
+                .join(kept.select("window_end_ms").distinct(), "window_end_ms", "left_semi")
                 .groupBy("window_end_ms").agg(F.sum("uv").alias("earlier"))
             )
             counted = scan(
@@ -152,11 +154,10 @@ def streaming_uv_running(spark: SparkSession, sf_dir: str) -> DataFrame:
         finally:
             kept.unpersist()
 
-    with state_settings(spark):
-        drain(lambda: (
-            visits.writeStream.foreachBatch(write).outputMode("append")
-            .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
-        ))
+    finish(spark, folder, lambda: (
+        visits.writeStream.foreachBatch(write).outputMode("append")
+        .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    ), end)
     return spark.read.parquet(f"{folder}/out").drop("batch")
 
 

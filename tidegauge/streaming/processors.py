@@ -72,21 +72,31 @@ class RunningSum(_Keyed):
 
 
 class FirstVisit(_Keyed):
-    """Each row with 1 when it is the first of its key, else 0."""
+    """Each row with 1 when it is the first of its key, else 0.
+
+    The key starts with its window's end in ms; an event-time timer forgets the key when the window is over.
+    """
 
     def __init__(self, keys: Sequence[str], order: str):
         self.keys, self.order = keys, order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.seen = handle.getValueState("seen", "seen boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _gather(rows, [self.order])
         first = np.zeros(len(batch), dtype="int64")
-        first[0] = 0 if self.seen.exists() else 1
-        self.seen.update((True,))
+        if not self.seen.exists():
+            first[0] = 1
+            self.seen.update((True,))
+            self.handle.registerTimer(int(key[0]))
         yield self.result(key, **{self.order: batch[self.order], "first": first})
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.seen.clear()
+        return iter(())
+
 
 class RepeatedHit(_Keyed):
     """Two hits in a row of a key, the later less than ``bound_ms`` after the earlier."""
