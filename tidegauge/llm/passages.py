@@ -9,8 +9,8 @@ by document and start, stays and the words of all others go.
 2. Windows with such a phrase are counted by a 128-bit hash. Those that occur twice are confirmed,
    each with its first place.
 3. Phrases are dealt out to shards by the text that owns them, the one with the smallest hash that
-   holds them. A task compiles a shard's phrases into one Aho-Corasick automaton and streams the
-   texts that hold any of them through it; around every occurrence the windows are looked up among
+   holds them. A task compiles the heads of a shard's phrases into one Aho-Corasick automaton and
+   streams the texts that hold any of the phrases through it; around every occurrence the windows are looked up among
    the shard's confirmed ones.
 
 Exact copies of a text are found by hash first, and only one of them goes through the steps.
@@ -20,11 +20,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +32,10 @@ from tidegauge.llm.common import WORDS, id_again, saved, text_or_empty, whole_id
 
 WINDOW = 20
 PHRASE = 8
+HEAD = 4  # words of a phrase that the automaton holds; what it finds is looked up whole
 PHRASES_PER_SHARD = 50_000
 CHARS_PER_CHUNK = 16 << 20
+_ROWS_AT_ONCE = 200_000
 _A, _B, _C, _MIX = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x94D049BB133111EB))
 
 
@@ -47,25 +49,70 @@ def _rolling(hashes: np.ndarray, length: int, factor: np.uint64) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def _hashes(words: list[str]) -> np.ndarray:
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(w) for w in words), dtype=np.uint64, count=len(words))
+def _powers(n: int, known: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of an odd number modulo 2^64, and of its inverse; kept and grown as needed."""
+    if not known or len(known[0]) < n:
+        size = max(n, 1 << 16, 2 * len(known[0]) if known else 0)
+        base = int(_A)
+        for factor in (base, pow(base, -1, 1 << 64)):
+            steps = np.full(size, factor & (1 << 64) - 1, dtype=np.uint64)
+            steps[0] = 1
+            known.append(np.multiply.accumulate(steps))
+        del known[:-2]
+    return known[0], known[1]
 
 
-class Words:
-    """Words of a text of at least ``window`` words, with each window's chosen phrase."""
+_known_powers: list[np.ndarray] = []
 
-    def __init__(self, words: list[str], window: int):
-        self.words, self.window = words, window
-        self.hashes = _hashes(words)
-        self.phrases = _rolling(self.hashes, min(PHRASE, window), _A)
-        width = window - min(PHRASE, window) + 1
-        views = np.lib.stride_tricks.sliding_window_view(self.phrases, width)
-        self.chosen = np.arange(len(views)) + views.argmin(axis=1)
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray]:
-        """Two independent 64-bit hashes of every window."""
-        return _rolling(self.hashes, self.window, _B).view(np.int64), _rolling(self.hashes, self.window, _C).view(np.int64)
+def _hashes(data: bytes) -> np.ndarray:
+    """A 64-bit hash of every word of UTF-8 bytes, all words at once.
+
+    Differences of one running polynomial over the text are the words' own polynomials, once their
+    offset is divided out; a mix follows.
+    """
+    text = np.frombuffer(data, dtype=np.uint8)
+    edge = np.ones(len(text) + 2, dtype=bool)
+    edge[1:-1] = (text == 32) | ((text >= 9) & (text <= 13))
+    bounds = np.flatnonzero(edge[1:] != edge[:-1])
+    start, end = bounds[0::2], bounds[1::2]
+    up, down = _powers(len(text) + 1, _known_powers)
+    running = np.zeros(len(text) + 1, dtype=np.uint64)
+    np.cumsum((text.astype(np.uint64) + np.uint64(1)) * up[:len(text)], out=running[1:])
+    out = (running[end] - running[start]) * down[start] + (end - start).astype(np.uint64) * _C
+    for shift in (32, 29):
+        out = (out ^ (out >> np.uint64(shift))) * _MIX
+    return out ^ (out >> np.uint64(32))
+
+
+@lru_cache
+def _factors(window: int) -> np.ndarray:
+    """What each word of a window is multiplied with, for two independent hashes."""
+    return np.array([[pow(int(f), window - 1 - k, 1 << 64) for f in (_B, _C)] for k in range(window)], dtype=np.uint64)
+
+
+def _window_hashes(hashes: np.ndarray, window: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of the windows that start ``at``."""
+    out = np.zeros((len(at), 2), dtype=np.uint64)
+    for low in range(0, len(at), 1 << 16):
+        out[low:low + (1 << 16)] = hashes[at[low:low + (1 << 16), None] + np.arange(window)] @ _factors(window)
+    out = (out ^ (out >> np.uint64(31))) * _MIX
+    out ^= out >> np.uint64(29)
+    return out[:, 0].copy().view(np.int64), out[:, 1].copy().view(np.int64)
+
+
+def _chosen(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all phrases, and where each window's chosen one starts, the leftmost of the smallest."""
+    length = min(PHRASE, window)
+    phrases = _rolling(hashes, length, _A)
+    n = len(hashes) - window + 1
+    best, at = phrases[:n].copy(), np.zeros(n, dtype=np.int8)
+    for k in range(1, window - length + 1):
+        other = phrases[k:k + n]
+        less = other < best
+        np.copyto(best, other, where=less)
+        at[less] = k
+    return phrases, np.arange(n) + at
 
 
 def _columns(text: Column) -> tuple[Column, Column]:
@@ -80,22 +127,25 @@ def _phrases(docs: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            phrases, owners = [], []
-            for text, th in zip(batch["text"], batch["th"], strict=True):
-                words = WORDS.findall(text)
-                if len(words) < window:
+            phrases, owners, size = [], [], 0
+            for data, th in zip(batch["data"], batch["th"], strict=True):
+                hashes = _hashes(data)
+                if len(hashes) < window:
                     continue
-                w = Words(words, window)
-                found, count = np.unique(w.phrases[np.unique(w.chosen)], return_counts=True)
+                every, at = _chosen(hashes, window)
+                new = np.ones(len(at), dtype=bool)
+                new[1:] = at[1:] != at[:-1]  # places of chosen phrases never go back
+                found, count = np.unique(every[at[new]], return_counts=True)
                 phrases.append(found.view(np.int64))
                 owners.append((np.int64(th) & ~np.int64(1)) | (count > 1))
-                if sum(map(len, phrases)) > 500_000:
+                size += len(found)
+                if size > _ROWS_AT_ONCE:
                     yield pd.DataFrame({"phrase": np.concatenate(phrases), "owner": np.concatenate(owners)})
-                    phrases, owners = [], []
+                    phrases, owners, size = [], [], 0
             if phrases:
                 yield pd.DataFrame({"phrase": np.concatenate(phrases), "owner": np.concatenate(owners)})
 
-    return docs.select("text", "th").mapInPandas(run, "phrase long, owner long")
+    return docs.select(F.col("text").cast("binary").alias("data"), "th").mapInPandas(run, "phrase long, owner long")
 
 
 def _digest(words: list[str]) -> str:
@@ -126,26 +176,34 @@ def _settled(joined: DataFrame, window: int) -> DataFrame:
 
 def _windows(texts: DataFrame, window: int, shards: int) -> DataFrame:
     """Rows (w1, w2, shard, doc_id, start, th) of the windows whose phrase recurs."""
+    names = ["w1", "w2", "shard", "doc_id", "start", "th"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for doc, th, text, phrases, owners in zip(*(batch[c] for c in ("doc_id", "th", "text", "phrases", "owners")), strict=True):
-                w = Words(WORDS.findall(text), window)
+            parts, size = [], 0
+            for doc, th, data, phrases, owners in zip(*(batch[c] for c in ("doc_id", "th", "data", "phrases", "owners")), strict=True):
+                hashes = _hashes(data)
+                every, chosen = _chosen(hashes, window)
                 known = np.asarray(phrases, dtype=np.int64)
-                mine = w.phrases.view(np.int64)[w.chosen]
+                mine = every.view(np.int64)[chosen]
                 at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
                 start = np.flatnonzero(known[at] == mine)
-                one, two = w.windows()
-                yield pd.DataFrame({
-                    "w1": one[start], "w2": two[start], "shard": (np.asarray(owners, dtype=np.int64)[at[start]] % shards).astype(np.int32),
-                    "doc_id": np.full(len(start), doc, dtype=np.int64), "start": start.astype(np.int32), "th": np.full(len(start), th, dtype=np.int64),
-                })
+                one, two = _window_hashes(hashes, window, start)
+                shard = (np.asarray(owners, dtype=np.int64)[at[start]] % shards).astype(np.int32)
+                parts.append((one, two, shard, np.full(len(start), doc), start.astype(np.int32), np.full(len(start), th)))
+                size += len(start)
+                if size > _ROWS_AT_ONCE:
+                    yield pd.DataFrame({name: np.concatenate(column) for name, column in zip(names, zip(*parts, strict=True), strict=True)})
+                    parts, size = [], 0
+            if parts:
+                yield pd.DataFrame({name: np.concatenate(column) for name, column in zip(names, zip(*parts, strict=True), strict=True)})
 
-    return texts.select("doc_id", "th", "text", "phrases", "owners").mapInPandas(run, "w1 long, w2 long, shard int, doc_id long, start int, th long")
+    rows = texts.select("doc_id", "th", F.col("text").cast("binary").alias("data"), "phrases", "owners")
+    return rows.mapInPandas(run, "w1 long, w2 long, shard int, doc_id long, start int, th long")
 
 
 def _phrase_texts(texts: DataFrame, window: int, shards: int) -> DataFrame:
-    """Rows (shard, phrase): the words of every recurring phrase, from the text that owns it."""
+    """Rows (shard, phrase): the first words of every recurring phrase, from the text that owns it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -155,14 +213,15 @@ def _phrase_texts(texts: DataFrame, window: int, shards: int) -> DataFrame:
                 known, shard = known[owners >> 1 == th >> 1], (owners[owners >> 1 == th >> 1] % shards)
                 if not len(known):
                     continue
-                w = Words(WORDS.findall(text), window)
-                places = np.unique(w.chosen)
-                mine, first = np.unique(w.phrases.view(np.int64)[places], return_index=True)
+                words = WORDS.findall(text)
+                every, chosen = _chosen(_hashes(text.encode()), window)
+                places = np.unique(chosen)
+                mine, first = np.unique(every.view(np.int64)[places], return_index=True)
                 at = np.searchsorted(mine, known)
-                length = min(PHRASE, window)
+                length = min(HEAD, PHRASE, window)
                 for s, i in zip(shard, at, strict=True):
                     p = places[first[i]]
-                    out.append((int(s), " ".join(w.words[p:p + length])))
+                    out.append((int(s), " ".join(words[p:p + length])))
             yield pd.DataFrame(out, columns=["shard", "phrase"]).astype({"shard": "int32", "phrase": "str"})
 
     return texts.select("th", "text", "phrases", "owners").mapInPandas(run, "shard int, phrase string")
@@ -181,17 +240,20 @@ def _locate(texts: pd.DataFrame, bundle: pd.DataFrame, window: int) -> pd.DataFr
         one, two, doc, start, th = one[order], two[order], doc[order], start[order], th[order]
         back = window - min(PHRASE, window)
         for me, mine, text in zip(texts["key"], texts["th"], texts["text"], strict=True):
-            w = Words(WORDS.findall(text), window)
-            line = " " + " ".join(w.words) + " "
-            begins = np.cumsum([1] + [len(x) + 1 for x in w.words])
+            words = WORDS.findall(text)
+            line = f" {' '.join(words)} "
             hits = np.fromiter((end - length + 2 for end, length in automaton.iter(line)), dtype=np.int64)
             if not len(hits):
                 continue
-            places = np.searchsorted(begins, hits)
-            near = np.unique(places[:, None] - np.arange(back + 1)[None, :])
-            a, b = w.windows()
-            near = near[(near >= 0) & (near < len(a))]
-            a, b = a[near], b[near]
+            begins = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
+            places = np.searchsorted(begins, hits, side="right")
+            # a window that chose the phrase starts at most so many words before it
+            near = np.zeros(len(words) + back + 1, dtype=bool)
+            for k in range(back + 1):
+                near[places - k + back] = True
+            near = np.flatnonzero(near[back:])
+            near = near[near <= len(words) - window]
+            a, b = _window_hashes(_hashes(text.encode()), window, near)
             # equal first hashes of different windows are next to each other; step past them
             at = np.searchsorted(one, a)
             while True:
