@@ -125,6 +125,23 @@ def op2_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+ORACLES["op2_embedding_forest"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), linked AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id != b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95
+), reached AS (
+  SELECT vec_id, vec_id AS other FROM v
+  UNION
+  SELECT reached.vec_id, linked.b FROM reached JOIN linked ON reached.other = linked.a
+), components AS (
+  SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id
+)
+SELECT vec_id, (SELECT count(*) FROM linked WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM components
+"""
+
+
 @query
 def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.dedup(table(spark, sf_dir, "documents"), window=20)
