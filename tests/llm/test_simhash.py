@@ -100,3 +100,22 @@ def test_similar_texts_are_found_and_others_left(spark, monkeypatch, chunk):
     close = [d for d in truth if d % 1000 and truth[d] >= 0.8]
     assert sum(got[d] % 1000 == 0 for d in near) >= 0.97 * len(near)
     assert sum(got[d] % 1000 == 0 for d in close) >= 0.9 * len(close)
+
+
+def test_isolated_pairs_are_linked_from_a_similarity_of_exactly_four_fifths(spark):
+    """Pairs without others to chain by: all at 0.8 and above are found, none below."""
+    draw = random.Random(3)
+    fresh = lambda n: [f"w{draw.randrange(10**7)}" for _ in range(n)]
+    docs, truth = [], {}
+    for g in range(1200):
+        base, cut = fresh(304), draw.choice([8, 12, 16, 20, 24, 28, 30, 31, 32, 33, 34, 36, 40, 45, 50])
+        docs += [(2 * g, base), (2 * g + 1, base[:304 - cut] + fresh(cut))]
+        sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for _, w in docs[-2:]]
+        truth[g] = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+    rows = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar(rows).collect()}
+    for low, high, found in ((0, 0.8, 0), (0.8, 0.82, 1), (0.82, 0.85, 1), (0.85, 1.1, 1)):
+        pairs = [g for g, s in truth.items() if low <= s < high]
+        assert len(pairs) > 60
+        linked = sum(got[2 * g + 1] == 2 * g for g in pairs)
+        assert linked == found * len(pairs), (low, high, linked, len(pairs))

@@ -1,18 +1,19 @@
-"""SimHash near-duplicates: fingerprints, pigeonhole blocks, verified Hamming distance, components."""
+"""Near-duplicates: SimHash fingerprints, pigeonhole blocks, verified Hamming distance, components; and
+for a given similarity min-hash keys, verified on the sets of shingles."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import connected_components, id_again, saved, whole_id
+from tidegauge.llm.common import connected_components, id_again, saved, text_or_empty, whole_id
 
 BITS = 64
 SEED = 42
@@ -20,36 +21,36 @@ _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _AT_ONCE = 1 << 15  # shingles whose bits are summed at a time
 
 
-def fingerprint(text: str | None, shingle: int, width: int = 1) -> np.ndarray:
-    """Majority bits of the shingles' hashes, ``width`` words of 64 bits; 0 without words.
-
-    The first word is of the hashes themselves, the others of hashes mixed from them.
-    """
+def _hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """Hashes of the shingles in order, some at a time; a text of fewer words is one shingle, one without words has none."""
     words = _WORD.findall((text or "").encode().lower())  # bytes.lower() changes A-Z alone
     if not words:
-        return np.zeros(width, dtype=np.uint64)
+        return
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = [0, *(ends[:-1] + 1).tolist()]
     ends = ends.tolist()
     n, last = max(1, len(words) - shingle + 1), min(shingle, len(words)) - 1
-    digest, ones = xxhash.xxh64_intdigest, np.zeros((width, BITS), dtype=np.int64)
+    digest = xxhash.xxh64_intdigest
     for low in range(0, n, _AT_ONCE):
         high = min(n, low + _AT_ONCE)
-        hashes = np.fromiter(
+        yield np.fromiter(
             (digest(joined[starts[i]:ends[i + last]], SEED) for i in range(low, high)), dtype=np.uint64, count=high - low
         )
-        for k in range(width):
-            bits = np.unpackbits((_mixed(hashes, k) if k else hashes).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-            ones[k] += bits.sum(axis=0, dtype=np.int64)
-    return np.packbits(ones * 2 > n, axis=1).view(">u8").astype(np.uint64).ravel()
 
 
-def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
-    out = hashes + np.uint64(0x9E3779B97F4A7C15 * k & (1 << 64) - 1)
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        out = (out ^ (out >> np.uint64(shift))) * np.uint64(factor)
-    return out ^ (out >> np.uint64(31))
+def fingerprint(text: str | None, shingle: int) -> int:
+    """Majority bits of the shingles' hashes; 0 without words."""
+    ones, n = np.zeros(BITS, dtype=np.int64), 0
+    for hashes in _hashes(text, shingle):
+        ones += np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        n += len(hashes)
+    return int(np.packbits(ones * 2 > n).view(">u8")[0])
+
+
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The distinct hashes of the shingles, in order."""
+    return np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *_hashes(text, shingle)]))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 5) -> DataFrame:
@@ -57,7 +58,7 @@ def fingerprints(docs: DataFrame, shingle: int = 5) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            fps = np.fromiter((fingerprint(t, shingle)[0] for t in batch["text"]), dtype=np.uint64, count=len(batch))
+            fps = np.fromiter((fingerprint(t, shingle) for t in batch["text"]), dtype=np.uint64, count=len(batch))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps.view(np.int64)})
 
     rows = docs.select(whole_id().alias("doc_id"), F.col("text").cast("string"))
@@ -144,82 +145,136 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, bits: int = 2, shared: in
     return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
-WIDE = 4  # 64-bit words of a wide fingerprint
-TABLES, KEY_BLOCKS = 72, 3  # tables, and blocks of 8 bits in a table's key
-MOST_APART = 39  # of 256 bits: what texts of similarity 0.8 differ in on average
+TABLES, KEY_BYTES = 40, 6  # tables, and minima in a table's key; at 0.8 all keys differ five times in a million
+LEAST_SIMILAR = 0.8
+LEAST_EQUAL = 160  # of a sketch's 240 bytes: at 0.8 there are 192 and a deviation of 6
 CHUNK = 2048  # rows of a block that are compared with each other at once
+CHUNK_SHINGLES = 1 << 20  # shingles of those rows, about
+FEW = 32  # rows of a group that are compared by shifting
+_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 64, TABLES * KEY_BYTES, dtype=np.uint64) | np.uint64(1)
 
 
-def tables(count: int = TABLES, blocks: int = KEY_BLOCKS) -> np.ndarray:
-    """For each table, the bytes of a wide fingerprint that make its key; every byte serves about as often."""
-    draw, out = np.random.default_rng(SEED), []
-    while len(out) < count:
-        order = draw.permutation(8 * WIDE)
-        out += [sorted(order[i:i + blocks]) for i in range(0, 8 * WIDE - blocks + 1, blocks)]
-    return np.array(out[:count])
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """One byte of each of ``TABLES * KEY_BYTES`` minima over a set of hashes; two sets agree in a byte about as often as they are similar."""
+    least = np.full(len(_FACTORS), (1 << 64) - 1, dtype=np.uint64)
+    for low in range(0, len(hashes), 256):
+        np.minimum(least, (_FACTORS[:, None] * hashes[None, low:low + 256]).min(axis=1), out=least)
+    return (least >> np.uint64(24)).astype(np.uint8)
 
 
-def _wide(docs: DataFrame, shingle: int) -> DataFrame:
-    """Rows (doc_id, wide): 256 bits for every text."""
+def _sketches(docs: DataFrame, shingle: int) -> DataFrame:
+    """Rows (doc_id, text_key, fp, sketch): 64 bits of the text, 64 bits of its set of shingles, and the set's sketch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "wide": [fingerprint(t, shingle, WIDE).astype(">u8").tobytes() for t in batch["text"]]})
+            fps, sketches = [], []
+            for text in batch["text"]:
+                hashes = shingle_set(text, shingle)
+                fps.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
+                sketches.append(sketch(hashes).tobytes())
+            yield pd.DataFrame({
+                "doc_id": batch["doc_id"], "text_key": batch["text_key"], "fp": np.array(fps, dtype=np.uint64).view(np.int64), "sketch": sketches
+            })
+
+    rows = docs.select(whole_id().alias("doc_id"), _text_key().alias("text_key"), F.col("text").cast("string"))
+    return rows.mapInPandas(run, "doc_id long, text_key long, fp long, sketch binary")
 
-    rows = docs.select(whole_id().alias("doc_id"), F.col("text").cast("string"))
-    return rows.mapInPandas(run, "doc_id long, wide binary")
+
+def _text_key() -> Column:
+    return F.xxhash64(text_or_empty())
 
 
 def _keys(classes: DataFrame) -> DataFrame:
-    """Rows (key, first): one per table and class."""
-    chosen = tables()
+    """Rows (key, fp): one per table and class."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            bytes_ = np.frombuffer(b"".join(batch["wide"]), dtype=np.uint8).reshape(len(batch), -1).astype(np.int64)
-            for t, columns in enumerate(chosen):
+            bytes_ = np.frombuffer(b"".join(batch["sketch"]), dtype=np.uint8).reshape(len(batch), TABLES, KEY_BYTES).astype(np.int64)
+            for t in range(TABLES):
                 key = np.full(len(batch), t, dtype=np.int64)
-                for c in columns:
-                    key = key << 8 | bytes_[:, c]
-                yield pd.DataFrame({"key": key, "first": batch["first"]})
-
-    return classes.select("wide", "first").mapInPandas(run, "key long, first long")
-
-
-def _verify(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
-    """Rows in order of (key, i, j): links of each group as (a, b), one for each class but the smallest of its part."""
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        wide = np.frombuffer(b"".join(rows["wide"]), dtype=np.uint64).reshape(len(rows), WIDE)
-        group = rows["group"].to_numpy()
-        apart = rows["i"].to_numpy() != rows["j"].to_numpy()
-        block, first = rows["block"].to_numpy(), rows["first"].to_numpy()
-        left, right, shift = [], [], 1
-        while shift < len(rows):
-            at = np.flatnonzero(group[shift:] == group[:-shift])
-            if not len(at):
-                break
-            at = at[~apart[at] | (block[at] != block[at + shift])]
-            near = np.bitwise_count(wide[at] ^ wide[at + shift]).sum(axis=1, dtype=np.int64) <= most
-            left.append(at[near])
-            right.append(at[near] + shift)
-            shift += 1
-        a, b = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (left, right))
-        label = np.arange(len(rows))
-        while True:  # rows of a group are in order of first, so the smallest label is the smallest class
-            least = label.copy()
-            np.minimum.at(least, a, label[b])
-            np.minimum.at(least, b, label[a])
-            least = least[least]
-            if (least == label).all():
-                break
-            label = least
-        moved = np.flatnonzero(label != np.arange(len(rows)))
-        return pd.DataFrame({"a": first[label[moved]], "b": first[moved]}).drop_duplicates()
+                for c in range(KEY_BYTES):
+                    key = key << 8 | bytes_[:, t, c]
+                yield pd.DataFrame({"key": key, "fp": batch["fp"]})
+
+    return classes.select("fp", "sketch").mapInPandas(run, "key long, fp long")
+
 
+def _roots(block: np.ndarray, apart: bool, linked: Callable[[int, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The smallest row of each row's part; ``linked`` tells which of the given rows link to one.
+
+    Rows that are in one part already are not compared, so a group of near copies takes few rounds.
+    ``apart`` leaves out pairs within a block.
+    """
+    label = np.arange(len(block))
+    for p in range(len(block) - 1):
+        rest = p + 1 + np.flatnonzero((label[p + 1:] != label[p]) & (block[p + 1:] != block[p] if apart else True))
+        if not len(rest):
+            continue
+        hit = rest[linked(p, rest)]
+        if len(hit):
+            joined = np.unique(np.append(label[hit], label[p]))
+            label[np.isin(label, joined)] = joined[0]
+    return label
+
+
+def _alike(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links (a, b) of whole groups by their sketches, one for each row but the first of its part."""
+    sketches = np.frombuffer(b"".join(rows["sketch"]), dtype=np.uint8).reshape(len(rows), -1)
+    group, block, fp = (rows[c].to_numpy() for c in ("group", "block", "fp"))
+    apart = rows["i"].to_numpy() != rows["j"].to_numpy()
+    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    counts = np.diff(np.append(starts, len(rows)))
+    few = np.repeat(counts <= FEW, counts)
+    a, b, shift = [], [], 1
+    while shift < min(FEW, len(rows)):
+        at = np.flatnonzero((group[shift:] == group[:-shift]) & few[shift:])
+        if not len(at):
+            break
+        at = at[~apart[at] | (block[at] != block[at + shift])]
+        at = at[(sketches[at] == sketches[at + shift]).sum(axis=1) >= LEAST_EQUAL]
+        a.append(at)
+        b.append(at + shift)
+        shift += 1
+    for low, n in zip(starts[counts > FEW], counts[counts > FEW], strict=True):
+        part = sketches[low:low + n]
+        label = _roots(block[low:low + n], apart[low], lambda p, rest: (part[rest] == part[p]).sum(axis=1) >= LEAST_EQUAL)  # noqa: B023
+        moved = np.flatnonzero(label != np.arange(n))
+        a.append(low + label[moved])
+        b.append(low + moved)
+    a, b = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (a, b))
+    return pd.DataFrame({"a": fp[a], "b": fp[b]}).drop_duplicates()
+
+
+def _similar_enough(rows: pd.DataFrame, least: float) -> pd.DataFrame:
+    """Links (a, b) of whole groups by the exact similarity of their sets, one for each row but the first of its part."""
+    out = []
+    for _, part in rows.groupby("group", sort=False):
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in part["hashes"]]
+        sizes = np.array([len(x) for x in sets])
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        names, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        flags = np.zeros(len(names), dtype=np.int64)
+
+        def linked(p: int, rest: np.ndarray) -> np.ndarray:
+            flags[ids[starts[p]:ends[p]]] = 1  # noqa: B023
+            both = np.add.reduceat(flags[ids], starts)[rest]  # noqa: B023
+            flags[ids[starts[p]:ends[p]]] = 0  # noqa: B023
+            return both / (sizes[p] + sizes[rest] - both) >= least  # noqa: B023
+
+        label = _roots(part["block"].to_numpy(), part["i"].iloc[0] != part["j"].iloc[0], linked)
+        moved, fp = np.flatnonzero(label != np.arange(len(part))), part["fp"].to_numpy()
+        out.append(pd.DataFrame({"a": fp[label[moved]], "b": fp[moved]}))
+    return pd.concat(out)
+
+
+def _by_group(batches: Iterator[pd.DataFrame], compare: Callable[[pd.DataFrame], pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``compare`` on rows in order of (key, i, j), whole groups at a time, numbered by a column group."""
     waiting = None
     for batch in batches:
         rows = batch if waiting is None else pd.concat([waiting, batch], ignore_index=True)
+        if not len(rows):
+            continue
         changed = (rows["key"].diff().ne(0) | rows["i"].diff().ne(0) | rows["j"].diff().ne(0)).to_numpy()
         rows = rows.assign(group=np.cumsum(changed))
         last = int(np.flatnonzero(changed)[-1])
@@ -230,28 +285,60 @@ def _verify(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame
         yield compare(waiting.assign(group=0))
 
 
-def similar(docs: DataFrame, shingle: int = 5, most: int = MOST_APART) -> DataFrame:
-    """One row (doc_id, component_id) per document row, linked by a similarity of about 0.8 or more.
+def _blocks(rows: DataFrame, chunks: Column, column: str) -> DataFrame:
+    """Rows (key, i, j, block, fp, ``column``), together where i, j are a pair of a key's blocks."""
+    rows = rows.withColumn("chunks", chunks.cast("int")).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp", column)
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "fp")
+
+
+def _sets(docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
+    """``classes`` (key, fp, text_key) with the set of shingles as ``hashes`` and its size ``n``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingle_set(t, shingle) for t in batch["text"]]
+            yield pd.DataFrame({"key": batch["key"], "fp": batch["fp"], "n": [len(x) for x in sets], "hashes": [x.tobytes() for x in sets]})
+
+    texts = docs.select(_text_key().alias("text_key"), F.col("text").cast("string"))
+    rows = texts.join(classes, "text_key").groupBy("key", "fp").agg(F.first("text").alias("text"))
+    return rows.mapInPandas(run, "key long, fp long, n long, hashes binary").where("n > 0")
 
-    64 bits can't tell that similarity from less and its pairs differ in too many of them for exact
-    blocks, so here a fingerprint has 256 bits, and pairs are sought by keys of three of its 32
-    blocks in ``TABLES`` tables: texts of similarity 0.9 share a key almost surely, those at 0.8
-    mostly. A pair is linked if ``most`` bits or fewer differ. Blocks of any size are compared whole,
-    in chunks, and name one link per class. Nulls, empties and repeated rows as in ``near_duplicates``.
+
+def similar(docs: DataFrame, shingle: int = 5, least: float = LEAST_SIMILAR) -> DataFrame:
+    """One row (doc_id, component_id) per document row; texts are linked if their sets of shingles have
+    a Jaccard similarity of ``least`` or more.
+
+    Texts with equal sets are one class, told by 64 bits of the set. Classes that agree in six minima
+    of one of ``TABLES`` tables are compared by their sketches, and what may be similar is joined to
+    candidate groups. Within a group the sets themselves are compared, so no link is an estimate: a
+    link can only be missed where no key agrees and nothing else brings the two into one group. Groups of any
+    size are compared whole, in pairs of blocks. Nulls, empties and repeated rows as in
+    ``near_duplicates``.
     """
-    prints = saved(_wide(docs, shingle), "simhash-wide")
-    classes = saved(prints.groupBy("wide").agg(F.min("doc_id").alias("first")), "simhash-wide-classes")
+    prints = saved(_sketches(docs, shingle), "simhash-sketches")
+    classes = saved(prints.groupBy("fp").agg(
+        F.min("doc_id").alias("first"), F.min("text_key").alias("text_key"), F.first("sketch").alias("sketch")
+    ), "simhash-sets")
     keys = saved(_keys(classes), "simhash-keys")
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    rows = keys.join(sizes, "key").join(classes, "first").withColumn("chunks", chunks)
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("first"), F.col("chunks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "first", "wide")
-    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "first")
-    linked = connected_components(rows.mapInPandas(lambda b: _verify(b, most), "a long, b long"), "simhash-similar")
-    whole = classes.join(linked, classes["first"] == linked.node, "left").select("wide", F.coalesce("component", "first").alias("component_id"))
-    return prints.join(saved(whole, "simhash-wide-whole"), "wide").select(id_again().alias("doc_id"), id_again("component_id").alias("component_id"))
+    rows = keys.join(sizes, "key").join(classes.select("fp", "sketch"), "fp")
+    rows = _blocks(rows, F.ceil(F.col("n") / CHUNK), "sketch")
+    maybe = connected_components(rows.mapInPandas(lambda b: _by_group(b, _alike), "a long, b long"), "simhash-maybe")
+    groups = maybe.select(F.col("node").alias("fp"), F.col("component").alias("key")).join(classes.select("fp", "text_key"), "fp")
+    sets = saved(_sets(docs, groups, shingle), "simhash-groups")
+    sizes = sets.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
+    chunks = F.least(F.col("rows"), F.greatest(F.ceil(F.col("rows") / CHUNK), F.ceil(F.col("shingles") / CHUNK_SHINGLES)))
+    found = _blocks(sets.join(sizes, "key"), chunks, "hashes").mapInPandas(
+        lambda b: _by_group(b, lambda rows: _similar_enough(rows, least)), "a long, b long"
+    )
+    linked = connected_components(found, "simhash-similar")
+    whole = classes.join(linked, classes.fp == linked.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
+    whole = saved(whole, "simhash-parts")
+    smallest = whole.groupBy("component").agg(F.min("first").alias("component_id"))
+    ids = whole.join(smallest, "component").select("fp", "component_id")
+    return prints.join(ids, "fp").select(id_again().alias("doc_id"), id_again("component_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, marked: DataFrame) -> DataFrame:
