@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,3 +58,21 @@ def test_copies_and_unusable_rows(spark):
         (i, 0, True) for i in (0, 10, 11, 12, 13, 14, 15, 16)
     ]
     assert forest.near_duplicates(table.where("false")).count() == 0
+
+
+def test_a_hot_group_keeps_its_pairs(spark):
+    """60,000 rows, a third of them in one group of cosine about 0.957, with the production spill: no linked pair is parted."""
+    draw = np.random.default_rng(6)
+    rows = draw.standard_normal((60_000, 64))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    noise = draw.standard_normal((20_000, 64)) / 8
+    rows[::3] = rows[0] + 0.212 * noise
+    table = spark.createDataFrame(pd.DataFrame({"rep": np.arange(60_000), "embedding": list(rows)}), "rep long, embedding array<double>")
+    own = forest.leaves(table, 0.95).where("rep % 3 = 0").toPandas()
+    held = own.groupby("rep")["leaf"].agg(set)
+    near = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    a, b = 3 * draw.integers(0, 20_000, (2, 200_000))
+    linked = (np.einsum("ij,ij->i", near[a], near[b]) >= 0.95) & (a != b)
+    assert linked.sum() > 100_000
+    assert sum(held[x].isdisjoint(held[y]) for x, y in zip(a[linked], b[linked], strict=True)) == 0
+    assert len(own) < 60 * 20_000

@@ -1,8 +1,10 @@
 """Embedding near-duplicates by a forest of random-projection trees with spill.
 
-A tree splits its vectors at the median of their projections on a random direction, one direction
-per tree and depth, again and again until a leaf is small. Vectors near a cut go to both sides, so
-that close pairs are seldom parted, and each tree parts others. Within the leaves all pairs are
+A tree splits its vectors by their projections on a random direction, one direction per tree and
+depth, again and again until a leaf is small. The cut is where the fewest vectors lie near it, and
+those go to both sides, so that close pairs are seldom parted, and each tree parts others. Where many
+lie near every cut, as in one dense group, the leaf is not split. The number of trees grows with the
+depth that the table needs. Within the leaves all pairs are
 verified in double precision. A pair that meets in several leaves counts in the smallest of them
 only, which each side tells from the list of its own leaves, so no pairs are written.
 
@@ -21,13 +23,17 @@ from pyspark.sql import functions as F
 from tidegauge.llm.common import connected_components, saved
 from tidegauge.llm.vectors import matrix, unit, usable, with_class
 
-TREES = 8
+TREES = 8  # at least
+PARTED = 0.021  # chance that a split parts a pair at the threshold, of vectors in all directions
+MISSED = 1e-6  # chance that all trees part it
 LEAF = 1024  # vectors in a leaf, about, and rows of a block when a leaf stays larger
 SAMPLE = 16_384  # rows that a round of splits is fitted on
 LEAST_SAMPLE = 64  # rows of a sample that a split needs
 LEVELS = 8  # splits in a round
 SPILL = 0.5  # half width of the strip that goes both ways, in deviations of a close pair's projected distance
 SEED = 23
+MOST_BOTH = 0.25  # of a leaf's rows may go both ways in a split; a cut through a dense group parts its pairs
+CUTS = np.linspace(0.25, 0.75, 33)  # quantiles that a cut is chosen from
 _DEPTH_BITS = 46  # a leaf is tree * 2^46 + path, the path with a leading 1
 
 
@@ -40,6 +46,21 @@ def margin(threshold: float, width: int) -> float:
     return SPILL * float(np.sqrt(max(0.0, 2 - 2 * threshold) / width))
 
 
+def trees_for(total: int) -> int:
+    """Trees that a table of ``total`` rows needs for ``MISSED``, with a fifth more levels than halves."""
+    levels = max(1.0, 1.2 * np.log2(max(1, total) / LEAF))
+    return max(TREES, int(np.ceil(np.log(MISSED) / np.log(1 - (1 - PARTED) ** levels))))
+
+
+def thinnest_cut(at: np.ndarray, strip: float) -> tuple[float, float]:
+    """The cut between the quarters with the fewest rows within ``strip`` of it, and their share; the middle one of equals."""
+    ordered = np.sort(at)
+    cuts = np.quantile(ordered, CUTS)
+    near = np.searchsorted(ordered, cuts + strip, "right") - np.searchsorted(ordered, cuts - strip, "right")
+    best = np.lexsort((np.abs(CUTS - 0.5), near))[0]
+    return float(cuts[best]), float(near[best] / len(at))
+
+
 def fit_splits(sample: np.ndarray, tree: int, depth: int, total: int, strip: float, leaf: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Cuts and states of a subtree as heaps from index 1: a cut, or NaN at its leaves.
 
@@ -59,9 +80,9 @@ def fit_splits(sample: np.ndarray, tree: int, depth: int, total: int, strip: flo
             state[node] = 2
             continue
         at = sample[rows] @ direction(tree, depth + level, sample.shape[1])
-        cut = float(np.median(at))
+        cut, both = thinnest_cut(at, strip)
         left, right = rows[at <= cut + strip], rows[at > cut - strip]
-        if max(len(left), len(right)) > 0.9 * len(rows):
+        if both > MOST_BOTH or max(len(left), len(right)) > 0.9 * len(rows):
             state[node] = 1
             continue
         cuts[node] = cut
@@ -141,11 +162,13 @@ def _next_round(classes: DataFrame, large: DataFrame, strip: float) -> DataFrame
     return rows.select("rep", "leaf", "embedding").join(fitted, "leaf").mapInPandas(run, _LEAVES)
 
 
-def leaves(classes: DataFrame, threshold: float, trees: int = TREES) -> DataFrame:
+def leaves(classes: DataFrame, threshold: float, trees: int | None = None) -> DataFrame:
     """Rows (rep, leaf): every leaf of every tree that each class of vectors is in."""
+    total = classes.count()
+    trees = trees or trees_for(total)
     first = classes.select(F.size("embedding").alias("k")).first()
     strip = margin(threshold, first.k if first else 1)
-    rows = saved(_first_round(classes, trees, strip, classes.count()), "forest-leaves")
+    rows = saved(_first_round(classes, trees, strip, total), "forest-leaves")
     done = rows.where("NOT more")
     while rows.where("more").limit(1).count():
         rows = saved(_next_round(classes, rows.where("more").select("rep", "leaf"), strip), "forest-leaves")
@@ -193,7 +216,7 @@ def _verify(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
     return pd.DataFrame({"rep": reps, "links": links, "root": reps[label]})
 
 
-def links(classes: DataFrame, threshold: float, trees: int = TREES) -> DataFrame:
+def links(classes: DataFrame, threshold: float, trees: int | None = None) -> DataFrame:
     """Rows (rep, links, root), several per class: how many vectors link to it, and a linked root."""
     own = saved(leaves(classes, threshold, trees), "forest-own")
     sizes = own.groupBy("leaf").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -209,7 +232,7 @@ def links(classes: DataFrame, threshold: float, trees: int = TREES) -> DataFrame
     return rows.groupBy("leaf", "i", "j").applyInPandas(lambda g: _verify(g, threshold), _FOUND)
 
 
-def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, trees: int = TREES) -> DataFrame:
+def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, trees: int | None = None) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept.
 
     Vectors link where their cosine is at least ``threshold``. Equal vectors link with each other
