@@ -80,3 +80,51 @@ def test_hundreds_of_distinct_rules():
     made = licenses.rules()
     assert len(made) > 300 and [r.tier for r in made] == sorted((r.tier for r in made), reverse=True)
     assert all(re.compile(r.pattern) for r in made)
+
+
+SHORT = [
+    "Licensed under GPLv3.", "GNU GPLv2 or later", "gpl3", "LGPLv3 and LGPLv2.1", "AGPLv3", "MPLv2", "EPLv2", "0BSD", "zero clause BSD",
+    "zlib/libpng licence", "Apache Software License 2.0", "creative commons by-sa 4.0", "the MIT licence", "GNU General Public Licencev3",
+    "Apache Licensev2", "example complete translate account",
+]
+
+
+def test_short_forms(spark):
+    docs = spark.createDataFrame(list(enumerate(SHORT)), "doc_id long, text string")
+    for r in licenses.scan(docs).collect():
+        got = sorted((d.start, d.end, d.label, d.tier) for d in r.detections)
+        assert got == detections(SHORT[r.doc_id]), SHORT[r.doc_id]
+        assert bool(got) == (r.doc_id < len(SHORT) - 1), SHORT[r.doc_id]
+
+
+def examples(parts):
+    """Strings of a parsed pattern: every branch, and every option taken and left; of sets and runs the first."""
+    out = [""]
+    for op, arg in parts:
+        name = str(op)
+        if name == "LITERAL":
+            more = [chr(arg)]
+        elif name == "IN":
+            more = [chr(a[0] if isinstance(a, tuple) else a) for o, a in arg if str(o) in ("LITERAL", "RANGE")] or ["x"]
+        elif name in ("ANY", "NOT_LITERAL"):
+            more = ["x"]
+        elif name == "BRANCH":
+            more = [e for branch in arg[1] for e in examples(branch)]
+        elif name == "SUBPATTERN":
+            more = examples(arg[3])
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            one = examples(arg[2])
+            more = [e * n for n in {arg[0], max(1, arg[0])} for e in one]
+        else:
+            assert name == "ASSERT", name
+            more = [""]
+        out = [a + b for a in out for b in dict.fromkeys(more)]
+    return out
+
+
+def test_every_match_passes_its_gate():
+    for rule in licenses.rules():
+        for text in examples(re._parser.parse(rule.pattern)):
+            assert re.fullmatch(rule.pattern.replace("(?<= )", "").replace("(?= )", ""), text), (rule.pattern, text)
+            plain = f" {text} ".replace("licence", "license")
+            assert any(f" {k}" in plain for k in rule.keyword.split("|")), (rule.keyword, text)

@@ -1,7 +1,8 @@
 """License scan: ordered signature rules over normalised words, gated by keywords.
 
 A text becomes its lower-cased words with single spaces, so signatures need no care for punctuation
-or line breaks. Each rule names a keyword phrase; its pattern is tried only where the phrase occurs.
+or line breaks. Each rule names a keyword phrase, or several divided by "|"; its pattern is tried only
+where a word and what follows begin with one of them, which every match of the pattern holds.
 Detections are ranked by the rule's tier; one that lies inside another of the same or a higher tier
 is suppressed. Everything is column expressions on one row: no shuffle, no Python.
 """
@@ -9,6 +10,8 @@ is suppressed. Everything is column expressions on one row: no shuffle, no Pytho
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +45,7 @@ FAMILIES = (
     ("agpl", "affero general public license", r"(?:gnu )?affero general public licen[sc]e", "1.0 3.0"),
     ("agpl", "agpl", r"(?:gnu )?agpl", "1.0 3.0"),
     ("gfdl", "free documentation license", r"(?:gnu )?free documentation licen[sc]e", "1.1 1.2 1.3"),
-    ("apache", "apache license", r"apache(?: software)? licen[sc]e", "1.0 1.1 2.0"),
+    ("apache", "apache license|apache software license", r"apache(?: software)? licen[sc]e", "1.0 1.1 2.0"),
     ("apache", "asl", r"(?:apache )?asl", "1.1 2.0"),
     ("mpl", "mozilla public license", r"mozilla public licen[sc]e", "1.0 1.1 2.0"),
     ("mpl", "mpl", r"mpl", "1.0 1.1 2.0"),
@@ -87,19 +90,19 @@ SIGNATURES = (
     ("bsd-2-clause", "bsd", r"(?:bsd 2 clause|2 clause bsd|simplified bsd)(?: licen[sc]e)?", 3),
     ("bsd-3-clause", "bsd", r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)(?: licen[sc]e)?", 3),
     ("bsd-4-clause", "bsd", r"(?:bsd 4 clause|4 clause bsd|original bsd)(?: licen[sc]e)?", 3),
-    ("bsd-0-clause", "bsd", r"(?:0bsd|zero clause bsd)(?: licen[sc]e)?", 3),
+    ("bsd-0-clause", "bsd|0bsd", r"(?:0bsd|zero clause bsd)(?: licen[sc]e)?", 3),
     ("bsd", "redistribution and use in source and binary forms", r"redistribution and use in source and binary forms with or without modification are permitted", 4),
     ("bsd-3-clause", "endorse or promote products", r"neither the name of .{0,160}? may be used to endorse or promote products", 4),
     ("isc", "isc license", r"(?:the )?isc licen[sc]e", 2),
     ("isc", "permission to use copy modify", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", 4),
-    ("zlib", "zlib license", r"(?:the )?zlib(?: libpng)? licen[sc]e", 2),
+    ("zlib", "zlib license|zlib libpng license", r"(?:the )?zlib(?: libpng)? licen[sc]e", 2),
     ("zlib", "altered source versions", r"altered source versions must be plainly marked as such", 4),
     ("unlicense", "unlicense", r"(?:the )?unlicense", 2),
     ("unlicense", "free and unencumbered software", r"this is free and unencumbered software released into the public domain", 4),
     ("wtfpl", "wtfpl", r"wtfpl", 2),
     ("beerware", "beer ware license", r"beer ware licen[sc]e", 2),
     ("cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?", 3),
-    ("public-domain", "public domain", r"(?:released |placed |dedicated )?(?:in|into|to)? ?(?:the )?public domain", 2),
+    ("public-domain", "public domain|inpublic domain|intopublic domain|topublic domain", r"(?:released |placed |dedicated )?(?:in|into|to)? ?(?:the )?public domain", 2),
     ("apache-2.0", "licensed under the apache license", r"licensed under the apache licen[sc]e version 2 0", 4),
     ("gpl", "free software you can redistribute it", r"free software you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e", 4),
     ("lgpl", "free software you can redistribute it", r"free software you can redistribute it and or modify it under the terms of the gnu lesser general public licen[sc]e", 4),
@@ -131,7 +134,7 @@ def rules() -> list[Rule]:
     for parts in CC_PARTS:
         short = f"(?:cc|creative commons) {parts.replace('-', ' ')}"
         full = "creative commons " + " ".join(CC_NAMES[p] for p in parts.split("-"))
-        for keyword, name in (("cc", short), ("creative commons", full)):
+        for keyword, name in (("cc by|creative commons by", short), ("creative commons", full)):
             add(f"cc-{parts}", keyword, name, 2)
             for version in CC_VERSIONS:
                 number = version.replace(".", " ")
@@ -208,11 +211,12 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     words = unmarked(normalised(text_or_empty()))
     rows = docs.select("doc_id", words.alias("words"))
-    # keyword phrases are written with "license"
-    rows = rows.withColumn("one_spelling", F.replace("words", F.lit(" licence "), F.lit(" license ")))
+    # keyword phrases are written with "license"; a version may be glued to it
+    rows = rows.withColumn("one_spelling", F.replace("words", F.lit("licence"), F.lit("license")))
     phrases = sorted({r.keyword for r in rules()})
-    has = lambda phrase, column="words": F.contains(F.col(column), F.lit(f" {phrase} "))
-    keywords = F.array_compact(F.array(*[F.when(has(p, "one_spelling"), F.lit(p)) for p in phrases]))
+    has = lambda phrase: F.contains(F.col("words"), F.lit(f" {phrase} "))
+    begins = lambda phrase: F.contains(F.col("one_spelling"), F.lit(f" {phrase}"))
+    keywords = F.array_compact(F.array(*[F.when(reduce(or_, map(begins, p.split("|"))), F.lit(p)) for p in phrases]))
     base = F.concat(*[_base(label, phrase, has(phrase)) for label, phrase in BASE.items()])
     n_words = F.when(F.length("words") > 2, _spaces(F.col("words")) - 1).otherwise(0).cast("long")
     rows = rows.select("doc_id", "words", n_words.alias("n_words"), keywords.alias("keywords"), base.alias("base"))
