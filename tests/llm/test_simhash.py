@@ -119,3 +119,21 @@ def test_isolated_pairs_are_linked_from_a_similarity_of_exactly_four_fifths(spar
         assert len(pairs) > 60
         linked = sum(got[2 * g + 1] == 2 * g for g in pairs)
         assert linked == found * len(pairs), (low, high, linked, len(pairs))
+
+
+def test_distinct_texts_that_share_an_id_stay_apart(spark):
+    """Repeated ids, and null ids: each text goes or stays with its own group."""
+    text = {c: " ".join(f"{c}{i}" for i in range(100)) for c in "abcdef"}
+    rows = [
+        (0, text["b"]), (1, text["a"]), (1, text["b"]), (1, text["a"]), (5, text["a"] + " end"), (7, text["c"]), (7, text["d"]),
+        (8, text["c"] + " end"), (None, text["e"]), (None, text["f"]), (9, text["d"]),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marked = simhash.similar(docs)
+    null_parts = {r.component for r in marked.where("doc_id IS NULL").collect()}
+    assert marked.count() == len(rows) and len(null_parts) == 2
+    expected = [(0, "b"), (1, "a"), (7, "c"), (7, "d"), (-1, "e"), (-1, "f")]
+    for found in (marked, simhash.near_duplicates(docs)):
+        left = sorted((-1 if r.doc_id is None else r.doc_id, r.text[0]) for r in simhash.keep_one(docs, found).collect() if not r.text.endswith("end"))
+        assert left == sorted(expected)
+    assert sorted(r.text[-3:] == "end" for r in simhash.keep_one(docs, marked).collect()) == [False] * 6

@@ -54,15 +54,15 @@ def shingle_set(text: str | None, shingle: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """Rows (doc_id, fp): the fingerprint of every whole text as a signed long; null texts are empty."""
+    """Rows (doc_id, text_key, fp): the fingerprint of every whole text as a signed long; null texts are empty."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             fps = np.fromiter((fingerprint(t, shingle) for t in batch["text"]), dtype=np.uint64, count=len(batch))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps.view(np.int64)})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "text_key": batch["text_key"], "fp": fps.view(np.int64)})
 
-    rows = docs.select(whole_id().alias("doc_id"), F.col("text").cast("string"))
-    return rows.mapInPandas(run, "doc_id long, fp long").withColumn("doc_id", id_again())
+    rows = docs.select(whole_id().alias("doc_id"), _text_key().alias("text_key"), F.col("text").cast("string"))
+    return rows.mapInPandas(run, "doc_id long, text_key long, fp long").withColumn("doc_id", id_again())
 
 
 def _bounds(blocks: int) -> list[tuple[int, int]]:
@@ -126,12 +126,13 @@ def close_links(fps: DataFrame, bits: int = 2, shared: int = 3, pairs_up_to: int
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, bits: int = 2, shared: int = 3) -> DataFrame:
-    """One row (doc_id, fp, component_id) per document row.
+    """One row (doc_id, fp, component_id, text_key, component) per document row.
 
     Documents with fingerprints at most ``bits`` apart are linked; ``component_id`` is the smallest
     doc_id reachable. Equal fingerprints are one class, so copies are never paired. Null texts are
     empty; texts without words have fingerprint 0 and link like any other; a class whose doc_ids are
     all null has a null component. Repeated rows come back repeated. An empty table gives no rows.
+    ``text_key`` and ``component`` tell texts and components also where doc_ids are null or repeated.
     """
     prints = saved(fingerprints(docs, shingle), "simhash-prints")
     classes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
@@ -141,8 +142,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, bits: int = 2, shared: in
     )
     whole = saved(whole, "simhash-whole")
     smallest = whole.groupBy("component").agg(F.min("first").alias("component_id"))
-    ids = whole.join(smallest, "component").select("fp", "component_id")
-    return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
+    ids = whole.join(smallest, "component").select("fp", "component_id", "component")
+    return prints.join(ids, "fp").select("doc_id", "fp", "component_id", "text_key", "component")
 
 
 TABLES, KEY_BYTES = 40, 6  # tables, and minima in a table's key; at 0.8 all keys differ five times in a million
@@ -307,8 +308,8 @@ def _sets(docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
 
 
 def similar(docs: DataFrame, shingle: int = 5, least: float = LEAST_SIMILAR) -> DataFrame:
-    """One row (doc_id, component_id) per document row; texts are linked if their sets of shingles have
-    a Jaccard similarity of ``least`` or more.
+    """One row (doc_id, component_id, text_key, component) per document row; texts are linked if their
+    sets of shingles have a Jaccard similarity of ``least`` or more.
 
     Texts with equal sets are one class, told by 64 bits of the set. Classes that agree in six minima
     of one of ``TABLES`` tables are compared by their sketches, and what may be similar is joined to
@@ -337,22 +338,23 @@ def similar(docs: DataFrame, shingle: int = 5, least: float = LEAST_SIMILAR) ->
     whole = classes.join(linked, classes.fp == linked.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
     whole = saved(whole, "simhash-parts")
     smallest = whole.groupBy("component").agg(F.min("first").alias("component_id"))
-    ids = whole.join(smallest, "component").select("fp", "component_id")
-    return prints.join(ids, "fp").select(id_again().alias("doc_id"), id_again("component_id").alias("component_id"))
+    ids = whole.join(smallest, "component").select("fp", "component_id", "component")
+    return prints.join(ids, "fp").select(id_again().alias("doc_id"), id_again("component_id").alias("component_id"), "text_key", "component")
 
 
 def keep_one(docs: DataFrame, marked: DataFrame) -> DataFrame:
     """``docs`` without the near-duplicates: the row with the smallest doc_id of each group stays.
 
-    ``marked`` has doc_id and component_id, as ``near_duplicates`` and ``similar`` give them. Of
-    several rows with one doc_id, one stays. Rows with a null doc_id can't be told from each other;
-    they all stay.
+    ``marked`` is what ``near_duplicates`` or ``similar`` give. Rows are told by doc_id and text, so of
+    rows with one doc_id only those of one group are reduced to one. Rows with a null doc_id can't be
+    told from each other; they all stay.
     """
-    gone = marked.where("doc_id != component_id OR doc_id IS NOT NULL AND component_id IS NULL").select("doc_id").distinct()
+    gone = marked.where("doc_id != component_id OR doc_id IS NOT NULL AND component_id IS NULL").select("doc_id", "text_key").distinct()
     again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id")
-    kept = row.join(gone, "doc_id", "left_anti")
+    parts = marked.join(again, "doc_id", "left_semi").select("doc_id", "text_key", "component").distinct()
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", _text_key().alias("text_key"))
+    kept = row.join(gone, ["doc_id", "text_key"], "left_anti")
     once = kept.join(again, "doc_id", "left_anti").select("row")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("row.text"))
-    one = kept.join(again, "doc_id", "left_semi").withColumn("n", F.row_number().over(order)).where("n = 1").select("row")
+    order = Window.partitionBy("doc_id", "component").orderBy("text_key")
+    one = kept.join(parts, ["doc_id", "text_key"]).withColumn("n", F.row_number().over(order)).where("n = 1").select("row")
     return once.unionAll(one).select("row.*")
