@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import forest, licenses, mixing, neighbours, packing, passages, pii, sharding, simhash, toxicity
+from tidegauge.llm import (
+    forest, licenses, mixing, neighbours, packing, passages, pii, prefixes, sharding, simhash, toxicity,
+)
 from tidegauge.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,3 +174,57 @@ FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.trie(prefixes.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+ORACLES["op13_prefix_trie"] = """
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_concat([b], range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS b))
+), turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(coalesce(role, '') || ':' || coalesce(text, ''))) - 1 AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                         lambda s, x: xor(s >> 8, t[(xor(s, x) & 255) + 1])), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), crc_table
+), again AS (
+  SELECT c.conv_id, p, role, text FROM convs c JOIN turns t ON t.conv_id = c.base WHERE p < h
+  UNION ALL
+  SELECT c.conv_id, p + 10, role, text FROM convs c JOIN turns t USING (conv_id) WHERE p >= h
+), rebuilt AS (
+  SELECT conv_id, row_number() OVER w AS depth, length(text) AS n,
+         list(md5(length(role) || ':' || role || text)) OVER (w ROWS UNBOUNDED PRECEDING) AS prefix
+  FROM again WINDOW w AS (PARTITION BY conv_id ORDER BY p)
+  UNION ALL
+  SELECT conv_id, 0, 0, [] FROM convs
+), members AS (
+  SELECT conv_id, depth, n, md5(array_to_string(prefix, '')) AS node, md5(array_to_string(prefix[1:-2], '')) AS parent,
+         depth = max(depth) OVER (PARTITION BY conv_id) AS ends
+  FROM rebuilt
+), nodes AS (
+  SELECT node, any_value(CASE WHEN depth > 0 THEN parent END) AS parent, any_value(depth) AS depth, any_value(n) AS n,
+         min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM members GROUP BY node
+), children AS (
+  SELECT parent, count(*) AS n_children FROM nodes GROUP BY parent
+), above AS (
+  SELECT node AS top, node FROM nodes
+  UNION ALL
+  SELECT nodes.parent, above.node FROM above JOIN nodes ON nodes.node = above.top WHERE nodes.parent IS NOT NULL
+), sums AS (
+  SELECT top, sum((n_convs - 1) * n) AS saved_tokens, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves
+  FROM above JOIN nodes USING (node) LEFT JOIN children ON children.parent = node GROUP BY top
+)
+SELECT a.conv_id, CAST(a.depth AS BIGINT) AS depth, b.conv_id AS parent_conv_id, a.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, a.ends_sha256
+FROM nodes a JOIN sums ON sums.top = a.node LEFT JOIN nodes b ON b.node = a.parent LEFT JOIN children ON children.parent = a.node
+"""
