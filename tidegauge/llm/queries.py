@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm import (
-    forest, licenses, mixing, neighbours, packing, passages, pii, prefixes, sharding, simhash, toxicity,
+    bpe, forest, licenses, mixing, neighbours, packing, passages, pii, prefixes, sharding, simhash, toxicity,
 )
 from tidegauge.plans.tables import table
 
@@ -228,3 +228,13 @@ SELECT a.conv_id, CAST(a.depth AS BIGINT) AS depth, b.conv_id AS parent_conv_id,
        CAST(saved_tokens AS BIGINT) AS saved_tokens, a.ends_sha256
 FROM nodes a JOIN sums ON sums.top = a.node LEFT JOIN nodes b ON b.node = a.parent LEFT JOIN children ON children.parent = a.node
 """
+
+
+@query
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bpe.decoded(bpe.encoded(table(spark, sf_dir, "documents"), TOKENIZER), TOKENIZER)
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
