@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm import (
-    bpe, forest, licenses, mixing, neighbours, packing, passages, pii, prefixes, sharding, simhash, toxicity,
+    bpe, forest, lexical, licenses, mixing, neighbours, packing, passages, pii, prefixes, sharding, simhash, toxicity,
 )
 from tidegauge.plans.tables import table
 
@@ -238,3 +238,32 @@ def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+_TERMS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+ORACLES["op11_lexical_search"] = f"""
+WITH d AS (
+  SELECT row, doc_id, terms, len(terms) AS n FROM (SELECT row_number() OVER () AS row, doc_id, {_TERMS_SQL} AS terms FROM documents)
+  WHERE len(terms) > 0
+), s AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM d
+), q AS (
+  SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS_SQL}) AS term FROM benchmark) GROUP BY ALL
+), tf AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, s GROUP BY term, docs
+), scored AS (
+  SELECT item_id, row, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // total)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN d USING (row), s GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 20
+"""
