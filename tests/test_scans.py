@@ -90,6 +90,52 @@ def test_every_hot_key_is_split(spark, monkeypatch):
     assert got.groupBy("place").count().orderBy("place").collect() == [(i, 5000) for i in (1, 2, 3, 4)]
 
 
+def sizes_of_segments(df, per_segment):
+    """Rows of each (key, segment) as ``scan`` cuts them."""
+    axis = by_time("at", per_segment)
+    hot = scans.hot_keys(df, ["key"], axis, per_segment)
+    joined = df.join(hot, F.col("key").eqNullSafe(F.col("__hot_0")))
+    placed = joined.select("key", "at", scans._segment_of(axis).alias("segment"))
+    falling = placed.groupBy("key", "segment").agg(F.min("at").alias("low"), F.max("at").alias("high"), F.count(F.lit(1)).alias("n")).collect()
+    by_key = {}
+    for r in sorted(falling, key=lambda r: (r.key, r.segment)):
+        by_key.setdefault(r.key, []).append((r.low, r.high, r.n))
+    for spans in by_key.values():
+        assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))  # segments follow the axis
+    return {key: [n for _, _, n in spans] for key, spans in by_key.items()}
+
+
+@pytest.mark.parametrize("cuts", [1 << 10, 1 << 4])
+def test_segments_are_balanced_whatever_the_axis(spark, monkeypatch, cuts):
+    """Even, one outlier in 2099, and 99 % of the rows in 1 % of the range: none above twice the mean."""
+    monkeypatch.setattr(scans, "CUTS", cuts)
+    n, day = 20_000, 86_400_000
+    one = F.col("id")
+    burst = F.when(one % 100 == 0, one * day).otherwise(50 * day + one * 7)
+    shapes = {"even": one * 1000, "outlier": F.when(one == n - 1, 4_100_000_000_000).otherwise(one * 1000), "burst": burst}
+    df = spark.range(n).select(F.explode(F.create_map(*[c for k, v in shapes.items() for c in (F.lit(k), v.cast("long"))])).alias("key", "at"))
+    for key, found in sizes_of_segments(df, 1000).items():
+        assert sum(found) == n and max(found) <= 2000, (key, found)
+        assert len(found) >= 15
+
+
+def test_more_segments_than_cuts_and_rows_of_one_value(spark, monkeypatch):
+    monkeypatch.setattr(scans, "CUTS", 8)
+    n = 8000
+    df = spark.range(n).select(F.lit("even").alias("key"), (F.col("id") * 10).alias("at")).unionAll(
+        spark.range(n).select(F.lit("same"), F.when(F.col("id") < 7000, 5).otherwise(F.col("id"))))
+    found = sizes_of_segments(df, 100)
+    assert max(found["even"]) <= 200 and max(found["same"]) <= 7000 + n / 8  # one value is never parted
+
+
+def test_null_and_negative_places_on_the_axis(spark, monkeypatch):
+    rows = [("a", i, i if i % 7 else None, i) for i in range(-300, 300)] + [(None, i, 5, i) for i in range(50)]
+    df = spark.createDataFrame(rows, "key string, id long, at long, v long")
+    plain = Window.partitionBy("key").orderBy("at", "id").rowsBetween(Window.unboundedPreceding, 0)
+    expected = df.withColumn("s", F.sum("v").over(plain))
+    assert rows_of(scan(df, ["key"], ["at", "id"], by_time("at", 40), upto={"s": ("sum", F.col("v"))})) == rows_of(expected)
+
+
 def test_scan_never_groups_rows_by_key_alone(table):
     """Only the segment summaries meet per key; rows are shuffled by key and segment."""
     got = scan(table, ["key"], ["ms", "id"], by_time("ms", 100), upto={"s": ("sum", F.col("value"))})

@@ -2,7 +2,7 @@
 
 ``Window.partitionBy(key).orderBy(t)`` hands every row of a key to one task. That is the cheapest
 plan while keys are small, and fails when one key holds a large share of the table. ``scan`` cuts
-the order axis of hot keys into segments:
+the order axis of hot keys into segments of about equally many rows:
 
 1. rows are windowed per (key, segment), so a hot key spreads over as many tasks as it has segments
    and every other key is one segment;
@@ -12,9 +12,12 @@ the order axis of hot keys into segments:
    window sees it like any other row. The rows are shuffled once.
 
 Which keys are hot is counted, at every size alike: keys with more than ``HOT_ROWS`` rows are written
-to a small table with their row count and the range of their axis, and that table is joined to the
-rows. It has at most one row per ``HOT_ROWS`` rows of the input; how it is joined is left to
-Catalyst, which knows its size. A key's number of segments follows from its rows.
+to a small table, with the bounds of their segments, and that table is joined to the rows. It has at
+most one row per ``HOT_ROWS`` rows of the input; how it is joined is left to Catalyst, which knows its
+size. A key's number of segments follows from its rows, and the bounds are quantiles of its axis, so
+bursts get many segments and stray values none of their own. Beyond ``CUTS`` segments the rows
+between two quantiles are divided evenly by value; whatever the axis looks like, no segment then has
+more than about one row in ``CUTS`` of its key, but for rows of one single value.
 """
 
 from __future__ import annotations
@@ -31,7 +34,8 @@ from tidegauge.session import written
 SEGMENT = "__segment"
 SLOT = "__slot"
 ALL = "__all"
-ROWS_PER_SEGMENT = 1 << 20  # of a hot key, if its rows are spread evenly over the axis
+ROWS_PER_SEGMENT = 1 << 20  # of a hot key
+CUTS = 1 << 10  # quantiles that are known of a hot key's axis
 HOT_ROWS = 1 << 24  # a key with more rows than this is split
 
 _COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
@@ -57,12 +61,52 @@ def by_time(ms: str, rows: int | None = None) -> Axis:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], axis: Axis, least: int) -> DataFrame:
-    """The keys with more than ``least`` rows: __hot_0…, their __rows and the axis' range __low, __high."""
+    """The keys with more than ``least`` rows: __hot_0…, their __rows and __bounds, where their segments begin.
+
+    Only rows of such keys are read for the quantiles. The last bound is the largest value.
+    """
+    names = [f"__hot_{i}" for i in range(len(keys))]
     at = F.col(axis.column).cast("double")
-    counted = df.groupBy(*[F.col(key).alias(f"__hot_{i}") for i, key in enumerate(keys)]).agg(
-        F.count(F.lit(1)).alias("__rows"), F.min(at).alias("__low"), F.max(at).alias("__high")
+    named = df.select(*[F.col(key).alias(name) for key, name in zip(keys, names)], at.alias("__at"))
+    if least:
+        counted = named.groupBy(*names).agg(F.count(F.lit(1)).alias("__rows"))
+        hot = written(counted.where(F.col("__rows") > least), "hot-keys")
+        if hot.isEmpty():
+            return hot.withColumn("__bounds", F.lit(None).cast("array<double>"))
+        found = hot.select(*[F.col(name).alias(f"{name}_") for name in names])
+        same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"{name}_")) for name in names])
+        named = named.join(found, same, "left_semi")
+    spread = named.groupBy(*names).agg(
+        F.count(F.lit(1)).alias("__rows"), F.min("__at").alias("__low"), F.max("__at").alias("__high"),
+        F.percentile_approx("__at", [i / CUTS for i in range(1, CUTS)], 16 * CUTS).alias("__cuts"),
     )
-    return written(counted.where(F.col("__rows") > least), "hot-keys")
+    parts = F.least(_segments(axis), F.lit(CUTS))
+    chosen = F.transform(F.sequence(F.lit(1), parts - 1), lambda i: F.get("__cuts", F.floor(i * CUTS / parts).cast("int") - 1))
+    bounds = F.concat(F.array("__low"), F.when(parts > 1, chosen).otherwise(F.array().cast("array<double>")), F.array("__high"))
+    return written(spread.select(*names, "__rows", bounds.alias("__bounds")), "hot-bounds")
+
+
+def _segments(axis: Axis) -> Column:
+    """How many segments a hot key's ``__rows`` ask for."""
+    return F.ceil(F.col("__rows") / (axis.rows or ROWS_PER_SEGMENT))
+
+
+def _segment_of(axis: Axis) -> Column:
+    """The segment of a hot key's row: a binary search among ``__bounds``, and a share of what lies between two of them."""
+    at, bounds = F.col(axis.column).cast("double"), F.col("__bounds")
+    last = F.size(bounds) - 2
+    steps = F.array(*[F.lit(CUTS >> i) for i in range(1, CUTS.bit_length())])
+
+    def halved(place: Column, step: Column) -> Column:
+        return F.when((place + step <= last) & (F.get(bounds, place + step) <= at), place + step).otherwise(place)
+
+    def divided(place: Column) -> Column:
+        low, high = F.get(bounds, place), F.get(bounds, place + 1)
+        share = F.coalesce(F.try_divide(at - low, high - low), F.lit(0.0))
+        return place * parts + F.least(F.floor(share * parts), parts - 1)
+
+    parts = F.ceil(_segments(axis) / CUTS)
+    return F.aggregate(steps, F.lit(0), halved, divided)
 
 
 def scan(
@@ -126,11 +170,9 @@ def scan(
     hot = hot_keys(df, keys, segment, 0 if whole_table else HOT_ROWS)
     is_hot = reduce(Column.__and__, [F.col(key).eqNullSafe(F.col(f"__hot_{i}")) for i, key in enumerate(keys)])
     joined = df.withColumns(inputs).join(hot, is_hot, "left")
-    segments = F.ceil(F.col("__rows") / (segment.rows or ROWS_PER_SEGMENT))
-    width = (F.col("__high") - F.col("__low") + 1) / segments
-    number = F.floor((F.col(segment.column).cast("double") - F.col("__low")) / width)
     is_split = F.col("__rows").isNotNull()
-    rows = joined.withColumns({SEGMENT: F.when(is_split, number).otherwise(F.lit(0)), SLOT: F.lit(1)})
+    number = F.when(is_split, _segment_of(segment)).otherwise(F.lit(0)).cast("long")
+    rows = joined.withColumns({SEGMENT: number, SLOT: F.lit(1)}).drop("__bounds")
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     summary = rows.where(is_split).groupBy(*keys, SEGMENT).agg(
         *[combine(temp).alias(temp) for temp, (_, _, combine, _) in folds.items()],
@@ -163,4 +205,4 @@ def scan(
     extra = ended.select(*keys, SEGMENT, F.explode(found).alias("end")).select(*keys, SEGMENT, "end.*")
     together = rows.unionByName(extra, allowMissingColumns=True)
     found = together.withColumns(results([*keys, SEGMENT], [SLOT, *order])).where(F.col(SLOT) == 1)
-    return found.drop(SEGMENT, SLOT, ALL, "__rows", "__low", "__high", *[f"__hot_{i}" for i in range(len(keys))], *inputs)
+    return found.drop(SEGMENT, SLOT, ALL, "__rows", *[f"__hot_{i}" for i in range(len(keys))], *inputs)
