@@ -105,7 +105,7 @@ def sizes_of_segments(df, per_segment):
     return {key: [n for _, _, n in spans] for key, spans in by_key.items()}
 
 
-@pytest.mark.parametrize("cuts", [1 << 10, 1 << 4])
+@pytest.mark.parametrize("cuts", [1 << 8, 1 << 4])
 def test_segments_are_balanced_whatever_the_axis(spark, monkeypatch, cuts):
     """Even, one outlier in 2099, and 99 % of the rows in 1 % of the range: none above twice the mean."""
     monkeypatch.setattr(scans, "CUTS", cuts)

@@ -35,7 +35,7 @@ SEGMENT = "__segment"
 SLOT = "__slot"
 ALL = "__all"
 ROWS_PER_SEGMENT = 1 << 20  # of a hot key
-CUTS = 1 << 10  # quantiles that are known of a hot key's axis
+CUTS = 1 << 8  # quantiles that are known of a hot key's axis
 HOT_ROWS = 1 << 24  # a key with more rows than this is split
 
 _COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
@@ -78,7 +78,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], axis: Axis, least: int) -> Data
         named = named.join(found, same, "left_semi")
     spread = named.groupBy(*names).agg(
         F.count(F.lit(1)).alias("__rows"), F.min("__at").alias("__low"), F.max("__at").alias("__high"),
-        F.percentile_approx("__at", [i / CUTS for i in range(1, CUTS)], 16 * CUTS).alias("__cuts"),
+        F.percentile_approx("__at", [i / CUTS for i in range(1, CUTS)], 32 * CUTS).alias("__cuts"),
     )
     parts = F.least(_segments(axis), F.lit(CUTS))
     chosen = F.transform(F.sequence(F.lit(1), parts - 1), lambda i: F.get("__cuts", F.floor(i * CUTS / parts).cast("int") - 1))
@@ -129,7 +129,7 @@ def scan(
     ``upto``/``before``/``after`` map a new column to ``(sum|min|max, input)`` over the rows up to
     and with, strictly before, or strictly after the current one, ``whole`` over all rows of the
     key. ``previous``/``following`` map a new column to an expression taken from the neighbouring row. Without keys the whole table is
-    one sequence and always segmented. Rows with a NULL key are a key of their own. Without ``split``
+    one sequence, segmented where it asks for more than one segment. Rows with a NULL key are a key of their own. Without ``split``
     keys are taken to be small.
     """
     folds = {
@@ -167,7 +167,8 @@ def scan(
     whole_table = not keys
     if whole_table:
         df, keys = df.withColumn(ALL, F.lit(0)), [ALL]
-    hot = hot_keys(df, keys, segment, 0 if whole_table else HOT_ROWS)
+    least = (segment.rows or ROWS_PER_SEGMENT) if whole_table else HOT_ROWS  # a table of one segment needs no bounds
+    hot = hot_keys(df, keys, segment, least)
     is_hot = reduce(Column.__and__, [F.col(key).eqNullSafe(F.col(f"__hot_{i}")) for i, key in enumerate(keys)])
     joined = df.withColumns(inputs).join(hot, is_hot, "left")
     is_split = F.col("__rows").isNotNull()
