@@ -15,8 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegauge.functions.times import day_end_ms, epoch_ms, floor_to
 from tidegauge.operators.scans import by_rows, scan
 from tidegauge.plans.registry import ORACLES, query
-from tidegauge.plans.tables import EVENTS_SQL, fresh_folder, table, typed_events
-from tidegauge.streaming import processors, windows
+from tidegauge.plans.tables import EVENTS_SQL, fresh_folder, station_log, table, typed_events
+from tidegauge.streaming import arrivals, processors, windows
 from tidegauge.streaming.run import (
     IS_END, EndOfInput, append_files, bucketed_parquet, drain, feed_disorder_ms, file_stream, latest, run_with_end,
     split_late, split_outputs, state_settings, updates,
@@ -195,6 +195,67 @@ def streaming_late_side_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.unionByName(late).select("event_id", "cents")
 
 
+# --- watermarks that move with every row ----------------------------------------------------------
+
+STATION_PARTS = 2
+STATION_WINDOWS = ("1 hour", "30 minutes", "1 hour")  # size, slide, allowed lateness
+STATION_ARRIVAL = ["seq", "event_id"]
+
+
+def marked_stations(spark: SparkSession, sf_dir: str, folder: str, then: Callable[[], None] = lambda: None) -> None:
+    """The station log as a feed in its order of arrival, part by part, and its rows marked as they come.
+
+    ``then`` runs after every part, as a second stream would.
+    """
+    log = station_log(spark, sf_dir).select("event_id", "seq", "ms", "event_type")
+    cuts = log.approxQuantile("seq", [i / STATION_PARTS for i in range(1, STATION_PARTS)], 0.01)
+    part = sum((F.when(F.col("seq") > cut, 1).otherwise(0) for cut in cuts), F.lit(0))
+    start = None
+    for number in range(STATION_PARTS):
+        arrivals.append_part(log.where(part == number), f"{folder}/feed")
+        if start is None:
+            feed = file_stream(spark, f"{folder}/feed", log.schema, files_per_trigger=FILES_PER_TRIGGER)
+            start = arrivals.mark_arrivals(feed, folder, "ms", STATION_ARRIVAL, "30 minutes", *STATION_WINDOWS)
+        drain(start)
+        then()
+
+
+@query("streaming_arrival_watermark", ORACLES["arrival_watermark"])
+def streaming_arrival_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The watermark before and after each row, carried from batch to batch as one number."""
+    folder = fresh_folder(spark, "stream-watermark")
+    marked_stations(spark, sf_dir, folder)
+    return spark.read.parquet(f"{folder}/marked").select("event_id", "seq", "ms", "wm_before", "wm_after")
+
+
+@query("streaming_late_rows", ORACLES["late_side_output"])
+def streaming_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly the rows that are too late by the watermark at their own arrival."""
+    folder = fresh_folder(spark, "stream-late")
+    marked_stations(spark, sf_dir, folder)
+    return spark.read.parquet(f"{folder}/late").select("event_id", "event_type", "ms")
+
+
+@query("streaming_late_changelog", ORACLES["late_changelog"])
+def streaming_late_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window results that fire at the watermark and again for every accepted late row."""
+    folder = fresh_folder(spark, "stream-changelog")
+    schema = station_log(spark, sf_dir).select("event_id", "seq", "ms", "event_type").schema
+    streams: list = []
+
+    def results() -> None:
+        if not streams:
+            kept, end = arrivals.kept_stream(spark, folder, schema)
+            streams.extend([arrivals.late_results(kept, folder, ["event_type"], "ms", STATION_ARRIVAL, *STATION_WINDOWS), end])
+        drain(streams[0])
+
+    with state_settings(spark):
+        marked_stations(spark, sf_dir, folder, results)
+        streams[1].close()
+        drain(streams[0])
+    return spark.read.parquet(f"{folder}/out").select("event_type", "window_end_ms", "seq", "n")
+
+
 # --- join ---------------------------------------------------------------------------------------
 
 

@@ -48,6 +48,16 @@ class _Keyed(StatefulProcessor):
     def read(state: Any, default: Any) -> Any:
         return state.get()[0] if state.exists() else default
 
+    def set_alarm(self, at: int | None) -> None:
+        """One timer per key, at the earliest time asked for; ``alarm`` is a value state that remembers it."""
+        current = self.read(self.alarm, None)
+        if at is None or (current is not None and current <= at):
+            return
+        if current is not None:
+            self.handle.deleteTimer(current)
+        self.handle.registerTimer(at)
+        self.alarm.update((at,))
+
     def close(self) -> None:
         pass
 
@@ -225,19 +235,10 @@ class EventOrdered(_Keyed):
     def wake_at(self) -> int | None:
         return None
 
-    def _set_alarm(self, at: int | None) -> None:
-        current = self.read(self.alarm, None)
-        if at is None or (current is not None and current <= at):
-            return
-        if current is not None:
-            self.handle.deleteTimer(current)
-        self.handle.registerTimer(at)
-        self.alarm.update((at,))
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat([frame[list(self.columns)] for frame in rows], ignore_index=True)
         self.waiting.appendList([tuple(row) for row in batch.astype(object).itertuples(index=False, name=None)])
-        self._set_alarm(int(batch[self.order[0]].min()))
+        self.set_alarm(int(batch[self.order[0]].min()))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -256,7 +257,7 @@ class EventOrdered(_Keyed):
             yield found
         later = [int(rest[self.order[0]].min())] if len(rest) else []
         wake = self.wake_at()
-        self._set_alarm(min(later + ([wake] if wake is not None else []), default=None))
+        self.set_alarm(min(later + ([wake] if wake is not None else []), default=None))
 
 
 class JumpAlert(EventOrdered):
@@ -433,3 +434,81 @@ class ClockRiseAlarm(_Keyed):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.timer.clear()
         yield self.result(key, alarm_ms=[expiredTimerInfo.getExpiryTimeInMs()])
+
+
+# --- windows that fire more than once -----------------------------------------------------------
+
+
+class OpenWindows(_Keyed):
+    """Results of a key's sliding windows: the first when the watermark reaches a window's end, then
+    one for every late row until the window closes.
+
+    Rows carry ``wm_before``, the watermark at their arrival, and the engine's watermark is one ms behind
+    it. A result without arrival number is a first one. State: one entry per open window, and one timer
+    at the next end or closing of any of them, which fires or drops all that are due.
+    """
+
+    def __init__(self, keys: Sequence[str], order: Sequence[str], ts_ms: str, size: int, every: int, late: int):
+        self.keys, self.order, self.ts, self.size, self.every, self.late = keys, order, ts_ms, size, every, late
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getMapState("open", "window_end long", "n long, fired boolean")
+        self.alarm = handle.getValueState("alarm", "ms long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = _gather(rows, self.order)
+        batch = batch[batch[self.ts].notna()]
+        if not len(batch):
+            return
+        held = {int(end[0]): (int(value[0]), bool(value[1])) for end, value in self.open.iterator()}
+        times, before = batch[self.ts].to_numpy(dtype="int64"), batch["wm_before"].to_numpy(dtype="int64")
+        ends = (times // self.every + 1)[:, None] * self.every + np.arange(0, self.size, self.every)
+        accepted = ends - 1 + self.late > before[:, None]
+        again = accepted & (before[:, None] >= ends - 1)
+        changed: dict[int, tuple[int, bool]] = {}
+        for end, n in zip(*np.unique(ends[accepted & ~again], return_counts=True)):
+            had, fired = held.get(int(end), (0, False))
+            changed[int(end)] = (had + int(n), fired)
+        found: list[tuple[int, int | None, int]] = []
+        numbers = batch[self.order[0]].to_numpy(dtype="int64")
+        for row, place in zip(*np.nonzero(again)):  # in order of arrival
+            end = int(ends[row, place])
+            n, fired = changed.get(end) or held.get(end, (0, False))
+            if n and not fired:
+                found.append((end, None, n))
+            changed[end] = (n + 1, True)
+            found.append((end, int(numbers[row]), n + 1))
+        for end, value in changed.items():
+            self.open.updateValue((end,), value)
+        self.set_alarm(min((self._due(end, fired) for end, (_, fired) in changed.items()), default=None))
+        if found:
+            yield self._results(key, found)
+
+    def _due(self, end: int, fired: bool) -> int:
+        """When a window needs the timer next, on the engine's clock."""
+        return end - 2 + (self.late if fired else 0)
+
+    def _results(self, key: tuple, found: list[tuple[int, int | None, int]]) -> pd.DataFrame:
+        ends, numbers, counts = zip(*found)
+        return self.result(key, **{"window_end_ms": list(ends), self.order[0]: pd.array(numbers, dtype="Int64"), "n": list(counts)})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs() + 1
+        self.alarm.clear()
+        found: list[tuple[int, int | None, int]] = []
+        waiting: list[int] = []
+        for end, value in list(self.open.iterator()):
+            end, n, fired = int(end[0]), int(value[0]), bool(value[1])
+            fires = not fired and end - 1 <= watermark
+            if fires:
+                found.append((end, None, n))
+            if end - 1 + self.late <= watermark:
+                self.open.removeKey((end,))
+                continue
+            if fires:
+                self.open.updateValue((end,), (n, True))
+            waiting.append(self._due(end, fired or fires))
+        self.set_alarm(min(waiting, default=None))
+        if found:
+            yield self._results(key, sorted(found))
