@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from tests.oracle import compare, connect
 from tidegauge.plans import catalog, streaming_queries
 from tidegauge.plans.tables import fresh_folder, table, typed_events
-from tidegauge.streaming import processors
+from tidegauge.streaming import arrivals, processors
 from tidegauge.streaming.run import (
     EndOfInput, LateRows, append_files, drain, file_stream, rolling_text, run_with_end, split_late, split_outputs,
     state_settings,
 )
-from tidegauge.streaming.windows import windowed_counts
+from tidegauge.streaming.windows import latest_ranking, top_n_updates, windowed_counts
 
 SF_DIR = "/root/testdata/sf0.001"
+DAY = 86_400_000
 EVENTS_FILE = SF_DIR + "/{events.parquet}"
 
 # one micro-batch per file, files in time order, as a feed would deliver them
@@ -28,6 +29,7 @@ IN_ORDER = [
     "streaming_login_fail_strict_next", "streaming_order_payments", "streaming_route_running_sum",
     "streaming_count_tumbling", "streaming_count_sliding", "streaming_click_cap", "streaming_clicks_by_group",
     "streaming_hot_pages_late",
+    "streaming_late_changelog",
 ]
 
 
@@ -127,6 +129,69 @@ def test_a_repeated_batch_leaves_one_copy(spark, tmp_path):
     assert sum(spark.read.parquet(f"{folder}/{name}").count() for name in outputs) == 1000
 
 
+def feed_of(spark, folder, hours):
+    """One file per hour, in order: three items a minute, and one late row for the hour before."""
+    for hour in range(hours):
+        minute, item = F.expr("id div 3"), F.expr("id % 3")
+        ms = F.lit(DAY + hour * 3_600_000) + minute * 60_000 + item
+        late = spark.range(1).select(F.lit(DAY + hour * 3_600_000 - 1_000).alias("ms"), F.lit(9).cast("long").alias("item"))
+        rows = spark.range(180).select(ms.alias("ms"), item.alias("item"))
+        rows.unionAll(late).coalesce(1).write.mode("append").parquet(f"{folder}/feed")
+    schema = spark.createDataFrame([], "ms long, item long").schema
+    return file_stream(spark, f"{folder}/feed", schema, files_per_trigger=1).withColumn("ts", F.timestamp_millis("ms"))
+
+
+def test_ranking_state_does_not_grow_with_the_batches(spark, tmp_path):
+    """Each batch reads the counts of open windows only, and its rankings are those of all rows."""
+    folder, hours = str(tmp_path), 12
+    counts = windowed_counts(feed_of(spark, folder, hours), "ts", "5 minutes", "1 hour", keys=["item"]).drop("window_start_ms")
+    with state_settings(spark, 2):
+        drain(top_n_updates(counts, folder, "item", 3, "1 hour", "5 minutes"))
+    per_batch = {r["batch"]: (r["n"], r["windows"]) for r in spark.read.parquet(f"{folder}/counts").groupBy("batch").agg(
+        F.count("*").alias("n"), F.count_distinct("window_end_ms").alias("windows")).collect()}
+    assert max(per_batch) >= hours - 1
+    assert max(windows for _, windows in per_batch.values()) <= 3 and max(n for n, _ in per_batch.values()) <= 12
+    got = {(r.window_end_ms, r["rank"]): (r.item, r.n) for r in latest_ranking(spark.read.parquet(f"{folder}/out")).collect()}
+    expected = {}
+    for hour in range(hours):
+        expected |= {(DAY + (hour + 1) * 3_600_000, i + 1): (i, 60) for i in range(3)}
+    expected[(DAY, 1)] = (9, 1)
+    assert got == expected
+
+
+def test_a_late_row_fires_its_window_again(spark, tmp_path):
+    """By hand: 10 s windows, no disorder, 5 s of lateness; a late row fires again, a too late one is parted."""
+    folder, ddl = str(tmp_path), "seq long, key string, ms long"
+    parts = [
+        [(1, "a", 1_000), (2, "a", 2_000), (3, "b", 12_000), (4, "a", 9_000)],  # 3 fires a's window, 4 fires it again
+        [(5, "a", 8_000), (6, "b", 16_000), (7, "a", 3_000)],  # 6 closes it, 7 is too late
+        [(8, "b", 31_000), (9, None, None), (10, "c", 29_000), (11, "b", 36_000)],  # c's window has fired without it
+    ]
+    schema = spark.createDataFrame([], ddl).schema
+    spark.createDataFrame(parts[0], ddl).coalesce(1).write.parquet(f"{folder}/feed")
+    feed = file_stream(spark, f"{folder}/feed", schema, files_per_trigger=1)
+    mark = arrivals.mark_arrivals(feed, folder, "ms", ["seq"], "0 seconds", "10 seconds", "10 seconds", "5 seconds")
+    with state_settings(spark, 2):
+        drain(mark)
+        kept, end = arrivals.kept_stream(spark, folder, schema)
+        results = arrivals.late_results(kept, folder, ["key"], "ms", ["seq"], "10 seconds", "10 seconds", "5 seconds")
+        drain(results)
+        for part in parts[1:]:
+            arrivals.append_part(spark.createDataFrame(part, ddl).coalesce(1), f"{folder}/feed")
+            drain(mark)
+            drain(results)
+        end.close()
+        drain(results)
+    assert [r.seq for r in spark.read.parquet(f"{folder}/late").collect()] == [7]
+    out = sorted(tuple(r) for r in spark.read.parquet(f"{folder}/out").select("key", "window_end_ms", F.coalesce("seq", F.lit(-1)), "n").collect())
+    assert out == [
+        ("a", 10_000, 3, 2), ("a", 10_000, 4, 3), ("a", 10_000, 5, 4),
+        ("b", 20_000, 8, 2), ("b", 40_000, -1, 2), ("c", 30_000, 10, 1),
+    ]
+    high = [r.high for r in spark.read.parquet(f"{folder}/high").orderBy("batch").collect()]
+    assert high == [12_000, 16_000, 36_000]
+
+
 def test_rolling_text(spark, tmp_path):
     rows = file_stream(spark, EVENTS_FILE, table(spark, SF_DIR, "events").schema)
     query = rolling_text(rows.select("event_id", "event_type"), str(tmp_path), "1 second", records_per_file=300)

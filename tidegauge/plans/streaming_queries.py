@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegauge.functions.times import day_end_ms, epoch_ms, floor_to
-from tidegauge.operators.scans import by_rows, scan
 from tidegauge.plans.registry import ORACLES, query
 from tidegauge.plans.tables import EVENTS_SQL, fresh_folder, station_log, table, typed_events
 from tidegauge.streaming import arrivals, processors, windows
@@ -97,9 +96,10 @@ def streaming_hot_pages_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "hot-late")
     rows, _ = event_stream(spark, sf_dir, folder)
     seen = rows.where(F.col("event_type") == "view").withColumnRenamed("k", "item_id")
-    counts = windows.windowed_counts(seen, "ts", event_delay(spark, sf_dir, 61_000), "1 hour", "5 minutes", ["item_id"])
+    delay = event_delay(spark, sf_dir, 61_000)
+    counts = windows.windowed_counts(seen, "ts", delay, "1 hour", "5 minutes", ["item_id"])
     with state_settings(spark):
-        drain(windows.top_n_updates(counts.drop("window_start_ms"), folder, "item_id", 5))
+        drain(windows.top_n_updates(counts.drop("window_start_ms"), folder, "item_id", 5, HOUR_MS, delay))
     return windows.latest_ranking(spark.read.parquet(f"{folder}/out"))
 
 
@@ -116,11 +116,12 @@ def streaming_uv_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("streaming_uv_running", ORACLES["uv_running"])
 def streaming_uv_running(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First visits are found per (window, visitor); each batch then adds its running count to the
-    windows' earlier totals, a table of one row per window."""
+    """First visits are found per (window, visitor), in state that ends with the window; each batch then
+    adds its running count to the totals of the open windows."""
     folder = fresh_folder(spark, "uv-running")
     rows, end = event_stream(spark, sf_dir, folder)
-    rows = rows.withWatermark("ts", event_delay(spark, sf_dir))
+    delay = event_delay(spark, sf_dir)
+    rows = rows.withWatermark("ts", delay)
     views = rows.where((F.col("event_type") == "view") | F.col(IS_END)).withColumns(
         {"window_end_ms": floor_to(F.col("ms"), HOUR_MS) + HOUR_MS, "event_id": F.coalesce("event_id", F.lit(-1))}
     )
@@ -129,35 +130,7 @@ def streaming_uv_running(spark: SparkSession, sf_dir: str) -> DataFrame:
         views.select(*keys, "event_id", "ts"), keys, processors.FirstVisit(keys, "event_id"),
         f"window_end_ms long, user_id long, {IS_END} boolean, event_id long, first long", "EventTime",
     )
-    spark.createDataFrame([], "window_end_ms long, uv long").write.parquet(f"{folder}/totals/batch=-1")
-    totals = "window_end_ms long, uv long, batch long"
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.where(~F.col(IS_END)).persist()
-        try:
-            # totals per batch, so a repeated batch overwrites its own and reads only earlier ones; the
-            # join below keeps those of the batch's windows
-            earlier = (
-                batch.sparkSession.read.schema(totals).parquet(f"{folder}/totals").where(F.col("batch") < batch_id)
-                .join(kept.select("window_end_ms").distinct(), "window_end_ms", "left_semi")
-                .groupBy("window_end_ms").agg(F.sum("uv").alias("earlier"))
-            )
-            counted = scan(
-                kept, ["window_end_ms"], ["event_id"], by_rows("event_id"), upto={"uv": ("sum", F.col("first"))}
-            ).join(earlier, "window_end_ms", "left")
-            counted.select(
-                "event_id", "window_end_ms", (F.col("uv") + F.coalesce("earlier", F.lit(0))).alias("uv")
-            ).write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
-            kept.groupBy("window_end_ms").agg(F.sum("first").alias("uv")).write.mode("overwrite").parquet(
-                f"{folder}/totals/batch={batch_id}"
-            )
-        finally:
-            kept.unpersist()
-
-    finish(spark, folder, lambda: (
-        visits.writeStream.foreachBatch(write).outputMode("append")
-        .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
-    ), end)
+    finish(spark, folder, windows.running_unique_writer(visits, folder, "event_id", HOUR_MS, delay), end)
     return spark.read.parquet(f"{folder}/out").drop("batch")
 
 

@@ -175,6 +175,36 @@ def latest(changes: DataFrame, *keys: str) -> DataFrame:
     return changes.groupBy(*keys).agg(F.max_by(F.struct(*fields), "batch").alias("row")).select(*keys, "row.*")
 
 
+class Snapshots:
+    """State of a ``foreachBatch`` writer: a table that every batch reads from the batch before and writes anew.
+
+    What a batch reads is what its predecessor held open, however many batches there were. A batch
+    overwrites its own snapshot, so a repeated one finds what it found the first time. Batch numbers have no gaps.
+    """
+
+    def __init__(self, folder: str, schema: str):
+        self.folder, self.schema = folder, schema
+
+    def before(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        spark = batch.sparkSession
+        if batch_id == 0:
+            return spark.createDataFrame([], self.schema)
+        return spark.read.schema(self.schema).parquet(f"{self.folder}/batch={batch_id - 1}")
+
+    def write(self, state: DataFrame, batch_id: int) -> DataFrame:
+        """Write the state behind a batch, and read it back."""
+        path = f"{self.folder}/batch={batch_id}"
+        state.write.mode("overwrite").parquet(path)
+        return state.sparkSession.read.schema(self.schema).parquet(path)
+
+
+def still_open(state: DataFrame, window_end_ms: str, open_ms: int) -> DataFrame:
+    """The rows of windows that may still change: those that end less than ``open_ms``, a window's size and the
+    watermark's delay, before the latest end. No more than that many ms of windows are ever open."""
+    latest_end = state.agg(F.max(window_end_ms).alias("__latest"))
+    return state.join(F.broadcast(latest_end), F.col(window_end_ms) > F.col("__latest") - F.lit(open_ms)).drop("__latest")
+
+
 class EndOfInput:
     """Lets a stream over a finite input release what still waits for its watermark.
 

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegauge.functions.times import window_ms
+from tidegauge.functions.times import millis, window_ms
 from tidegauge.operators import topn
-from tidegauge.streaming.run import split_outputs
+from tidegauge.operators.scans import by_rows, scan
+from tidegauge.streaming.run import IS_END, Snapshots, split_outputs, still_open
 
 
 def windowed(
@@ -35,22 +36,29 @@ def top_n_writer(counts: DataFrame, folder: str, key: str, n: int) -> Callable[[
     return split_outputs(counts, folder, {"out": ranked})
 
 
-def top_n_updates(counts: DataFrame, folder: str, key: str, n: int) -> Callable[[], StreamingQuery]:
+def top_n_updates(
+    counts: DataFrame, folder: str, key: str, n: int, size: str | int, delay: str | int
+) -> Callable[[], StreamingQuery]:
     """Top ``n`` keys of every window, ranked again whenever a late row changes one of its counts.
 
-    ``counts`` comes in update mode: window_end_ms, the key and n. Each batch keeps its changed
-    counts under its own id and writes the new ranking of the windows it changed, from the latest
-    count of each of their keys; ``latest_ranking`` picks a window's valid one. Repeated batches
-    overwrite their own.
+    ``counts`` comes in update mode: window_end_ms, the key and n. The latest counts of the windows that
+    are still open, by the windows' ``size`` and the watermark's ``delay``, pass from batch to batch as a snapshot; each
+    batch writes the new ranking of the windows it changed, and ``latest_ranking`` picks a window's
+    valid one. Repeated batches overwrite their own.
     """
+    window = "window_end_ms"
+    state = Snapshots(f"{folder}/counts", f"{window} long, `{key}` {dict(counts.dtypes)[key]}, n long, changed boolean")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, window = batch.sparkSession, "window_end_ms"
-        batch.select(window, key, "n").write.mode("overwrite").parquet(f"{folder}/counts/batch={batch_id}")
-        seen = spark.read.parquet(f"{folder}/counts").where(F.col("batch") <= batch_id)
-        changed = seen.where(F.col("batch") == batch_id).select(window).distinct()
-        valid = seen.join(changed, window, "left_semi").groupBy(window, key).agg(F.max_by("n", "batch").alias("n"))
-        topn.top_n(valid, [window], "n", [key], n).write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+        open_before = still_open(state.before(batch, batch_id), window, millis(size) + millis(delay))
+        earlier = open_before.select(window, key, "n", F.lit(False).alias("changed"))
+        both = earlier.unionByName(batch.select(window, key, "n", F.lit(True).alias("changed")))
+        # counts only grow, so the larger one is the later one
+        valid = both.groupBy(window, key).agg(F.max("n").alias("n"), F.max("changed").alias("changed"))
+        held = state.write(valid, batch_id)
+        changed = held.where("changed").select(window).distinct()
+        ranked = topn.top_n(held.drop("changed").join(changed, window, "left_semi"), [window], "n", [key], n)
+        ranked.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
 
     return lambda: (
         counts.writeStream.foreachBatch(write).outputMode("update")
@@ -58,6 +66,37 @@ def top_n_updates(counts: DataFrame, folder: str, key: str, n: int) -> Callable[
     )
 
 
+def running_unique_writer(
+    visits: DataFrame, folder: str, order: str, size: str | int, delay: str | int
+) -> Callable[[], StreamingQuery]:
+    """Every row of ``visits`` with the distinct visitors its window has seen up to and with it.
+
+    ``visits`` has window_end_ms, the column ``order`` that numbers the rows of all batches, and ``first``, 1 where a visitor is new to the
+    window. The totals of the windows that are still open pass from batch to batch as a snapshot.
+    Rows of the end marker are left out.
+    """
+    window = "window_end_ms"
+    state = Snapshots(f"{folder}/totals", f"{window} long, uv long")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.where(~F.col(IS_END)).persist()
+        try:
+            earlier = still_open(state.before(batch, batch_id), window, millis(size) + millis(delay))
+            counted = scan(kept, [window], [order], by_rows(order), upto={"uv": ("sum", F.col("first"))})
+            counted.join(earlier.withColumnRenamed("uv", "earlier"), window, "left").select(
+                order, window, (F.col("uv") + F.coalesce("earlier", F.lit(0))).alias("uv")
+            ).write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+            totals = earlier.unionByName(kept.select(window, F.col("first").alias("uv"))).groupBy(window).agg(F.sum("uv").alias("uv"))
+            state.write(totals, batch_id)
+        finally:
+            kept.unpersist()
+
+    return lambda: (
+        visits.writeStream.foreachBatch(write).outputMode("append")
+        .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    )
+
+
 def latest_ranking(rankings: DataFrame) -> DataFrame:
     """The rows of each window's last ranking."""
     last = rankings.groupBy("window_end_ms").agg(F.max("batch").alias("batch"))
