@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions.times import epoch_ms
-from tidegauge.operators import distinct, lateness, topn, windows
+from tidegauge.operators import distinct, lateness, sliding, topn, windows
 from tidegauge.operators.aggregates import count_rows, first_row
 from tidegauge.plans import analyses
 from tidegauge.plans.registry import ORACLES, query
@@ -273,6 +273,50 @@ def market_total_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analyses.market_total(events(spark, sf_dir), "event_type", "ts", "signup")
 
 
+def in_windows(size: int, every: int, columns: str) -> str:
+    return f"SELECT {columns}, {starts(size, every)} + {size} AS window_end_ms FROM ({EVENTS_SQL})"
+
+
+@query("sliding_extremes_fine", f"""
+    SELECT window_end_ms, min(cents) AS least, max(cents) AS most FROM ({in_windows(2 * HOUR, 10 * SECOND, "cents")}) GROUP BY 1""")
+def sliding_extremes_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row belongs to 720 windows; each window merges two values."""
+    parts = {"least": ("min", F.col("cents")), "most": ("max", F.col("cents"))}
+    return sliding.slide_extremes(events(spark, sf_dir), "ms", "2 hours", "10 seconds", parts)
+
+
+@query("sliding_extremes_by_type", f"""
+    SELECT event_type, window_end_ms, min(cents) AS least, max(k) AS most_k
+    FROM ({in_windows(HOUR, 5 * MINUTE, "event_type, cents, k")}) GROUP BY 1, 2""")
+def sliding_extremes_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = {"least": ("min", F.col("cents")), "most_k": ("max", F.col("k"))}
+    return sliding.slide_extremes(events(spark, sf_dir), "ms", "1 hour", "5 minutes", parts, ["event_type"])
+
+
+@query("uv_bitmap_sliding", f"""
+    SELECT window_end_ms, count(DISTINCT bit) AS uv FROM ({in_windows(2 * HOUR, 10 * SECOND, """event_type, list_reduce(
+        list_prepend(0::BIGINT, list_transform(string_split(user_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+        lambda h, c: (h * 61 + c) & 262143) AS bit""")}) WHERE event_type = 'view' GROUP BY 1""")
+def uv_bitmap_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bitmaps of 2^18 bits in pieces per 10 s pane, united over 720 panes per window."""
+    views = events(spark, sf_dir).where(viewed())
+    return sliding.unique_bitmap_sliding(views, "ms", "2 hours", "10 seconds", "user_id", 1 << 18)
+
+
+@query("uv_sketch_sliding", f"""
+    SELECT window_end_ms, count(DISTINCT user_id) AS exact, true AS close
+    FROM ({in_windows(24 * HOUR, HOUR, "event_type, user_id")}) WHERE event_type = 'view' GROUP BY 1""")
+def uv_sketch_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The united sketches beside the exact count: within three standard errors of 1.04 / sqrt(4096)."""
+    views = events(spark, sf_dir).where(viewed())
+    sketch = sliding.unique_sketch_sliding(views, "ms", "1 day", "1 hour", "user_id", 12, "sketch")
+    exact = windows.slide(views, "ts", "1 day", "1 hour", F.count_distinct("user_id").alias("exact"))
+    off = F.abs(F.col("sketch") - F.col("exact"))
+    return exact.join(sketch, "window_end_ms").select(
+        "window_end_ms", "exact", (off <= 3 * 1.04 / 64 * F.col("exact")).alias("close")
+    )
+
+
 @query("tumbling_sums", f"""
     SELECT user_id, {tumbled(HOUR)} AS window_end_ms, CAST(sum(ms) AS BIGINT) AS sum_ms, count(*) AS n
     FROM ({EVENTS_SQL}) GROUP BY 1, 2""")
