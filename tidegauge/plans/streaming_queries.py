@@ -175,19 +175,23 @@ STATION_WINDOWS = ("1 hour", "30 minutes", "1 hour")  # size, slide, allowed lat
 STATION_ARRIVAL = ["seq", "event_id"]
 
 
+def parts_in_arrival_order(log: DataFrame) -> list[DataFrame]:
+    cuts = log.approxQuantile("seq", [i / STATION_PARTS for i in range(1, STATION_PARTS)], 0.01)
+    part = sum((F.when(F.col("seq") > cut, 1).otherwise(0) for cut in cuts), F.lit(0))
+    return [log.where(part == number) for number in range(STATION_PARTS)]
+
+
 def marked_stations(spark: SparkSession, sf_dir: str, folder: str, then: Callable[[], None] = lambda: None) -> None:
     """The station log as a feed in its order of arrival, part by part, and its rows marked as they come.
 
     ``then`` runs after every part, as a second stream would.
     """
     log = station_log(spark, sf_dir).select("event_id", "seq", "ms", "event_type")
-    cuts = log.approxQuantile("seq", [i / STATION_PARTS for i in range(1, STATION_PARTS)], 0.01)
-    part = sum((F.when(F.col("seq") > cut, 1).otherwise(0) for cut in cuts), F.lit(0))
     start = None
-    for number in range(STATION_PARTS):
-        arrivals.append_part(log.where(part == number), f"{folder}/feed")
+    for part in parts_in_arrival_order(log):
+        arrivals.append_part(part, f"{folder}/feed")
         if start is None:
-            feed = file_stream(spark, f"{folder}/feed", log.schema, files_per_trigger=FILES_PER_TRIGGER)
+            feed = spark.readStream.schema(log.schema).parquet(f"{folder}/feed")  # a part is one batch
             start = arrivals.mark_arrivals(feed, folder, "ms", STATION_ARRIVAL, "30 minutes", *STATION_WINDOWS)
         drain(start)
         then()
@@ -301,6 +305,34 @@ def streaming_rise_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("streaming_rise_alarm_clock", ORACLES["rise_alarm_clock"])
+def streaming_rise_alarm_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cancellable timers on a clock that comes with the rows, in their order of arrival."""
+    folder = fresh_folder(spark, "clock")
+    started = 24 * HOUR_MS  # the engine takes no row at or before time 0, where its watermark starts
+    clock = (F.col("seq") * 60_000 + started).alias("clock_ms")
+    log = station_log(spark, sf_dir).select("user_id", "seq", clock, "event_id", "value")
+    end = EndOfInput(spark, folder, log.withColumn("ts", F.timestamp_millis("clock_ms")).schema)
+    parts = parts_in_arrival_order(log.withColumn("ts", F.timestamp_millis("clock_ms")))
+    arrivals.append_part(parts[0], f"{folder}/feed")
+    feed = spark.readStream.schema(end.schema).parquet(f"{folder}/feed")
+    keys = ["user_id", IS_END]
+    # one ms behind, so that rows of the latest clock reading are not late to the engine
+    rows = end.follow(feed).withWatermark("ts", "1 millisecond").select(*keys, "ts", "clock_ms", "event_id", "value")
+    processor = processors.ClockRiseAlarm(keys, ["clock_ms", "event_id"], "value", 12 * HOUR_MS, "clock_ms")
+    alarms = processors.process(rows, keys, processor, f"user_id long, {IS_END} boolean, alarm_ms long", "EventTime")
+    start = append_files(alarms, folder)
+    with state_settings(spark):
+        drain(start)
+        for part in parts[1:]:
+            arrivals.append_part(part, f"{folder}/feed")
+            drain(start)
+        end.close()
+        drain(start)
+    found = spark.read.schema(alarms.schema).parquet(f"{folder}/out").where(~F.col(IS_END))
+    return found.select("user_id", (F.col("alarm_ms") - started).alias("alarm_ms"))
+
+
 @query("streaming_login_fail_strict_next", ORACLES["login_fail_strict_next"])
 def streaming_login_fail_strict_next(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_events(

@@ -398,10 +398,15 @@ class RiseAlarm(EventOrdered):
 
 
 class ClockRiseAlarm(_Keyed):
-    """Rise alarm on the processing clock: a rise sets a timer, a drop cancels it."""
+    """Rise alarm on a clock: a rise sets a timer, a drop cancels it, and it fires when the clock reaches it.
 
-    def __init__(self, keys: Sequence[str], order: Sequence[str], value: str, wait_ms: int):
-        self.keys, self.order, self.value, self.wait = keys, order, value, wait_ms
+    The clock is that of the machine (time mode ProcessingTime) or, with ``clock``, a column of ms that
+    never falls along ``order`` and is the stream's event time (time mode EventTime). Rows are worked through as they
+    arrive; none is held back.
+    """
+
+    def __init__(self, keys: Sequence[str], order: Sequence[str], value: str, wait_ms: int, clock: str | None = None):
+        self.keys, self.order, self.value, self.wait, self.clock = keys, order, value, wait_ms, clock
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -409,27 +414,37 @@ class ClockRiseAlarm(_Keyed):
         self.timer = handle.getValueState("timer", "ms long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        now = timerValues.getCurrentProcessingTimeInMs()
-        last, timer, fired = self.read(self.last, NONE), self.read(self.timer, None), []
-        if timer is not None and timer <= now:
-            # rows are handled before expired timers: this one fired first
-            fired, timer = [timer], self._cancel(timer)
-        for value in _gather(rows, self.order)[self.value].astype(float):
+        batch = _gather(rows, self.order)
+        if self.clock is None:
+            clocks = [timerValues.getCurrentProcessingTimeInMs()] * len(batch)
+        else:
+            batch = batch[batch[self.clock].notna()]
+            clocks = batch[self.clock].astype("int64").tolist()
+        last, pending, fired = self.read(self.last, NONE), self.read(self.timer, None), []
+        timer = pending
+        for now, value in zip(clocks, batch[self.value].astype(float)):
+            if timer is not None and timer <= now:  # rows are handled before expired timers: this one fired first
+                fired.append(timer)
+                timer = None
             if value < last:
-                timer = self._cancel(timer)
+                timer = None
             elif value > last and timer is None:
                 timer = now + self.wait
-                self.handle.registerTimer(timer)
-                self.timer.update((timer,))
             last = value
-        self.last.update((last,))
+        if len(batch):
+            self.last.update((last,))
+        if timer != pending:
+            self._replace(pending, timer)
         if fired:
             yield self.result(key, alarm_ms=fired)
 
-    def _cancel(self, timer: int | None) -> None:
-        if timer is not None:
-            self.handle.deleteTimer(timer)
+    def _replace(self, pending: int | None, timer: int | None) -> None:
+        if pending is not None:
+            self.handle.deleteTimer(pending)
             self.timer.clear()
+        if timer is not None:
+            self.handle.registerTimer(timer)
+            self.timer.update((timer,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.timer.clear()
