@@ -13,6 +13,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
@@ -210,21 +211,36 @@ class SlidingCountWindow(_Keyed):
 # --- event order --------------------------------------------------------------------------------
 
 
+def _packed(rows: pd.DataFrame) -> bytes:
+    batch = pa.RecordBatch.from_pandas(rows, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(data).read_pandas()
+
+
 class EventOrdered(_Keyed):
     """Rows wait in state until the watermark has passed them; ``fold`` then sees them in order.
 
     ``order`` starts with the time column in ms. A subclass may ask to be called again, without
-    rows, when the watermark reaches the time ``wake_at`` returns.
+    rows, when the watermark reaches the time ``wake_at`` returns. Waiting rows lie in pieces of at most
+    ``BUCKET_MS`` of time, told by their first time. New rows make new pieces, and a timer reads and
+    drops the pieces that are due; what waits for later is not touched.
     """
 
-    row_schema: StructType | str
+    BUCKET_MS = 600_000
 
     def __init__(self, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], row_schema: str):
         self.keys, self.order, self.columns, self.row_schema = keys, order, columns, row_schema
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.row_schema)
+        self.waiting = handle.getMapState("waiting", "low long, piece long", "rows binary")
+        self.pieces = handle.getValueState("pieces", "made long")
         self.alarm = handle.getValueState("alarm", "ms long")
         self.open_state(handle)
 
@@ -235,27 +251,38 @@ class EventOrdered(_Keyed):
     def wake_at(self) -> int | None:
         return None
 
+    def _wait(self, rows: pd.DataFrame) -> int:
+        """Put rows by as pieces; their first time."""
+        times = rows[self.order[0]].astype("int64")
+        made = self.read(self.pieces, 0)
+        for piece, (_, part) in enumerate(rows.groupby(times // self.BUCKET_MS), made):
+            self.waiting.updateValue((int(part[self.order[0]].min()), piece), (_packed(part),))
+            made = piece + 1
+        self.pieces.update((made,))
+        return int(times.min())
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat([frame[list(self.columns)] for frame in rows], ignore_index=True)
-        self.waiting.appendList([tuple(row) for row in batch.astype(object).itertuples(index=False, name=None)])
-        self.set_alarm(int(batch[self.order[0]].min()))
+        self.set_alarm(self._wait(batch))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs()
         self.alarm.clear()
-        rows = list(self.waiting.get()) if self.waiting.exists() else []
-        frame = pd.DataFrame([tuple(r) for r in rows], columns=list(self.columns))
-        due = frame[self.order[0]] <= now if len(frame) else pd.Series([], dtype=bool)
-        ready = frame[due].sort_values(list(self.order), kind="stable", ignore_index=True) if len(frame) else frame
-        rest = frame[~due] if len(frame) else frame
-        self.waiting.clear()
-        if len(rest):
-            self.waiting.put([tuple(row) for row in rest.astype(object).itertuples(index=False, name=None)])
+        places = [(int(low), int(piece)) for low, piece in self.waiting.keys()]
+        due = sorted(place for place in places if place[0] <= now)
+        later = [low for low, _ in places if low > now]
+        parts = [_unpacked(bytes(self.waiting.getValue(place)[0])) for place in due]
+        for place in due:
+            self.waiting.removeKey(place)
+        frame = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=list(self.columns))
+        passed = frame[self.order[0]] <= now
+        ready = frame[passed].sort_values(list(self.order), kind="stable", ignore_index=True)
+        if not passed.all():
+            later.append(self._wait(frame[~passed]))
         found = self.fold(key, ready, now)
         if found is not None and len(found):
             yield found
-        later = [int(rest[self.order[0]].min())] if len(rest) else []
         wake = self.wake_at()
         self.set_alarm(min(later + ([wake] if wake is not None else []), default=None))
 
