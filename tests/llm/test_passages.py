@@ -64,3 +64,31 @@ def test_odd_rows(spark):
     twice = sorted(map(str, passages.dedup(table.unionAll(table)).collect()))
     assert twice == sorted(2 * [str(r) for r in passages.dedup(table).collect()])
     assert passages.dedup(table.where("false")).count() == 0
+
+
+def thue_morse(n):
+    text = "a"
+    while len(text) < n:
+        text += text.translate(str.maketrans("ab", "ba"))
+    return text
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_long_words_whose_letters_cancel_in_powers_of_a_base(spark, n):
+    first = thue_morse(n)
+    second = first.translate(str.maketrans("ab", "ba"))
+    start = [f"w{i}" for i in range(19)]
+    docs = [(1, " ".join([*start, first])), (2, " ".join([*start, second])), (3, " ".join([*start, second]))]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {tuple(r) for r in passages.dedup(table).collect()} == brute(docs, 20)
+
+
+def test_word_hashes_tell_words_and_places_apart():
+    draw = random.Random(3)
+    made = {"".join(draw.choices("abé\U0001f600", k=draw.choice([1, 2, 3, 8, 63, 64, 65, 130]))) for _ in range(5000)}
+    made |= {"a" * n for n in range(1, 300)} | {"a" * n + "b" for n in range(300)} | {"b" + "a" * n for n in range(300)}
+    listed = sorted(made)
+    together = passages._hashes("  ".join(listed).encode()).tolist()
+    assert len(set(together)) == len(listed)
+    assert together[:50] == [int(passages._hashes(f"\n{w}\t".encode())[0]) for w in listed[:50]]
+    assert len(passages._hashes(b" \n ")) == len(passages._hashes(b"")) == 0

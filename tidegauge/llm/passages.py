@@ -49,40 +49,39 @@ def _rolling(hashes: np.ndarray, length: int, factor: np.uint64) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def _powers(n: int, known: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The first powers of an odd number modulo 2^64, and of its inverse; kept and grown as needed."""
-    if not known or len(known[0]) < n:
-        size = max(n, 1 << 16, 2 * len(known[0]) if known else 0)
-        base = int(_A)
-        for factor in (base, pow(base, -1, 1 << 64)):
-            steps = np.full(size, factor & (1 << 64) - 1, dtype=np.uint64)
-            steps[0] = 1
-            known.append(np.multiply.accumulate(steps))
-        del known[:-2]
-    return known[0], known[1]
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Numbers to numbers that look drawn at random."""
+    x = (x + _A) * _B
+    for shift in (32, 29):
+        x = (x ^ (x >> np.uint64(shift))) * _MIX
+    return x ^ (x >> np.uint64(32))
 
 
-_known_powers: list[np.ndarray] = []
+_NEAR = 64
+_LETTERS = _mixed(np.arange(_NEAR << 8, dtype=np.uint64))  # a number for every byte at the first places of a word
 
 
 def _hashes(data: bytes) -> np.ndarray:
     """A 64-bit hash of every word of UTF-8 bytes, all words at once.
 
-    Differences of one running polynomial over the text are the words' own polynomials, once their
-    offset is divided out; a mix follows.
+    The hash is the sum of one number per byte and place in the word. The numbers are mixed, not
+    powers of a base, so no pattern of letters cancels out; a last mix follows.
     """
     text = np.frombuffer(data, dtype=np.uint8)
     edge = np.ones(len(text) + 2, dtype=bool)
     edge[1:-1] = (text == 32) | ((text >= 9) & (text <= 13))
     bounds = np.flatnonzero(edge[1:] != edge[:-1])
-    start, end = bounds[0::2], bounds[1::2]
-    up, down = _powers(len(text) + 1, _known_powers)
-    running = np.zeros(len(text) + 1, dtype=np.uint64)
-    np.cumsum((text.astype(np.uint64) + np.uint64(1)) * up[:len(text)], out=running[1:])
-    out = (running[end] - running[start]) * down[start] + (end - start).astype(np.uint64) * _C
-    for shift in (32, 29):
-        out = (out ^ (out >> np.uint64(shift))) * _MIX
-    return out ^ (out >> np.uint64(32))
+    start, size = bounds[0::2], bounds[1::2] - bounds[0::2]
+    if not len(start):
+        return np.zeros(0, dtype=np.uint64)
+    first = np.cumsum(size) - size  # where each word's bytes begin once the gaps are left out
+    place = np.arange(first[-1] + size[-1]) - np.repeat(first, size)
+    cell = (place << 8) | text[~edge[1:-1]]
+    if size.max() <= _NEAR:
+        numbers = _LETTERS[cell]
+    else:
+        numbers = np.where(place < _NEAR, _LETTERS[np.minimum(cell, len(_LETTERS) - 1)], _mixed(cell.astype(np.uint64)))
+    return _mixed(np.add.reduceat(numbers, first) + size.astype(np.uint64) * _C)
 
 
 @lru_cache
@@ -156,7 +155,7 @@ _TEXTS = "doc_id long, th long, text string, phrases array<long>, owners array<l
 
 
 def _settled(joined: DataFrame, window: int) -> DataFrame:
-    """Final results of copies and of texts without recurring phrases; the others keep their text."""
+    """Final results of copies and of texts without recurring phrases; the others keep their words, as one line."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -165,7 +164,7 @@ def _settled(joined: DataFrame, window: int) -> DataFrame:
                 words = WORDS.findall(text)
                 long = len(words) >= window
                 if long and not copy and phrases is not None:
-                    out.append((doc, th, text, phrases, owners, len(words), None, None))
+                    out.append((doc, th, " ".join(words), phrases, owners, len(words), None, None))
                 else:
                     gone = len(words) if long and copy else 0
                     out.append((doc, th, None, None, None, len(words), gone, _digest([] if gone else words)))
@@ -213,7 +212,7 @@ def _phrase_texts(texts: DataFrame, window: int, shards: int) -> DataFrame:
                 known, shard = known[owners >> 1 == th >> 1], (owners[owners >> 1 == th >> 1] % shards)
                 if not len(known):
                     continue
-                words = WORDS.findall(text)
+                words = text.split(" ")
                 every, chosen = _chosen(_hashes(text.encode()), window)
                 places = np.unique(chosen)
                 mine, first = np.unique(every.view(np.int64)[places], return_index=True)
@@ -240,19 +239,17 @@ def _locate(texts: pd.DataFrame, bundle: pd.DataFrame, window: int) -> pd.DataFr
         one, two, doc, start, th = one[order], two[order], doc[order], start[order], th[order]
         back = window - min(PHRASE, window)
         for me, mine, text in zip(texts["key"], texts["th"], texts["text"], strict=True):
-            words = WORDS.findall(text)
-            line = f" {' '.join(words)} "
-            hits = np.fromiter((end - length + 2 for end, length in automaton.iter(line)), dtype=np.int64)
+            hits = np.fromiter((end - length + 1 for end, length in automaton.iter(f" {text} ")), dtype=np.int64)
             if not len(hits):
                 continue
-            begins = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
-            places = np.searchsorted(begins, hits, side="right")
+            gaps = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32) == 32) + 1
+            places, n_words = np.searchsorted(gaps, hits, side="right"), len(gaps) + 1
             # a window that chose the phrase starts at most so many words before it
-            near = np.zeros(len(words) + back + 1, dtype=bool)
+            near = np.zeros(n_words + back + 1, dtype=bool)
             for k in range(back + 1):
                 near[places - k + back] = True
             near = np.flatnonzero(near[back:])
-            near = near[near <= len(words) - window]
+            near = near[near <= n_words - window]
             a, b = _window_hashes(_hashes(text.encode()), window, near)
             # equal first hashes of different windows are next to each other; step past them
             at = np.searchsorted(one, a)
@@ -276,7 +273,7 @@ def _kept(found: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             out = []
             for doc, text, parts in zip(batch["doc_id"], batch["text"], batch["parts"], strict=True):
-                words = WORDS.findall(text)
+                words = text.split(" ")
                 edge = np.zeros(len(words) + 1, dtype=np.int64)
                 starts = np.unique(np.concatenate([np.asarray(p) for p in parts])) if parts is not None and len(parts) else np.zeros(0, dtype=np.int64)
                 np.add.at(edge, starts, 1)
