@@ -112,7 +112,7 @@ def examples(parts):
             more = [e for branch in arg[1] for e in examples(branch)]
         elif name == "SUBPATTERN":
             more = examples(arg[3])
-        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+        elif name in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT"):
             one = examples(arg[2])
             more = [e * n for n in {arg[0], max(1, arg[0])} for e in one]
         else:
@@ -128,3 +128,14 @@ def test_every_match_passes_its_gate():
             assert re.fullmatch(rule.pattern.replace("(?<= )", "").replace("(?= )", ""), text), (rule.pattern, text)
             plain = f" {text} ".replace("licence", "license")
             assert any(f" {k}" in plain for k in rule.keyword.split("|")), (rule.keyword, text)
+
+
+def test_long_repeats_do_not_overflow(spark):
+    """Every part of a rule that may repeat, 100,000 times over, in one text."""
+    n = 100_000
+    texts = ["copyright c " + "1999 2024 " * (n // 2), "released under the " + "very " * n + "license", "copyright " * n,
+             "spdx license identifier " * (n // 10), "neither the name of " + "x" * n, "x" * n]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert [(d.label, d.start, d.end) for d in got[0].detections] == [("copyright", 0, n + 2)]
+    assert got[1].n_words == n + 4 and got[5].n_words == 1

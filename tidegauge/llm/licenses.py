@@ -79,7 +79,8 @@ CC_PARTS = ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd")
 CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
 CC_NAMES = {"by": "attribution", "sa": "share ?alike", "nd": "no ?deriv(?:ative)?s(?: works)?", "nc": "non ?commercial"}
 
-# Names without versions, and sentences of notices: label, keyword, pattern, tier.
+# Names without versions, and sentences of notices: label, keyword, pattern, tier. A repeated group
+# without a bound must be possessive: otherwise it is matched by recursion, which long runs overflow.
 SIGNATURES = (
     ("mit", "mit license", r"(?:the )?mit licen[sc]e", 2),
     ("mit", "mit licensed", r"mit licensed", 2),
@@ -108,7 +109,7 @@ SIGNATURES = (
     ("lgpl", "free software you can redistribute it", r"free software you can redistribute it and or modify it under the terms of the gnu lesser general public licen[sc]e", 4),
     ("proprietary", "all rights reserved", r"all rights reserved", 1),
     ("proprietary", "proprietary and confidential", r"proprietary and confidential", 3),
-    ("copyright", "copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})*", 1),
+    ("copyright", "copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})*+", 1),
     ("unknown-license", "this work is licensed under", r"this work is licensed under", 1),
     ("unknown-license", "released under", r"released under the [^ ]+(?: [^ ]+){0,3} licen[sc]e", 1),
     ("commercial", "end user license agreement", r"end user licen[sc]e agreement", 2),
