@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.oracle import compare, connect
+from tidegauge.operators import scans
 from tidegauge.plans import catalog, streaming_queries
 from tidegauge.plans.tables import fresh_folder, table, typed_events
-from tidegauge.streaming import arrivals, processors
+from tidegauge.streaming import arrivals, processors, split
 from tidegauge.streaming.run import (
     EndOfInput, LateRows, append_files, drain, file_stream, rolling_text, run_with_end, split_late, split_outputs,
     state_settings,
@@ -29,7 +30,7 @@ IN_ORDER = [
     "streaming_login_fail_strict_next", "streaming_order_payments", "streaming_route_running_sum",
     "streaming_count_tumbling", "streaming_count_sliding", "streaming_click_cap", "streaming_clicks_by_group",
     "streaming_hot_pages_late",
-    "streaming_late_changelog",
+    "streaming_late_changelog", "streaming_route_running_split", "streaming_count_tumbling_split",
 ]
 
 
@@ -53,6 +54,34 @@ def test_four_batches_equal_sql(spark, parts_dir, name, monkeypatch):
     assert compare(got, connect(SF_DIR), catalog.oracles()[name]) == ""
 
 
+@pytest.mark.parametrize("name", ["streaming_route_running_split", "streaming_count_tumbling_split"])
+def test_hot_keys_of_a_stream_are_split(spark, parts_dir, name, monkeypatch):
+    """Every key is hot and cut into many segments in each of four batches."""
+    monkeypatch.setattr(streaming_queries, "FILES_PER_TRIGGER", 1)
+    monkeypatch.setattr(scans, "HOT_ROWS", 5)
+    monkeypatch.setattr(scans, "ROWS_PER_SEGMENT", 7)
+    assert compare(catalog.queries()[name](spark, parts_dir), connect(SF_DIR), catalog.oracles()[name]) == ""
+
+
+def test_running_extremes_and_null_keys_over_batches(spark, tmp_path):
+    ddl, folder = "key string, n long, v long", str(tmp_path)
+    rows = [(None if i % 5 == 0 else "ab"[i % 2], i, None if i % 7 == 0 else (i * 37) % 101) for i in range(120)]
+    for part in range(3):
+        arrivals.append_part(spark.createDataFrame(rows[part * 40:part * 40 + 40], ddl).coalesce(1), f"{folder}/feed")
+    feed = file_stream(spark, f"{folder}/feed", spark.createDataFrame([], ddl).schema, files_per_trigger=1)
+    measures = {"least": ("min", "v"), "most": ("max", "v"), "total": ("sum", "v")}
+    drain(split.running(feed, folder, ["key"], "n", measures))
+    state, expected = {}, []
+    for key, n, v in rows:
+        held = state.setdefault(key, [])
+        if v is not None:
+            held.append(v)
+        expected.append((n, min(held, default=None), max(held, default=None), sum(held) if held else None))
+    out = spark.read.parquet(f"{folder}/out")
+    assert sorted(tuple(r) for r in out.select("n", "least", "most", "total").collect()) == sorted(expected)
+    assert out.select("batch").distinct().count() == 3
+
+
 # what these give must not depend on the order of files; the other queries number rows by arrival
 ANY_ORDER = [
     "streaming_pageviews", "streaming_sliding_counts", "streaming_hot_items_top5", "streaming_uv_exact", "streaming_updates",

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegauge.functions.times import day_end_ms, epoch_ms, floor_to
 from tidegauge.plans.registry import ORACLES, query
 from tidegauge.plans.tables import EVENTS_SQL, fresh_folder, station_log, table, typed_events
-from tidegauge.streaming import arrivals, processors, windows
+from tidegauge.streaming import arrivals, processors, split, windows
 from tidegauge.streaming.run import (
     IS_END, EndOfInput, append_files, bucketed_parquet, drain, feed_disorder_ms, file_stream, latest, run_with_end,
     split_late, split_outputs, state_settings, updates,
@@ -401,6 +401,29 @@ def streaming_count_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("streaming_route_running_split", ORACLES["route_running_sum"])
+def streaming_route_running_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The routed sums again, with the rows of a hot route dealt out to all tasks."""
+    folder = fresh_folder(spark, "route-split")
+    rows, _ = event_stream(spark, sf_dir, folder)
+    route = F.when(F.pmod("k", F.lit(2)) == 0, "even").otherwise("odd")
+    routed = rows.select(route.alias("route"), "event_type", "event_id", "k")
+    drain(split.running(routed, folder, ["route", "event_type"], "event_id", {"running": ("sum", "k")}))
+    return spark.read.parquet(f"{folder}/out").select("route", "event_type", "event_id", "running")
+
+
+@query("streaming_count_tumbling_split", f"""
+    SELECT event_type, (rn - 1) // 5 AS window_no, min(cents) AS smallest FROM (
+      SELECT event_type, cents, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rn FROM ({EVENTS_SQL}))
+    GROUP BY 1, 2 HAVING count(*) = 5""")
+def streaming_count_tumbling_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of five rows of a few keys that hold all rows."""
+    folder = fresh_folder(spark, "count-split")
+    rows, _ = event_stream(spark, sf_dir, folder)
+    drain(split.count_windows(rows.select("event_type", "event_id", "cents"), folder, ["event_type"], "event_id", "cents", 5))
+    return spark.read.parquet(f"{folder}/out").select("event_type", "window_no", "smallest")
+
+
 @query("streaming_click_cap", f"""
     SELECT event_id, 'pass' AS output FROM ({ORACLES["click_cap_pass"]})
     UNION ALL SELECT event_id, 'alarm' FROM ({ORACLES["click_cap_alarm"]})""")
