@@ -11,7 +11,7 @@ from tests.oracle import compare, connect
 from tidegauge.operators import scans
 from tidegauge.plans import catalog, streaming_queries
 from tidegauge.plans.tables import fresh_folder, table, typed_events
-from tidegauge.streaming import arrivals, processors, split
+from tidegauge.streaming import arrivals, processors, rolling, split
 from tidegauge.streaming.run import (
     EndOfInput, LateRows, append_files, drain, file_stream, rolling_text, run_with_end, split_late, split_outputs,
     state_settings,
@@ -31,6 +31,7 @@ IN_ORDER = [
     "streaming_count_tumbling", "streaming_count_sliding", "streaming_click_cap", "streaming_clicks_by_group",
     "streaming_hot_pages_late",
     "streaming_late_changelog", "streaming_route_running_split", "streaming_count_tumbling_split",
+    "streaming_rolled_text",
 ]
 
 
@@ -221,6 +222,37 @@ def test_a_late_row_fires_its_window_again(spark, tmp_path):
     assert high == [12_000, 16_000, 36_000]
 
 
+def test_parts_roll_by_size_age_and_inactivity(spark, tmp_path):
+    """By hand, over a restart: parts of at most 40 bytes, 20 s of age, 10 s without a row."""
+    folder, ddl = str(tmp_path), "n long, line string, ms long"
+    batches = [
+        [(1, "a" * 9, 0), (2, "b" * 9, 1_000)],  # open
+        [(3, "c" * 9, 5_000)],  # open
+        [(4, None, 15_000)],  # a tick: 10 s without a row, 1-3 go
+        [(5, "d" * 9, 16_000)], [(6, "e" * 9, 25_000)],  # open
+        [(7, "f" * 9, 34_000)], [(8, "g" * 9, 36_000)],  # 20 s old: 5-7 go, 8 is open
+        [(i, f"h{i}" * 3, 37_000) for i in range(9, 25)],  # full parts go
+    ]
+    schema = spark.createDataFrame([], ddl).schema
+    arrivals.append_part(spark.createDataFrame(batches[0], ddl).coalesce(1), f"{folder}/feed")
+    feed = file_stream(spark, f"{folder}/feed", schema, files_per_trigger=1)
+    start = rolling.rolling_parts(feed, folder, "line", "n", "ms", 40)
+    drain(start)
+    for batch in batches[1:]:
+        arrivals.append_part(spark.createDataFrame(batch, ddl).coalesce(1), f"{folder}/feed")
+    drain(start)  # goes on from the checkpoint
+    files = sorted((tmp_path / "out").glob("batch=*/part=*/*.txt"))
+    parts = [f.read_text().split() for f in files]
+    assert parts[0] == ["a" * 9, "b" * 9, "c" * 9] and "batch=2/" in str(files[0])
+    assert parts[1] == ["d" * 9, "e" * 9, "f" * 9] and "batch=6/" in str(files[1])
+    for _ in range(2):
+        rolling.close_parts(spark, folder, 40)
+    files = list((tmp_path / "out").glob("batch=*/part=*/*.txt"))
+    assert all(f.stat().st_size <= 40 for f in files) and len(files) <= 9
+    got = sorted(line for f in files for line in f.read_text().split())
+    assert got == sorted(line for batch in batches for _, line, _ in batch if line)
+
+
 def test_rolling_text(spark, tmp_path):
     rows = file_stream(spark, EVENTS_FILE, table(spark, SF_DIR, "events").schema)
     query = rolling_text(rows.select("event_id", "event_type"), str(tmp_path), "1 second", records_per_file=300)

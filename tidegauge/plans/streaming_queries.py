@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegauge.functions.times import day_end_ms, epoch_ms, floor_to
 from tidegauge.plans.registry import ORACLES, query
 from tidegauge.plans.tables import EVENTS_SQL, fresh_folder, station_log, table, typed_events
-from tidegauge.streaming import arrivals, processors, split, windows
+from tidegauge.streaming import arrivals, processors, rolling, split, windows
 from tidegauge.streaming.run import (
     IS_END, EndOfInput, append_files, bucketed_parquet, drain, feed_disorder_ms, file_stream, latest, run_with_end,
     split_late, split_outputs, state_settings, updates,
@@ -492,3 +492,14 @@ def streaming_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rows.select("event_id", "event_type", "cents")
     drain(append_files(out, folder, "csv", maxRecordsPerFile="1000000"))
     return spark.read.schema(out.schema).csv(f"{folder}/out")
+
+
+@query("streaming_rolled_text", f"SELECT event_id, event_type, cents FROM ({EVENTS_SQL})")
+def streaming_rolled_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text parts that roll at 64 KiB, after 20 hours, or after 10 without a row."""
+    folder, most = fresh_folder(spark, "rolled"), 1 << 16
+    rows, _ = event_stream(spark, sf_dir, folder)
+    lines = rows.select(F.concat_ws(",", "event_id", "event_type", "cents").alias("line"), "event_id", "ms")
+    drain(rolling.rolling_parts(lines, folder, "line", "event_id", "ms", most, 20 * HOUR_MS, 10 * HOUR_MS))
+    rolling.close_parts(spark, folder, most)
+    return spark.read.schema("event_id long, event_type string, cents long").csv(f"{folder}/out").select("event_id", "event_type", "cents")
