@@ -139,3 +139,14 @@ def test_long_repeats_do_not_overflow(spark):
     got = {r.doc_id: r for r in licenses.scan(docs).collect()}
     assert [(d.label, d.start, d.end) for d in got[0].detections] == [("copyright", 0, n + 2)]
     assert got[1].n_words == n + 4 and got[5].n_words == 1
+
+
+def test_very_many_detections_in_one_text(spark):
+    """50,000 detections, each with one that lies inside it and goes."""
+    n = 50_000
+    docs = spark.createDataFrame([(1, "gnu gpl v3 or later mit license x " * n)], "doc_id long, text string")
+    got = licenses.scan(docs).first()
+    assert got.n_words == 8 * n and len(got.base) == n
+    assert [(d.label, d.start, d.end) for d in got.detections] == [
+        x for i in range(n) for x in (("gpl-3.0-or-later", 8 * i, 8 * i + 5), ("mit", 8 * i + 5, 8 * i + 7))
+    ]

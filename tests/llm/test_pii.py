@@ -104,3 +104,38 @@ def test_account_numbers_before_other_words(spark):
         number, word = numbers[r.doc_id // len(words)], words[r.doc_id % len(words)]
         second = [word[1:]] if "WEST" in word else []
         assert [s.value for s in r.found if s.kind == "iban"] == [number, *second], texts[r.doc_id]
+
+
+def test_very_many_spans_in_one_text(spark):
+    """100,000 spans, whose places, context and replacements are found in time about linear in them."""
+    n = 50_000
+    text = "".join(f"é u{i}@x.org +1 (017) 555-{i % 10_000:04d}\n" for i in range(n))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = pii.find(docs).first().found
+    assert [(s.kind, s.start, s.end) for s in found] == [(k, a, b) for a, _, b, k in plain(text)]
+    assert len(found) == 2 * n and all(text[s.start:s.end] == s.value for s in found)
+    assert pii.redacted(docs).first().text == "é [EMAIL] [PHONE]\n" * n
+
+
+def test_context_at_every_distance(spark):
+    """A context word counts if it lies whole in the 48 code points before the span, wherever pieces of the text end."""
+    texts = [("é" * before + " ssn" + " " * gap + "123-45-6789") for before in (0, 1, 50, 61, 64, 127) for gap in range(1, 60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.find(docs).collect():
+        start = texts[r.doc_id].index("123")
+        near = texts[r.doc_id][max(0, start - pii.CONTEXT):start]
+        assert [s.start for s in r.found] == ([start] if "ssn" in near else []), (r.doc_id, near)
+
+
+def test_redaction_of_overlapping_spans(spark):
+    """Overlapping spans give the first one's kind; nothing of the others stays."""
+    texts = ["+1 4845168114407329 x", "a@1.2.3.4 b 1.2.3.4@c.de 5.6.7.8", "é 1.2.3.4@c.de", "1.2.3.4", "no span", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.found for r in pii.find(docs).collect()}
+    for r in pii.redacted(docs).collect():
+        text, out, at = texts[r.doc_id], "", 0
+        for s in found[r.doc_id]:
+            if s.start >= at:
+                out += text[at:s.start] + f"[{s.kind.upper()}]"
+            at = max(at, s.end)
+        assert r.text == out + text[at:]

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import text_or_empty
-from tidegauge.llm.marks import matches, unmarked
+from tidegauge.llm.marks import let, matches, running, unmarked
 
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what separates words
 
@@ -187,20 +187,24 @@ def _detections(words: Column, keywords: Column) -> Column:
 def _kept(found: Column) -> Column:
     """Without spans that lie in another of the same or a higher tier.
 
-    In the order of ``_detections`` whatever contains a span comes before it, so one pass with the
-    furthest end per tier finds the suppressed ones.
+    In the order of ``_detections`` whatever contains a span comes before it, so the furthest end
+    of the spans before it, per tier, tells the suppressed ones.
     """
     tiers = sorted(CONFIDENCE)
+    none = F.lit(-1).cast("long")
 
-    def step(state: Column, s: Column) -> Column:
-        inside = F.greatest(*[F.when(s.tier <= t, F.element_at(state.upto, t)).otherwise(F.lit(-1).cast("long")) for t in tiers])
-        return F.struct(
-            F.array(*[F.when(s.tier == t, F.greatest(F.element_at(state.upto, t), s.end)).otherwise(F.element_at(state.upto, t)) for t in tiers]).alias("upto"),
-            F.when(inside >= s.end, state.kept).otherwise(F.concat(state.kept, F.array(s))).alias("kept"),
-        )
+    def furthest(spans: Column, tier: int) -> Column:
+        return running(F.transform(spans, lambda s: F.when(s.tier >= tier, s.end).otherwise(none)), F.greatest)
 
-    start = F.struct(F.array(*[F.lit(-1).cast("long") for _ in tiers]).alias("upto"), F.array().cast(_SPAN).alias("kept"))
-    return F.aggregate(found, start, step, lambda state: state.kept)
+    def kept(spans: Column, upto: Column) -> Column:
+        def outside(s: Column, i: Column) -> Column:
+            own = F.get(F.element_at(upto, s.tier), i - 1)  # a span's own tier and all higher ones
+            return (i == 0) | (own < s.end)
+
+        return F.filter(spans, outside)
+
+    assert tiers == list(range(1, len(tiers) + 1))  # places in the array of furthest ends
+    return let(found, lambda spans: let(F.array(*[furthest(spans, t) for t in tiers]), lambda upto: kept(spans, upto)))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -208,7 +212,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
     ``base`` holds (label, start, end) of every place of a base phrase, ``detections`` the rules'
     spans left after suppression, each (start, end, label, tier, confidence); positions count words
-    from 0, ends are exclusive. Null and empty texts have no words and no spans.
+    from 0, ends are exclusive. Null and empty texts have no words and no spans. Repeated rows give
+    repeated rows, an empty table none; other columns are not read.
     """
     words = unmarked(normalised(text_or_empty()))
     rows = docs.select("doc_id", words.alias("words"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import text_or_empty
-from tidegauge.llm.marks import matches, unmarked
+from tidegauge.llm.marks import let, matches, part, pieces, running, unmarked
 
 CONTEXT = 48  # code points before a span in which a context word counts
 LEAST_SCORE = 0.5
@@ -116,15 +116,19 @@ _FOUND = "array<struct<start:int,rank:int,end:int,kind:string,value:string,score
 
 def _found(text: Column, rank: int, kind: Kind) -> Column:
     """Confirmed spans of one kind with a score of at least ``LEAST_SCORE``; no other kind can lower it."""
-    near = lambda m: F.substring(text, F.greatest(m.start - CONTEXT + 1, F.lit(1)), F.least(m.start, F.lit(CONTEXT)))
-    score = lambda m: F.least(F.lit(1.0), kind.score + F.when(near(m).rlike(kind.words), 0.2).otherwise(0.0))
     confirmed = matches(text, F.lit(kind.pattern))
     if kind.check is not None:
         confirmed = F.filter(confirmed, lambda m: kind.check(m.value))
-    spans = F.transform(confirmed, lambda m: F.struct(
-        m.start.alias("start"), F.lit(rank).alias("rank"), m.end.alias("end"), F.lit(kind.name).alias("kind"),
-        m.value.alias("value"), score(m).alias("score"),
-    ))
+
+    def scored(cut: Column, m: Column) -> Column:
+        near = part(cut, F.greatest(m.start - CONTEXT, F.lit(0)), m.start)
+        score = F.least(F.lit(1.0), kind.score + F.when(near.rlike(kind.words), 0.2).otherwise(0.0))
+        return F.struct(
+            m.start.alias("start"), F.lit(rank).alias("rank"), m.end.alias("end"), F.lit(kind.name).alias("kind"),
+            m.value.alias("value"), score.alias("score"),
+        )
+
+    spans = let(pieces(text), lambda cut: F.transform(confirmed, lambda m: scored(cut, m)))
     if kind.score < LEAST_SCORE:
         spans = F.filter(spans, lambda s: s.score >= LEAST_SCORE)
     may = text.rlike(kind.pattern) if kind.gate is None else F.contains(text, F.lit(kind.gate)) & text.rlike(kind.pattern)
@@ -141,7 +145,10 @@ def spans(text: Column) -> Column:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """One row (doc_id, found) per document, ``found`` as ``spans`` gives it; empty texts have none."""
+    """One row (doc_id, found) per document row, ``found`` as ``spans`` gives it; null and empty texts have none.
+
+    Repeated rows give repeated rows, an empty table none; other columns are not read.
+    """
     return docs.select("doc_id", spans(text_or_empty()).alias("found"))
 
 
@@ -157,23 +164,22 @@ def as_text(found: Column) -> Column:
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping spans give the first one's.
 
-    Null texts stay null; all rows and columns stay.
+    Null texts stay null; all rows, repeated ones too, and columns stay, whatever their names; an empty table gives no rows.
     """
     text, found = F.col("__row.text"), F.col("__found")
 
-    def step(state: Column, s: Column) -> Column:
-        fresh = F.array(F.substring(text, state.at + 1, s.start - state.at), F.concat(F.lit("["), F.upper(s.kind), F.lit("]")))
-        return F.struct(
-            F.greatest(state.at, s.end).alias("at"),
-            F.when(s.start >= state.at, F.concat(state.out, fresh)).otherwise(state.out).alias("out"),
-        )
+    def whole(found: Column, cut: Column, done: Column) -> Column:
+        # ``done`` is the furthest end up to each span; a span that starts before the one so far is overlapped
+        before = lambda i: F.when(i > 0, F.get(done, i - 1)).otherwise(0)
+        fresh = F.transform(found, lambda s, i: F.when(
+            s.start >= before(i), F.concat(part(cut, before(i), s.start), F.lit("["), F.upper(s.kind), F.lit("]"))
+        ).otherwise(""))
+        return F.concat(F.array_join(fresh, ""), part(cut, F.element_at(done, -1), F.length(text)))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    whole = F.aggregate(found, start, step, lambda state: F.array_join(
-        F.concat(state.out, F.array(F.substring(text, state.at + 1, F.length(text)))), ""
-    ))
+    ends = running(F.transform(found, lambda s: s.end), F.greatest)
+    replaced = let(F.struct(found.alias("found"), pieces(text).alias("cut"), ends.alias("done")), lambda v: whole(v.found, v.cut, v.done))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), spans(text_or_empty()).alias("__found"))
     return rows.select(*[
-        F.when(F.size(found) > 0, whole).otherwise(text).alias(c) if c == "text" else F.col(f"__row.`{c}`")
+        F.when(F.size(found) > 0, replaced).otherwise(text).alias(c) if c == "text" else F.col(f"__row.`{c}`")
         for c in docs.columns
     ])
