@@ -76,3 +76,18 @@ def test_a_hot_group_keeps_its_pairs(spark):
     assert linked.sum() > 100_000
     assert sum(held[x].isdisjoint(held[y]) for x, y in zip(a[linked], b[linked], strict=True)) == 0
     assert len(own) < 60 * 20_000
+
+
+@pytest.mark.parametrize("leaf", [20, 1024])
+def test_vectors_of_several_widths(spark, monkeypatch, leaf):
+    """Vectors link with those of their own width, however few they are; both a forest and a single leaf a width."""
+    monkeypatch.setattr(forest, "LEAF", leaf)
+    monkeypatch.setattr(forest, "SPILL", 1.0)
+    parts = [near_copies(300, 60, 0.03, width=16), near_copies(90, 20, 0.03, width=8), [(0, [1.0, 2.0, 3.0]), (1, [1.0, 2.0, 3.01]), (2, [5.0])]]
+    rows, expected = [], set()
+    for k, part in enumerate(parts):
+        part = [(1000 * k + i, v) for i, v in part]
+        rows, expected = rows + part, expected | brute(part[:2] if k == 2 else part)
+    expected.add((2002, 0, 2002, True))
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in forest.near_duplicates(table).collect()} == expected

@@ -64,3 +64,17 @@ def test_copies_ties_and_unusable_rows(spark, tmp_path):
     few = table.where("vec_id in (0, 20, 1000)")
     assert [(r.query_id, r.vec_id) for r in neighbours.nearest(few, "vec_id % 50 = 0").collect()] == [(0, 20)]
     assert neighbours.nearest(table.where("false"), "vec_id % 50 = 0").count() == 0
+
+
+def test_vectors_of_several_widths(spark):
+    """Each width has shards of its own, and its queries search them only."""
+    draw = np.random.default_rng(4)
+    parts = {16: range(0, 500), 8: range(500, 620), 3: range(620, 622), 2: range(650, 651)}
+    rows = [(i, draw.standard_normal(w).tolist()) for w, ids in parts.items() for i in ids]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(table, "vec_id % 10 = 0", rows_per_shard=100).collect()
+    truth = {}
+    for ids in list(parts.values())[:3]:
+        vectors = np.array([v for i, v in rows if i in ids])
+        truth |= exact(np.array(ids), vectors, [i for i in ids if i % 10 == 0])
+    assert recall(got, truth) >= 0.97

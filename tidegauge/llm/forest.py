@@ -162,12 +162,10 @@ def _next_round(classes: DataFrame, large: DataFrame, strip: float) -> DataFrame
     return rows.select("rep", "leaf", "embedding").join(fitted, "leaf").mapInPandas(run, _LEAVES)
 
 
-def leaves(classes: DataFrame, threshold: float, trees: int | None = None) -> DataFrame:
-    """Rows (rep, leaf): every leaf of every tree that each class of vectors is in."""
-    total = classes.count()
+def _forest(classes: DataFrame, threshold: float, trees: int | None, width: int, total: int) -> DataFrame:
+    """Rows (rep, leaf): every leaf of every tree that each of ``total`` classes of one width is in."""
     trees = trees or trees_for(total)
-    first = classes.select(F.size("embedding").alias("k")).first()
-    strip = margin(threshold, first.k if first else 1)
+    strip = margin(threshold, width)
     rows = saved(_first_round(classes, trees, strip, total), "forest-leaves")
     done = rows.where("NOT more")
     while rows.where("more").limit(1).count():
@@ -176,6 +174,21 @@ def leaves(classes: DataFrame, threshold: float, trees: int | None = None) -> Da
     return done.select("rep", "leaf").distinct()
 
 
+def leaves(classes: DataFrame, threshold: float, trees: int | None = None) -> DataFrame:
+    """Rows (rep, width, leaf): every leaf of every tree that each class of vectors is in.
+
+    Each width has a forest of its own, but for widths of at most ``LEAF`` classes, which are one leaf.
+    """
+    sizes = saved(classes.groupBy(F.size("embedding").alias("width")).agg(F.count(F.lit(1)).alias("total")), "forest-widths")
+    large = [(r.width, r.total) for r in sizes.where(F.col("total") > LEAF).orderBy("width").collect()]  # few: each is a table's worth
+    own = classes.withColumn("width", F.size("embedding"))
+    out = own.where(~F.col("width").isin([w for w, _ in large])).select("rep", "width", F.lit(0).cast("long").alias("leaf"))
+    for width, total in large:
+        mine = _forest(own.where(F.col("width") == width).drop("width"), threshold, trees, width, total)
+        out = out.unionAll(mine.select("rep", F.lit(width).alias("width"), "leaf"))
+    return out
+
+
 _FOUND = "rep long, links long, root long"
 
 
@@ -219,23 +232,23 @@ def _verify(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
 def links(classes: DataFrame, threshold: float, trees: int | None = None) -> DataFrame:
     """Rows (rep, links, root), several per class: how many vectors link to it, and a linked root."""
     own = saved(leaves(classes, threshold, trees), "forest-own")
-    sizes = own.groupBy("leaf").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    sizes = own.groupBy("width", "leaf").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     # the list of a class is bounded by the trees and their spill, not by the table
     lists = own.groupBy("rep").agg(F.array_sort(F.collect_list("leaf")).alias("leaves"))
-    rows = classes.join(lists, "rep").withColumn("leaf", F.explode("leaves")).join(sizes, "leaf")
+    rows = classes.join(lists, "rep").withColumn("width", F.size("embedding")).withColumn("leaf", F.explode("leaves")).join(sizes, ["width", "leaf"])
     blocks = F.ceil(F.col("size") / LEAF).cast("int")
     rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep", "leaf"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
-        "leaf", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "n", "embedding", "leaves"
+        "width", "leaf", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "n", "embedding", "leaves"
     )
-    return rows.groupBy("leaf", "i", "j").applyInPandas(lambda g: _verify(g, threshold), _FOUND)
+    return rows.groupBy("width", "leaf", "i", "j").applyInPandas(lambda g: _verify(g, threshold), _FOUND)
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, trees: int | None = None) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept.
 
-    Vectors link where their cosine is at least ``threshold``. Equal vectors link with each other
+    Vectors of one width link where their cosine is at least ``threshold``. Equal vectors link with each other
     and are one class in the forest, so copies are never paired. Rows that repeat id and vector
     count once. Vectors that ``usable`` leaves out link with nothing, are components of their own and
     are kept; so are rows with a null id, whose component is null. An empty table gives no rows.

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import saved
-from tidegauge.llm.vectors import matrix, unit, usable, with_class
+from tidegauge.llm.vectors import matrix, unit, usable, with_class, with_width
 
 ROWS_PER_SHARD = 8192
 QUERIES_PER_BLOCK = 2048
@@ -171,12 +171,12 @@ def cosines(queries: np.ndarray, others: np.ndarray) -> np.ndarray:
 _INDEX = "shard int, ids binary, vectors binary, width int, members array<binary>, links array<binary>"
 
 
-def index(classes: DataFrame, rows_per_shard: int = ROWS_PER_SHARD) -> DataFrame:
+def index(classes: DataFrame) -> DataFrame:
     """One row per shard, written to the shared folder: ids, vectors, and each layer's flat arrays.
 
-    ``classes`` has rep and embedding. Every row is indexed.
+    ``classes`` has rep, embedding, width and shards, how many its width is dealt out to. Every row is
+    indexed; a shard holds vectors of one width.
     """
-    shards = max(1, -(-classes.count() // rows_per_shard))
 
     def make(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("rep")
@@ -188,8 +188,8 @@ def index(classes: DataFrame, rows_per_shard: int = ROWS_PER_SHARD) -> DataFrame
             "links": [x.tobytes() for _, x in graph.layers],
         }])
 
-    shard = F.pmod(F.xxhash64("rep", F.lit(SEED)), F.lit(shards)).cast("int").alias("shard")
-    return saved(classes.select(shard, "rep", "embedding").groupBy("shard").applyInPandas(make, _INDEX), "neighbours-index")
+    shard = F.pmod(F.xxhash64("rep", F.lit(SEED)), F.col("shards")).cast("int").alias("shard")
+    return saved(classes.select("width", shard, "rep", "embedding").groupBy("width", "shard").applyInPandas(make, _INDEX), "neighbours-index")
 
 
 def _graph(row) -> tuple[np.ndarray, Graph]:
@@ -200,13 +200,13 @@ def _graph(row) -> tuple[np.ndarray, Graph]:
 
 
 def class_neighbours(graphs: DataFrame, queries: DataFrame, k: int, width: int = BEAM) -> DataFrame:
-    """Rows (query, rep, score): for each query (query, embedding) the ``k`` nearest of every shard.
+    """Rows (query, rep, score): for each query (query, embedding, width, shards) the ``k`` nearest of every shard of its width.
 
     Queries are dealt out in blocks, and a task holds one shard's graph and one block.
     """
-    shards, blocks = max(1, graphs.count()), max(1, -(-queries.count() // QUERIES_PER_BLOCK))
+    blocks = max(1, -(-queries.count() // QUERIES_PER_BLOCK))
     block = F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int")
-    right = queries.withColumn("block", block).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    right = queries.withColumn("block", block).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
     left = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def find(shard: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
@@ -220,14 +220,14 @@ def class_neighbours(graphs: DataFrame, queries: DataFrame, k: int, width: int =
                 out.append(pd.DataFrame({"query": some["query"].to_numpy()[row], "rep": ids[found[row, column]], "score": score[row, column]}))
         return pd.concat(out) if out else pd.DataFrame({"query": [], "rep": [], "score": []}).astype({"query": "int64", "rep": "int64"})
 
-    return left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(find, "query long, rep long, score double")
+    return left.groupBy("width", "shard", "block").cogroup(right.groupBy("width", "shard", "block")).applyInPandas(find, "query long, rep long, score double")
 
 
 def nearest(embeddings: DataFrame, query: str, k: int = 5, width: int = BEAM, rows_per_shard: int = ROWS_PER_SHARD) -> DataFrame:
     """Rows (query_id, rank from 1, vec_id, score): the ``k`` nearest found of every row for which ``query`` holds.
 
     ``query`` is an SQL condition on vec_id. Candidates are all rows but those with the query's own
-    id; score is the cosine in double precision; ties go to the smaller vec_id. Rows that ``usable``
+    id and of the query's width; score is the cosine in double precision; ties go to the smaller vec_id. Rows that ``usable``
     leaves out are neither queries nor candidates; rows that repeat id and vector count once. Equal
     vectors are one node of the graph and have one score; of a class, the ``k + 1`` smallest ids can
     be answers and only they are gathered. Fewer candidates than ``k`` are all returned; an empty
@@ -235,8 +235,10 @@ def nearest(embeddings: DataFrame, query: str, k: int = 5, width: int = BEAM, ro
     """
     members, classes = with_class(saved(usable(embeddings), "neighbours-rows"))
     asked = members.where(query).select(F.col("vec_id").alias("query_id"), F.col("rep").alias("query"))
-    vectors = asked.select("query").distinct().join(classes, F.col("query") == F.col("rep")).select("query", "embedding")
-    found = class_neighbours(index(classes, rows_per_shard), saved(vectors, "neighbours-queries"), k + 1, width)
+    shards = F.ceil(F.col("total") / rows_per_shard).cast("int")
+    classes = saved(with_width(classes).select("rep", "embedding", "width", shards.alias("shards")), "neighbours-classes")
+    vectors = asked.select("query").distinct().join(classes, F.col("query") == F.col("rep")).select("query", "embedding", "width", "shards")
+    found = class_neighbours(index(classes), saved(vectors, "neighbours-queries"), k + 1, width)
     best = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
     found = saved(found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r"), "neighbours-found")
     few = members.withColumn("r", F.row_number().over(Window.partitionBy("rep").orderBy("vec_id"))).where(F.col("r") <= k + 1).drop("r")

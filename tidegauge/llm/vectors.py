@@ -9,19 +9,31 @@ from pyspark.sql import functions as F
 from tidegauge.llm.common import saved
 
 
+SALTS = 64  # parts that the rows of one width are joined in
+
+
 def usable(embeddings: DataFrame) -> DataFrame:
     """Distinct rows (vec_id, embedding as doubles) that a cosine is defined for.
 
     Rows with a null id, and vectors that are null, empty, zero or hold null or non-finite
-    components, take no part. Neither do vectors of another length than most have.
+    components, take no part. Vectors of several widths may be mixed; those of one width concern
+    each other.
     """
     wide = F.transform("embedding", lambda x: x.cast("double"))
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), wide.alias("embedding"))
-    rows = rows.where(F.col("vec_id").isNotNull() & fine & F.exists("embedding", lambda x: x != 0))
-    sizes = rows.groupBy(F.size("embedding").alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    most = sizes.orderBy(F.desc("n"), "k").first()
-    return rows.where(F.size("embedding") == (most.k if most else 0)).distinct()
+    return rows.where(F.col("vec_id").isNotNull() & fine & F.exists("embedding", lambda x: x != 0)).distinct()
+
+
+def with_width(classes: DataFrame) -> DataFrame:
+    """``classes`` (rep, ..., embedding) with ``width`` and ``total``, the classes of that width.
+
+    Totals are joined in salted parts, so the rows of one width never meet in one task.
+    """
+    rows = classes.withColumn("width", F.size("embedding"))
+    totals = rows.groupBy("width").agg(F.count(F.lit(1)).alias("total")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int"))
+    return salted.join(totals, ["width", "salt"]).drop("salt")
 
 
 def with_class(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
