@@ -151,7 +151,7 @@ def search(graph: Graph, queries: np.ndarray, k: int, width: int = BEAM) -> tupl
     entries = np.repeat(graph.layers[-1][0][None, :8], len(queries), axis=0)
     for layer in reversed(graph.layers[1:]):
         ids, sims = _beam(near, layer, target, entries, 8)
-        entries = np.where(np.isneginf(sims), ids[np.arange(len(ids)), sims.argmax(axis=1)][:, None], ids)
+        entries = np.where(np.isneginf(sims), -1, ids)  # none twice, or it would be found twice below
     ids, sims = _beam(near, graph.layers[0], target, entries, width)
     # a few more than k, so that rounding in the walk does not decide; then exact and sorted
     order = np.argsort(-sims, axis=1, kind="stable")[:, :k + 16]
