@@ -23,6 +23,7 @@ from tidegauge.streaming.run import (
 
 HOUR_MS = 3_600_000
 FILES_PER_TRIGGER = 200  # bounds a micro-batch, and with it what a processor holds of one key; results don't depend on it
+ROWS_PER_GROUP = 100_000  # of the whole table, of all keys that a processor works on in one call
 ROW = "ms long, event_id long, value double, kind int"
 
 
@@ -44,6 +45,11 @@ def event_delay(spark: SparkSession, sf_dir: str, least_ms: int = 0) -> str:
     return f"{max(least_ms, feed_disorder_ms(table(spark, sf_dir, 'events'), epoch_ms('ts')))} milliseconds"
 
 
+def key_groups(spark: SparkSession, sf_dir: str) -> int:
+    """So many groups of keys that a group's rows stay bounded, and enough of them to go round."""
+    return max(64, table(spark, sf_dir, "events").count() // ROWS_PER_GROUP)
+
+
 def finish(spark: SparkSession, folder: str, start: Callable[[], StreamingQuery], *ends: EndOfInput) -> None:
     with state_settings(spark):
         run_with_end(start, *ends)
@@ -278,7 +284,7 @@ def run_events(spark: SparkSession, sf_dir: str, name: str, make, output: str, k
     rows, end = by_user(spark, sf_dir, folder, kind)
     keys = ["user_id", IS_END]
     processor = make(keys, ["ms", "event_id"], ["ms", "event_id", "value", "kind"], ROW)
-    found = processors.process(rows, keys, processor, f"user_id long, {IS_END} boolean, {output}", "EventTime")
+    found = processors.process(rows, keys, processor, f"user_id long, {IS_END} boolean, {output}", "EventTime", key_groups(spark, sf_dir))
     return append_and_read(spark, found, folder, end).where(~F.col(IS_END)).drop(IS_END)
 
 

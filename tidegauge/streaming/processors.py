@@ -4,28 +4,48 @@ Two orders are offered. *Arrival* processors work through the rows of a micro-ba
 number. *Event* processors hold rows back until the watermark has passed them and then work through
 them by event time, which makes a stream give the rows its batch form gives. State per key is
 small; memory per key is bounded by one micro-batch plus the rows still ahead of the watermark.
+
+A call per key and its accesses to state cost milliseconds, so many keys with few rows each are dealt
+into groups: one call then works on all keys of a group, whose states lie side by side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import pickle
+from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from tidegauge.operators.folds import NONE, hold_replay, rise_replay
 
 
+GROUP, NULLS = "__group", "__nulls"
+
+
 def process(
-    rows: DataFrame, keys: Sequence[str], processor: StatefulProcessor, output: str, time: str = "None"
+    rows: DataFrame, keys: Sequence[str], processor: StatefulProcessor, output: str, time: str = "None", groups: int | None = None
 ) -> DataFrame:
-    """Apply a processor per key; ``time`` is None, EventTime or ProcessingTime."""
-    return rows.groupBy(*keys).transformWithStateInPandas(
+    """Apply a processor per key; ``time`` is None, EventTime or ProcessingTime.
+
+    With ``groups`` a call works on all keys of one of so many groups, for processors that are ``_Grouped``. The
+    number is fixed for the life of a query.
+    """
+    by = list(keys)
+    if groups is not None:
+        by, types = [GROUP, NULLS], dict(rows.dtypes)
+        # pandas turns a column of whole numbers with nulls into doubles, so which keys are null is told beside them
+        nulls = sum((F.col(k).isNull().cast("long") * (1 << i) for i, k in enumerate(keys)), F.lit(0).cast("long"))
+        filled = {k: F.coalesce(k, F.lit("" if types[k] == "string" else 0).cast(types[k])) for k in keys}
+        rows = rows.withColumns({GROUP: F.pmod(F.xxhash64(*keys), F.lit(groups)), NULLS: nulls}).withColumns(filled)
+        processor.in_groups = True
+    return rows.groupBy(*by).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode=time
     )
 
@@ -63,6 +83,45 @@ class _Keyed(StatefulProcessor):
         pass
 
 
+class _Grouped(_Keyed):
+    """A processor that works on one key, or on a group of keys whose columns come with the rows."""
+
+    in_groups = False
+
+    @property
+    def key_columns(self) -> list[str]:
+        return list(self.keys) if self.in_groups else []
+
+    def whose(self, key: tuple, rows: pd.DataFrame) -> list[tuple]:
+        """The key of each row."""
+        if not self.in_groups:
+            return [tuple(key)] * len(rows)
+        empty = [[None] * len(rows) if int(key[1]) >> i & 1 else None for i in range(len(self.keys))]
+        return list(zip(*[none or rows[name].tolist() for name, none in zip(self.keys, empty)]))
+
+    def results(self, found: Sequence[tuple], *columns: str) -> pd.DataFrame:
+        """Rows of (key, value of each column)."""
+        frame = {}
+        for place, name in enumerate(self.keys):
+            frame[name] = self._column([row[0][place] for row in found])
+        for place, name in enumerate(columns, 1):
+            frame[name] = self._column([row[place] for row in found])
+        return pd.DataFrame(frame)
+
+    @staticmethod
+    def _column(values: list) -> Any:
+        kinds = set(map(type, values))
+        return pd.array(values, dtype="Int64") if kinds == {int, type(None)} else values
+
+    @staticmethod
+    def unpack(held: Any) -> Any:
+        return pickle.loads(bytes(held[0]))
+
+    @staticmethod
+    def pack(states: Any) -> tuple[bytes]:
+        return (pickle.dumps(states),)
+
+
 # --- arrival order ------------------------------------------------------------------------------
 
 
@@ -82,33 +141,60 @@ class RunningSum(_Keyed):
         yield self.result(key, **{self.order: batch[self.order], "running": running})
 
 
-class FirstVisit(_Keyed):
-    """Each row with 1 when it is the first of its key, else 0.
-
-    The key starts with its window's end in ms; an event-time timer forgets the key when the window is over.
-    """
+class _Windowed(_Grouped):
+    """Keys hold the end of their window in ms, at ``place``. What is known of the keys lies in one entry per window;
+    an event-time timer forgets the windows that are over."""
 
-    def __init__(self, keys: Sequence[str], order: str):
-        self.keys, self.order = keys, order
+    place: int
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "seen boolean")
+        self.windows = handle.getMapState("windows", "window_end long", "known binary")
+        self.alarm = handle.getValueState("alarm", "ms long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _gather(rows, [self.order])
-        first = np.zeros(len(batch), dtype="int64")
-        if not self.seen.exists():
-            first[0] = 1
-            self.seen.update((True,))
-            self.handle.registerTimer(int(key[0]))
-        yield self.result(key, **{self.order: batch[self.order], "first": first})
+    def known(self, window: int) -> dict[tuple, int]:
+        return self.unpack(self.windows.getValue((window,))) if self.windows.containsKey((window,)) else {}
+
+    def know(self, windows: Mapping[int, dict[tuple, int]]) -> None:
+        for window, known in windows.items():
+            self.windows.updateValue((window,), self.pack(known))
+        self.set_alarm(min(windows, default=None))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
+        now = timerValues.getCurrentWatermarkInMs()
+        self.alarm.clear()
+        windows = [int(window[0]) for window in self.windows.keys()]
+        for window in windows:
+            if window <= now:
+                self.windows.removeKey((window,))
+        self.set_alarm(min((window for window in windows if window > now), default=None))
         return iter(())
 
 
+class FirstVisit(_Windowed):
+    """Each row with 1 when it is the first of its key, else 0. The key starts with its window's end."""
+
+    place = 0
+
+    def __init__(self, keys: Sequence[str], order: str):
+        self.keys, self.order = keys, order
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = _gather(rows, [self.order])
+        found, windows, changed = [], {}, set()
+        for who, number in zip(self.whose(key, batch), batch[self.order].tolist()):
+            window = who[self.place]
+            if window not in windows:
+                windows[window] = self.known(window)
+            first = who not in windows[window]
+            if first:
+                windows[window][who] = 1
+                changed.add(window)
+            found.append((who, number, int(first)))
+        self.know({window: windows[window] for window in changed})
+        yield self.results(found, self.order, "first")
+
+
 class RepeatedHit(_Keyed):
     """Two hits in a row of a key, the later less than ``bound_ms`` after the earlier."""
 
@@ -128,36 +214,34 @@ class RepeatedHit(_Keyed):
         yield self.result(key, first_ms=before[both], next_ms=times[both])
 
 
-class DailyCap(_Keyed):
+class DailyCap(_Windowed):
     """Rows of one (key, day): the first ``cap`` pass, the next one is the alarm, the rest drop.
 
-    The key holds the day's end in ms; an event-time timer clears the count when the day is over.
+    The key ends with the day's end in ms; an event-time timer clears the counts when the day is over.
     ``carried`` columns of the rows come out with them.
     """
 
+    place = -1
+
     def __init__(self, keys: Sequence[str], order: str, cap: int, carried: Sequence[str] = ()):
         self.keys, self.order, self.cap, self.carried = keys, order, cap, carried
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.count = handle.getValueState("count", "count long")
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        before = self.read(self.count, 0)
-        if before == 0:
-            self.handle.registerTimer(int(key[-1]))
-        if before > self.cap:
-            return
         batch = _gather(rows, [self.order])
-        kept = batch.iloc[: self.cap + 1 - before]
-        self.count.update((before + len(kept),))
-        place = before + 1 + np.arange(len(kept))
-        columns = {name: kept[name].to_numpy() for name in (self.order, *self.carried)}
-        yield self.result(key, **columns, output=np.where(place <= self.cap, "pass", "alarm"))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.count.clear()
-        return iter(())
+        found, days, changed = [], {}, set()
+        names = [self.order, *self.carried]
+        for who, *columns in zip(self.whose(key, batch), *[batch[name].tolist() for name in names]):
+            day = who[self.place]
+            if day not in days:
+                days[day] = self.known(day)
+            before = days[day].get(who, 0)
+            if before <= self.cap:
+                days[day][who] = before + 1
+                changed.add(day)
+                found.append((who, *columns, "pass" if before < self.cap else "alarm"))
+        self.know({day: days[day] for day in changed})
+        if found:
+            yield self.results(found, *names, "output")
 
 
 class CountWindow(_Keyed):
@@ -223,16 +307,17 @@ def _unpacked(data: bytes) -> pd.DataFrame:
     return pa.ipc.open_stream(data).read_pandas()
 
 
-class EventOrdered(_Keyed):
-    """Rows wait in state until the watermark has passed them; ``fold`` then sees them in order.
+class EventOrdered(_Grouped):
+    """Rows wait in state until the watermark has passed them; ``fold`` then sees each key's in order.
 
-    ``order`` starts with the time column in ms. A subclass may ask to be called again, without
-    rows, when the watermark reaches the time ``wake_at`` returns. Waiting rows lie in pieces of at most
-    ``BUCKET_MS`` of time, told by their first time. New rows make new pieces, and a timer reads and
-    drops the pieces that are due; what waits for later is not touched.
+    ``order`` starts with the time column in ms. ``fold`` returns its results, the key's new state, and the time it wants
+    to be called again at, without rows, when the watermark reaches it. Waiting rows lie in pieces in order of
+    time, told by their first time: each holds ``PIECE_ROWS`` rows or more, and whole buckets of ``BUCKET_MS``. New
+    rows make new pieces, and a timer reads and drops the pieces that are due; what waits for later is not touched.
     """
 
     BUCKET_MS = 600_000
+    PIECE_ROWS = 4096
 
     def __init__(self, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], row_schema: str):
         self.keys, self.order, self.columns, self.row_schema = keys, order, columns, row_schema
@@ -242,27 +327,30 @@ class EventOrdered(_Keyed):
         self.waiting = handle.getMapState("waiting", "low long, piece long", "rows binary")
         self.pieces = handle.getValueState("pieces", "made long")
         self.alarm = handle.getValueState("alarm", "ms long")
-        self.open_state(handle)
-
-    def open_state(self, handle: StatefulProcessorHandle) -> None: ...
+        self.states = handle.getValueState("states", "states binary")
 
-    def fold(self, key: tuple, rows: pd.DataFrame, now: int) -> pd.DataFrame | None: ...
+    #: The names of the results that ``fold`` finds, as tuples.
+    found: Sequence[str]
 
-    def wake_at(self) -> int | None:
-        return None
+    def fold(self, state: Any, rows: Mapping[str, np.ndarray], now: int) -> tuple[Sequence[tuple], Any, int | None]: ...
 
     def _wait(self, rows: pd.DataFrame) -> int:
         """Put rows by as pieces; their first time."""
-        times = rows[self.order[0]].astype("int64")
-        made = self.read(self.pieces, 0)
-        for piece, (_, part) in enumerate(rows.groupby(times // self.BUCKET_MS), made):
-            self.waiting.updateValue((int(part[self.order[0]].min()), piece), (_packed(part),))
-            made = piece + 1
+        rows = rows.sort_values(self.order[0], kind="stable", ignore_index=True)
+        times = rows[self.order[0]].to_numpy(dtype="int64")
+        buckets = np.flatnonzero(np.diff(times // self.BUCKET_MS)) + 1  # where buckets begin
+        made, low = self.read(self.pieces, 0), 0
+        while low < len(rows):
+            at = np.searchsorted(buckets, low + self.PIECE_ROWS)
+            high = int(buckets[at]) if at < len(buckets) else len(rows)
+            self.waiting.updateValue((int(times[low]), made), (_packed(rows.iloc[low:high]),))
+            made, low = made + 1, high
         self.pieces.update((made,))
-        return int(times.min())
+        return int(times[0])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat([frame[list(self.columns)] for frame in rows], ignore_index=True)
+        names = [*self.key_columns, *self.columns]
+        batch = pd.concat([frame[names] for frame in rows], ignore_index=True)
         self.set_alarm(self._wait(batch))
         return iter(())
 
@@ -275,16 +363,41 @@ class EventOrdered(_Keyed):
         parts = [_unpacked(bytes(self.waiting.getValue(place)[0])) for place in due]
         for place in due:
             self.waiting.removeKey(place)
-        frame = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=list(self.columns))
+        frame = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=[*self.key_columns, *self.columns])
         passed = frame[self.order[0]] <= now
-        ready = frame[passed].sort_values(list(self.order), kind="stable", ignore_index=True)
         if not passed.all():
             later.append(self._wait(frame[~passed]))
-        found = self.fold(key, ready, now)
-        if found is not None and len(found):
-            yield found
-        wake = self.wake_at()
-        self.set_alarm(min(later + ([wake] if wake is not None else []), default=None))
+        states = self.unpack(self.states.get()) if self.states.exists() else {}
+        found = self._fold_all(key, frame[passed], states, now)
+        self.states.update(self.pack(states))
+        if found:
+            yield self.results(found, *self.found)
+        wakes = [wake for _, wake in states.values() if wake is not None]
+        self.set_alarm(min([*later, *wakes], default=None))
+
+    def _fold_all(self, key: tuple, rows: pd.DataFrame, states: dict[tuple, tuple[Any, int | None]], now: int) -> list[tuple]:
+        """Fold the keys that have rows or are to be called; (key, results) in order, with ``states`` changed."""
+        rows = rows.sort_values([*self.key_columns, *self.order], kind="stable", ignore_index=True)
+        changed = np.zeros(len(rows), dtype=bool)
+        changed[:1] = True
+        for name in self.key_columns:
+            column = rows[name].to_numpy()
+            changed[1:] |= column[1:] != column[:-1]
+        starts = np.flatnonzero(changed)
+        columns = {name: rows[name].to_numpy() for name in self.columns}
+        work = [
+            (who, {name: column[low:high] for name, column in columns.items()})
+            for who, low, high in zip(self.whose(key, rows.iloc[starts]), starts, [*starts[1:], len(rows)])
+        ]
+        seen = {who for who, _ in work}
+        none = {name: column[:0] for name, column in columns.items()}
+        work += [(who, none) for who, (_, wake) in states.items() if wake is not None and wake <= now and who not in seen]
+        out = []
+        for who, part in work:
+            found, state, wake = self.fold(states[who][0] if who in states else None, part, now)
+            states[who] = (state, wake)
+            out += [(who, *row) for row in found]
+        return out
 
 
 class JumpAlert(EventOrdered):
@@ -293,18 +406,14 @@ class JumpAlert(EventOrdered):
     def __init__(self, keys, order, columns, row_schema, value: str, threshold: float):
         super().__init__(keys, order, columns, row_schema)
         self.value, self.threshold = value, threshold
+        self.found = [*order, "last", "value"]
 
-    def open_state(self, handle) -> None:
-        self.last = handle.getValueState("last", "value double")
-
-    def fold(self, key, rows, now):
-        if not len(rows):
-            return None
-        values = rows[self.value].to_numpy(dtype=float)
-        before = np.concatenate([[self.read(self.last, NONE)], values[:-1]])
-        self.last.update((float(values[-1]),))
+    def fold(self, state, rows, now):
+        values = rows[self.value].astype(float)
+        before = np.concatenate([[NONE if state is None else state], values[:-1]])
         jumps = np.abs(values - before) > self.threshold
-        return self.result(key, **{n: rows[n].to_numpy()[jumps] for n in self.order}, last=before[jumps], value=values[jumps])
+        found = [rows[n][jumps].tolist() for n in self.order]
+        return list(zip(*found, before[jumps].tolist(), values[jumps].tolist())), float(values[-1]), None
 
 
 class JumpAlertHold(JumpAlert):
@@ -312,35 +421,31 @@ class JumpAlertHold(JumpAlert):
 
     start = 0.0
 
-    def fold(self, key, rows, now):
-        values = rows[self.value].to_numpy(dtype=float).tolist() if len(rows) else []
-        state = self.read(self.last, self.start)
+    def fold(self, state, rows, now):
+        values = rows[self.value].astype(float).tolist()
+        state = self.start if state is None else state
         where, held = hold_replay(state, values, self.threshold)
-        calm = set(range(len(values))) - set(where)
-        if calm:
-            self.last.update((values[max(calm)],))
-        return self.result(key, **{n: rows[n].to_numpy()[where] for n in self.order}, last=held, value=[values[i] for i in where])
+        alerting = set(where)
+        calm = next((value for place, value in zip(reversed(range(len(values))), reversed(values)) if place not in alerting), state)
+        found = [rows[n][where].tolist() for n in self.order]
+        return list(zip(*found, held, [values[i] for i in where])), calm, None
 
 
 class StrictNext(EventOrdered):
     """A hit directly followed by a hit of the key within less than ``bound_ms``."""
 
+    found = ["first_ms", "next_ms"]
+
     def __init__(self, keys, order, columns, row_schema, hit: str, bound_ms: int):
         super().__init__(keys, order, columns, row_schema)
         self.hit, self.bound = hit, bound_ms
 
-    def open_state(self, handle) -> None:
-        self.last = handle.getValueState("last", "ms long, hit boolean")
-
-    def fold(self, key, rows, now):
-        if not len(rows):
-            return None
-        last_ms, last_hit = self.last.get() if self.last.exists() else (0, False)
-        times, hits = rows[self.order[0]].to_numpy(dtype="int64"), rows[self.hit].to_numpy(dtype=bool)
+    def fold(self, state, rows, now):
+        last_ms, last_hit = state or (0, False)
+        times, hits = rows[self.order[0]].astype("int64"), rows[self.hit].astype(bool)
         before = np.concatenate([[last_ms], times[:-1]])
         both = hits & np.concatenate([[last_hit], hits[:-1]]) & (times - before < self.bound)
-        self.last.update((int(times[-1]), bool(hits[-1])))
-        return self.result(key, first_ms=before[both], next_ms=times[both])
+        return list(zip(before[both].tolist(), times[both].tolist())), (int(times[-1]), bool(hits[-1])), None
 
 
 class FollowedBy(EventOrdered):
@@ -353,78 +458,53 @@ class FollowedBy(EventOrdered):
     def __init__(self, keys, order, columns, row_schema, step: str, identity: str, bound_ms: int):
         super().__init__(keys, order, columns, row_schema)
         self.step, self.identity, self.bound = step, identity, bound_ms
+        self.found = [identity, "first_ms", "next_ms"]
 
-    def open_state(self, handle) -> None:
-        self.begun = handle.getListState("begun", "ms long, identity long")
-        self.next_timeout: int | None = None
-
-    def fold(self, key, rows, now):
-        begun = [(r[0], r[1]) for r in self.begun.get()] if self.begun.exists() else []
+    def fold(self, state, rows, now):
+        begun: list[tuple[int, int]] = state or []
         found: list[tuple[int, int, int | None]] = []
 
         def expire(at: int) -> None:
             nonlocal begun
-            found.extend((ms, who, None) for ms, who in begun if at - ms >= self.bound)
+            found.extend((who, ms, None) for ms, who in begun if at - ms >= self.bound)
             begun = [(ms, who) for ms, who in begun if at - ms < self.bound]
 
-        for time, step, who in rows[[self.order[0], self.step, self.identity]].itertuples(index=False, name=None):
+        for time, step, who in zip(*[rows[name].tolist() for name in (self.order[0], self.step, self.identity)]):
             if step == 2:
                 expire(time)
-                found.extend((ms, begin, int(time)) for ms, begin in begun)
+                found.extend((begin, ms, int(time)) for ms, begin in begun)
                 begun = []
             elif step == 1:
                 begun.append((int(time), int(who)))
         expire(now)
-        self.begun.clear()
-        if begun:
-            self.begun.put(begun)
-        self.next_timeout = min(ms for ms, _ in begun) + self.bound if begun else None
-        if not found:
-            return None
-        first, who, nxt = zip(*found)
-        return self.result(key, **{self.identity: list(who), "first_ms": list(first), "next_ms": pd.array(nxt, dtype="Int64")})
-
-    def wake_at(self):
-        return self.next_timeout
+        return found, begun, min(ms for ms, _ in begun) + self.bound if begun else None
 
 
 class RiseAlarm(EventOrdered):
     """One alarm whenever a key's value has risen without a drop for ``wait_ms`` of event time."""
 
+    found = ["alarm_ms"]
+
     def __init__(self, keys, order, columns, row_schema, value: str, wait_ms: int):
         super().__init__(keys, order, columns, row_schema)
         self.value, self.wait = value, wait_ms
 
-    def open_state(self, handle) -> None:
-        self.last = handle.getValueState("last", "value double")
-        self.timer = handle.getValueState("timer", "ms double")
-        self.pending: int | None = None
-
-    def fold(self, key, rows, now):
-        timer, fired = self.read(self.timer, NONE), []
-        if len(rows):
-            values = rows[self.value].to_numpy(dtype=float)
-            before = np.concatenate([[self.read(self.last, NONE)], values[:-1]])
-            self.last.update((float(values[-1]),))
-            step = np.sign(values - before)
+    def fold(self, state, rows, now):
+        (last, timer), fired = state or (NONE, NONE), []
+        values = rows[self.value].astype(float)
+        if len(values):
+            step = np.sign(values - np.concatenate([[last], values[:-1]]))
+            last = float(values[-1])
             moves = np.flatnonzero(np.isfinite(step) & (step != 0))
-            times = rows[self.order[0]].to_numpy(dtype="int64")
+            times = rows[self.order[0]].astype("int64")
             fired, timer = rise_replay(timer, times[moves].tolist(), step[moves].tolist(), self.wait)
         if timer <= now:  # never true without a timer
             fired.append(int(timer))
             timer = NONE
-        self.pending = None if timer != timer else int(timer)
-        if self.pending is None:
-            self.timer.clear()
-        else:
-            self.timer.update((float(timer),))
-        return self.result(key, alarm_ms=fired) if fired else None
-
-    def wake_at(self):
-        return self.pending
+        return [(ms,) for ms in fired], (last, timer), None if timer != timer else int(timer)
 
 
-class ClockRiseAlarm(_Keyed):
+class ClockRiseAlarm(_Grouped):
     """Rise alarm on a clock: a rise sets a timer, a drop cancels it, and it fires when the clock reaches it.
 
     The clock is that of the machine (time mode ProcessingTime) or, with ``clock``, a column of ms that
@@ -437,8 +517,8 @@ class ClockRiseAlarm(_Keyed):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "value double")
-        self.timer = handle.getValueState("timer", "ms long")
+        self.states = handle.getValueState("states", "states binary")
+        self.alarm = handle.getValueState("alarm", "ms long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _gather(rows, self.order)
@@ -447,35 +527,36 @@ class ClockRiseAlarm(_Keyed):
         else:
             batch = batch[batch[self.clock].notna()]
             clocks = batch[self.clock].astype("int64").tolist()
-        last, pending, fired = self.read(self.last, NONE), self.read(self.timer, None), []
-        timer = pending
-        for now, value in zip(clocks, batch[self.value].astype(float)):
+        states = self.unpack(self.states.get()) if self.states.exists() else {}
+        found = []
+        for who, now, value in zip(self.whose(key, batch), clocks, batch[self.value].astype(float).tolist()):
+            last, timer = states.get(who, (NONE, None))
             if timer is not None and timer <= now:  # rows are handled before expired timers: this one fired first
-                fired.append(timer)
+                found.append((who, timer))
                 timer = None
             if value < last:
                 timer = None
             elif value > last and timer is None:
                 timer = now + self.wait
-            last = value
-        if len(batch):
-            self.last.update((last,))
-        if timer != pending:
-            self._replace(pending, timer)
-        if fired:
-            yield self.result(key, alarm_ms=fired)
-
-    def _replace(self, pending: int | None, timer: int | None) -> None:
-        if pending is not None:
-            self.handle.deleteTimer(pending)
-            self.timer.clear()
-        if timer is not None:
-            self.handle.registerTimer(timer)
-            self.timer.update((timer,))
+            states[who] = (value, timer)
+        self._keep(states)
+        if found:
+            yield self.results(found, "alarm_ms")
+
+    def _keep(self, states: dict[tuple, tuple[float, int | None]]) -> None:
+        self.states.update(self.pack(states))
+        self.set_alarm(min((timer for _, timer in states.values() if timer is not None), default=None))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.timer.clear()
-        yield self.result(key, alarm_ms=[expiredTimerInfo.getExpiryTimeInMs()])
+        reached = expiredTimerInfo.getExpiryTimeInMs() if self.clock is None else timerValues.getCurrentWatermarkInMs()
+        self.alarm.clear()
+        states = self.unpack(self.states.get())
+        found = [(who, timer) for who, (_, timer) in states.items() if timer is not None and timer <= reached]
+        for who, _ in found:
+            states[who] = (states[who][0], None)
+        self._keep(states)
+        if found:
+            yield self.results(found, "alarm_ms")
 
 
 # --- windows that fire more than once -----------------------------------------------------------
