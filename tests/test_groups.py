@@ -58,11 +58,11 @@ def run(processor, batches, watermarks):
     for rows, now in zip(batches, watermarks, strict=True):
         if rows:
             for frame in processor.handleInputRows((0, 0), iter([pd.DataFrame(rows, columns=NAMES)]), Clock(now)):
-                found += frame.itertuples(index=False, name=None)
+                found += [tuple(None if pd.isna(v) else v for v in row) for row in frame.itertuples(index=False, name=None)]
         for at in [t for t in handle.timers if t <= now]:
             handle.timers.discard(at)
             for frame in processor.handleExpiredTimer((0, 0), Clock(now), None):
-                found += frame.itertuples(index=False, name=None)
+                found += [tuple(None if pd.isna(v) else v for v in row) for row in frame.itertuples(index=False, name=None)]
     return found, handle.map.written
 
 
@@ -90,6 +90,19 @@ COMMON = (KEYS, ["ms", "id"], NAMES[2:], "")
 CASES = {"jump": (lambda: processors.JumpAlert(*COMMON, "value", 9), jumps)}
 
 
+def held_jumps(rows):
+    found, held = [], 0.0
+    for _, _, ms, number, value, _ in rows:
+        if abs(value - held) > 9:
+            found.append((ms, number, held, value))
+        else:
+            held = value
+    return found
+
+
+CASES["hold"] = (lambda: processors.JumpAlertHold(*COMMON, "value", 9), held_jumps)
+
+
 @pytest.mark.parametrize("case", CASES)
 def test_a_group_gives_what_its_keys_give_alone(case):
     make, expected = CASES[case]
