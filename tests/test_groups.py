@@ -103,6 +103,13 @@ def held_jumps(rows):
 CASES["hold"] = (lambda: processors.JumpAlertHold(*COMMON, "value", 9), held_jumps)
 
 
+def hits_in_a_row(rows):
+    return [(a[2], b[2]) for a, b in zip(rows, rows[1:]) if a[5] and b[5] and b[2] - a[2] < 20 * HOUR]
+
+
+CASES["next"] = (lambda: processors.StrictNext(*COMMON, "step", 20 * HOUR), hits_in_a_row)
+
+
 @pytest.mark.parametrize("case", CASES)
 def test_a_group_gives_what_its_keys_give_alone(case):
     make, expected = CASES[case]
