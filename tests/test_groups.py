@@ -110,6 +110,18 @@ def hits_in_a_row(rows):
 CASES["next"] = (lambda: processors.StrictNext(*COMMON, "step", 20 * HOUR), hits_in_a_row)
 
 
+def followed(rows):
+    found = []
+    for place, (_, _, ms, number, _, step) in enumerate(rows):
+        if step == 1:
+            closing = next((r[2] for r in rows[place:] if r[5] == 2), None)
+            found.append((number, ms, closing if closing is not None and closing - ms < 20 * HOUR else None))
+    return found
+
+
+CASES["followed"] = (lambda: processors.FollowedBy(*COMMON, "step", "id", 20 * HOUR), followed)
+
+
 @pytest.mark.parametrize("case", CASES)
 def test_a_group_gives_what_its_keys_give_alone(case):
     make, expected = CASES[case]
