@@ -122,6 +122,23 @@ def followed(rows):
 CASES["followed"] = (lambda: processors.FollowedBy(*COMMON, "step", "id", 20 * HOUR), followed)
 
 
+def rises(rows):
+    found, timer, last = [], None, None
+    for _, _, ms, _, value, _ in rows:
+        if timer is not None and ms >= timer:
+            found.append((timer,))
+            timer = None
+        if last is not None and value < last:
+            timer = None
+        elif last is not None and value > last and timer is None:
+            timer = ms + 9 * HOUR
+        last = value
+    return found + ([(timer,)] if timer is not None else [])
+
+
+CASES["rise"] = (lambda: processors.RiseAlarm(*COMMON, "value", 9 * HOUR), rises)
+
+
 @pytest.mark.parametrize("case", CASES)
 def test_a_group_gives_what_its_keys_give_alone(case):
     make, expected = CASES[case]
