@@ -50,19 +50,20 @@ class Handle:
 KEYS, NAMES = ["user", "kind"], ["user", "kind", "ms", "id", "value", "step"]
 
 
-def run(processor, batches, watermarks):
+def run(processor, batches, watermarks, names=NAMES):
     """What a group's calls find, and the entries of state they wrote."""
     handle, found = Handle(), []
     processor.in_groups = True
     processor.init(handle)
     for rows, now in zip(batches, watermarks, strict=True):
         if rows:
-            for frame in processor.handleInputRows((0, 0), iter([pd.DataFrame(rows, columns=NAMES)]), Clock(now)):
+            for frame in processor.handleInputRows((0, 0), iter([pd.DataFrame(rows, columns=names)]), Clock(now)):
                 found += [tuple(None if pd.isna(v) else v for v in row) for row in frame.itertuples(index=False, name=None)]
         for at in [t for t in handle.timers if t <= now]:
             handle.timers.discard(at)
             for frame in processor.handleExpiredTimer((0, 0), Clock(now), None):
                 found += [tuple(None if pd.isna(v) else v for v in row) for row in frame.itertuples(index=False, name=None)]
+    assert not handle.map
     return found, handle.map.written
 
 
@@ -154,3 +155,22 @@ def test_sparse_rows_of_one_key_wait_together():
     rows = pd.DataFrame([(h * HOUR, h, 0.0) for h in range(1, 721)], columns=["ms", "id", "value"])
     list(processor.handleInputRows(("k",), iter([rows]), Clock(0)))
     assert handle.map.written == 1
+
+
+def with_day(batches):
+    return [[(*row, (row[2] // (24 * HOUR) + 1) * 24 * HOUR) for row in batch] for batch in batches]
+
+
+def test_a_group_counts_each_key_and_day_and_forgets_days_that_are_over():
+    batches, marks, _ = feed("cap")
+    counts, expected = {}, []
+    for batch in with_day(batches):
+        for row in sorted(batch, key=lambda r: r[3]):
+            key = (row[0], row[1], row[-1])
+            counts[key] = counts.get(key, 0) + 1
+            if counts[key] <= 2:
+                expected.append((*key, row[3], "pass" if counts[key] == 1 else "alarm"))
+    processor = processors.DailyCap(["user", "kind", "day"], "id", 1)
+    found, written = run(processor, with_day(batches), marks, [*NAMES, "day"])
+    assert sorted(found) == sorted(expected) and len({row[-1] for row in expected}) == 2
+    assert written < 100

@@ -445,6 +445,7 @@ def streaming_click_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
         clicks.select(*keys, "ts", "event_id"), keys,
         processors.DailyCap(keys, "event_id", 2),
         f"user_id long, event_type string, {IS_END} boolean, reset_ms long, event_id long, output string", "EventTime",
+        key_groups(spark, sf_dir),
     )
     outputs = {
         name: (lambda batch, name=name: batch.where((F.col("output") == name) & ~F.col(IS_END))) for name in ("pass", "alarm")
