@@ -174,3 +174,11 @@ def test_a_group_counts_each_key_and_day_and_forgets_days_that_are_over():
     found, written = run(processor, with_day(batches), marks, [*NAMES, "day"])
     assert sorted(found) == sorted(expected) and len({row[-1] for row in expected}) == 2
     assert written < 100
+
+
+def test_the_cap_carries_columns_of_each_key_in_a_group():
+    batches, marks, _ = feed("carried")
+    processor = processors.DailyCap(["user", "kind", "day"], "id", 2, ["ms"])
+    found, _ = run(processor, with_day(batches), marks, [*NAMES, "day"])
+    times = {row[3]: (row[0], row[1], row[2]) for batch in batches for row in batch}
+    assert found and all(times[number] == (user, kind, ms) for user, kind, _, number, ms, _ in found)
