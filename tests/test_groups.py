@@ -182,3 +182,16 @@ def test_the_cap_carries_columns_of_each_key_in_a_group():
     found, _ = run(processor, with_day(batches), marks, [*NAMES, "day"])
     times = {row[3]: (row[0], row[1], row[2]) for batch in batches for row in batch}
     assert found and all(times[number] == (user, kind, ms) for user, kind, _, number, ms, _ in found)
+
+
+def test_a_group_knows_the_first_visits_of_its_windows():
+    batches, marks, _ = feed("visits")
+    seen, expected = set(), []
+    for batch in batches:
+        for row in sorted(batch, key=lambda r: r[3]):
+            key = (int((row[2] // (24 * HOUR) + 1) * 24 * HOUR), row[0])
+            expected.append((*key, row[3], int(key not in seen)))
+            seen.add(key)
+    found, written = run(processors.FirstVisit(["day", "user"], "id"), with_day(batches), marks, [*NAMES, "day"])
+    assert sorted(found) == sorted(expected)
+    assert written < 100
