@@ -195,3 +195,28 @@ def test_a_group_knows_the_first_visits_of_its_windows():
     found, written = run(processors.FirstVisit(["day", "user"], "id"), with_day(batches), marks, [*NAMES, "day"])
     assert sorted(found) == sorted(expected)
     assert written < 100
+
+
+def test_a_group_has_one_timer_for_the_alarms_of_its_keys():
+    pick = random.Random(13)
+    rows = [(pick.randrange(50), pick.choice("ab"), i * HOUR, i, float(pick.randrange(40)), 0) for i in range(1, 1001)]
+    by_key = {}
+    for row in rows:
+        by_key.setdefault(row[:2], []).append(row)
+    processor = processors.ClockRiseAlarm(KEYS, ["ms", "id"], "value", 200 * HOUR, "ms")
+    batches = [rows[i:i + 250] for i in range(0, 1000, 250)] + [[]]
+    found, _ = run(processor, batches, [*[batch[-1][2] - 1 for batch in batches[:-1]], 10**12])
+    expected = []
+    for key, own in by_key.items():
+        timer, last = None, None
+        for row in own:
+            if timer is not None and row[2] >= timer:
+                expected.append((*key, timer))
+                timer = None
+            if last is not None and row[4] < last:
+                timer = None
+            elif last is not None and row[4] > last and timer is None:
+                timer = row[2] + 200 * HOUR
+            last = row[4]
+        expected += [(*key, timer)] if timer is not None else []
+    assert sorted(found) == sorted(expected) and len(expected) > 50

@@ -327,7 +327,7 @@ def streaming_rise_alarm_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one ms behind, so that rows of the latest clock reading are not late to the engine
     rows = end.follow(feed).withWatermark("ts", "1 millisecond").select(*keys, "ts", "clock_ms", "event_id", "value")
     processor = processors.ClockRiseAlarm(keys, ["clock_ms", "event_id"], "value", 12 * HOUR_MS, "clock_ms")
-    alarms = processors.process(rows, keys, processor, f"user_id long, {IS_END} boolean, alarm_ms long", "EventTime")
+    alarms = processors.process(rows, keys, processor, f"user_id long, {IS_END} boolean, alarm_ms long", "EventTime", key_groups(spark, sf_dir))
     start = append_files(alarms, folder)
     with state_settings(spark):
         drain(start)
