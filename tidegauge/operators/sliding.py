@@ -1,6 +1,6 @@
 """Sliding windows of anything that merges, at a cost that does not grow with size/slide.
 
-Sums can be taken away again behind a window; extremes, bitmaps and sketches cannot. Here the panes,
+Sums can be taken away again behind a window; extremes and sketches cannot. Here the panes,
 slide-sized pieces that are aggregated first, are grouped into blocks as long as a window. A window
 is the end of one block and the beginning of the next, so two running merges per block, one from
 each side, hold what every window needs: two values are merged wherever one of them changes, where
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.hashing import BITMAP_BITS, bit_offset
 from tidegauge.functions.times import floor_to, millis
+from tidegauge.operators.scans import by_time, scan
 
 Merge = Callable[[Column], Column]
 _EXTREMES: dict[str, Merge] = {"min": F.min, "max": F.max}
@@ -107,19 +108,29 @@ def slide_extremes(
 def unique_bitmap_sliding(
     df: DataFrame, ts_ms: str, size: str | int, every: str | int, visitor: str, bits: int = BITMAP_BITS, name: str = "uv"
 ) -> DataFrame:
-    """Set bits of a hashed bitmap per sliding window, from mergeable pieces of 2^15 bits per pane.
+    """Set bits of a hashed bitmap per sliding window.
 
-    Only pieces with a set bit exist. Suited to bitmaps that panes fill in part; for a few visitors
-    among 2^29 bits, ``distinct.unique_bitmap`` moves less. Rows without visitor count no one.
+    The panes' bitmaps are kept as their set bits, one row each, so what is moved and held grows with the visitors and
+    not with the bitmap. The union of a window's panes holds a bit from the first window that has a pane with
+    it to the last: each set bit adds the windows that the pane before with this bit doesn't reach, and
+    a running sum of what windows gain and lose is their count. Rows without visitor count no one.
     """
+    size_ms, every_ms = millis(size), millis(every)
+    if size_ms % every_ms:
+        raise ValueError("size must be a multiple of the slide")
     rows = df.where(F.col(ts_ms).isNotNull() & F.col(visitor).isNotNull())
-    offset = bit_offset(visitor, bits)
-    pieces = rows.groupBy(_pane(ts_ms, every), F.bitmap_bucket_number(offset).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(offset)).alias("bitmap")
-    )
-    merged = slide_merged(pieces, "pane_ms", size, every, {"bitmap": F.bitmap_or_agg}, ["bucket"])
-    counted = merged.select("first_end_ms", "last_end_ms", F.bitmap_count("bitmap").alias(name))
-    return each_window(counted, every).groupBy("window_end_ms").agg(F.sum(name).alias(name))
+    set_bits = rows.select(_pane(ts_ms, every), bit_offset(visitor, bits).alias("bit")).distinct()
+    pane, before = F.col("pane_ms"), F.col("before")
+    held = scan(set_bits, ["bit"], ["pane_ms"], by_time("pane_ms"), previous={"before": pane})
+    change = F.inline(F.array(
+        F.struct(F.greatest(pane + every_ms, before + size_ms + every_ms).alias("first_end_ms"), F.lit(1).cast("long").alias("change")),
+        F.struct((pane + size_ms + every_ms).alias("first_end_ms"), F.lit(-1).cast("long").alias("change")),
+    ))
+    changes = held.select(change).groupBy("first_end_ms").agg(F.sum("change").alias("change"))
+    end = F.col("first_end_ms")
+    runs = scan(changes, [], ["first_end_ms"], by_time("first_end_ms"), upto={name: ("sum", F.col("change"))}, following={"next": end})
+    filled = runs.where(F.col(name) > 0).select(end, (F.col("next") - every_ms).alias("last_end_ms"), name)
+    return each_window(filled, every)
 
 
 def unique_sketch_sliding(

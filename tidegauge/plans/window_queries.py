@@ -298,7 +298,7 @@ def sliding_extremes_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
         list_prepend(0::BIGINT, list_transform(string_split(user_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
         lambda h, c: (h * 61 + c) & 262143) AS bit""")}) WHERE event_type = 'view' GROUP BY 1""")
 def uv_bitmap_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bitmaps of 2^18 bits in pieces per 10 s pane, united over 720 panes per window."""
+    """Bitmaps of 2^18 bits per 10 s pane, kept as their set bits, united over 720 panes per window."""
     views = events(spark, sf_dir).where(viewed())
     return sliding.unique_bitmap_sliding(views, "ms", "2 hours", "10 seconds", "user_id", 1 << 18)
 
