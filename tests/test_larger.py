@@ -16,3 +16,15 @@ def test_panes_with_few_set_bits_hold_no_bitmaps(spark):
     assert "bitmap" not in found._jdf.queryExecution().toString()
     counts = {r.window_end_ms: r.uv for r in found.collect()}
     assert counts == {end * 10_000: min(end, 6, 1006 - end) for end in range(1, 1006)}
+
+
+def test_a_batch_of_rolled_lines_is_one_sequence_in_segments(spark):
+    """Parts follow the lengths of all lines before, however the sequence is cut; what was open is numbered by itself."""
+    lines = [(f"{i:0{1 + i % 9}d}", i, i, turn) for turn, n in ((0, 3), (1, 500)) for i in range(n)]
+    rows = spark.createDataFrame(lines, "line string, place long, clock long, turn int").repartition(5)
+    found = rolling._numbered(rows, 40, rows_per_segment=20).collect()
+    expected, ahead = {}, {0: 0, 1: 0}
+    for line, place, _, turn in lines:
+        expected[turn, place] = ahead[turn] // (40 - 10 + 1)
+        ahead[turn] += len(line) + 1
+    assert {(r.turn, r.place): r.part for r in found} == expected and len(found) == len(lines)

@@ -66,12 +66,18 @@ def rolling_parts(
     )
 
 
-def _numbered(rows: DataFrame, max_bytes: int) -> DataFrame:
-    """``rows`` with the ``part`` of their turn that they fill in order."""
+def _numbered(rows: DataFrame, max_bytes: int, rows_per_segment: int | None = None) -> DataFrame:
+    """``rows`` with the ``part`` of their turn that they fill in order.
+
+    Turn 0 is what was open, no more than a part. Turn 1 is a batch, one sequence that is cut into segments.
+    """
     rows = rows.withColumn("bytes", F.octet_length("line").cast("long") + 1)
     longest = rows.where(F.col("bytes") <= max_bytes).agg(F.max("bytes")).first()[0] or 0
     room = F.lit(max(1, max_bytes - longest + 1)).cast("long")  # rows that begin within it end within max_bytes
-    counted = scan(rows, ["turn"], ["place", "line"], by_rows("place"), before={"ahead": ("sum", F.col("bytes"))})
+    ahead = {"ahead": ("sum", F.col("bytes"))}
+    due = scan(rows.where("turn = 0"), ["turn"], ["place", "line"], by_rows("place"), before=ahead, split=False)
+    fresh = scan(rows.where("turn = 1"), [], ["place", "line"], by_rows("place", rows_per_segment), before=ahead)
+    counted = due.unionByName(fresh)
     return counted.withColumn("part", F.floor(F.coalesce("ahead", F.lit(0)) / room)).drop("bytes", "ahead")
 
 
