@@ -28,3 +28,16 @@ def test_a_batch_of_rolled_lines_is_one_sequence_in_segments(spark):
         expected[turn, place] = ahead[turn] // (40 - 10 + 1)
         ahead[turn] += len(line) + 1
     assert {(r.turn, r.place): r.part for r in found} == expected and len(found) == len(lines)
+
+
+@pytest.mark.parametrize("chars", [1 << 24, 100])
+def test_words_are_counted_where_their_lines_are(spark, monkeypatch, chars):
+    """The second window of three is longer than a range, where a range is short."""
+    monkeypatch.setattr(analyses, "CHARS_PER_RANGE", chars)
+    texts = [(0, "a b a"), (1, "b  c"), (3, "d d " * 40), (4, "a"), (7, None), (8, "c"), (None, "x")]
+    lines = spark.createDataFrame(texts, "s long, text string").select("text", F.timestamp_seconds("s").alias("ts"))
+    counts = analyses.windowed_word_counts(lines, "text", "ts")
+    got = sorted((r.word, r.window_end_ms, r.n) for r in counts.collect())
+    assert got == [("a", 3000, 2), ("a", 6000, 1), ("b", 3000, 2), ("c", 3000, 1), ("c", 9000, 1), ("d", 6000, 80)]
+    if chars > 100:
+        assert "hashpartitioning" not in counts._jdf.queryExecution().executedPlan().toString()

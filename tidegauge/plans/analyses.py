@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.text import non_word_tokens, space_tokens, words
+from tidegauge.functions.times import epoch_ms, floor_to, millis
 from tidegauge.operators import alerts, lateness, patterns, reconcile, topn, windows
 from tidegauge.operators.aggregates import count_rows
 from tidegauge.operators.scans import Axis, by_time
@@ -108,8 +109,30 @@ def word_counts(df: DataFrame, line: str, by_space: bool = False) -> DataFrame:
     return words(df, tokens).groupBy("word").agg(count_rows())
 
 
+CHARS_PER_RANGE = 1 << 24
+
+
 def windowed_word_counts(df: DataFrame, line: str, ts: str, size: str = "3 seconds") -> DataFrame:
-    return windows.tumble(words(df, space_tokens(line), ts), ts, size, count_rows(), keys=["word"])
+    """Counts per word and window.
+
+    Nearly every word of a window is a row of the result, so the lines are dealt out instead, by ranges of windows of about
+    ``CHARS_PER_RANGE``: words are counted where their lines are, and are not shuffled. The rows come in ranges of
+    time, but for windows that are longer than a range: the words of those are dealt out one by one.
+    """
+    by = ["window_start_ms", "word"]
+    lines = df.where(F.col(ts).isNotNull()).select(floor_to(epoch_ms(ts), millis(size)).alias(by[0]), line)
+    sizes = written(lines.groupBy(by[0]).agg(F.sum(F.length(line).cast("long")).alias("chars")), "window-chars")
+    long = sizes.where(F.col("chars") > CHARS_PER_RANGE).select(by[0])
+    ranges = (sizes.agg(F.sum("chars")).first()[0] or 0) // CHARS_PER_RANGE + 1
+
+    def counted(lines: DataFrame) -> DataFrame:
+        counts = words(lines, space_tokens(line), by[0]).groupBy(*by).agg(count_rows())
+        return counts.withColumn("window_end_ms", F.col(by[0]) + millis(size))
+
+    if long.isEmpty():
+        return counted(lines.repartitionByRange(ranges, by[0]))
+    rest = lines.join(long, by[0], "left_anti").repartitionByRange(ranges, by[0])
+    return counted(rest).unionByName(counted(lines.join(long, by[0], "left_semi")))
 
 
 def edit_volume(edits: DataFrame, user: str, amount: str, ts: str, size: str = "5 seconds") -> DataFrame:

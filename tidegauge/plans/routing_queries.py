@@ -49,7 +49,7 @@ def windowed_words_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = analyses.windowed_word_counts(documents, "text", "ts")
     folder = fresh_folder(spark, "words")
     write_bucketed_parquet(
-        counts.withColumn("start", F.timestamp_millis("window_start_ms")).drop("window_start_ms"), folder, "start"
+        counts.withColumn("start", F.timestamp_millis("window_start_ms")).drop("window_start_ms"), folder, "start", ranged=True
     )
     return spark.read.parquet(folder).select("word", "window_end_ms", "n", F.col("bucket").cast("string"))
 

@@ -90,15 +90,15 @@ def bucket_of(ts: Column | str) -> Column:
     return F.date_format(ts, BUCKET_FORMAT)
 
 
-def write_bucketed_parquet(df: DataFrame, path: str, ts: str, max_records_per_file: int = 5_000_000) -> None:
+def write_bucketed_parquet(df: DataFrame, path: str, ts: str, max_records_per_file: int = 5_000_000, ranged: bool = False) -> None:
     """Parquet in one directory per date-hour bucket.
 
     Rows are dealt out by ranges of time, so a task opens few buckets and a busy hour, which spans
-    several ranges, is written by several tasks.
+    several ranges, is written by several tasks. Rows that are ``ranged`` lie in ranges of time already.
     """
     bucketed = df.withColumn("bucket", bucket_of(ts))
     (
-        bucketed.repartitionByRange("bucket", ts).write.mode("overwrite")
+        (bucketed if ranged else bucketed.repartitionByRange("bucket", ts)).write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("bucket")
         .parquet(path)
