@@ -4,7 +4,7 @@ for a given similarity min-hash keys, verified on the sets of shingles."""
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -41,8 +41,13 @@ def _hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
 
 def fingerprint(text: str | None, shingle: int) -> int:
     """Majority bits of the shingles' hashes; 0 without words."""
+    return majority(_hashes(text, shingle))
+
+
+def majority(parts: Iterable[np.ndarray]) -> int:
+    """The bits that over half of the hashes have; 0 without any."""
     ones, n = np.zeros(BITS, dtype=np.int64), 0
-    for hashes in _hashes(text, shingle):
+    for hashes in parts:
         ones += np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
         n += len(hashes)
     return int(np.packbits(ones * 2 > n).view(">u8")[0])
@@ -164,21 +169,24 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """Rows (doc_id, text_key, fp, sketch): 64 bits of the text, 64 bits of its set of shingles, and the set's sketch."""
+    """Rows (doc_id, text_key, fp, print, sketch): 64 bits of the text, 64 bits that tell its set of shingles, and the
+    set's fingerprint and sketch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            fps, sketches = [], []
+            fps, prints, sketches = [], [], []
             for text in batch["text"]:
                 hashes = shingle_set(text, shingle)
                 fps.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
+                prints.append(majority(hashes[low:low + _AT_ONCE] for low in range(0, len(hashes), _AT_ONCE)))
                 sketches.append(sketch(hashes).tobytes())
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "text_key": batch["text_key"], "fp": np.array(fps, dtype=np.uint64).view(np.int64), "sketch": sketches
+                "doc_id": batch["doc_id"], "text_key": batch["text_key"], "fp": np.array(fps, dtype=np.uint64).view(np.int64),
+                "print": np.array(prints, dtype=np.uint64).view(np.int64), "sketch": sketches,
             })
 
     rows = docs.select(whole_id().alias("doc_id"), _text_key().alias("text_key"), F.col("text").cast("string"))
-    return rows.mapInPandas(run, "doc_id long, text_key long, fp long, sketch binary")
+    return rows.mapInPandas(run, "doc_id long, text_key long, fp long, print long, sketch binary")
 
 
 def _text_key() -> Column:
@@ -307,26 +315,39 @@ def _sets(docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
     return rows.mapInPandas(run, "key long, fp long, n long, hashes binary").where("n > 0")
 
 
+def _close_classes(classes: DataFrame, bits: int = 2) -> DataFrame:
+    """Links (a, b) of classes (fp, print) whose fingerprints are at most ``bits`` apart, as ``close_links`` finds them."""
+    first = saved(classes.groupBy("print").agg(F.min("fp").alias("a")), "simhash-first")
+    equal = classes.join(first, "print").where("fp != a").select("a", F.col("fp").alias("b"))
+    close = close_links(first.select(F.col("print").alias("fp")), bits).withColumnsRenamed({"a": "low", "b": "high"})
+    ends = close.join(first.select(F.col("print").alias("low"), "a"), "low").join(
+        first.select(F.col("print").alias("high"), F.col("a").alias("b")), "high"
+    )
+    return equal.unionAll(ends.select("a", "b"))
+
+
 def similar(docs: DataFrame, shingle: int = 5, least: float = LEAST_SIMILAR) -> DataFrame:
     """One row (doc_id, component_id, text_key, component) per document row; texts are linked if their
     sets of shingles have a Jaccard similarity of ``least`` or more.
 
-    Texts with equal sets are one class, told by 64 bits of the set. Classes that agree in six minima
-    of one of ``TABLES`` tables are compared by their sketches, and what may be similar is joined to
-    candidate groups. Within a group the sets themselves are compared, so no link is an estimate: a
+    Texts with equal sets are one class, told by 64 bits of the set. Classes whose fingerprints are at most 2 bits
+    apart, found in pigeonhole blocks, are candidates. Fingerprints that close miss most edited copies, so
+    classes that agree in six minima of one of ``TABLES`` tables are compared by their sketches too, and what
+    either way finds is joined to candidate groups. Within a group the sets themselves are compared, so no link is an estimate: a
     link can only be missed where no key agrees and nothing else brings the two into one group. Groups of any
     size are compared whole, in pairs of blocks. Nulls, empties and repeated rows as in
     ``near_duplicates``.
     """
     prints = saved(_sketches(docs, shingle), "simhash-sketches")
     classes = saved(prints.groupBy("fp").agg(
-        F.min("doc_id").alias("first"), F.min("text_key").alias("text_key"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("first"), F.min("text_key").alias("text_key"), F.first("print").alias("print"), F.first("sketch").alias("sketch")
     ), "simhash-sets")
     keys = saved(_keys(classes), "simhash-keys")
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     rows = keys.join(sizes, "key").join(classes.select("fp", "sketch"), "fp")
     rows = _blocks(rows, F.ceil(F.col("n") / CHUNK), "sketch")
-    maybe = connected_components(rows.mapInPandas(lambda b: _by_group(b, _alike), "a long, b long"), "simhash-maybe")
+    alike = rows.mapInPandas(lambda b: _by_group(b, _alike), "a long, b long")
+    maybe = connected_components(_close_classes(classes.select("fp", "print")).unionAll(alike), "simhash-maybe")
     groups = maybe.select(F.col("node").alias("fp"), F.col("component").alias("key")).join(classes.select("fp", "text_key"), "fp")
     sets = saved(_sets(docs, groups, shingle), "simhash-groups")
     sizes = sets.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
