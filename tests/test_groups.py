@@ -6,9 +6,11 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tests.test_waiting_rows import Clock, Value
-from tidegauge.streaming import processors
+from tidegauge.streaming import arrivals, processors
+from tidegauge.streaming.run import LateRows, append_files, drain, file_stream, state_settings
 
 HOUR = 3_600_000
 
@@ -220,3 +222,32 @@ def test_a_group_has_one_timer_for_the_alarms_of_its_keys():
             last = row[4]
         expected += [(*key, timer)] if timer is not None else []
     assert sorted(found) == sorted(expected) and len(expected) > 50
+
+
+def test_rows_of_a_group_travel_in_packs(spark):
+    """A call gets few rows of bytes, which hold what the rows held, nulls included, and the earliest of their times."""
+    rows = spark.range(0, 3000, 1, 2).select(
+        (F.col("id") % 7).alias("group"), F.lit(0).cast("long").alias("nulls"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("é"), F.col("id") % 3)).alias("name"),
+        F.when(F.col("id") % 4 > 0, F.col("id") / 3).alias("value"), F.timestamp_millis(F.col("id") * 1000).alias("ts"), "id",
+    )
+    packs = processors.in_packs(rows, ["group", "nulls"], "ts").toPandas()
+    assert len(packs) == 14 and list(packs) == ["group", "nulls", "ts", processors.PACK]
+    assert sorted(packs["ts"].astype("datetime64[ms]").astype("int64") // 1000) == [*range(7), *range(1500, 1507)]
+    for group, own in packs.groupby("group"):
+        opened = pd.concat(processors._opened(iter([own]))).astype({"value": float}).sort_values("id", ignore_index=True)
+        expected = rows.where(F.col("group") == group).select("name", "value", "id").orderBy("id").toPandas()
+        pd.testing.assert_frame_equal(opened, expected)
+
+
+def test_packs_with_late_rows_are_an_error(spark, tmp_path):
+    feed = spark.createDataFrame([], "user long, ms long, ts timestamp")
+    keys, folder = ["user"], str(tmp_path)
+    for part in ([(1, 5000), (2, 9000)], [(1, 9500)], [(1, 7000), (1, 12000), (2, 13000)]):
+        rows = spark.createDataFrame(part, "user long, ms long").withColumn("ts", F.timestamp_millis("ms"))
+        arrivals.append_part(rows.coalesce(1), f"{folder}/feed")
+    late = file_stream(spark, f"{folder}/feed", feed.schema, files_per_trigger=1).withWatermark("ts", "1 second")
+    processor = processors.JumpAlert(keys, ["ms"], ["ms"], "", "ms", 1)
+    found = processors.process(late, keys, processor, "user long, ms long, last double, value double", "EventTime", 1)
+    with state_settings(spark, 1), pytest.raises(LateRows):
+        drain(append_files(found, folder))

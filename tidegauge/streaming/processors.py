@@ -6,7 +6,8 @@ them by event time, which makes a stream give the rows its batch form gives. Sta
 small; memory per key is bounded by one micro-batch plus the rows still ahead of the watermark.
 
 A call per key and its accesses to state cost milliseconds, so many keys with few rows each are dealt
-into groups: one call then works on all keys of a group, whose states lie side by side.
+into groups: one call then works on all keys of a group, whose states lie side by side. A row that is handed to a
+call costs tens of microseconds, so the rows of a group travel as packs, Arrow bytes of many rows.
 """
 
 from __future__ import annotations
@@ -18,24 +19,27 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tidegauge.operators.folds import NONE, hold_replay, rise_replay
 
 
-GROUP, NULLS = "__group", "__nulls"
+GROUP, NULLS, PACK = "__group", "__nulls", "pack"
+ROWS_AT_ONCE = 1 << 17  # that a task holds to make packs of
 
 
 def process(
-    rows: DataFrame, keys: Sequence[str], processor: StatefulProcessor, output: str, time: str = "None", groups: int | None = None
+    rows: DataFrame, keys: Sequence[str], processor: StatefulProcessor, output: str, time: str = "None", groups: int | None = None,
+    ts: str = "ts",
 ) -> DataFrame:
     """Apply a processor per key; ``time`` is None, EventTime or ProcessingTime.
 
     With ``groups`` a call works on all keys of one of so many groups, for processors that are ``_Grouped``. The
-    number is fixed for the life of a query.
+    number is fixed for the life of a query. Rows then come without ``ts``, the event time the engine goes by.
     """
     by = list(keys)
     if groups is not None:
@@ -44,14 +48,66 @@ def process(
         nulls = sum((F.col(k).isNull().cast("long") * (1 << i) for i, k in enumerate(keys)), F.lit(0).cast("long"))
         filled = {k: F.coalesce(k, F.lit("" if types[k] == "string" else 0).cast(types[k])) for k in keys}
         rows = rows.withColumns({GROUP: F.pmod(F.xxhash64(*keys), F.lit(groups)), NULLS: nulls}).withColumns(filled)
+        rows = in_packs(rows, by, ts)
         processor.in_groups = True
     return rows.groupBy(*by).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode=time
     )
 
 
+def in_packs(rows: DataFrame, by: Sequence[str], ts: str) -> DataFrame:
+    """The rows of a task that are equal ``by``, as one row for every ``ROWS_AT_ONCE``: Arrow bytes without ``by`` and ``ts``.
+
+    A pack has the earliest ``ts`` of its rows, so the engine, which drops what is late, passes no late row.
+    """
+    fields = {field.name: field for field in rows.schema.fields}
+    schema = StructType([*[fields[name] for name in [*by, ts]], StructField(PACK, BinaryType())])  # ts keeps its watermark
+    inner = [name for name in fields if name not in (*by, ts)]
+
+    def packs(tables: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
+        for table in tables:
+            table = table.sort_by([(name, "ascending") for name in by]).combine_chunks()
+            changed = np.ones(table.num_rows, dtype=bool)
+            changed[1:] = False
+            for column in (table.column(name).to_numpy() for name in by):
+                changed[1:] |= column[1:] != column[:-1]
+            starts = np.flatnonzero(changed)
+            parts = [table.slice(low, high - low) for low, high in zip(starts, [*starts[1:], table.num_rows])]
+            heads = [table.column(name).take(pa.array(starts)).combine_chunks() for name in by]
+            earliest = pa.array([pc.min(part.column(ts)) for part in parts], table.schema.field(ts).type)
+            packed = pa.array([_stream(part.select(inner)) for part in parts], pa.binary())
+            yield pa.RecordBatch.from_arrays([*heads, earliest, packed], names=[*by, ts, PACK])
+
+    return rows.mapInArrow(lambda batches: packs(_tables(batches)), schema)
+
+
+def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches put together to tables of ``ROWS_AT_ONCE`` rows or a little more."""
+    held, rows = [], 0
+    for batch in batches:
+        held, rows = [*held, batch], rows + batch.num_rows
+        if rows >= ROWS_AT_ONCE:
+            yield pa.Table.from_batches(held)
+            held, rows = [], 0
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
+def _stream(rows: pa.Table | pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as stream:
+        stream.write(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _opened(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of a call, out of their packs if they came in some."""
+    for frame in frames:
+        yield pa.concat_tables(pa.ipc.open_stream(p).read_all() for p in frame[PACK]).to_pandas() if PACK in frame else frame
+
+
 def _gather(frames: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
-    return pd.concat(list(frames), ignore_index=True).sort_values(list(order), kind="stable", ignore_index=True)
+    return pd.concat(list(_opened(frames)), ignore_index=True).sort_values(list(order), kind="stable", ignore_index=True)
 
 
 class _Keyed(StatefulProcessor):
@@ -296,11 +352,7 @@ class SlidingCountWindow(_Keyed):
 
 
 def _packed(rows: pd.DataFrame) -> bytes:
-    batch = pa.RecordBatch.from_pandas(rows, preserve_index=False)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema) as stream:
-        stream.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+    return _stream(pa.RecordBatch.from_pandas(rows, preserve_index=False))
 
 
 def _unpacked(data: bytes) -> pd.DataFrame:
@@ -350,7 +402,7 @@ class EventOrdered(_Grouped):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         names = [*self.key_columns, *self.columns]
-        batch = pd.concat([frame[names] for frame in rows], ignore_index=True)
+        batch = pd.concat([frame[names] for frame in _opened(rows)], ignore_index=True)
         self.set_alarm(self._wait(batch))
         return iter(())
 
