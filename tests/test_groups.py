@@ -9,10 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_waiting_rows import Clock, Value
+from tidegauge.plans import catalog
+from tidegauge.plans.tables import table
 from tidegauge.streaming import arrivals, processors
 from tidegauge.streaming.run import LateRows, append_files, drain, file_stream, state_settings
 
 HOUR = 3_600_000
+SF_DIR = "/root/testdata/sf0.001"
 
 
 class Map(dict):
@@ -240,6 +243,31 @@ def test_rows_of_a_group_travel_in_packs(spark):
         pd.testing.assert_frame_equal(opened, expected)
 
 
+class Reached(Exception):
+    pass
+
+
+def waiting(spark, monkeypatch, name, tmp_path):
+    """The rows of a query that its processor gets."""
+    got = []
+
+    def stop(rows, *rest):
+        got.append(rows)
+        raise Reached
+
+    monkeypatch.setattr(processors, "process", stop)
+    with pytest.raises(Reached):
+        catalog.queries()[name](spark, SF_DIR)
+    drain(append_files(got[0], str(tmp_path)))
+    return spark.read.parquet(f"{tmp_path}/out")
+
+
+def test_only_steps_of_the_pattern_wait(spark, monkeypatch, tmp_path):
+    rows = waiting(spark, monkeypatch, "streaming_order_payments", tmp_path)
+    steps = table(spark, SF_DIR, "events").where(F.col("event_type").isin("signup", "purchase"))
+    assert rows.count() == steps.count() > 0 and {row[0] for row in rows.select("kind").distinct().collect()} == {1, 2}
+
+
 def test_packs_with_late_rows_are_an_error(spark, tmp_path):
     feed = spark.createDataFrame([], "user long, ms long, ts timestamp")
     keys, folder = ["user"], str(tmp_path)

@@ -280,9 +280,12 @@ def by_user(spark: SparkSession, sf_dir: str, folder: str, kind=None) -> tuple[D
     ), end
 
 
-def run_events(spark: SparkSession, sf_dir: str, name: str, make, output: str, kind=None) -> DataFrame:
+def run_events(spark: SparkSession, sf_dir: str, name: str, make, output: str, kind=None, only=None) -> DataFrame:
+    """``only`` tells the rows that can change a result; without it all rows wait for the watermark."""
     folder = fresh_folder(spark, name)
     rows, end = by_user(spark, sf_dir, folder, kind)
+    if only is not None:
+        rows = rows.where(only | F.col(IS_END))
     keys = ["user_id", IS_END]
     processor = make(keys, ["ms", "event_id"], ["ms", "event_id", "value", "kind"], ROW)
     found = processors.process(rows, keys, processor, f"user_id long, {IS_END} boolean, {output}", "EventTime", key_groups(spark, sf_dir))
@@ -356,7 +359,7 @@ def streaming_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_events(
         spark, sf_dir, "payments",
         lambda *a: processors.FollowedBy(*a, step="kind", identity="event_id", bound_ms=12 * HOUR_MS),
-        "event_id long, first_ms long, next_ms long", kind,
+        "event_id long, first_ms long, next_ms long", kind, F.col("kind") > 0,
     )
 
 
