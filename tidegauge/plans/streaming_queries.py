@@ -272,11 +272,11 @@ def streaming_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def by_user(spark: SparkSession, sf_dir: str, folder: str, kind=None) -> tuple[DataFrame, EndOfInput]:
     rows, end = event_stream(spark, sf_dir, folder)
-    kind = F.lit(0) if kind is None else kind
+    carried = [F.col("value"), F.lit(0).alias("kind")] if kind is None else [kind.cast("int").alias("kind")]
     # The end marker passes as a row of its own key. Filtering it out here would not work: Spark
     # moves the filter below the watermark, which then never sees the marker.
     return rows.withWatermark("ts", event_delay(spark, sf_dir)).select(
-        "user_id", IS_END, "ts", "ms", F.coalesce("event_id", F.lit(-1)).alias("event_id"), "value", kind.cast("int").alias("kind")
+        "user_id", IS_END, "ts", "ms", F.coalesce("event_id", F.lit(-1)).alias("event_id"), *carried
     ), end
 
 
@@ -287,7 +287,8 @@ def run_events(spark: SparkSession, sf_dir: str, name: str, make, output: str, k
     if only is not None:
         rows = rows.where(only | F.col(IS_END))
     keys = ["user_id", IS_END]
-    processor = make(keys, ["ms", "event_id"], ["ms", "event_id", "value", "kind"], ROW)
+    carried = ["value", "kind"] if kind is None else ["kind"]
+    processor = make(keys, ["ms", "event_id"], ["ms", "event_id", *carried], ROW)
     found = processors.process(rows, keys, processor, f"user_id long, {IS_END} boolean, {output}", "EventTime", key_groups(spark, sf_dir))
     return append_and_read(spark, found, folder, end).where(~F.col(IS_END)).drop(IS_END)
 
