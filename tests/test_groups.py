@@ -268,7 +268,7 @@ def test_only_steps_of_the_pattern_wait(spark, monkeypatch, tmp_path):
     assert rows.count() == steps.count() > 0 and {row[0] for row in rows.select("kind").distinct().collect()} == {1, 2}
 
 
-@pytest.mark.parametrize(("name", "unused"), [("streaming_login_fail_strict_next", "value")])
+@pytest.mark.parametrize(("name", "unused"), [("streaming_login_fail_strict_next", "value"), ("streaming_rise_alarm", "kind")])
 def test_columns_without_a_part_in_it_do_not_wait(spark, monkeypatch, tmp_path, name, unused):
     rows = waiting(spark, monkeypatch, name, tmp_path)
     assert unused not in rows.columns and rows.count() == table(spark, SF_DIR, "events").count()

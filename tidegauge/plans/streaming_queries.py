@@ -24,7 +24,6 @@ from tidegauge.streaming.run import (
 HOUR_MS = 3_600_000
 FILES_PER_TRIGGER = 200  # bounds a micro-batch, and with it what a processor holds of one key; results don't depend on it
 ROWS_PER_GROUP = 100_000  # of the whole table, of all keys that a processor works on in one call
-ROW = "ms long, event_id long, value double, kind int"
 
 
 def event_files(sf_dir: str) -> str:
@@ -272,11 +271,11 @@ def streaming_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def by_user(spark: SparkSession, sf_dir: str, folder: str, kind=None) -> tuple[DataFrame, EndOfInput]:
     rows, end = event_stream(spark, sf_dir, folder)
-    carried = [F.col("value"), F.lit(0).alias("kind")] if kind is None else [kind.cast("int").alias("kind")]
+    carried = F.col("value") if kind is None else kind.cast("int").alias("kind")
     # The end marker passes as a row of its own key. Filtering it out here would not work: Spark
     # moves the filter below the watermark, which then never sees the marker.
     return rows.withWatermark("ts", event_delay(spark, sf_dir)).select(
-        "user_id", IS_END, "ts", "ms", F.coalesce("event_id", F.lit(-1)).alias("event_id"), *carried
+        "user_id", IS_END, "ts", "ms", F.coalesce("event_id", F.lit(-1)).alias("event_id"), carried
     ), end
 
 
@@ -287,8 +286,8 @@ def run_events(spark: SparkSession, sf_dir: str, name: str, make, output: str, k
     if only is not None:
         rows = rows.where(only | F.col(IS_END))
     keys = ["user_id", IS_END]
-    carried = ["value", "kind"] if kind is None else ["kind"]
-    processor = make(keys, ["ms", "event_id"], ["ms", "event_id", *carried], ROW)
+    carried, ddl = ("value", "double") if kind is None else ("kind", "int")
+    processor = make(keys, ["ms", "event_id"], ["ms", "event_id", carried], f"ms long, event_id long, {carried} {ddl}")
     found = processors.process(rows, keys, processor, f"user_id long, {IS_END} boolean, {output}", "EventTime", key_groups(spark, sf_dir))
     return append_and_read(spark, found, folder, end).where(~F.col(IS_END)).drop(IS_END)
 
