@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import zlib
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,3 +60,35 @@ def test_without_both_classes(spark):
     assert {r.predicted for r in toxicity.scores(docs, one).collect()} == {1}
     kept = toxicity.without_toxic(docs, none)
     assert kept.columns == docs.columns and kept.count() == docs.count()
+
+
+def test_batches_of_long_texts_are_bounded(spark):
+    """Scoring hands texts to Python in batches of bounded size; a bound that the session has stays."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.createDataFrame(odd_documents(), DOCUMENT)
+    long = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("word "), 2000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pd.DataFrame({"n": [int(batch["text"].str.len().sum())]})
+
+    before = spark.conf.get(setting, None)
+    try:
+        spark.conf.unset(setting)
+        toxicity.Model({}, 0.0).score(docs)
+        got = [r.n for r in long.mapInPandas(sizes, "n long").collect()]
+        assert sum(got) == 3000 * 10_000 and max(got) <= 5 << 20
+        spark.conf.set(setting, "1000000")
+        toxicity.Model({}, 0.0).score(docs)
+        assert spark.conf.get(setting) == "1000000"
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
+def test_terms_are_summed_whatever_the_batches(spark, monkeypatch):
+    texts = ["stupid stupider words", "stupid again", None, ""] * 50
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    want = {r.term: r.docs for r in toxicity._document_counts(rows).collect()}
+    assert want["stupid"] == 100 and want["stup*"] == 100 and want["words"] == 50
+    monkeypatch.setattr(toxicity, "TERMS_HELD", 2)
+    assert {r.term: r.docs for r in toxicity._document_counts(rows).collect()} == want

@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import held_out, saved
+from tidegauge.session import bound_batches
 
 TRAIN_ROWS = 20_000  # bound of the labelled rows that are fitted on
+TERMS_HELD = 100_000  # terms that a task counts before it hands them over
 CANDIDATES = 20_000  # bound of the terms whose counts go to the driver
 TERMS = 4_000  # bound of the learned lexicon
 LEAST_DOCS, LEAST_ODDS = 5, 8.0
@@ -171,6 +173,7 @@ class Model:
 
         Only the text is looked at; null texts are empty, empty texts are scored like others.
         """
+        bound_batches(docs.sparkSession)
         rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
         if self.trees is None:
             return rows.select("row", F.lit(float(self.rate)).alias("score"))
@@ -197,15 +200,22 @@ def train_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Da
 
 
 def _document_counts(rows: DataFrame, only: frozenset[str] | None = None) -> DataFrame:
-    """Rows (term, docs): in how many texts each term occurs; summed per batch before the shuffle."""
+    """Rows (term, docs): in how many texts each term occurs; summed in each task before the shuffle."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: Counter[str] = Counter()
+
+        def summed() -> pd.DataFrame:
+            return pd.DataFrame({"term": list(counts), "docs": list(counts.values())}).astype({"term": "str", "docs": "int64"})
+
         for batch in batches:
-            counts: Counter[str] = Counter()
             for text in batch["text"]:
                 found = {t for token in set(_tokens(text)) for t in _terms(token)}
                 counts.update(found if only is None else found & only)
-            yield pd.DataFrame({"term": list(counts), "docs": list(counts.values())}).astype({"term": "str", "docs": "int64"})
+                if len(counts) > TERMS_HELD:
+                    yield summed()
+                    counts.clear()
+        yield summed()
 
     return rows.select("text").mapInPandas(run, "term string, docs long").groupBy("term").agg(F.sum("docs").alias("docs"))
 
@@ -226,6 +236,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model:
 
     The lexicon is learned from the trees' rows alone, so that the calibration rows are new to both.
     """
+    bound_batches(docs.sparkSession)
     rows = train_rows(docs, labels, most)
     part = F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(4)) == 0
     grown, kept = rows.where(~part), rows.where(part)

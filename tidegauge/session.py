@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and benchmarks on one machine."""
@@ -55,6 +58,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Rows go to Python in batches of about ``BATCH_BYTES``, however long their texts are; a bound set before stays.
+
+    Without one a batch is 10,000 rows, whatever their size, held by the executor and its worker at once. The bound is the
+    session's, as a plan that is returned takes it up only when its caller runs it.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def pin_utc(spark: SparkSession) -> None:
     """Zone-less timestamps in the tables are UTC; read them that way."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
